@@ -54,6 +54,8 @@ def _hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     seen = _winnowed(docs).select("doc_id", "text_key", "words", F.posexplode_outer("picked").alias("i", "pick")).where("pick is not null")
     seen = seen.withColumns({"value": value("pick"), "p": (F.col("i") + F.pmod(F.col("pick").bitwiseAND(F.lit(255)) - F.col("i"), F.lit(256))).cast("int")})
     met = seen.join(places, "value").select("doc_id", "text_key", "item_id", "p", *_context("words", "p", "doc"), "item_before", "item_from")
+    # written, so that the comparison of words stays out of the join, which then runs in one generated loop with the scan
+    met = materialise(met, "meetings")
     # extend: the run of equal words to the left and to the right of the gram, as far as a window that holds it reaches
     equal = lambda a, b, n: F.coalesce(F.aggregate(F.sequence(F.lit(0), F.lit(n - 1)), F.lit(0), lambda run, k: F.when((run == k) & (F.get(F.col(a), k) == F.get(F.col(b), k)), run + 1).otherwise(run)), F.lit(0))
     met = met.withColumns({"left": equal("doc_before", "item_before", WINDOW - GRAM), "right": equal("doc_from", "item_from", WINDOW)})
