@@ -17,9 +17,9 @@ _PICK = WINDOW - GRAM + 1  # grams that a window of words holds: the least of th
 
 def words(text: Column) -> Column:
     """Words [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ after A-Z are lower-cased; null has none."""
-    ascii_only = F.octet_length(text) == F.length(text)
-    lowered = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
-    return F.coalesce(F.regexp_extract_all(lowered, F.lit("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"), F.lit(0)), F.array().cast("array<string>"))
+    # split and array_remove, since extracting every match is some ten times slower
+    parts = F.split(F.translate(text, _UPPER, _LOWER), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
+    return F.coalesce(F.array_remove(parts, ""), F.array().cast("array<string>"))
 
 
 def _grams(words: str, size: int) -> Column:
