@@ -1,5 +1,23 @@
 """Registered queries and their SQL."""
 
-QUERIES = {}
-ORACLE_SQL = {}
-FLAGSHIP = ""
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from .views import with_views
+
+QUERIES: dict[str, Callable] = {}
+ORACLE_SQL: dict[str, str] = {}
+FLAGSHIP = "g1_denovo_posterior"
+
+
+def query(sql: str | None = None, *views: str) -> Callable:
+    """Register a query under its function's name; sql: the same result from the views, for another engine."""
+
+    def add(f: Callable) -> Callable:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = with_views(sql, *views) if views else sql
+        return f
+
+    return add
