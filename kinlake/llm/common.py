@@ -15,6 +15,9 @@ BROADCAST_ROWS = 1_000_000
 #: Bytes of text that one vectorised step works on, whatever the size of the Arrow batch.
 CHUNK_BYTES = 2_000_000
 
+#: Bytes that are hashed at once.
+STRETCH = 1_000_000
+
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _tables: dict[str, np.ndarray] = {}
@@ -110,10 +113,18 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64-bit hashes of the words; equal words have equal hashes wherever they stand."""
-        n = len(self.buf)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.buf.astype(np.uint64) + np.uint64(1)) * _powers("up", _BASE, n), out=sums[1:])
-        return mix((sums[self.ends] - sums[self.starts]) * _powers("down", _INVERSE, n)[self.starts])
+        out = np.empty(len(self.starts), np.uint64)
+        i = 0
+        while i < len(out):  # a stretch of words at a time, so that the sums stay small
+            base = self.starts[i]
+            j = max(i + 1, int(np.searchsorted(self.ends, base + STRETCH, "right")))
+            n = int(self.ends[j - 1] - base)
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum((self.buf[base : base + n].astype(np.uint64) + np.uint64(1)) * _powers("up", _BASE, n), out=sums[1:])
+            a, b = self.starts[i:j] - base, self.ends[i:j] - base
+            out[i:j] = mix((sums[b] - sums[a]) * _powers("down", _INVERSE, n)[a])
+            i = j
+        return out
 
     def text(self, i: int, j: int) -> bytes:
         """Words i to j - 1 of one text, joined by blanks."""

@@ -6,17 +6,16 @@ from collections.abc import Iterator
 from itertools import compress
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, by_bytes, mix, text_bytes, text_key
+from .common import CHUNK_BYTES, Words, by_bytes, mix, text_bytes, text_key
 
 WINDOW, MMER = 35, 4
 #: Bytes of packed strings that a bucket holds on average (before compression).
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES = 6_000_000
 #: Windows of one packed string at most; a longer run travels as several strings.
 RUN = 512
 
@@ -82,7 +81,7 @@ def _pack(buckets: int):
             held: dict[int, list] = {}
             known: list[tuple[int, np.ndarray]] = []
             size = 0
-            for lo, hi in by_bytes(texts, 4_000_000):
+            for lo, hi in by_bytes(texts):
                 w = Words(texts[lo:hi])
                 first, count, low, many = super_kmers(w)
                 row = w.row[first] + lo
@@ -103,7 +102,7 @@ def _pack(buckets: int):
                     size += len(s)
                     r = int(row[j])
                     held.setdefault(int(dealt[j]), []).append((s, int(low[j]), ids[r], keys[r], int(place[j]), int(count[j]), bool(twin[j]), bool(many[j])))
-                if size > 24_000_000:
+                if size > 12_000_000:
                     yield _emit(held, known, ids, keys, squeeze, buckets)
                     held, known, size = {}, [], 0
             if held or known:
@@ -185,21 +184,32 @@ def _count(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.table([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["doc_id", "text_key", "dups"])
 
 
-def _cut(text: pd.Series, dups: pd.Series) -> pd.DataFrame:
-    out = []
-    for x, spans in zip(text, dups, strict=True):
-        words = x.encode().split() if x else []
-        if spans is None or not len(spans):
-            out.append((len(words), 0, b" ".join(words).decode()))
-            continue
-        step = np.zeros(len(words) + 1, np.int64)
-        for s in spans:
-            pairs = np.frombuffer(s, np.int32).reshape(-1, 2)
-            np.add.at(step, pairs[:, 0], 1)
-            np.add.at(step, pairs[:, 1] + WINDOW - 1, -1)
-        keep = np.cumsum(step[:-1]) == 0
-        out.append((len(words), int((~keep).sum()), b" ".join(compress(words, keep.tolist())).decode()))
-    return pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        docs, texts, dups = batch.column(0), batch.column(1).cast(pa.binary()), batch.column(2)
+        size = np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]) if len(texts) else []
+        part = (np.cumsum(size) // CHUNK_BYTES).tolist()
+        lo = 0
+        while lo < len(part):
+            hi = lo + 1
+            while hi < len(part) and part[hi] == part[lo]:
+                hi += 1
+            counts, removed, kept = [], [], []
+            for x, spans in zip(texts.slice(lo, hi - lo).to_pylist(), dups.slice(lo, hi - lo).to_pylist(), strict=True):
+                words = x.split() if x else []
+                counts.append(len(words))
+                if spans:
+                    step = np.zeros(len(words) + 1, np.int64)
+                    for s in spans:
+                        pairs = np.frombuffer(s, np.int32).reshape(-1, 2)
+                        np.add.at(step, pairs[:, 0], 1)
+                        np.add.at(step, pairs[:, 1] + WINDOW - 1, -1)
+                    words = list(compress(words, (np.cumsum(step[:-1]) == 0).tolist()))
+                removed.append(counts[-1] - len(words))
+                kept.append(b" ".join(words))
+            cols = [docs.slice(lo, hi - lo), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_words", "n_removed", "kept"])
+            lo = hi
 
 
 def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -222,5 +232,5 @@ def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFra
     spans = spans.groupBy("doc_id", "text_key").agg(F.collect_list("dups").alias("dups"))  # as many as the text has runs
     spans = spans.withColumnsRenamed({"doc_id": "of_id", "text_key": "of_key"}).hint("shuffle_hash")
     on = rows["doc_id"].eqNullSafe(spans["of_id"]) & (rows["text_key"] == spans["of_key"])
-    out = rows.join(spans, on, "left").withColumn("cut", F.pandas_udf(_cut, "n_words long, n_removed long, kept string")("text", "dups"))
-    return out.select("doc_id", "cut.n_words", "cut.n_removed", "cut.kept")
+    out = rows.join(spans, on, "left").select("doc_id", "text", "dups")
+    return out.mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept string")
