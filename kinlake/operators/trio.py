@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import genotype as gt
 from ..functions import locus
+from ..functions.columns import computed
 from .pedigree import trio_members
 
 ENTRY = ["a1", "a2", "AD", "DP", "GQ", "PL"]
@@ -109,7 +110,8 @@ def phase_by_transmission(kid: Column, dad: Column, mom: Column, state: Column)
 
 
 def phase_trios(trios: DataFrame, build: str = "GRCh38") -> DataFrame:
-    return trios.withColumn("pbt_gt", phase_by_transmission(calls("kid"), calls("dad"), calls("mom"), copy_state(build)))
+    rows = computed(trios, __kid=calls("kid"), __dad=calls("dad"), __mom=calls("mom"), __state=copy_state(build))
+    return computed(rows, pbt_gt=phase_by_transmission(*[F.col(c) for c in ("__kid", "__dad", "__mom", "__state")])).drop("__kid", "__dad", "__mom", "__state")
 
 
 def transmission(pbt: Column) -> Column:
