@@ -21,14 +21,16 @@ STRETCH = 1_000_000
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _tables: dict[str, np.ndarray] = {}
+_own: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; one of our own only where that is unset (local tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = f"file://{tempfile.mkdtemp(prefix='spark-kinlake-')}"
-        spark.conf.set("spark.checkpoint.dir", path)
+        if not _own:
+            _own.append(f"file://{tempfile.mkdtemp(prefix='spark-kinlake-')}")
+        path = _own[0]
     return path.rstrip("/")
 
 
