@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,36 +16,59 @@ from .common import by_bytes, materialise
 
 CAPACITY, END_ID = 4096, 1
 TOKENIZER = "word_bpe_49k.json"
-#: Distinct words whose ids a worker keeps; beyond it, it starts afresh.
-CACHED_WORDS = 400_000
+#: Words and pre-tokens whose ids a worker keeps (the first it meets, which frequent ones are among); others are made anew.
+KEPT_WORDS, KEPT_PRETOKENS = 200_000, 500_000
 #: Pieces of one length that one task ranks at most, on average.
 ROWS_PER_RANK = 200_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
+#: The tokenizer's own pre-tokens (fixed pattern), and words on which this pattern and str.lower() do as the tokenizer does.
+_PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_PLAIN = regex.compile("[!-~\u00c0-\u024f]+")
+
+
 class WordTokenizer:
-    """Ids of texts, word by word: the tokenizer never joins across white space, so a word's ids are looked up once."""
+    """Ids of texts. The tokenizer never joins across white space, nor across its pre-tokens, so the ids of a word are put together
+    from those of its lower-cased pre-tokens; a pre-token, which many words share, goes through the tokenizer once. Words with
+    other than plain letters and signs go through it whole."""
 
     def __init__(self, file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.known: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.pretokens: dict[str, bytes] = {}
+
+    def _learn(self, texts: list[str], into: dict[str, bytes]) -> None:
+        for k in range(0, len(texts), 10_000):
+            part = texts[k : k + 10_000]
+            for x, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                into[x] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
-        words = [x.split() if x else [] for x in texts]
-        new = list(set().union(*words).difference(self.known))
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known = {}
-            new = list(set().union(*words))
-        for k in range(0, len(new), 20_000):
-            part = new[k : k + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, x)) for x in words]
+        split = [x.split() if x else [] for x in texts]
+        new = set().union(*split).difference(self.words)
+        parts: dict[bytes, list[str]] = {}
+        for w in new:
+            s = w.decode()
+            parts[w] = _PRETOKEN.findall(s.lower()) if _PLAIN.fullmatch(s) and "<|" not in s else [s]
+        pre = self.pretokens
+        unseen = list({p for x in parts.values() for p in x}.difference(pre))
+        self._learn(unseen, pre)
+        for w, x in parts.items():
+            self.words[w] = b"".join([pre[p] for p in x])
+        get = self.words.__getitem__
+        out = [b"".join(map(get, x)) for x in split]
+        if len(pre) > KEPT_PRETOKENS:
+            for p in unseen:
+                del pre[p]
+        if len(self.words) > KEPT_WORDS:
+            for w in new:
+                del self.words[w]
+        return out
 
 
 _workers: dict[str, WordTokenizer] = {}
