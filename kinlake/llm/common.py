@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +26,7 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _tables: dict[str, np.ndarray] = {}
 _own: list[str] = []
+_kept: dict[str, dict] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -63,17 +68,44 @@ def remove_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return docs.join(gone, on, "left_anti")
 
 
-def by_bytes(texts: list[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows holding about `limit` bytes; a longer text is a range of its own."""
-    lo = total = 0
-    for i, x in enumerate(texts):
-        n = len(x) if x else 0
-        if i > lo and total + n > limit:
-            yield lo, i
-            lo, total = i, 0
-        total += n
-    if lo < len(texts):
-        yield lo, len(texts)
+def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, list[bytes | None]]]:
+    """(first row, row after the last, UTF-8 texts) of stretches of about `limit` bytes; a longer text may be a stretch of its own."""
+    data = column.cast(pa.binary())
+    if not len(data):
+        return
+    starts = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data)].astype(np.int64)
+    cut = np.flatnonzero(np.diff((starts - starts[0]) // limit, prepend=-1)).tolist()
+    for lo, hi in zip(cut, [*cut[1:], len(data)], strict=True):
+        yield lo, hi, data.slice(lo, hi - lo).to_pylist()
+
+
+def kept(owner: str) -> dict:
+    """What an operator's tasks keep in a worker process from one to the next; that of other operators is dropped."""
+    others = [k for k in _kept if k != owner]
+    for k in others:
+        del _kept[k]
+    if others:
+        release()
+    return _kept.setdefault(owner, {})
+
+
+def release() -> None:
+    """Gives freed memory back to the machine."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """A task's function over batches, with an eye on memory: a worker process serves many tasks of many operators."""
+
+    @functools.wraps(run)
+    def task(batches: Iterator) -> Iterator:
+        kept(run.__module__)
+        yield from run(batches)
+        release()
+
+    return task
 
 
 def _powers(name: str, base: int, n: int) -> np.ndarray:

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 #: N-grams of 1 to 3 letters (a word's ends count as a blank); the PROFILE most frequent make a profile.
 PROFILE = 400
 UNKNOWN = "und"
@@ -86,6 +88,7 @@ class Profiles:
         return self.langs[best], float(1 - away[best] / (PROFILE * len(top)))
 
 
+@tidy
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """N-gram counts of a task by language, added up over its texts before the shuffle."""
     held: dict[str, list] = {}
@@ -129,11 +132,12 @@ def train_profiles(labelled: DataFrame) -> Profiles:
 def language_of(profiles: Profiles, text: Column) -> Column:
     """struct(lang_pred, score) of a text."""
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([profiles.predict(x) for x in texts], columns=["lang_pred", "score"])
+    @tidy
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame([profiles.predict(x) for x in texts], columns=["lang_pred", "score"])
 
-    return predict(text)
+    return F.pandas_udf(predict, "lang_pred string, score double", F.PandasUDFType.SCALAR_ITER)(text)
 
 
 def held_out(buckets: int = 4, out: int = 2) -> Column:

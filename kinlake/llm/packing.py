@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
@@ -12,12 +15,12 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_bytes, materialise
+from .common import kept, materialise, text_chunks, tidy
 
 CAPACITY, END_ID = 4096, 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words and pre-tokens whose ids a worker keeps (the first it meets, which frequent ones are among); others are made anew.
-KEPT_WORDS, KEPT_PRETOKENS = 200_000, 500_000
+KEPT_WORDS, KEPT_PRETOKENS = 100_000, 400_000
 #: Pieces of one length that one task ranks at most, on average.
 ROWS_PER_RANK = 200_000
 
@@ -26,15 +29,31 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids b
 
 #: The tokenizer's own pre-tokens (fixed pattern), and words on which this pattern and str.lower() do as the tokenizer does.
 _PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_SWAP = sys.byteorder != "little" or array("I").itemsize != 4
 _PLAIN = regex.compile("[!-~\u00c0-\u024f]+")
 
 
+def _cut(word: bytes) -> list[str]:
+    """The lower-cased pre-tokens of a word, or the word itself where that is for the tokenizer to do."""
+    if word.isalpha():  # ASCII letters
+        return [word.lower().decode()]
+    if word[:-1].isalpha() and word[-1:] in b".,;:!?":
+        s = word.lower().decode()
+        return [s[:-1], s[-1]]
+    s = word.decode()
+    if not _PLAIN.fullmatch(s) or "<|" in s:
+        return [s]
+    s = s.lower()
+    return [s] if s.isalpha() else _PRETOKEN.findall(s)
+
+
 class WordTokenizer:
     """Ids of texts. The tokenizer never joins across white space, nor across its pre-tokens, so the ids of a word are put together
     from those of its lower-cased pre-tokens; a pre-token, which many words share, goes through the tokenizer once. Words with
     other than plain letters and signs go through it whole."""
 
     def __init__(self, file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
@@ -45,7 +64,7 @@ class WordTokenizer:
         for k in range(0, len(texts), 10_000):
             part = texts[k : k + 10_000]
             for x, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                into[x] = np.array(e.ids, "<u4").tobytes()
+                into[x] = np.array(e.ids, "<u4").tobytes() if _SWAP else array("I", e.ids).tobytes()
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
@@ -53,8 +72,7 @@ class WordTokenizer:
         new = set().union(*split).difference(self.words)
         parts: dict[bytes, list[str]] = {}
         for w in new:
-            s = w.decode()
-            parts[w] = _PRETOKEN.findall(s.lower()) if _PLAIN.fullmatch(s) and "<|" not in s else [s]
+            parts[w] = _cut(w)
         pre = self.pretokens
         unseen = list({p for x in parts.values() for p in x}.difference(pre))
         self._learn(unseen, pre)
@@ -62,34 +80,31 @@ class WordTokenizer:
             self.words[w] = b"".join([pre[p] for p in x])
         get = self.words.__getitem__
         out = [b"".join(map(get, x)) for x in split]
-        if len(pre) > KEPT_PRETOKENS:
-            for p in unseen:
-                del pre[p]
-        if len(self.words) > KEPT_WORDS:
-            for w in new:
-                del self.words[w]
+        for p in unseen[: max(0, len(pre) - KEPT_PRETOKENS)]:
+            del pre[p]
+        for w in list(new)[: max(0, len(self.words) - KEPT_WORDS)]:
+            del self.words[w]
         return out
 
 
-_workers: dict[str, WordTokenizer] = {}
-
-
 def _tokenizer(file: str) -> WordTokenizer:
     """One for each worker process."""
-    if file not in _workers:
-        _workers[file] = WordTokenizer(file)
-    return _workers[file]
+    held = kept(__name__)
+    if file not in held:
+        held[file] = WordTokenizer(file)
+    return held[file]
 
 
 def _pieces(file: str, capacity: int, keep_ids: bool):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _tokenizer(file)
         end, width = np.array([END_ID], "<u4").tobytes(), 4 * capacity
         for batch in batches:
-            docs, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
-            for lo, hi in by_bytes(texts):
+            docs = batch.column(0).to_pylist()
+            for lo, hi, texts in text_chunks(batch.column(1)):
                 rows = []
-                for doc, ids in zip(docs[lo:hi], encoder.encode(texts[lo:hi]), strict=True):
+                for doc, ids in zip(docs[lo:hi], encoder.encode(texts), strict=True):
                     ids += end
                     for k, at in enumerate(range(0, len(ids), width)):
                         part = ids[at : at + width]

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, by_bytes, materialise, remove_rows, small, text_key
+from .common import Words, materialise, remove_rows, small, text_chunks, text_key, tidy
 from .components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -26,10 +26,10 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(ones, bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(texts: list[bytes | None]) -> list[int]:
+def _fingerprints(column: pa.Array) -> list[int]:
     out, h64 = [], xxhash.xxh64_intdigest
-    for lo, hi in by_bytes(texts):
-        w = Words(texts[lo:hi], lower=True)
+    for lo, hi, texts in text_chunks(column):
+        w = Words(texts, lower=True)
         data, first = w.data, w.first
         for k in range(hi - lo):
             i, j = int(first[k]), int(first[k + 1])
@@ -42,9 +42,10 @@ def _fingerprints(texts: list[bytes | None]) -> list[int]:
     return out
 
 
+@tidy
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = np.array(_fingerprints(batch.column(2).cast(pa.binary()).to_pylist()), np.uint64).view(np.int64)
+        found = np.array(_fingerprints(batch.column(2)), np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], names=["doc_id", "text_key", "fp"])
 
 
@@ -97,6 +98,7 @@ def forest(values: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
     return [(i, int(r)) for i, r in enumerate(every) if i != r]
 
 
+@tidy
 def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches sorted by shard; a shard may run over several batches."""
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []

@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, Words, by_bytes, mix, text_bytes, text_key
+from .common import Words, mix, text_bytes, text_chunks, text_key, tidy
 
 WINDOW, MMER = 35, 4
 #: Bytes of packed strings that a bucket holds on average (before compression).
@@ -74,15 +74,16 @@ def _pack(buckets: int):
     """Texts to packed strings. A string that occurs twice in a chunk is a repeat whatever else there is: its places
     are passed on at once, and it travels once, without places. Others travel with their place."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            ids, keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist()
+            ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             held: dict[int, list] = {}
             known: list[tuple[int, np.ndarray]] = []
             size = 0
-            for lo, hi in by_bytes(texts):
-                w = Words(texts[lo:hi])
+            for lo, _, texts in text_chunks(batch.column(2)):
+                w = Words(texts)
                 first, count, low, many = super_kmers(w)
                 row = w.row[first] + lo
                 place = (first - w.first[w.row[first]]).astype(np.int64)
@@ -184,18 +185,13 @@ def _count(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.table([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["doc_id", "text_key", "dups"])
 
 
+@tidy
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        docs, texts, dups = batch.column(0), batch.column(1).cast(pa.binary()), batch.column(2)
-        size = np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]) if len(texts) else []
-        part = (np.cumsum(size) // CHUNK_BYTES).tolist()
-        lo = 0
-        while lo < len(part):
-            hi = lo + 1
-            while hi < len(part) and part[hi] == part[lo]:
-                hi += 1
+        docs, dups = batch.column(0), batch.column(2)
+        for lo, hi, texts in text_chunks(batch.column(1)):
             counts, removed, kept = [], [], []
-            for x, spans in zip(texts.slice(lo, hi - lo).to_pylist(), dups.slice(lo, hi - lo).to_pylist(), strict=True):
+            for x, spans in zip(texts, dups.slice(lo, hi - lo).to_pylist(), strict=True):
                 words = x.split() if x else []
                 counts.append(len(words))
                 if spans:
@@ -209,7 +205,6 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 kept.append(b" ".join(words))
             cols = [docs.slice(lo, hi - lo), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_words", "n_removed", "kept"])
-            lo = hi
 
 
 def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:

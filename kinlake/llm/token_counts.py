@@ -10,13 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, by_bytes
+from .common import Words, kept, text_chunks, tidy
 
 VOCABULARY = "piece_bpe_32k.model"
 #: What stands before every pre-token.
 MARK = "▁"
 #: Nodes of a worker's trie; beyond it, it starts afresh.
-NODES = 1_500_000
+NODES = 1_000_000
 
 
 def load_pieces(file: str) -> dict[str, float]:
@@ -60,26 +60,25 @@ class PretokenTrie:
         return self.tokens[node]
 
 
-_workers: dict[str, PretokenTrie] = {}
-
-
 def _count(file: str):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _workers[file].pieces if file in _workers else load_pieces(file)
+        held = kept(__name__)
+        pieces = held[file].pieces if file in held else load_pieces(file)
         for batch in batches:
-            docs, texts = batch.column(0), batch.column(1).cast(pa.binary()).to_pylist()
-            words, tokens = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-            for lo, hi in by_bytes(texts, 8_000_000):
-                if file not in _workers or len(_workers[file].score) > NODES:
-                    _workers[file] = PretokenTrie(pieces)
-                w = Words(texts[lo:hi])
+            docs = batch.column(0)
+            words, tokens = np.zeros(len(docs), np.int64), np.zeros(len(docs), np.int64)
+            for lo, hi, texts in text_chunks(batch.column(1), 6_000_000):
+                if file not in held or len(held[file].score) > NODES:
+                    held[file] = PretokenTrie(pieces)
+                w = Words(texts)
                 _, first, inverse = np.unique(w.hashes(), return_index=True, return_inverse=True)
                 spans = zip(w.starts[first].tolist(), w.ends[first].tolist(), strict=True)
                 distinct = [w.data[a:b].decode() for a, b in spans]
                 order = sorted(range(len(distinct)), key=distinct.__getitem__)  # neighbours share prefixes
                 counts = np.zeros(len(distinct), np.int64)
                 for i in order:
-                    counts[i] = _workers[file].count(MARK + distinct[i])
+                    counts[i] = held[file].count(MARK + distinct[i])
                 words[lo:hi] = w.counts
                 if len(inverse):
                     tokens[lo:hi] = np.bincount(w.row, weights=counts[inverse], minlength=hi - lo).astype(np.int64)

@@ -7,12 +7,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from kinlake.llm import class_model, components, decontamination, exact_dedup, language_id, packing, sharding, simhash, substring_dedup, token_counts, url_filter
-from kinlake.llm.common import Words, by_bytes
+from kinlake.llm.common import Words, text_chunks
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, shard int, kept boolean, score double, bucket int"
@@ -58,7 +59,8 @@ def test_word_arrays():
     assert w.counts.tolist() == [0, 0, 2, 1, 1] and w.text(0, 2) == b"a bb"
     h = Words([b"a b a", b"a"]).hashes()
     assert h[0] == h[2] == h[3] != h[1]
-    assert list(by_bytes([b"aa", b"", None, b"aaa"], 3)) == [(0, 3), (3, 4)] and list(by_bytes([])) == []
+    column = pa.array(["zz", "aa", "", None, "aaa", "b"]).slice(1)
+    assert list(text_chunks(column, 2)) == [(0, 1, [b"aa"]), (1, 4, [b"", None, b"aaa"]), (4, 5, [b"b"])] and list(text_chunks(column.slice(0, 0))) == []
 
 
 def test_url_rules(spark):
