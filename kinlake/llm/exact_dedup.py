@@ -180,10 +180,13 @@ def exact_dedup(docs: DataFrame, retired: DataFrame | None = None) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """docs with one row of each group of equal texts, columns unchanged."""
     found = materialise(exact_dedup(docs), "groups")
-    out = remove_rows(docs, found.where("not kept").join(found.where("kept").select("doc_id", "text_key"), ["doc_id", "text_key"], "left_anti"))
+    kept = found.where("kept").select(F.col("doc_id").alias("__kept_id"), F.col("text_key").alias("__kept_key"))
+    lost = found.where("not kept")
+    out = remove_rows(docs, lost.join(kept, lost["doc_id"].eqNullSafe(kept["__kept_id"]) & (lost["text_key"] == kept["__kept_key"]), "left_anti"))
     repeated = found.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
     if repeated.isEmpty():
         return out
     names = repeated.select(F.col("doc_id").alias("__again_id")).distinct()
     on = out["doc_id"].eqNullSafe(names["__again_id"])
-    return out.join(names, on, "left_anti").unionByName(out.join(names, on, "left_semi").dropDuplicates(["doc_id", "text"]))
+    again = out.join(names, on, "left_semi").withColumn("__again_text", F.coalesce("text", F.lit(""))).dropDuplicates(["doc_id", "__again_text"]).drop("__again_text")
+    return out.join(names, on, "left_anti").unionByName(again)

@@ -286,6 +286,16 @@ def test_equal_texts(docs, empty):
     assert kept.columns == docs.columns and sorted(norm(r.text) for r in kept.collect()) == sorted(size)
 
 
+def test_equal_texts_without_an_id_keep_one_row(spark):
+    rows = [(None, "a text"), (None, "a text"), (None, "b  text"), (None, "b text"), (None, None), (None, ""), (5, "c text"), (None, "c text"), (7, None), (7, "")]
+    kept = exact_dedup.drop_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    norm = lambda t: re.sub(r"\s+", " ", t or "")
+    assert sorted(norm(r.text) for r in kept) == ["", "a text", "b text", "c text"]
+    assert {r.doc_id for r in kept if norm(r.text) in ("", "c text")} == {5, 7}
+    twice = spark.createDataFrame([(3, None), (3, "")], "doc_id long, text string")
+    assert exact_dedup.drop_copies(twice).count() == 1
+
+
 def test_retired_texts_leave_the_index(docs):
     out = exact_dedup.exact_dedup(docs, docs.where("text = 'the very same text'")).collect()
     gone = [r for r in out if r.keep_id is None and r.doc_id is not None]
