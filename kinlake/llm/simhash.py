@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, materialise, remove_rows, small, text_chunks, text_key, tidy
+from .common import Words, materialise, mix, remove_rows, small, text_chunks, text_key, tidy
 from .components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -168,7 +168,102 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
     return rows.join(ids, "fp").select("doc_id", "text_key", "fp", "component_id")
 
 
+#: The pipeline's stage: words in a shingle, and the least Jaccard similarity of shingle sets that makes two texts near copies.
+STAGE_SHINGLE, SIMILAR = 5, 0.8
+#: Bands of minima: a pair at the least similarity shares one with probability 1 - (1 - 0.8 ** 6) ** 24 = 0.9993.
+BANDS, BAND_ROWS = 24, 6
+#: Leaders of a bucket whose documents the first comparison leaves apart; in a bucket of at most so many each is one.
+LEADERS = 100
+_ODD = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, BANDS * BAND_ROWS + STAGE_SHINGLE, dtype=np.uint64) | np.uint64(1)
+
+
+def _shingles(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the five-word shingles, where each text's begin); a text of fewer words is one shingle."""
+    w = Words(texts, lower=True)
+    n = len(w.starts)
+    h = np.concatenate((w.hashes(), np.zeros(STAGE_SHINGLE, np.uint64)))
+    full = mix(sum(h[j : j + n] * _ODD[j] for j in range(STAGE_SHINGLE)))
+    whole = np.arange(n) + STAGE_SHINGLE <= w.first[1:][w.row]
+    size = np.maximum(w.counts - STAGE_SHINGLE + 1, 1)
+    starts = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), np.uint64)
+    short = np.flatnonzero(w.counts < STAGE_SHINGLE)
+    taken = np.ones(len(out), bool)
+    taken[starts[short]] = False
+    out[taken] = full[whole]
+    for k in short:
+        at, c = int(w.first[k]), int(w.counts[k])
+        out[starts[k]] = mix(np.array([(h[at : at + c] * _ODD[:c]).sum() + np.uint64(c)], np.uint64))[0]
+    return out, starts
+
+
+@tidy
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, text) to (row, one key a band): texts of equal minima in a band share its key."""
+    for batch in batches:
+        for lo, hi, texts in text_chunks(batch.column(1)):
+            hashes, starts = _shingles(texts)
+            keys = np.empty((hi - lo, BANDS), np.uint64)
+            for b in range(BANDS):
+                key = np.full(hi - lo, b, np.uint64)
+                for odd in _ODD[STAGE_SHINGLE + b * BAND_ROWS :][:BAND_ROWS]:
+                    key = mix(key ^ np.minimum.reduceat(hashes * odd, starts))
+                keys[:, b] = key
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], names=["row", "keys"])
+
+
+@tidy
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, text) to (row, its distinct shingles)."""
+    for batch in batches:
+        for lo, hi, texts in text_chunks(batch.column(1)):
+            hashes, starts = _shingles(texts)
+            sets = [np.unique(x) for x in np.split(hashes, starts[1:])]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], names=["row", "shingles"])
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have at least the similarity, counted exactly."""
+    side = lambda c: sets.select(F.col("row").alias(c), F.col("shingles").alias(f"set_{c}"))
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    rows = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", both.alias("both"), (F.size("set_a") + F.size("set_b")).alias("sizes"))
+    return rows.where(F.col("both") >= SIMILAR * (F.col("sizes") - F.col("both")) - 1e-9).select("a", "b")
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key of the rows that drop_near_copies removes."""
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text").withColumn("row", F.xxhash64("doc_id", "text_key"))
+    found = materialise(named.select("row", "text").mapInArrow(_bands, "row long, keys array<long>"), "bands")
+    keys = found.select("row", F.explode("keys").alias("key")).distinct()
+    buckets = keys.groupBy("key").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1")
+    shared = materialise(keys.join(small(materialise(buckets, "buckets")), "key"), "shared")
+    ids = small(materialise(shared.select("row").distinct(), "rows"))
+    sets = materialise(named.join(ids, "row", "left_semi").select("row", "text").mapInArrow(_sets, "row long, shingles array<long>").dropDuplicates(["row"]), "sets")
+    # every document against the first of each of its buckets: as many pairs as rows, whatever a bucket's size
+    links = materialise(_similar(shared.where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b")).distinct(), sets), "near")
+    # buckets that this leaves in several groups: documents of different groups, one of them a leader
+    roots = small(materialise(components(links), "roots"))
+    grouped = shared.join(roots.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
+    open_ = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    rest = materialise(grouped.where("row <> first").join(small(materialise(open_, "open")), "key"), "rest")
+    lead = rest.where(F.pmod(F.xxhash64("key", "row"), F.col("n")) < LEADERS).select("key", F.col("row").alias("lead"), F.col("root").alias("lead_root"))
+    pairs = rest.join(lead, "key").where("root <> lead_root").select(F.least("row", "lead").alias("a"), F.greatest("row", "lead").alias("b")).distinct()
+    links = materialise(links.unionByName(_similar(pairs, sets)), "near")
+    members = materialise(components(links).withColumnRenamed("node", "row").join(named.select("row", "doc_id", "text_key"), "row"), "members")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    kept = members.groupBy("root").agg(F.min(rank).alias("kept")).repartition("root")
+    return members.join(kept, "root").where(rank != F.col("kept")).select("doc_id", "text_key")
+
+
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """docs with the row of the smallest doc_id of each component, columns unchanged."""
-    found = simhash_groups(docs)
-    return remove_rows(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """docs with one row of each group of near copies, columns unchanged: the one of the smallest doc_id (null comes last).
+
+    Near copies have sets of five-word shingles (texts as in simhash_groups) of Jaccard similarity 0.8 or more; groups
+    are what such pairs link. 64 bits of SimHash differ by 10 on average at 0.8, so that no blocks of a useful length
+    stay equal within a radius that holds most pairs. Candidates are therefore the documents that share a band of
+    minima of their shingles' hashes, and each pair that counts is checked against both full sets.
+    """
+    return remove_rows(docs, near_copies(docs))

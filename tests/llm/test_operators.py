@@ -257,6 +257,35 @@ def test_fingerprints_and_components(docs, empty):
     assert kept.columns == docs.columns and kept.count() > 0
 
 
+def test_near_copies_of_similarity_08_go(spark):
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts, sets = [], []
+    for n in (12, 60, 200, 400, 1000):
+        for _ in range(6):
+            base = list(rng.choice(vocabulary, n))
+            texts.append(base)
+            for changes in (1, 2, 4, 8, 16):
+                copy = list(base)
+                for at in rng.choice(n, min(changes, n), replace=False):
+                    copy[at] = "changed"
+                texts.append(copy)
+    rows = [(None if i % 50 == 7 else (i * 7919) % 1009, " ".join(t)) for i, t in enumerate(texts)] + [(None, "Two words"), (2000, "two WORDS"), (2001, "two")]
+    for _, t in rows:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = group[i], group[j]
+                group = [b if g == a else g for g in group]
+    order = lambda i: (rows[i][0] is None, rows[i][0] or 0)
+    want = {rows[min((i for i in range(len(rows)) if group[i] == g), key=order)][1] for g in set(group)}
+    kept = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(want) < 0.8 * len(rows) and sorted(r.text for r in kept) == sorted(want)
+
+
 def test_bk_tree_finds_all_within_the_radius():
     rng = np.random.default_rng(3)
     centre = rng.integers(0, 1 << 63, 4, dtype=np.uint64)
