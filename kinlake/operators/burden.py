@@ -29,18 +29,39 @@ def c_alpha(variants: DataFrame, groups: list[str], singletons: str = "keep") ->
     return out.withColumn("p_value", F.when(F.col("v") == 0, 1.0).otherwise(stats.chi2_upper_1df(F.col("t") * F.col("t") / F.col("v"))))
 
 
-def c_alpha_permutations(variants: DataFrame, permutations: int, seed: int = 1) -> DataFrame:
-    """T of the data and the share of permutations whose T^2 is larger. Cases are dealt anew to alleles by the rank of a seeded hash; all
-    permutations are rows of one job. variants: allele (unique), gene, pheno."""
-    total = variants.agg(F.sum("pheno").alias("cases"), F.count("*").alias("total"))
-    reps = variants.sparkSession.range(permutations + 1).select(F.col("id").alias("perm"))  # 0 is the data itself
-    rows = variants.join(reps).withColumn("rank", F.row_number().over(Window.partitionBy("perm").orderBy(F.xxhash64(F.lit(seed), "perm", "allele"), "allele")))
-    rows = rows.crossJoin(F.broadcast(total)).withColumn("y", F.when(F.col("perm") == 0, F.col("pheno")).otherwise((F.col("rank") <= F.col("cases")).cast("int")))
-    genes = rows.groupBy("perm", "gene").agg(F.sum("y").alias("y"), F.count("*").alias("n"), F.max(F.col("cases") / F.col("total")).alias("p0"))
-    n, p = F.col("n"), F.col("p0")
-    t = genes.groupBy("perm").agg(F.sum(F.pow(F.col("y") - n * p, F.lit(2)) - n * p * (1 - p)).alias("t"))
-    own = t.where("perm = 0").select(F.col("t").alias("t_data"))
-    return t.where("perm > 0").crossJoin(F.broadcast(own)).agg(F.max("t_data").alias("t"), F.avg((F.col("t") * F.col("t") > F.col("t_data") * F.col("t_data")).cast("int")).alias("p_value"))
+#: Permutations of the C-alpha test, and how many a row of the job draws.
+PERMUTATIONS, BLOCK = 10_000, 50
+
+
+def c_alpha_permutations(variants: DataFrame, permutations: int = PERMUTATIONS, seed: int = 1) -> DataFrame:
+    """T of the data and the share of permutations whose T^2 is larger. variants: gene, pheno, one row an allele.
+
+    T needs no more of a permutation than each gene's cases. Dealing all cases anew to alleles makes these a multivariate
+    hypergeometric draw over the genes' sizes, so alleles meet as counts by gene, and tasks draw blocks of permutations from
+    the list of sizes. numpy draws from up to 1e9 alleles and raises beyond.
+    """
+    import numpy as np
+    import pandas as pd
+
+    def draw(batches):
+        for batch in batches:
+            for block, first, last, sizes, cases in batch.itertuples(index=False, name=None):
+                n, y = np.asarray(sizes, np.int64), np.asarray(cases, np.int64)
+                if not len(n):
+                    continue
+                p = y.sum() / n.sum()
+                # sums of whole numbers, so that equal draws have equal T
+                t_of = lambda y: (y * y).sum(axis=-1) - 2 * p * (y * n).sum(axis=-1) + p * p * (n * n).sum() - n.sum() * p * (1 - p)  # noqa: E731, B023
+                own = float(t_of(y))
+                rng = np.random.default_rng([seed, block])
+                t = np.array([t_of(rng.multivariate_hypergeometric(n, int(y.sum()), method="marginals")) for _ in range(first, last)])
+                yield pd.DataFrame({"t": [own], "larger": [int((t * t > own * own * (1 + 1e-12) + 1e-12).sum())], "drawn": [len(t)]})
+
+    genes = variants.groupBy("gene").agg(F.coalesce(F.sum("pheno"), F.lit(0)).cast("long").alias("y"), F.count("*").alias("n"))
+    counts = genes.agg(F.array_sort(F.collect_list(F.struct("n", "y"))).alias("genes"))
+    blocks = variants.sparkSession.range(-(-permutations // BLOCK)).select(F.col("id").alias("block"), (F.col("id") * BLOCK).alias("first"), F.least((F.col("id") + 1) * BLOCK, F.lit(permutations)).alias("last"))
+    rows = blocks.crossJoin(F.broadcast(counts)).select("block", "first", "last", F.col("genes.n").alias("sizes"), F.col("genes.y").alias("cases"))
+    return rows.mapInPandas(draw, "t double, larger long, drawn long").agg(F.max("t").alias("t"), (F.sum("larger") / F.sum("drawn")).alias("p_value"))
 
 
 def burden_classes(calls: DataFrame, phenotypes: dict[str, tuple[list[int], list[int]]], mpc: float = 2.0) -> DataFrame:

@@ -284,7 +284,7 @@ def m14_c_alpha(spark, d):
 @query()
 def m14_c_alpha_permutations(spark, d):
     rows = _alleles(spark, d).join(denovo.denovo_by_gt(_trios(spark, d)).select(F.concat_ws(":", "contig", F.col("pos").cast("string"), "proband").alias("allele")), "allele")
-    return burden.c_alpha_permutations(rows, 20)
+    return burden.c_alpha_permutations(rows)
 
 
 @query()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinlake.functions import csq, genotype, locus, stats, text
-from kinlake.operators import denovo, pedigree, qc, trio
+from kinlake.operators import burden, denovo, pedigree, qc, trio
 
 CODES = {
     (1, 2, 2): 1, (1, 0, 0): 2, (2, 0, 1): 3, (2, 0, 2): 3, (2, 1, 0): 4, (2, 2, 0): 4, (2, 0, 0): 5, (0, 2, 0): 6, (0, 2, 1): 6, (0, 0, 2): 7, (0, 1, 2): 7, (0, 2, 2): 8,
@@ -120,3 +120,20 @@ def test_pedigree_shapes(spark):
     assert pairs[("k1", "k2")] == "siblings" and pairs[("d", "k1")] == "parent-child" and ("d", "m") not in pairs
     empty = ped.where("false")
     assert pedigree.trio_list(empty).count() == 0 and pedigree.sample_roles(empty).count() == 0
+
+
+def test_c_alpha_permutations_resolve_a_small_p(spark):
+    import numpy as np
+
+    genes = [("hot", 9, 7), ("cold", 12, 1), *[(f"g{k}", 4, 1 + k % 2) for k in range(12)]]
+    rows = [(f"{g}:{i}", g, int(i < y)) for g, n, y in genes for i in range(n)]
+    of, pheno = np.array([[g for g, *_ in genes].index(r[1]) for r in rows]), np.array([r[2] for r in rows])
+    n, p = np.bincount(of), pheno.mean()
+    t_of = lambda x: float(((np.bincount(of, x) - n * p) ** 2 - n * p * (1 - p)).sum())
+    rng = np.random.default_rng(2)
+    want = np.mean([t_of(rng.permutation(pheno)) ** 2 > t_of(pheno) ** 2 + 1e-9 for _ in range(40_000)])
+    out = burden.c_alpha_permutations(spark.createDataFrame(rows, "allele string, gene string, pheno int"))
+    got = out.first()
+    assert 0.0005 < want < 0.045 and abs(got.t - t_of(pheno)) < 1e-9
+    assert got.p_value == pytest.approx(want, abs=5 * (want / 10_000) ** 0.5) and got.p_value * 10_000 == pytest.approx(round(got.p_value * 10_000))
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
