@@ -39,13 +39,40 @@ def depth_test(depth: DataFrame, carriers: DataFrame) -> DataFrame:
     return out.withColumn("z", z).withColumn("p", stats.normal_upper(F.abs(F.col("z")))).join(second, ["name", "s"], "left").select("name", "s", "m", "mean", "sd", "z", "p", "rank", "second_worst_p", (F.col("m") - F.col("mean")).alias("separation"))
 
 
-def two_group_test(depth: DataFrame, carriers: DataFrame) -> DataFrame:
-    """By call: z of the carriers' mean depth against the mean and variance that drawing as many samples at random has."""
+def two_group_test(depth: DataFrame, carriers: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
+    """By call: z of the carriers' mean depth against the mean and variance that drawing as many samples at random has, and a one-sided p.
+
+    Where the power of a t test to see half a copy over the controls' spread is above 0.8, p is that of z (test twoSampPerm); else, and
+    for one carrier, it is Fisher's combination of the p of each carrier against the controls (test singlesampZ). Where carriers outnumber
+    controls the two change places. kinds: name, svtype (DEL looks for less depth, others for more); without it the side that is seen.
+    """
     median = depth.groupBy("name", "s").agg(F.percentile("depth", F.lit(0.5)).alias("m"))
     marked = median.join(carriers.select("name", "s").distinct().withColumn("own", F.lit(1)), ["name", "s"], "left").fillna({"own": 0})
-    out = marked.groupBy("name").agg(F.avg("m").alias("mean"), F.var_pop("m").alias("var"), F.count("*").alias("n"), F.sum("own").alias("k"), F.avg(F.when(F.col("own") == 1, F.col("m"))).alias("own_mean")).where("k > 0 and k < n and n > 1")
+    side = lambda f, own: f(F.when(F.col("own") == own, F.col("m")))
+    groups = [side(f, own).alias(f"{k}_{own}") for own in (0, 1) for k, f in (("mean", F.avg), ("sd", F.stddev_samp))]
+    out = marked.groupBy("name").agg(F.avg("m").alias("mean"), F.var_pop("m").alias("var"), F.count("*").alias("n"), F.sum("own").alias("k"), side(F.avg, 1).alias("own_mean"), *groups).where("k > 0 and k < n and n > 1")
     se = F.sqrt(F.col("var") / F.col("k") * (F.col("n") - F.col("k")) / (F.col("n") - 1))
-    return out.withColumn("z", gt.ratio(F.col("own_mean") - F.col("mean"), se)).withColumn("p", 2 * stats.normal_upper(F.abs(F.col("z"))))
+    out = out.withColumn("z", gt.ratio(F.col("own_mean") - F.col("mean"), se)).withColumn("swapped", F.col("n") < 2 * F.col("k"))
+    fewer = F.col("own_mean") < F.col("mean")
+    if kinds is not None:
+        out = out.join(kinds.select("name", "svtype").distinct(), "name", "left")
+        fewer = F.coalesce(F.upper("svtype") == "DEL", fewer)
+    out = out.withColumn("sign", F.when(fewer, -1.0).otherwise(1.0))
+    cases = F.when(F.col("swapped"), F.col("n") - F.col("k")).otherwise(F.col("k"))
+    mean, sd = (F.when(F.col("swapped"), F.col(f"{x}_1")).otherwise(F.col(f"{x}_0")) for x in ("mean", "sd"))
+    out = out.withColumns({"cases": cases, "c_mean": mean, "c_sd": sd})
+    out = out.withColumn("power", stats.t_test_power(F.col("n") - F.col("cases"), F.col("cases"), gt.ratio(F.lit(0.5), F.col("c_sd"))))
+    rows = marked.join(out.select("name", "swapped", "sign", "c_mean", "c_sd"), "name").where((F.col("own") == 1) != F.col("swapped"))
+    # carriers and controls that change places look for the other side
+    turned = F.when(F.col("swapped"), -F.col("sign")).otherwise(F.col("sign"))
+    single = rows.withColumn("p1", stats.normal_upper(turned * gt.ratio(F.col("m") - F.col("c_mean"), F.col("c_sd"))))
+    sums = single.groupBy("name").agg((-2 * F.sum(F.log(F.greatest("p1", F.lit(1e-300))))).alias("x"), F.count("p1").alias("singles"), F.max("p1").alias("p1"))
+    out = out.join(sums, "name")
+    powered = F.coalesce(F.col("power") > 0.8, F.lit(False))
+    combined = F.when(F.col("singles") == F.col("cases"), F.when(F.col("cases") == 1, F.col("p1")).otherwise(stats.chi2_upper_even_of(F.col("x"), F.col("cases"))))
+    p = F.when(powered, stats.normal_upper(F.col("sign") * F.col("z"))).otherwise(combined)
+    test = F.when(powered, "twoSampPerm").otherwise("singlesampZ")
+    return out.select("name", "mean", "var", "n", "k", "own_mean", "z", "power", test.alias("test"), p.alias("p"))
 
 
 def copy_states(median: DataFrame, cutoffs: DataFrame) -> DataFrame:

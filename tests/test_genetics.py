@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinlake.functions import csq, genotype, locus, stats, text
-from kinlake.operators import burden, denovo, pedigree, qc, trio
+from kinlake.operators import burden, denovo, depth, pedigree, qc, trio
 
 CODES = {
     (1, 2, 2): 1, (1, 0, 0): 2, (2, 0, 1): 3, (2, 0, 2): 3, (2, 1, 0): 4, (2, 2, 0): 4, (2, 0, 0): 5, (0, 2, 0): 6, (0, 2, 1): 6, (0, 0, 2): 7, (0, 1, 2): 7, (0, 2, 2): 8,
@@ -137,3 +137,23 @@ def test_c_alpha_permutations_resolve_a_small_p(spark):
     assert 0.0005 < want < 0.045 and abs(got.t - t_of(pheno)) < 1e-9
     assert got.p_value == pytest.approx(want, abs=5 * (want / 10_000) ** 0.5) and got.p_value * 10_000 == pytest.approx(round(got.p_value * 10_000))
     assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_two_group_test_by_power(spark):
+    import math
+
+    norm = lambda z: math.erfc(z / 2**0.5) / 2
+    spread = [-0.1, 0.1, -0.05, 0.05, 0.0, 0.08, -0.08, 0.02]
+    rows = [(c, f"c{i}", 0, 1 + x * w) for c, w in (("quiet", 1), ("noisy", 9), ("one", 1)) for i, x in enumerate(spread)]
+    own = [("quiet", "a", 0.55), ("quiet", "b", 0.5), ("noisy", "a", 0.5), ("noisy", "b", 0.3), ("one", "a", 0.9)]
+    made = spark.createDataFrame(rows + [(c, s, 0, m) for c, s, m in own], "name string, s string, bin int, depth double")
+    out = {r["name"]: r for r in depth.two_group_test(made, spark.createDataFrame([x[:2] for x in own], "name string, s string")).collect()}
+    single = lambda c: [norm((1 + sum(spread) / 8 * w - m) / sd(w)) for n, _, m in own if n == c for w in [9 if c == "noisy" else 1]]
+    sd = lambda w: w * (sum((x - sum(spread) / 8) ** 2 for x in spread) / 7) ** 0.5
+    assert out["quiet"].test == "twoSampPerm" and out["quiet"].power > 0.99 and out["quiet"].p == pytest.approx(norm(abs(out["quiet"].z)), rel=1e-5)
+    half = -sum(math.log(p) for p in single("noisy"))
+    assert out["noisy"].test == "singlesampZ" and out["noisy"].p == pytest.approx(math.exp(-half) * (1 + half), rel=1e-5)
+    assert out["one"].power is None and out["one"].test == "singlesampZ" and out["one"].p == pytest.approx(single("one")[0], rel=1e-5)
+    # Cohen's table: 26 a group give power 0.80 at effect 0.7, level 0.05 one-sided
+    power = spark.range(1).select(stats.t_test_power(F.lit(26), F.lit(26), F.lit(0.7))).first()[0]
+    assert power == pytest.approx(0.80, abs=0.01)
