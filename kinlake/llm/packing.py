@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import os
-import sys
+import re
 import zlib
-from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
@@ -15,76 +14,150 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import kept, materialise, text_chunks, tidy
+from .common import CHUNK_BYTES, Words, kept, materialise, text_chunks, tidy
 
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 CAPACITY, END_ID = 4096, 1
 TOKENIZER = "word_bpe_49k.json"
-#: Words and pre-tokens whose ids a worker keeps (the first it meets, which frequent ones are among); others are made anew.
-KEPT_WORDS, KEPT_PRETOKENS = 100_000, 400_000
+#: Words and pre-tokens whose ids a worker keeps; of words the most used stay, of pre-tokens the first met.
+KEPT_WORDS, KEPT_PRETOKENS = 600_000, 150_000
+#: Pre-tokens that go through the tokenizer as one text.
+JOINED = 1000
 #: Pieces of one length that one task ranks at most, on average.
 ROWS_PER_RANK = 200_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
-#: The tokenizer's own pre-tokens (fixed pattern), and words on which this pattern and str.lower() do as the tokenizer does.
-_PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_SWAP = sys.byteorder != "little" or array("I").itemsize != 4
-_PLAIN = regex.compile("[!-~\u00c0-\u024f]+")
+#: The tokenizer's own pre-tokens (fixed pattern), with the end of a word; and characters beyond those for which this pattern and
+#: str.lower() do as the tokenizer does.
+_PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n")
+_ODD = regex.compile("[^\n!-~\u00c0-\u024f]|<\\|")
 
 
-def _cut(word: bytes) -> list[str]:
-    """The lower-cased pre-tokens of a word, or the word itself where that is for the tokenizer to do."""
-    if word.isalpha():  # ASCII letters
-        return [word.lower().decode()]
-    if word[:-1].isalpha() and word[-1:] in b".,;:!?":
-        s = word.lower().decode()
-        return [s[:-1], s[-1]]
-    s = word.decode()
-    if not _PLAIN.fullmatch(s) or "<|" in s:
-        return [s]
-    s = s.lower()
-    return [s] if s.isalpha() else _PRETOKEN.findall(s)
+def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches (start, size) of flat, one after another."""
+    at = np.cumsum(size) - size
+    return flat[np.repeat(start - at, size) + np.arange(int(size.sum()))]
 
 
 class WordTokenizer:
     """Ids of texts. The tokenizer never joins across white space, nor across its pre-tokens, so the ids of a word are put together
     from those of its lower-cased pre-tokens; a pre-token, which many words share, goes through the tokenizer once. Words with
-    other than plain letters and signs go through it whole."""
+    other than plain letters and signs go through it whole. Words are told apart by 64-bit hashes, their ids lie end to end in one array."""
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.words: dict[bytes, bytes] = {}
-        self.pretokens: dict[str, bytes] = {}
-
-    def _learn(self, texts: list[str], into: dict[str, bytes]) -> None:
-        for k in range(0, len(texts), 10_000):
-            part = texts[k : k + 10_000]
-            for x, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                into[x] = np.array(e.ids, "<u4").tobytes() if _SWAP else array("I", e.ids).tobytes()
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """For each text its ids as little-endian unsigned 32-bit numbers."""
-        split = [x.split() if x else [] for x in texts]
-        new = set().union(*split).difference(self.words)
-        parts: dict[bytes, list[str]] = {}
-        for w in new:
-            parts[w] = _cut(w)
-        pre = self.pretokens
-        unseen = list({p for x in parts.values() for p in x}.difference(pre))
-        self._learn(unseen, pre)
-        for w, x in parts.items():
-            self.words[w] = b"".join([pre[p] for p in x])
-        get = self.words.__getitem__
-        out = [b"".join(map(get, x)) for x in split]
-        for p in unseen[: max(0, len(pre) - KEPT_PRETOKENS)]:
-            del pre[p]
-        for w in list(new)[: max(0, len(self.words) - KEPT_WORDS)]:
-            del self.words[w]
-        return out
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a pre-token
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.hashes, self.start, self.size, self.used = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.flat = np.zeros(0, np.uint32)
+        self.number: dict[str, int] = {}
+        self.piece_at, self.pieces = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
+
+    def _together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pre-tokens, as one text; each ends with the first token that closes it."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(texts) or ends[-1] != len(ids):
+            return self._each(texts)
+        return ids, np.diff(ends, prepend=0)
+
+    def _learn(self, texts: list[str]) -> None:
+        """Numbers and ids for new pre-tokens."""
+        for k in range(0, len(texts), JOINED):
+            part = texts[k : k + JOINED]
+            ids, size = self._together(part)
+            self.number.update(zip(part, range(len(self.piece_at) - 1, len(self.piece_at) - 1 + len(part)), strict=True))
+            self.piece_at = np.append(self.piece_at, self.piece_at[-1] + np.cumsum(size))
+            self.pieces = np.append(self.pieces, ids)
+
+    def _plain(self, joined: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words that stand one a line, and how many each has."""
+        tokens = _PRETOKEN.findall(joined.lower())
+        known = len(self.number)
+        unseen = list(set(tokens).difference(self.number, ("\n",)))
+        self._learn(unseen)
+        self.number["\n"] = -1
+        n = np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
+        del self.number["\n"]
+        line = np.cumsum(n < 0)
+        n, line = n[n >= 0], line[n >= 0]
+        size = self.piece_at[n + 1] - self.piece_at[n]
+        ids = _gather(self.pieces, self.piece_at[n], size)
+        if len(self.number) > KEPT_PRETOKENS:
+            keep = max(known, KEPT_PRETOKENS)
+            for p in unseen[max(0, keep - known) :]:
+                del self.number[p]
+            self.piece_at = self.piece_at[: keep + 1].copy()
+            self.pieces = self.pieces[: self.piece_at[-1]].copy()
+        return ids, np.bincount(line, weights=size, minlength=joined.count("\n") + 1).astype(np.int64)
+
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, and how many each has."""
+        joined = b"\n".join(words).decode()
+        if not _ODD.search(joined):
+            return self._plain(joined)
+        texts = joined.split("\n")
+        odd = np.array([bool(_ODD.search(x)) for x in texts])
+        size, parts = np.zeros(len(words), np.int64), []
+        for kind, run in ((False, lambda x: self._plain("\n".join(x))), (True, self._each)):
+            at = np.flatnonzero(odd == kind)
+            ids, size[at] = run([texts[i] for i in at]) if len(at) else (np.zeros(0, np.uint32), size[at])
+            parts.append(ids)
+        flat = np.concatenate(parts)
+        start = np.zeros(len(words), np.int64)
+        order = np.argsort(odd, kind="stable")
+        start[order] = np.cumsum(size[order]) - size[order]
+        return _gather(flat, start, size), size
+
+    def _keep(self, hashes: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        """New words join those that are held; beyond KEPT_WORDS the more used half of that number stays."""
+        start = len(self.flat) + np.cumsum(size) - size
+        self.flat = np.append(self.flat, ids)
+        merged = [np.append(a, b) for a, b in ((self.hashes, hashes), (self.start, start), (self.size, size.astype(np.int32)), (self.used, np.ones(len(size), np.int32)))]
+        order = np.argsort(merged[0], kind="stable")  # two sorted runs
+        self.hashes, self.start, self.size, self.used = (x[order] for x in merged)
+        if len(self.hashes) > KEPT_WORDS:
+            stay = np.sort(np.argsort(-self.used, kind="stable")[: KEPT_WORDS // 2])
+            self.hashes, self.start, self.size, self.used = (x[stay] for x in (self.hashes, self.start, self.size, self.used // 2))
+            self.flat = _gather(self.flat, self.start, self.size)
+            self.start = np.cumsum(self.size, dtype=np.int64) - self.size
+
+    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and where each text's begin (one more: the end)."""
+        w = Words(texts)
+        if not len(w.starts):
+            return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
+        hashes, first, inverse = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, hashes)
+        new = np.append(self.hashes, np.uint64(0))[at] != hashes
+        new |= at == len(self.hashes)
+        if new.any():
+            ids, size = self._words([w.data[a:b] for a, b in zip(w.starts[first[new]].tolist(), w.ends[first[new]].tolist(), strict=True)])
+            held = at[~new]
+            self.used[held] += 1
+            flat = np.append(_gather(self.flat, self.start[held], self.size[held]), ids)
+            each = np.empty(len(hashes), np.int64)
+            each[~new], each[new] = self.size[held], size
+            order = np.argsort(new, kind="stable")
+            start = np.empty(len(hashes), np.int64)
+            start[order] = np.cumsum(each[order]) - each[order]
+            self._keep(hashes[new], ids, size)
+        else:
+            self.used[at] += 1
+            flat, start, each = self.flat, self.start[at], self.size[at].astype(np.int64)
+        size = each[inverse]
+        ends = np.append(0, np.cumsum(size))
+        return _gather(flat, start[inverse], size), ends[w.first]
 
 
 def _tokenizer(file: str) -> WordTokenizer:
@@ -95,22 +168,48 @@ def _tokenizer(file: str) -> WordTokenizer:
     return held[file]
 
 
+def _sections(text: bytes) -> Iterator[bytes]:
+    """A text in sections of about CHUNK_BYTES, cut where a word ends; a longer word is a section of its own."""
+    at = 0
+    while at < len(text):
+        end = at + CHUNK_BYTES
+        blank = _BLANK.search(text, end) if end < len(text) else None
+        end = blank.start() if blank else len(text)
+        yield text[at:end]
+        at = end
+
+
+def _ids(encoder: WordTokenizer, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    if len(texts) > 1 or not texts[0] or len(texts[0]) <= 2 * CHUNK_BYTES:
+        return encoder.encode(texts)
+    ids = np.concatenate([encoder.encode([x])[0] for x in _sections(texts[0])])
+    return ids, np.array([0, len(ids)])
+
+
 def _pieces(file: str, capacity: int, keep_ids: bool):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _tokenizer(file)
-        end, width = np.array([END_ID], "<u4").tobytes(), 4 * capacity
+        end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            docs = batch.column(0).to_pylist()
+            docs = batch.column(0)
             for lo, hi, texts in text_chunks(batch.column(1)):
-                rows = []
-                for doc, ids in zip(docs[lo:hi], encoder.encode(texts), strict=True):
-                    ids += end
-                    for k, at in enumerate(range(0, len(ids), width)):
-                        part = ids[at : at + width]
-                        rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
-                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
+                ids, starts = _ids(encoder, texts)
+                data = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                count = np.diff(starts) + 1  # with the end
+                pieces = -(-count // capacity)
+                doc = np.repeat(np.arange(hi - lo), pieces)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(count[doc] - start, capacity)
+                last = piece == pieces[doc] - 1
+                a = (starts[doc] + start) * 4
+                b = a + (length - last) * 4
+                spans = list(zip(a.tolist(), b.tolist(), last.tolist(), strict=True))
+                sums = [zlib.crc32(end, zlib.crc32(data[x:y])) if z else zlib.crc32(data[x:y]) for x, y, z in spans]
+                parts = [bytes(data[x:y]) + end * z for x, y, z in spans] if keep_ids else None
+                cols = [docs.take(pa.array(doc + lo)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(sums, pa.int64()), pa.array(parts, pa.binary()) if keep_ids else pa.nulls(len(doc), pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
 
     return run
 
