@@ -20,6 +20,12 @@ def _contig(key: str) -> str:
     return _CONTIG.replace("{k}", key)
 
 
+#: Columns of v_trios: each member's own, picked out of the trio's three entries.
+_MEMBERS = ",\n  ".join(
+    ", ".join(f"max(CASE WHEN role = '{r}' THEN {c} END) AS {r}_{n}" for c, n in (("a1 + a2", "n"), ("ad_ref", "ref"), ("ad_alt", "alt"), ("dp", "dp"), ("gq", "gq"), ("pl0", "pl0"), ("pl1", "pl1"), ("pl2", "pl2")))
+    for r in ("kid", "dad", "mom")
+)
+
 VIEWS = {
     "v_ped": """
 SELECT concat('F', CAST(floor(c_custkey / 3) AS BIGINT)) AS family_id, concat('S', c_custkey) AS sample_id,
@@ -51,14 +57,15 @@ SELECT s.contig, s.pos, s.ref, s.alt, concat('S', c.cust) AS s, CASE WHEN n_alt
   ad_ref, ad_alt, ad_ref + ad_alt + CAST(c.site_id % 3 AS INT) AS dp, gq,
   CASE n_alt WHEN 0 THEN 0 WHEN 1 THEN gq + 5 ELSE 2 * gq END AS pl0, CASE n_alt WHEN 1 THEN 0 ELSE gq END AS pl1, CASE n_alt WHEN 2 THEN 0 ELSE 2 * gq END AS pl2
 FROM calls c JOIN {v_sites} s ON s.site_id = c.site_id""",
-    "v_trios": """
-SELECT k.contig, k.pos, k.ref, k.alt, p.family_id AS fam_id, p.sample_id AS proband, p.paternal_id AS father, p.maternal_id AS mother, p.sex = 2 AS is_female,
-  k.a1 + k.a2 AS kid_n, d.a1 + d.a2 AS dad_n, m.a1 + m.a2 AS mom_n, k.ad_ref AS kid_ref, k.ad_alt AS kid_alt, d.ad_ref AS dad_ref, d.ad_alt AS dad_alt, m.ad_ref AS mom_ref, m.ad_alt AS mom_alt,
-  k.dp AS kid_dp, d.dp AS dad_dp, m.dp AS mom_dp, k.gq AS kid_gq, d.gq AS dad_gq, m.gq AS mom_gq,
-  k.pl0 AS kid_pl0, k.pl1 AS kid_pl1, k.pl2 AS kid_pl2, d.pl0 AS dad_pl0, d.pl1 AS dad_pl1, d.pl2 AS dad_pl2, m.pl0 AS mom_pl0, m.pl1 AS mom_pl1, m.pl2 AS mom_pl2
-FROM {v_entries} k JOIN {v_ped} p ON p.sample_id = k.s AND p.paternal_id IS NOT NULL
-JOIN {v_entries} d ON d.s = p.paternal_id AND d.contig = k.contig AND d.pos = k.pos AND d.ref = k.ref AND d.alt = k.alt
-JOIN {v_entries} m ON m.s = p.maternal_id AND m.contig = k.contig AND m.pos = k.pos AND m.ref = k.ref AND m.alt = k.alt""",
+    "v_trio_members": """
+SELECT 'kid' AS role, sample_id AS s, family_id AS fam_id, sample_id AS proband, paternal_id AS father, maternal_id AS mother, sex = 2 AS is_female FROM {v_ped} WHERE paternal_id IS NOT NULL
+UNION ALL SELECT 'dad', paternal_id, family_id, sample_id, paternal_id, maternal_id, sex = 2 FROM {v_ped} WHERE paternal_id IS NOT NULL
+UNION ALL SELECT 'mom', maternal_id, family_id, sample_id, paternal_id, maternal_id, sex = 2 FROM {v_ped} WHERE paternal_id IS NOT NULL""",
+    "v_trios": f"""
+SELECT contig, pos, ref, alt, fam_id, proband, father, mother, is_female,
+  {_MEMBERS}
+FROM {{v_entries}} e JOIN {{v_trio_members}} t ON t.s = e.s
+GROUP BY contig, pos, ref, alt, fam_id, proband, father, mother, is_female HAVING count(DISTINCT role) = 3""",
     "v_sv": f"""
 SELECT concat('SV', l_partkey, '_', l_linenumber) AS name, {_contig('l_partkey')} AS chrom,
   CAST(1000 * floor(l_partkey / 24) + 100 * l_linenumber AS INT) AS start_pos,
@@ -126,7 +133,7 @@ def with_views(sql: str, *names: str) -> str:
     order: list[str] = []
     for n in names:
         order += [x for x in [*_needs(n), n] if x not in order]
-    ctes = [f"{n} AS ({re.sub(r'[{](\w+)[}]', r'\1', VIEWS[n])})" for n in order]
+    ctes = [f"{n} AS MATERIALIZED ({re.sub(r'[{](\w+)[}]', r'\1', VIEWS[n])})" for n in order]
     body = sql.strip()
     if body[:5].upper() == "WITH ":
         return f"WITH {', '.join(ctes)}, {body[5:]}"
