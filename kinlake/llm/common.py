@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import functools
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a two-column key table may be broadcast (about 50 MB); beyond it, joins shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Rows of an Arrow batch between Spark and Python at most: documents are large, and both sides hold whole batches.
+BATCH_ROWS = 1000
 #: Bytes of text that one vectorised step works on, whatever the size of the Arrow batch.
 CHUNK_BYTES = 2_000_000
 
@@ -30,15 +33,25 @@ _kept: dict[str, dict] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of our own only where that is unset (local tests)."""
+    """The folder in spark.checkpoint.dir; one of our own only where that is unset and the master is local (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         if not _own:
             _own.append(f"file://{tempfile.mkdtemp(prefix='spark-kinlake-')}")
         path = _own[0]
     return path.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """For a session that works on documents: Arrow batches of at most BATCH_ROWS rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    have = int(spark.conf.get(key))
+    if have <= 0 or have > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it again: cuts the lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
@@ -68,6 +81,17 @@ def remove_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return docs.join(gone, on, "left_anti")
 
 
+def one_of_each(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """docs with one of the rows that share a name (doc_id, text_key) of `names`; other rows stay. A null text equals an empty one."""
+    names = names.select(F.col("doc_id").alias("__again_id")).distinct()
+    if names.isEmpty():
+        return docs
+    names = small(names)
+    on = docs["doc_id"].eqNullSafe(names["__again_id"])
+    again = docs.join(names, on, "left_semi").withColumn("__again_text", F.coalesce("text", F.lit(""))).dropDuplicates(["doc_id", "__again_text"]).drop("__again_text")
+    return docs.join(names, on, "left_anti").unionByName(again)
+
+
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, list[bytes | None]]]:
     """(first row, row after the last, UTF-8 texts) of stretches of about `limit` bytes; a longer text may be a stretch of its own."""
     data = column.cast(pa.binary())

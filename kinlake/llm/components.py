@@ -16,8 +16,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    # dealt anew, so that the join below may split a node with very many links
-    least = least.repartition("m")
+    # dealt anew and evenly, so that the join below has exchanges of its own and may split a node with very many links
+    least = least.repartition(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     linked = both.join(least, "a")
     if large:
         out = linked.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -9,29 +9,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, remove_rows, text_key
+from .common import materialise, one_of_each, remove_rows, text_key, tidy
 
 #: Digests that one index task holds at most, on average.
 ROWS_PER_TASK = 250_000
+#: Rows of a task whose copies are combined before the shuffle.
+COMBINED = 50_000
 _FIRST = (1 << 63) - 1
 
 
 class CuckooIndex:
-    """Live digests in a cuckoo filter (four 16-bit fingerprints a bucket) beside their stored keys.
+    """Live digests in a cuckoo filter: buckets of four slots, each with a 16-bit fingerprint and the number of the stored entry
+    that it stands for.
 
-    A lookup asks the filter first; only on a hit are the stored keys compared, so a wrong hit of the filter costs
-    a comparison and never an answer. delete() takes a live digest out of both. When an insertion finds no room the
-    filter is built anew at twice the size from the stored keys.
+    There is no other way to an entry than through the filter. A lookup compares the fingerprints of a digest's two
+    buckets; where one is equal, the content stored behind that slot (the full digest) decides, so a wrong hit costs a
+    comparison and never an answer. delete() empties the slot of a live digest. When an insertion finds no room the
+    filter is built anew at twice the size from the stored digests.
     """
 
     SLOTS, KICKS = 4, 200
 
     def __init__(self, buckets: int = 1024):
-        self.keys: dict[bytes, list[int]] = {}
+        self.digests: list[bytes | None] = []
+        self.entries: list[list[int] | None] = []
         self._clear(buckets)
 
     def _clear(self, buckets: int) -> None:
-        self.buckets, self.table = buckets, [0] * (buckets * self.SLOTS)
+        self.buckets = buckets
+        self.marks, self.numbers = [0] * (buckets * self.SLOTS), [0] * (buckets * self.SLOTS)
 
     def _places(self, digest: bytes) -> tuple[int, int, int]:
         mark = int.from_bytes(digest[:2], "little") or 1
@@ -41,60 +47,71 @@ class CuckooIndex:
     def _other(self, bucket: int, mark: int) -> int:
         return bucket ^ ((mark * 0x5BD1E995) & (self.buckets - 1))
 
-    def _slots(self, bucket: int) -> range:
-        return range(bucket * self.SLOTS, (bucket + 1) * self.SLOTS)
-
-    def maybe(self, digest: bytes) -> bool:
-        """The filter alone: False is certain."""
+    def _slot(self, digest: bytes) -> int:
+        """The slot of a live digest, or -1."""
         mark, one, two = self._places(digest)
-        return any(self.table[s] == mark for b in (one, two) for s in self._slots(b))
+        marks = self.marks
+        for at in (one * 4, two * 4):
+            if mark in marks[at : at + 4]:
+                for s in range(at, at + 4):
+                    if marks[s] == mark and self.digests[self.numbers[s]] == digest:
+                        return s
+        return -1
 
     def get(self, digest: bytes) -> list[int] | None:
-        """The entry of a live digest, after comparison with the stored keys."""
-        return self.keys.get(digest) if self.maybe(digest) else None
+        """The entry of a live digest."""
+        s = self._slot(digest)
+        return self.entries[self.numbers[s]] if s >= 0 else None
 
     def insert(self, digest: bytes, entry: list[int]) -> None:
-        self.keys[digest] = entry
-        if not self._place(digest):
+        """A digest that is not live becomes so."""
+        self.digests.append(digest)
+        self.entries.append(entry)
+        if not self._place(len(self.digests) - 1):
             self._grow()
 
-    def _place(self, digest: bytes) -> bool:
-        mark, one, two = self._places(digest)
-        for b in (one, two):
-            for s in self._slots(b):
-                if not self.table[s]:
-                    self.table[s] = mark
-                    return True
+    def _place(self, number: int) -> bool:
+        mark, one, two = self._places(self.digests[number])
+        marks, numbers = self.marks, self.numbers
+        for at in (one * 4, two * 4):
+            if 0 in marks[at : at + 4]:
+                s = marks.index(0, at, at + 4)
+                marks[s], numbers[s] = mark, number
+                return True
         b = two
         for k in range(self.KICKS):
-            s = b * self.SLOTS + (mark + k) % self.SLOTS
-            mark, self.table[s] = self.table[s], mark
+            s = b * 4 + (mark + k) % 4
+            mark, marks[s] = marks[s], mark
+            number, numbers[s] = numbers[s], number
             b = self._other(b, mark)
-            for s in self._slots(b):
-                if not self.table[s]:
-                    self.table[s] = mark
-                    return True
+            if 0 in marks[b * 4 : b * 4 + 4]:
+                s = marks.index(0, b * 4, b * 4 + 4)
+                marks[s], numbers[s] = mark, number
+                return True
         return False
 
     def _grow(self) -> None:
+        """Twice the size, and again where that is too small; deleted content goes."""
+        live = [k for k, d in enumerate(self.digests) if d is not None]
+        self.digests, self.entries = [self.digests[k] for k in live], [self.entries[k] for k in live]
         size = self.buckets
         while True:
             size *= 2
             self._clear(size)
-            if all(self._place(d) for d in self.keys):
+            if all(self._place(k) for k in range(len(self.digests))):
                 return
 
     def delete(self, digest: bytes) -> bool:
-        if self.get(digest) is None:
+        """Takes a live digest out of the filter, and its content with it."""
+        s = self._slot(digest)
+        if s < 0:
             return False
-        del self.keys[digest]
-        mark, one, two = self._places(digest)
-        for b in (one, two):
-            for s in self._slots(b):
-                if self.table[s] == mark:
-                    self.table[s] = 0
-                    return True
-        raise AssertionError("a live digest has a fingerprint")
+        self.digests[self.numbers[s]] = self.entries[self.numbers[s]] = None
+        self.marks[s] = 0
+        return True
+
+    def live(self) -> Iterator[tuple[bytes, list[int]]]:
+        return ((d, e) for d, e in zip(self.digests, self.entries, strict=True) if d is not None)
 
 
 def _fold(index: CuckooIndex, batch: pa.RecordBatch) -> None:
@@ -110,7 +127,7 @@ def _fold(index: CuckooIndex, batch: pa.RecordBatch) -> None:
 
 
 def _rows(index: CuckooIndex) -> Iterator[pa.RecordBatch]:
-    items = iter(index.keys.items())
+    items = index.live()
     while part := [x for _, x in zip(range(20_000), items)]:
         yield pa.RecordBatch.from_arrays(
             [
@@ -123,22 +140,28 @@ def _rows(index: CuckooIndex) -> Iterator[pa.RecordBatch]:
         )
 
 
+@tidy
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Within a task before the shuffle: copies that stand in the same batch travel as one row."""
+    """Within a task before the shuffle: copies among COMBINED rows or more travel as one row."""
+    index, size = CuckooIndex(4096), 0
     for batch in batches:
-        index = CuckooIndex(4096)
         _fold(index, batch)
-        yield from _rows(index)
+        size += batch.num_rows
+        if size >= COMBINED:
+            yield from _rows(index)
+            index, size = CuckooIndex(4096), 0
+    yield from _rows(index)
 
 
+@tidy
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by gone, where there is such a column: deletions come after all insertions."""
     index = CuckooIndex()
     for batch in batches:
         if batch.num_columns > 4 and batch.num_rows:
             gone = np.asarray(batch.column(4).to_pylist(), bool)
             _fold(index, batch.filter(pa.array(~gone)))
-            index_gone = batch.filter(pa.array(gone)).column(0).to_pylist()
-            for digest in index_gone:
+            for digest in batch.filter(pa.array(gone)).column(0).to_pylist():
                 index.delete(digest)
         else:
             _fold(index, batch)
@@ -157,7 +180,7 @@ def exact_dedup(docs: DataFrame, retired: DataFrame | None = None) -> DataFrame:
     all their documents come back with keep_id null and kept false. An empty table gives an empty result. Columns
     other than doc_id and text are not looked at.
 
-    The digest buckets hold full SHA-256 digests, against which every hit of the filter is compared. Copies are
+    What the filter's slots stand for are full SHA-256 digests of the content, against which every hit is compared. Copies are
     combined before the shuffle, so a group of any size reaches its bucket as one row a batch; the way back to the
     documents is a join on light rows that adaptive execution can split.
     """
@@ -178,15 +201,12 @@ def exact_dedup(docs: DataFrame, retired: DataFrame | None = None) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """docs with one row of each group of equal texts, columns unchanged."""
+    """docs with one row of each group of equal texts (as in exact_dedup), columns unchanged, whatever their names.
+
+    The row with the smallest doc_id stays (a null doc_id comes last); of rows that repeat a doc_id and text exactly one stays,
+    and a null text equals an empty one. Texts of any length are compared whole. An empty table gives an empty result.
+    """
     found = materialise(exact_dedup(docs), "groups")
-    kept = found.where("kept").select(F.col("doc_id").alias("__kept_id"), F.col("text_key").alias("__kept_key"))
-    lost = found.where("not kept")
-    out = remove_rows(docs, lost.join(kept, lost["doc_id"].eqNullSafe(kept["__kept_id"]) & (lost["text_key"] == kept["__kept_key"]), "left_anti"))
-    repeated = found.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
-    if repeated.isEmpty():
-        return out
-    names = repeated.select(F.col("doc_id").alias("__again_id")).distinct()
-    on = out["doc_id"].eqNullSafe(names["__again_id"])
-    again = out.join(names, on, "left_semi").withColumn("__again_text", F.coalesce("text", F.lit(""))).dropDuplicates(["doc_id", "__again_text"]).drop("__again_text")
-    return out.join(names, on, "left_anti").unionByName(again)
+    names = found.groupBy("doc_id", "text_key").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    out = remove_rows(docs, names.where("not kept"))
+    return one_of_each(out, names.where("kept and n > 1"))

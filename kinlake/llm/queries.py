@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import class_model, decontamination, exact_dedup, language_id, packing, sharding, simhash, substring_dedup, token_counts, url_filter
+from .common import small_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

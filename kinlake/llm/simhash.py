@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, materialise, mix, remove_rows, small, text_chunks, text_key, tidy
+from .common import Words, materialise, mix, one_of_each, remove_rows, small, text_chunks, text_key, tidy
 from .components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -19,11 +19,19 @@ SHINGLE, RADIUS, SEED = 3, 2, 42
 BLOCKS = 4
 
 
-def fingerprint(hashes: np.ndarray) -> int:
-    """Bit b is 1 where it is set in over half of the hashes; 0 for no hashes."""
+#: Shingles of one text whose hashes are held at once.
+SHINGLES = 50_000
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """In how many of the hashes each bit is set."""
     bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    ones = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
-    return int(np.packbits(ones, bitorder="little").view("<u8")[0])
+    return bits.sum(axis=0, dtype=np.int64)
+
+
+def fingerprint(counts: np.ndarray, n: int) -> int:
+    """Bit b is 1 where it is set in over half of the n hashes."""
+    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
 def _fingerprints(column: pa.Array) -> list[int]:
@@ -37,8 +45,12 @@ def _fingerprints(column: pa.Array) -> list[int]:
                 out.append(0)
                 continue
             size = min(SHINGLE, j - i)
-            spans = zip(w.starts[i : j - size + 1].tolist(), w.ends[i + size - 1 : j].tolist(), strict=True)
-            out.append(fingerprint(np.array([h64(data[a:b], SEED) for a, b in spans], np.uint64)))
+            counts = np.zeros(64, np.int64)
+            for at in range(i, j - size + 1, SHINGLES):
+                to = min(at + SHINGLES, j - size + 1)
+                spans = zip(w.starts[at:to].tolist(), w.ends[at + size - 1 : to + size - 1].tolist(), strict=True)
+                counts += bit_counts(np.array([h64(data[a:b], SEED) for a, b in spans], np.uint64))
+            out.append(fingerprint(counts, j - i - size + 1))
     return out
 
 
@@ -233,8 +245,8 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.where(F.col("both") >= SIMILAR * (F.col("sizes") - F.col("both")) - 1e-9).select("a", "b")
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key of the rows that drop_near_copies removes."""
+def near_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two tables of doc_id and text_key: the rows that drop_near_copies removes, and of the others those names that several rows have."""
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text").withColumn("row", F.xxhash64("doc_id", "text_key"))
     found = materialise(named.select("row", "text").mapInArrow(_bands, "row long, keys array<long>"), "bands")
     keys = found.select("row", F.explode("keys").alias("key")).distinct()
@@ -255,15 +267,19 @@ def near_copies(docs: DataFrame) -> DataFrame:
     members = materialise(components(links).withColumnRenamed("node", "row").join(named.select("row", "doc_id", "text_key"), "row"), "members")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     kept = members.groupBy("root").agg(F.min(rank).alias("kept")).repartition("root")
-    return members.join(kept, "root").where(rank != F.col("kept")).select("doc_id", "text_key")
+    again = named.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
+    return members.join(kept, "root").where(rank != F.col("kept")).select("doc_id", "text_key"), materialise(again, "again")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """docs with one row of each group of near copies, columns unchanged: the one of the smallest doc_id (null comes last).
+    """docs with one row of each group of near copies, columns unchanged, whatever their names: the one of the smallest doc_id (null
+    comes last). Of rows that repeat a doc_id and text one stays; a null text equals an empty one, and such texts are near copies of
+    each other. An empty table gives an empty result; texts of any length are compared whole.
 
     Near copies have sets of five-word shingles (texts as in simhash_groups) of Jaccard similarity 0.8 or more; groups
     are what such pairs link. 64 bits of SimHash differ by 10 on average at 0.8, so that no blocks of a useful length
     stay equal within a radius that holds most pairs. Candidates are therefore the documents that share a band of
     minima of their shingles' hashes, and each pair that counts is checked against both full sets.
     """
-    return remove_rows(docs, near_copies(docs))
+    gone, again = near_copies(docs)
+    return one_of_each(remove_rows(docs, gone), again)
