@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import tidy
+from .common import text_chunks, tidy
 
 #: N-grams of 1 to 3 letters (a word's ends count as a blank); the PROFILE most frequent make a profile.
 PROFILE = 400
 UNKNOWN = "und"
-#: Characters counted at once.
-CHUNK = 1_000_000
+#: Characters counted at once (more only where a word is longer).
+CHUNK = 250_000
+_BLANK = re.compile(r"\s")
 
 
 @lru_cache(1)
@@ -33,22 +34,28 @@ def _codes(text: str) -> np.ndarray:
     return codes[letter | np.append(True, letter[:-1])]
 
 
-def _grams(codes: np.ndarray, lo: int, hi: int) -> np.ndarray:
-    """N-grams that start at places lo to hi - 1, each as one number of 21 bits a character; none crosses a blank."""
-    one, two, three = codes[lo:hi], codes[lo + 1 : hi + 1], codes[lo + 2 : hi + 2]
-    pair = (one[: len(two)] << 21) | two
-    triple = (pair[: len(three)] << 21) | three
-    return np.concatenate((one[one != 32], pair, triple[two[: len(three)] != 32]))
+def _grams(codes: np.ndarray) -> np.ndarray:
+    """N-grams, each as one number of 21 bits a character; none crosses a blank."""
+    pair = (codes[:-1] << 21) | codes[1:]
+    triple = (pair[:-1] << 21) | codes[2:]
+    return np.concatenate((codes[codes != 32], pair, triple[codes[1:-1] != 32]))
+
+
+def _sections(text: str) -> Iterator[str]:
+    """The text cut at white space into sections of about CHUNK characters; no n-gram stands in two of them."""
+    at = 0
+    while at < len(text):
+        blank = _BLANK.search(text, at + CHUNK) if at + CHUNK < len(text) else None
+        end = blank.end() if blank else len(text)
+        yield text[at:end]
+        at = end
 
 
 def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of a text, and how often each stands in it."""
-    codes = _codes(text)
-    if len(codes) < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    parts = [np.unique(_grams(codes, at, at + CHUNK), return_counts=True) for at in range(0, len(codes), CHUNK)]
-    if len(parts) == 1:
-        return parts[0]
+    parts = [np.unique(_grams(codes), return_counts=True) for codes in map(_codes, _sections(text)) if len(codes) > 1]
+    if len(parts) < 2:
+        return parts[0] if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
     keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
     return keys, np.bincount(inverse, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
 
@@ -102,7 +109,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(keys), pa.array(n)], names=["lang", "gram", "n"])
 
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        texts = (x.decode() for _, _, part in text_chunks(batch.column(1)) for x in part)
+        for lang, text in zip(batch.column(0).to_pylist(), texts, strict=True):
             k, c = counted(text)
             held.setdefault(lang, []).append((k, c))
             size += len(k)
@@ -132,12 +140,15 @@ def train_profiles(labelled: DataFrame) -> Profiles:
 def language_of(profiles: Profiles, text: Column) -> Column:
     """struct(lang_pred, score) of a text."""
 
+    @F.arrow_udf("lang_pred string, score double")
     @tidy
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            yield pd.DataFrame([profiles.predict(x) for x in texts], columns=["lang_pred", "score"])
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            found = [profiles.predict(x and x.decode()) for _, _, texts in text_chunks(column) for x in texts]
+            langs, scores = zip(*found, strict=True) if found else ((), ())
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
 
-    return F.pandas_udf(predict, "lang_pred string, score double", F.PandasUDFType.SCALAR_ITER)(text)
+    return predict(text)
 
 
 def held_out(buckets: int = 4, out: int = 2) -> Column:
@@ -160,7 +171,11 @@ def identify_languages(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 
 
 def drop_unidentified(docs: DataFrame, labelled: DataFrame, least: float = 0.0) -> DataFrame:
-    """docs without those whose language is `und` or whose score is under `least`, columns unchanged."""
+    """docs without those whose language is `und` or whose score is under `least`, columns unchanged, whatever their names.
+
+    Rows are judged by their text alone, each by itself: a null or empty text and one without a letter go, repeated rows and
+    null doc_ids stay or go like any other, texts of any length are judged whole. An empty table gives an empty result.
+    """
     found = language_of(train_profiles(labelled), F.col("text"))
     out = docs.withColumn("__found", found)
     return out.where((F.col("__found.lang_pred") != UNKNOWN) & (F.col("__found.score") >= least)).drop("__found")

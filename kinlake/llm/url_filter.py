@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_chunks, tidy
+
 #: (verdict, rule): a rule is a host, which also stands for its subdomains, and the start of a path.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 #: The verdict on a URL that no rule fits.
@@ -96,10 +98,12 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, defau
         globs.append(f"*.{host}{slash}{path}**")
     machine = ShiftAnd(globs)
 
-    @F.pandas_udf("int")
-    def first_fit(canonical: pd.Series) -> pd.Series:
-        fits = machine.run([x.encode() for x in canonical])
-        return pd.Series(np.where(fits.any(axis=1), fits.argmax(axis=1), -1).astype("int32"))
+    @F.arrow_udf("int")
+    @tidy
+    def first_fit(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for canonical in batches:
+            fits = [machine.run(texts) for _, _, texts in text_chunks(canonical)]
+            yield pa.array(np.concatenate([np.where(x.any(axis=1), x.argmax(axis=1), -1) for x in fits] or [np.zeros(0, int)]), pa.int32())
 
     host, path = _split(F.col("url"))
     out = pages.select("page_id", "url").withColumns({"host": host, "path": path})
