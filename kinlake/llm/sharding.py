@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 #: Bytes of text that a bucket holds on average; a bucket is shuffled in memory.
 BUCKET_BYTES = 8_000_000
+#: Bytes of text that one task of the second pass reads on average.
+TASK_BYTES = 64_000_000
 #: A shard is scattered over this many buckets at least.
 LEAST_BUCKETS = 4
 
@@ -46,12 +48,16 @@ def shard_documents(docs: DataFrame, shards: int = 24, seed: int = 7, bucket_byt
 
     fields = [f for f in work.schema if f.name in ("doc_id", "text", "shard", "bucket")]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [T.StructField("place", T.LongType())])
-    shuffled = work.withColumn("order", F.xxhash64("text")).groupBy("shard", "bucket").applyInArrow(fisher_yates, schema)
+    # as many tasks as the bytes ask for, whatever the session's number of partitions
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(shards * buckets, -(-total // TASK_BYTES)))
+    shuffled = work.withColumn("order", F.xxhash64("text")).repartition(tasks, "shard", "bucket").groupBy("shard", "bucket").applyInArrow(fisher_yates, schema)
     # the table of offsets has one row a bucket; it is left to Spark whether that is small enough to broadcast
     out = shuffled.join(offsets, ["shard", "bucket"])
     return out.select("doc_id", "text", "shard", shard_of(F.col("doc_id"), shards + 1, seed).alias("grown_shard"), "bucket", (F.col("offset") + F.col("place")).cast("long").alias("slot"))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder a shard, one sorted file a bucket: reading a shard's files in name order gives its slots in order."""
-    sharded.repartition("shard", "bucket").sortWithinPartitions("shard", "slot").write.partitionBy("shard", "bucket").parquet(path)
+    """One folder a shard, in it one folder a bucket with its rows by rising slot; a shard's buckets in order hold its slots in
+    order. Nulls and repeated rows are written as they are; an empty table writes no folder."""
+    # sorted by the folders first, which is the order that the writer asks for, so it does not sort again and keeps the slots
+    sharded.repartition("shard", "bucket").sortWithinPartitions("shard", "bucket", "slot").write.partitionBy("shard", "bucket").parquet(path)

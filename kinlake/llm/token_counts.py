@@ -17,6 +17,8 @@ VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
 #: Nodes of a worker's trie; beyond it, it starts afresh.
 NODES = 1_000_000
+#: Letters of a pre-token up to which it goes into the trie; a longer one, which few others share, is worked out by itself.
+LONG = 200
 
 
 def load_pieces(file: str) -> dict[str, float]:
@@ -43,7 +45,23 @@ class PretokenTrie:
         self.child: dict[tuple[int, str], int] = {}
         self.score, self.tokens = [0.0], [0]
 
+    def count_long(self, word: str) -> int:
+        """The same by a forward pass that keeps the scores of the last letters only, as many as the longest piece has."""
+        scores = [(0.0, 0)]  # of the prefixes that end at i + 1 - len(scores) to i
+        for i, c in enumerate(word):
+            size = len(c.encode("utf-8", "surrogatepass"))
+            best = (scores[-1][0] + size * self.byte, scores[-1][1] - size)
+            for k in range(1, len(scores) + 1):
+                if (p := self.pieces.get(word[i + 1 - k : i + 1])) is not None:
+                    best = max(best, (scores[-k][0] + p, scores[-k][1] - 1))
+            scores.append(best)
+            if len(scores) > self.longest:
+                del scores[0]
+        return -scores[-1][1]
+
     def count(self, word: str) -> int:
+        if len(word) > LONG:
+            return self.count_long(word)
         node, path, get = 0, [0], self.child.get
         for i, c in enumerate(word):
             if (to := get((node, c))) is None:
@@ -88,10 +106,12 @@ def _count(file: str):
 
 
 def count_tokens(docs: DataFrame, file: str | None = None) -> DataFrame:
-    """doc_id, n_pretokens and n_tokens of every document.
+    """doc_id, n_pretokens, n_tokens and piece_scores of every document.
 
     Pre-tokens are the words [^\\x20\\x09-\\x0D]+ of the whole text, each behind MARK; a null or blank text has none. A
     document's count is the sum over its pre-tokens of the tokens in their best segmentation under the vocabulary.
+    Pieces are scored by Zipf's law over their rank in the vocabulary file, which has ranks and no probabilities, and nothing is
+    fitted to the documents; piece_scores says so in every row. Pre-tokens of over LONG letters are worked out one by one.
     Every chunk of text puts its distinct pre-tokens, sorted, into the worker's trie, so no row is shuffled. Repeated
     rows are counted each by itself; an empty table gives an empty result; other columns are not looked at.
     """
@@ -99,4 +119,4 @@ def count_tokens(docs: DataFrame, file: str | None = None) -> DataFrame:
         import public_tokenizers
 
         file = public_tokenizers.path(VOCABULARY)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_count(file), "doc_id long, n_pretokens long, n_tokens long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_count(file), "doc_id long, n_pretokens long, n_tokens long").withColumn("piece_scores", F.lit("zipf over rank"))
