@@ -125,16 +125,42 @@ def test_windows_that_repeat(docs, empty):
             if seen[tuple(w[i : i + 35])] > 1:
                 keep[i : i + 35] = [False] * 35
         want.append((doc, len(w), len(w) - sum(keep), b" ".join(x for x, k in zip(w, keep, strict=True) if k).decode()))
-    for size in (6_000_000, 2000):
-        assert sorted(map(str, map(tuple, substring_dedup.remove_repeats(docs, size).collect()))) == sorted(map(str, want))
+    for size, hot in ((6_000_000, 12_000_000), (2000, 12_000_000), (6_000_000, 1500), (2000, 0)):  # with hot 0 every window travels alone
+        assert sorted(map(str, map(tuple, substring_dedup.remove_repeats(docs, size, hot).collect()))) == sorted(map(str, want))
     assert any(x[2] for x in want) and substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_a_line_in_many_documents_is_spread(spark):
+    """A line shorter than a window, between words that differ: no bucket grows with the number of its documents."""
+    rng = np.random.default_rng(4)
+    line = " ".join(f"boiler{i}" for i in range(30))
+    word = lambda n: " ".join(map(str, rng.integers(0, 10**9, n)))
+    texts = [f"{word(10)} {line} {word(10)}" for _ in range(1500)]
+    texts += [f"{word(5)} {line} one two three four five {word(5)}" for _ in range(2)]  # these two share windows
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    for hot in (1 << 40, 20_000):
+        out = substring_dedup.remove_repeats(rows, 50_000, hot)
+        assert sorted((r.doc_id, r.n_removed) for r in out.where("n_removed > 0").collect()) == [(1500, 35), (1501, 35)]
+
+    def strings(hot, spread):
+        """Packed strings by bucket."""
+        held = Counter()
+        for batch in rows.selectExpr("doc_id", "doc_id as text_key", "text").toArrow().to_batches():
+            for x in substring_dedup._pack(16, hot, spread)(iter([batch])):
+                for bucket, block in zip(x.column(0).to_pylist(), x.column(4).to_pylist(), strict=True):
+                    held[bucket] += len(substring_dedup._unpack([block])[1]) if block else 0
+        return held
+
+    whole, split = strings(np.arange(0), 16), strings(np.arange(16 * substring_dedup.CELLS), 64)
+    assert max(whole.values()) > 2 * sum(whole.values()) / len(whole)
+    assert max(split.values()) < 1.5 * sum(split.values()) / len(split) and min(split) >= 16
+
+
 def test_super_kmers_cover_every_window_once():
     rng = np.random.default_rng(1)
     texts = [" ".join(rng.choice(["a", "b", "c"], n)).encode() for n in (0, 34, 35, 900, 2000)] + [b"z " * 700]
     w = Words(texts)
-    first, count, low, _ = substring_dedup.super_kmers(w)
+    first, count, low, _ = substring_dedup.super_kmers(w, w.hashes())
     got = sorted(i for f, c in zip(first, count, strict=True) for i in range(f, f + c))
     want = [int(w.first[k] + i) for k, n in enumerate(w.counts) for i in range(max(0, n - 34))]
     assert got == want and count.max() <= substring_dedup.RUN
@@ -274,7 +300,10 @@ def low(t):
     return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
 
 
-def test_benchmark_windows(docs, empty, spark):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_benchmark_windows(docs, empty, spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(decontamination, "FINGERPRINTS", 0)
     bench = [(1, PASSAGE), (2, "Two words"), (3, None), (4, "!!"), (5, "a a a a a a a a a a a a"), (6, " ".join(f"shared{i}" for i in range(50, 70))), (7, "nowhere to be found in any of these texts at all"), (10, "One"), (10, "no id")]
     rows = [(r.doc_id, low(r.text)) for r in docs.collect()]
     want = []
@@ -289,7 +318,7 @@ def test_benchmark_windows(docs, empty, spark):
                         hit |= set(range(p, p + size))
                         items.add(str(item))
         want.append((doc, len(w), len(hit), sorted(items), bool(hit)))
-    table = spark.createDataFrame(bench, "item_id long, text string")
+    table = spark.createDataFrame([(i, t, "x", 0, 0, False) for i, t in bench], "item_id long, text string, words string, value int, doc_id int, contaminated boolean")
     got = decontamination.find_contamination(docs, table)
     assert sorted(map(str, map(tuple, got.drop("text_key").collect()))) == sorted(map(str, want)) and any(x[4] for x in want)
     assert decontamination.find_contamination(empty, table).count() == 0
@@ -298,6 +327,20 @@ def test_benchmark_windows(docs, empty, spark):
     assert kept.columns == docs.columns and kept.count() == sum(not x[4] for x in want)
 
 
+def test_benchmark_beyond_a_broadcast_shuffles_no_words(docs, spark, monkeypatch, capsys):
+    """Where the hashes are looked for, only numbers are exchanged."""
+    monkeypatch.setattr(decontamination, "FINGERPRINTS", 0)
+    tables = []
+    real = decontamination.materialise
+    monkeypatch.setattr(decontamination, "materialise", lambda df, label: tables.append((label, df)) or real(df, label))
+    decontamination.find_contamination(docs, spark.createDataFrame([(1, PASSAGE)], "item_id long, text string"))
+    found = next(df for label, df in tables if label == "found")
+    found.explain("formatted")
+    plan = capsys.readouterr().out
+    exchanges = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert exchanges and not any("words" in x or "text#" in x or "marked" in x for x in exchanges), exchanges
+
+
 def fingerprint(t):
     w = [x.lower() for x in words(t)]
     h = [xxhash.xxh64_intdigest(b" ".join(w[i : i + 3]), 42) for i in range(max(1, len(w) - 2))] if w else []
