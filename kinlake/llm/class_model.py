@@ -3,28 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Words, materialise, text_chunks, tidy
 
-#: Words whose counts every task holds (at most); the others are looked up by a join.
-HELD_WORDS = 150_000
-#: What is clustered: the most frequent words, and the most frequent endings (three bytes) of all others.
-UNIT_WORDS, UNIT_ENDINGS, CLASSES, PASSES = 400, 400, 48, 12
+#: Words whose hashes every task holds (at most, the most frequent); all others are looked up by a join.
+HELD_WORDS = 300_000
+#: Words that sequential exchange clusters on the driver (the most frequent; at most ANCHORS squared numbers), and classes. Every other
+#: word then moves to the class that fits its own neighbours best.
+ANCHORS, CLASSES, PASSES = 1000, 48, 200
 #: Strength of the unigram class distribution in the transitions.
 PRIOR = 20.0
 ALPHA = 0.1
-_END, _OTHER = 0, 1
+#: Groups that a frequent word's neighbours are added up in first.
+SALTS = 64
+#: Counts up to which words are told apart by their exact count when the most frequent are sought; above, by 1000 steps a doubling.
+EXACT = 100_000
+_END = 0
 
 
 def exchange_clustering(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES) -> np.ndarray:
     """A class for each unit. Units are first dealt by frequency; then each in turn moves to the class that raises the
-    likelihood of the class bigram model most, until a pass moves none. bigrams: counts (unit, next unit)."""
+    likelihood of the class bigram model most, until a pass moves none (or `passes` are over). bigrams: counts (unit, next unit)."""
     units = len(bigrams)
     f = lambda x: x * np.log(np.maximum(x, 1e-300))
     total = bigrams.sum(axis=1) + bigrams.sum(axis=0)
@@ -68,50 +73,6 @@ def exchange_clustering(bigrams: np.ndarray, classes: int = CLASSES, passes: int
     return of
 
 
-@dataclass
-class Vocabulary:
-    """Held words by hash, endings by code, and the unit of each: sizes are fixed by parameters."""
-
-    hashes: np.ndarray
-    counts: np.ndarray
-    units: np.ndarray
-    endings: np.ndarray
-    ending_units: np.ndarray
-    size: int
-
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(self.hashes, h), max(len(self.hashes) - 1, 0))
-        return at, self.hashes[at] == h if len(self.hashes) else np.zeros(len(h), bool)
-
-    def unit_of(self, w: Words, at: np.ndarray, held: np.ndarray) -> np.ndarray:
-        units = self.endings_of(w)
-        units[held] = self.units[at[held]]
-        return units
-
-    def endings_of(self, w: Words) -> np.ndarray:
-        code = endings(w)
-        if not len(self.endings):
-            return np.full(len(code), _OTHER)
-        at = np.minimum(np.searchsorted(self.endings, code), len(self.endings) - 1)
-        return np.where(self.endings[at] == code, self.ending_units[at], _OTHER)
-
-
-def endings(w: Words) -> np.ndarray:
-    """The last three bytes of each word as a number."""
-    code = np.zeros(len(w.starts), np.int64)
-    for k in range(1, 4):
-        p = w.ends - k
-        code = code * 256 + np.where(p >= w.starts, w.buf[np.maximum(p, 0)], 0)
-    return code
-
-
-def _sequence(w: Words, units: np.ndarray) -> np.ndarray:
-    """Units of all texts, each text followed by an end."""
-    out = np.zeros(len(units) + len(w.counts), np.int64)
-    out[np.arange(len(units)) + w.row] = units
-    return out
-
-
 @tidy
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -124,25 +85,109 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([*words, b""], pa.binary()).cast(pa.string()), pa.array(np.append(n, hi - lo))], names=["word", "n"])
 
 
-@tidy
-def _ending_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        w = Words(batch.column(0).cast(pa.binary()).to_pylist())
-        codes, inverse = np.unique(endings(w), return_inverse=True)
-        n = np.bincount(inverse, weights=batch.column(1).to_numpy(), minlength=len(codes)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n), pa.array(np.bincount(inverse, minlength=len(codes)))], names=["code", "n", "words"])
+def most_frequent(counts: DataFrame, limit: int) -> tuple[list[str], np.ndarray]:
+    """The most frequent words and their counts, `limit` at most: all down to some count, and of those one step less frequent as many
+    hash groups as there is room for. Only numbers of words by step and by group are collected to find where to cut."""
+    step = F.when(F.col("n") < EXACT, F.col("n")).otherwise(EXACT + F.floor(F.log2(F.col("n") / EXACT) * 1000)).cast("long")
+    words = counts.where("word <> ''").select("word", "n", step.alias("step"), F.pmod(F.xxhash64("word"), F.lit(1024)).alias("part"))
+    room, floor, parts = limit, 0, 0
+    for r in sorted(words.groupBy("step").count().collect(), key=lambda r: -r["step"]):  # at most EXACT steps and 64,000 more
+        if r["count"] > room:
+            floor = r["step"]
+            break
+        room -= r["count"]
+    if floor:
+        sizes = dict(words.where(F.col("step") == floor).groupBy("part").count().collect())
+        while parts < 1024 and sizes.get(parts, 0) <= room:
+            room -= sizes.get(parts, 0)
+            parts += 1
+    table = words.where((F.col("step") > floor) | ((F.col("step") == floor) & (F.col("part") < parts))).select("word", "n").toArrow()
+    found, n = table.column("word").to_pylist(), table.column("n").to_numpy()
+    order = sorted(range(len(found)), key=lambda i: (-n[i], found[i]))
+    return [found[i] for i in order], n[order]
+
+
+class Held:
+    """Numbers of the held words by hash: 1 for the most frequent, and so on; 0 is the end of a text."""
+
+    def __init__(self, words: list[str]):
+        h = Words([x.encode() for x in words]).hashes() if words else np.zeros(0, np.uint64)
+        order = np.argsort(h)
+        self.hashes, self.number = h[order], (order + 1).astype(np.int32)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Numbers, or -1."""
+        if not len(self.hashes):
+            return np.full(len(h), -1, np.int32)
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == h, self.number[at], np.int32(-1))
 
 
-def _bigrams(vocabulary):
+SEQUENCES = "doc_id long, held_out boolean, words binary, rare array<string>"
+
+
+def _sequences(held):
+    """Texts to the numbers of their words: held ones by their number, the k-th distinct other word of a text by -1 - k."""
+
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabulary.value
-        total = np.zeros(v.size * v.size, np.int64)
+        v = held.value
         for batch in batches:
-            for _, _, texts in text_chunks(batch.column(0)):
+            for lo, hi, texts in text_chunks(batch.column(2)):
                 w = Words(texts, lower=True)
-                s = _sequence(w, v.unit_of(w, *v.find(w.hashes())))
-                total += np.bincount(np.append(_END, s[:-1]) * v.size + s, minlength=len(total))
+                n, data = hi - lo, w.data
+                number = v.find(w.hashes())
+                words: list[dict[bytes, int]] = [{} for _ in range(n)]
+                at = np.flatnonzero(number < 0)
+                rare = []
+                for r, a, b in zip(w.row[at].tolist(), w.starts[at].tolist(), w.ends[at].tolist(), strict=True):
+                    d = words[r]
+                    rare.append(-1 - d.setdefault(data[a:b], len(d)))
+                number[at] = rare
+                sizes = np.append(0, np.cumsum([len(d) for d in words])).astype(np.int32)
+                flat = pa.array([x for d in words for x in d], pa.binary()).cast(pa.string())
+                cols = [batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), _binary(number.astype("<i4"), w.first), pa.ListArray.from_arrays(sizes, flat)]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "held_out", "words", "rare"])
+
+    return run
+
+
+def _binary(numbers: np.ndarray, first: np.ndarray) -> pa.Array:
+    """One binary value for each stretch of numbers."""
+    offsets = (first * numbers.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(numbers.tobytes())])
+
+
+def _numbers(column: pa.Array, kind: str | np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all values end to end, and where each value's begin (one more: the end)."""
+    kind = np.dtype(kind)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    flat = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(kind) if data is not None and len(column) else np.zeros(0, kind)
+    return flat, (offsets - offsets[0]) // kind.itemsize
+
+
+def _with_ends(numbers: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers with an end before the first text and after every text, and the place of each word there."""
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    place = np.arange(len(numbers)) + row + 1
+    out = np.full(len(numbers) + len(first), _END, np.int64)
+    out[place] = numbers
+    return out, place
+
+
+def _anchor_pairs(anchors: int):
+    """Counts of neighbours among ends (0), anchors, and all other words together (the last number)."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = anchors + 2
+        total = np.zeros(units * units, np.int64)
+        for batch in batches:
+            numbers, first = _numbers(batch.column(0), "<i4")
+            s, _ = _with_ends(np.where((numbers < 0) | (numbers > anchors), anchors + 1, numbers), first)
+            pairs, n = np.unique(s[:-1] * units + s[1:], return_counts=True)
+            total[pairs] += n
         pairs = np.flatnonzero(total)
         for k in range(0, len(pairs), 50_000):
             p = pairs[k : k + 50_000]
@@ -151,49 +196,179 @@ def _bigrams(vocabulary):
     return run
 
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, known long, base double, shift double, words array<string>, times array<int>"
+#: How often a word stands beside a class: its left neighbours' classes, then its right neighbours'.
+_CELL = np.dtype([("cell", "<u2"), ("n", "<u4")])
+CONTEXTS = "number long, word string, salt int, times long, cells binary"
 
 
-def _score(vocabulary, model):
+def _contexts(classes: np.ndarray):
+    """Words that are no anchors, with the classes of anchors and ends beside them; classes: by number, ends first."""
+
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, (logp, of, shift, end_logp, end_known) = vocabulary.value, model.value
+        anchors, width = len(classes) - 1, int(classes.max()) + 1
+        part = TaskContext.get().partitionId() % SALTS + 1
+        number, cells = [], []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            """The held words of all batches so far."""
+            if number:
+                yield from rows(np.concatenate(number), np.concatenate(cells), None)
+                number.clear(), cells.clear()
+
+        def rows(who: np.ndarray, beside: np.ndarray, names: pa.Array | None) -> Iterator[pa.RecordBatch]:
+            """who: a word's number for each of its tokens, repeated; beside: pairs (class before, class after), -1 where it is no anchor."""
+            order = np.argsort(who, kind="stable")
+            who, beside = who[order], beside[order]
+            own = np.flatnonzero(np.diff(who, prepend=-1))
+            times = np.diff(np.append(own, len(who)))
+            at = np.repeat(np.arange(len(own)), times)
+            key = np.concatenate([at * (2 * width) + beside[:, 0], at * (2 * width) + width + beside[:, 1]])[np.concatenate([beside[:, 0], beside[:, 1]]) >= 0]
+            key, n = np.unique(key, return_counts=True)
+            found = np.empty(len(key), _CELL)
+            found["cell"], found["n"] = key % (2 * width), n
+            first = np.searchsorted(key // (2 * width), np.arange(len(own) + 1))
+            cols = [pa.array(who[own]), pa.nulls(len(own), pa.string()), pa.array(np.full(len(own), part, np.int32)), pa.array(times), _binary(found, first)]
+            if names is not None:
+                cols[0], cols[1], cols[2] = pa.nulls(len(own), pa.int64()), names.take(pa.array(who[own])), pa.array(np.zeros(len(own), np.int32))
+            yield pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in CONTEXTS.split(", ")])
+
         for batch in batches:
-            for lo, hi, texts in text_chunks(batch.column(2)):
-                w = Words(texts, lower=True)
-                at, held = v.find(w.hashes())
-                n = hi - lo
-                base = np.bincount(w.row[held], weights=logp[at[held]], minlength=n) + end_logp
-                known = np.bincount(w.row[held], minlength=n) + end_known
-                s = of[_sequence(w, v.unit_of(w, at, held))]
-                row = np.repeat(np.arange(n), w.counts + 1)
-                moved = np.bincount(row, weights=shift[np.append(of[_END], s[:-1]), s], minlength=n)
-                words: list[dict[bytes, int]] = [{} for _ in range(n)]
-                rare = np.flatnonzero(~held)
-                data = w.data
-                for r, a, b in zip(w.row[rare].tolist(), w.starts[rare].tolist(), w.ends[rare].tolist(), strict=True):
-                    x, d = data[a:b], words[r]
-                    d[x] = d.get(x, 0) + 1
-                sizes = np.append(0, np.cumsum([len(d) for d in words])).astype(np.int32)
-                flat = pa.array([x for d in words for x in d], pa.binary()).cast(pa.string())
-                times = pa.array([x for d in words for x in d.values()], pa.int32())
-                cols = [batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), pa.array(w.counts + 1), pa.array(known), pa.array(base), pa.array(moved), pa.ListArray.from_arrays(sizes, flat), pa.ListArray.from_arrays(sizes, times)]
-                yield pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in SCORED.split(", ")])
+            numbers, first = _numbers(batch.column(0), "<i4")
+            s, place = _with_ends(numbers, first)
+            near = np.where((s >= 0) & (s <= anchors), classes[np.clip(s, 0, anchors)], -1)
+            beside = np.stack([near[place - 1], near[place + 1]], axis=1)
+            held = numbers > anchors
+            number.append(numbers[held].astype(np.int64))
+            cells.append(beside[held].astype(np.int16))
+            if sum(map(len, number)) > 1_000_000:
+                yield from flush()
+            names = batch.column(1)
+            offsets = np.asarray(names.offsets).astype(np.int64)
+            row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+            rare = numbers < 0
+            who = offsets[row[rare]] - offsets[0] - 1 - numbers[rare]
+            if len(who):  # equal words of several texts meet before the shuffle
+                flat = names.flatten().dictionary_encode()
+                yield from rows(flat.indices.to_numpy().astype(np.int64)[who], beside[rare].astype(np.int16), flat.dictionary)
+        yield from flush()
 
     return run
 
 
-def _held(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent words and their counts: all that reach the least count by which no more than HELD_WORDS do."""
-    cap = 100_000
-    levels = sorted(((r["level"], r["count"]) for r in counts.groupBy(F.least("n", F.lit(cap)).alias("level")).count().collect()), reverse=True)
-    floor, total = cap + 1, 0
-    for level, n in levels:
-        if total + n > HELD_WORDS:
-            break
-        floor, total = level, total + n
-    table = counts.where((F.col("n") >= floor) & (F.col("word") != "")).toArrow()
-    return table.column("word").to_numpy(zero_copy_only=False), table.column("n").to_numpy()
+def _added(column: pa.ListArray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cells of each row's list of cells, added up: (row, cell, n)."""
+    flat, first = _numbers(column.flatten(), _CELL)
+    lists = np.asarray(column.offsets).astype(np.int64)
+    bounds = first[lists - lists[0]]
+    key = np.repeat(np.arange(len(column)), np.diff(bounds)) * (2 * width) + flat["cell"]
+    key, at = np.unique(key, return_inverse=True)
+    return key // (2 * width), key % (2 * width), np.bincount(at, weights=flat["n"], minlength=len(key)).astype(np.int64)
+
+
+def _merge(width: int):
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, cell, n = _added(batch.column(4), width)
+            found = np.empty(len(row), _CELL)
+            found["cell"], found["n"] = cell, n
+            cols = [*batch.columns[:4], _binary(found, np.searchsorted(row, np.arange(batch.num_rows + 1)))]
+            yield pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in CONTEXTS.split(", ")])
+
+    return run
+
+
+def fit(grid: np.ndarray) -> np.ndarray:
+    """What a neighbour of a class tells about a word's class: (left classes, then right ones) by class. It is the first-order change of
+    the class bigram likelihood when a word with that neighbour moves to the class, which is what exchange goes by."""
+    g = grid + 0.5
+    total = g.sum()
+    own = np.log(g * total / np.outer(g.sum(axis=1), g.sum(axis=0)))
+    return np.concatenate([own, own.T])
+
+
+def _choose(table: np.ndarray):
+    """Rows of cells to the class that fits best; without a neighbour that tells, class -1."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = table.shape[1]
+        for batch in batches:
+            row, cell, n = _added(batch.column(4), width)
+            best = np.full(batch.num_rows, -1, np.int32)
+            if len(row):
+                own = np.flatnonzero(np.diff(row, prepend=-1))
+                best[row[own]] = np.add.reduceat(table[cell] * n[:, None], own).argmax(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(best)], names=["number", "word", "times", "class"])
+
+    return run
+
+
+def _classes(batch: pa.RecordBatch, held: np.ndarray, other: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(classes of the words, which are rare, the rare ones' counts, where each text's words begin) of rows (words, found)."""
+    numbers, first = _numbers(batch.column(0), "<i4")
+    found = batch.column(1)
+    lists = np.asarray(found.offsets).astype(np.int64)
+    each = found.flatten()
+    k, n, c = (each.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+    own = np.repeat(lists[:-1] - lists[0], np.diff(lists)) + k
+    times, kind = np.zeros(len(k), np.int64), np.full(len(k), other, np.int64)
+    times[own], kind[own] = n, np.where(c < 0, other, c)
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    rare = numbers < 0
+    at = lists[row[rare]] - lists[0] - 1 - numbers[rare]
+    out = held[np.maximum(numbers, 0)]
+    out[rare] = kind[at]
+    return out, rare, times[at], first
+
+
+def _class_pairs(model):
+    """Counts of neighbouring classes."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, of, other = model.value
+        width = other + 1
+        total = np.zeros(width * width, np.int64)
+        for batch in batches:
+            classes, _, _, first = _classes(batch, of, other)
+            s, place = _with_ends(np.zeros(len(classes), np.int64), first)
+            s[:] = of[_END]
+            s[place] = classes
+            total += np.bincount(s[:-1] * width + s[1:], minlength=len(total))
+        pairs = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(total[pairs])], names=["pair", "n"])
+
+    return run
+
+
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def _score(model, shift: np.ndarray, size: float, ends: int):
+    """Rows (words, found, doc_id, held_out) to their scores; shift: log10 of transition over share, by class before and class."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, of, other = model.value
+        logp = np.log10((counts + ALPHA) / size)
+        for batch in batches:
+            numbers, first = _numbers(batch.column(0), "<i4")
+            classes, rare, times, _ = _classes(batch, of, other)
+            n, row = batch.num_rows, np.repeat(np.arange(batch.num_rows), np.diff(first))
+            each, known = logp[np.maximum(numbers, 0)], np.ones(len(numbers), bool)
+            each[rare], known[rare] = np.log10((times + ALPHA) / size), times > 0
+            base = np.bincount(row, weights=each, minlength=n) + np.log10((ends + ALPHA) / size)
+            s, place = _with_ends(np.zeros(len(classes), np.int64), first)
+            s[:] = of[_END]
+            s[place] = classes
+            moved = np.bincount(np.repeat(np.arange(n), np.diff(first) + 1), weights=shift[s[:-1], s[1:]], minlength=n)
+            seen = np.bincount(row, weights=known, minlength=n).astype(np.int64) + (ends > 0)
+            cols = [batch.column(2), batch.column(3), pa.array(np.diff(first) + 1), pa.array(seen), pa.array(base), pa.array(base + moved)]
+            yield pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in SCORED.split(", ")])
+
+    return run
 
 
 def score_documents(docs: DataFrame, held_out) -> DataFrame:
@@ -205,10 +380,11 @@ def score_documents(docs: DataFrame, held_out) -> DataFrame:
     c > 0. Where nothing was learned all counts are 0. Rows that repeat a doc_id are scored each by itself; an empty table
     gives an empty result; other columns are not looked at.
 
-    score adds classes: P(w | before) = P(class of w | class of the word before) P(w | class of w). Transitions are
-    smoothed by the classes' own shares, emissions are the base probabilities within a class, where every class also
-    has the share of one unknown word, so both sum to 1. Exchange clustering works on a bounded number of units: the most
-    frequent words, and the endings of all others; every count behind it covers all learned text.
+    score adds classes: P(w | before) = P(class of w | class of the word before) P(w | class of w). Exchange clustering
+    deals the ANCHORS most frequent words and the end over CLASSES classes until no move helps; every other learned word,
+    however rare, then moves to the class that its own neighbours among them ask for. Words without such a neighbour
+    and the one unknown word have a class of their own. Transitions are smoothed by the classes' shares, emissions are
+    the base probabilities within a class, so the probabilities of all next words sum to 1.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
@@ -217,51 +393,64 @@ def score_documents(docs: DataFrame, held_out) -> DataFrame:
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     size = tokens + ALPHA * (distinct + 1)
     ends = (counts.where("word = ''").agg(F.sum("n")).first()[0]) or 0
-
-    words, n = _held(counts)
-    order = np.lexsort((words.astype(str), -n)) if len(n) else np.zeros(0, np.int64)
-    top = order[:UNIT_WORDS]
-    rest = counts.where(F.col("word") != "")
-    if len(top):
-        rest = rest.join(F.broadcast(spark.createDataFrame([(str(words[i]),) for i in top], "word string")), "word", "left_anti")
-    by_ending = materialise(rest.select("word", "n").mapInArrow(_ending_counts, "code long, n long, words long").groupBy("code").agg(F.sum("n").alias("n"), F.sum("words").alias("words")), "endings")
-    common = by_ending.orderBy(F.desc("n"), "code").limit(UNIT_ENDINGS).collect()
-    others = by_ending.agg(F.sum("n"), F.sum("words")).first()
-
-    units = 2 + len(top) + len(common)
-    mass, members = np.zeros(units), np.zeros(units)
-    mass[_END], members[_END] = ends, 1
-    mass[2 : 2 + len(top)], members[2 : 2 + len(top)] = n[top], 1
-    mass[2 + len(top) :], members[2 + len(top) :] = [r["n"] for r in common], [r["words"] for r in common]
-    mass[_OTHER], members[_OTHER] = (others[0] or 0) - sum(r["n"] for r in common), (others[1] or 0) - sum(r["words"] for r in common)
-
-    codes = np.array([r["code"] for r in common], np.int64)
-    by_code = np.argsort(codes)
-    v = Vocabulary(np.zeros(0, np.uint64), n, np.zeros(0, np.int64), codes[by_code], 2 + len(top) + by_code, units)
-    if len(n):
-        w = Words([x.encode() for x in words])
-        h, unit = w.hashes(), v.endings_of(w)
-        unit[top] = 2 + np.arange(len(top))
-        by_hash = np.argsort(h)
-        v.hashes, v.counts, v.units = h[by_hash], n[by_hash], unit[by_hash]
-    vocabulary = spark.sparkContext.broadcast(v)
-
-    pairs = train.mapInArrow(_bigrams(vocabulary), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most units x units
+    words, n = most_frequent(counts, HELD_WORDS)
+    held = spark.sparkContext.broadcast(Held(words))
+    told = materialise(rows.mapInArrow(_sequences(held), SEQUENCES).withColumn("row", F.monotonically_increasing_id()), "sequences")
+    learned = told.where("not held_out")
+
+    # the most frequent words: exchange among them and ends; what they stand beside else is one more unit
+    anchors = min(ANCHORS, len(words))
+    units = anchors + 2
+    pairs = learned.select("words").mapInArrow(_anchor_pairs(anchors), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most units x units
     grid = np.zeros(units * units)
     grid[pairs.column("pair").to_numpy()] = pairs.column("n").to_numpy()
     grid = grid.reshape(units, units)
     of = exchange_clustering(grid)
-    one = np.eye(of.max() + 1)[of]
-    seen = one.T @ grid @ one
-    share = (one.T @ mass + ALPHA * (one.T @ members) + ALPHA) / size
-    moves = (seen + PRIOR * share / share.sum()) / (seen.sum(axis=1, keepdims=True) + PRIOR)
-    model = spark.sparkContext.broadcast((np.log10((v.counts + ALPHA) / size), of, np.log10(moves / share), float(np.log10((ends + ALPHA) / size)), int(ends > 0)))
-
-    scored = rows.mapInArrow(_score(vocabulary, model), SCORED).withColumn("row", F.monotonically_increasing_id())
-    scored = materialise(scored, "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("word"), F.col("x.times").alias("times"))
-    c = F.coalesce(F.col("n"), F.lit(0))
-    found = rare.join(counts, "word", "left").groupBy("row").agg(F.sum(F.col("times") * F.log10((c + ALPHA) / F.lit(float(size)))).alias("more"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"))
-    out = scored.drop("words", "times").join(found, "row", "left")
-    base = F.col("base") + F.coalesce("more", F.lit(0.0))
-    return out.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("shift")).alias("score"))
+    one = np.eye(of.max() + 1)[of[:-1]]
+    other = int(of.max()) + 1
+
+    # all others, by their own neighbours
+    found = learned.select("words", "rare").mapInArrow(_contexts(of[:-1]), CONTEXTS)
+    total = lambda x: x.groupBy("number", "word", "salt").agg(F.sum("times").alias("times"), F.collect_list("cells").alias("cells"))
+    found = materialise(total(found).mapInArrow(_merge(other), CONTEXTS), "contexts")
+    choose = _choose(fit(one.T @ grid[:-1, :-1] @ one))
+    kinds = "number long, word string, times long, class int"
+    rare = materialise(found.where("salt = 0").withColumn("cells", F.array("cells")).mapInArrow(choose, kinds), "classes")
+    common = total(found.where("salt > 0").withColumn("salt", F.lit(0))).mapInArrow(choose, kinds).select("number", "class").toArrow()  # at most HELD_WORDS rows
+    held_class = np.full(len(words) + 1, other, np.int64)
+    held_class[: anchors + 1] = of[:-1]
+    kind = common.column("class").to_numpy()
+    held_class[common.column("number").to_numpy()] = np.where(kind < 0, other, kind)
+    model = spark.sparkContext.broadcast((np.append(ends, n).astype(np.int64), held_class, other))
+
+    # every text's rare words get their counts and classes; then class transitions, then scores
+    asked = told.select("row", F.posexplode("rare").alias("k", "word"))
+    asked = asked.join(rare.select("word", "times", "class"), "word", "left").groupBy("row").agg(F.collect_list(F.struct("k", F.coalesce("times", F.lit(0)).alias("n"), F.coalesce("class", F.lit(-1)).alias("c"))).alias("found"))
+    joined = told.drop("rare").join(asked, "row", "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<k:int,n:bigint,c:int>>")))
+    joined = materialise(joined.select("words", "found", "doc_id", "held_out"), "joined")
+    pairs = joined.where("not held_out").select("words", "found").mapInArrow(_class_pairs(model), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # classes squared
+    seen = np.zeros((other + 1) ** 2)
+    seen[pairs.column("pair").to_numpy()] = pairs.column("n").to_numpy()
+    shift = transitions(seen.reshape(other + 1, other + 1), class_shares(spark, rare, model.value, ends, size))
+    out = joined.mapInArrow(_score(model, shift, float(size), int(ends)), SCORED)
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def class_shares(spark, rare: DataFrame, model: tuple, ends: int, size: float) -> np.ndarray:
+    """The base probability of each class: of its words, and for the last one of the unknown word too."""
+    counts, of, other = model
+    mass, members = np.bincount(of, weights=counts, minlength=other + 1), np.bincount(of, minlength=other + 1).astype(float)
+    if not ends:  # nothing was learned, not even an end
+        members[of[_END]] -= 1
+    for r in rare.groupBy("class").agg(F.sum("times").alias("n"), F.count("*").alias("words")).collect():  # one row a class
+        c = other if r["class"] < 0 else r["class"]
+        mass[c] += r["n"]
+        members[c] += r["words"]
+    members[other] += 1
+    return (mass + ALPHA * members) / size
+
+
+def transitions(seen: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """log10 of P(class | class before) over the class's share."""
+    moves = (seen + PRIOR * share) / (seen.sum(axis=1, keepdims=True) + PRIOR * share.sum())
+    return np.log10(np.maximum(moves, 1e-300) / np.maximum(share, 1e-300))
