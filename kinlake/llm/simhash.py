@@ -184,9 +184,11 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
 STAGE_SHINGLE, SIMILAR = 5, 0.8
 #: Bands of minima: a pair at the least similarity shares one with probability 1 - (1 - 0.8 ** 6) ** 24 = 0.9993.
 BANDS, BAND_ROWS = 24, 6
-#: Leaders of a bucket whose documents the first comparison leaves apart; in a bucket of at most so many each is one.
-LEADERS = 100
-_ODD = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, BANDS * BAND_ROWS + STAGE_SHINGLE, dtype=np.uint64) | np.uint64(1)
+#: Documents of a bucket that are held against all of other groups there, where the first comparison leaves it in several groups, by round.
+LEADERS = (4, 12)
+#: Bands of more minima for the documents of larger buckets that are in several groups even then: 1 - (1 - 0.8 ** 12) ** 100 = 0.9992.
+LONG_BANDS, LONG_ROWS = 100, 12
+_ODD = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, LONG_BANDS * LONG_ROWS + STAGE_SHINGLE, dtype=np.uint64) | np.uint64(1)
 
 
 def _shingles(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -209,20 +211,24 @@ def _shingles(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return out, starts
 
 
-@tidy
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bands(bands: int, size: int):
     """(row, text) to (row, one key a band): texts of equal minima in a band share its key."""
-    for batch in batches:
-        for lo, hi, texts in text_chunks(batch.column(1)):
-            hashes, starts = _shingles(texts)
-            keys = np.empty((hi - lo, BANDS), np.uint64)
-            for b in range(BANDS):
-                key = np.full(hi - lo, b, np.uint64)
-                for odd in _ODD[STAGE_SHINGLE + b * BAND_ROWS :][:BAND_ROWS]:
-                    key = mix(key ^ np.minimum.reduceat(hashes * odd, starts))
-                keys[:, b] = key
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], names=["row", "keys"])
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, texts in text_chunks(batch.column(1)):
+                hashes, starts = _shingles(texts)
+                keys = np.empty((hi - lo, bands), np.uint64)
+                for b in range(bands):
+                    key = np.full(hi - lo, b, np.uint64)
+                    for odd in _ODD[STAGE_SHINGLE + b * size :][:size]:
+                        key = mix(key ^ np.minimum.reduceat(hashes * odd, starts))
+                    keys[:, b] = key
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1, dtype=np.int32) * bands), pa.array(keys.reshape(-1).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], names=["row", "keys"])
+
+    return run
 
 
 @tidy
@@ -238,33 +244,65 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have at least the similarity, counted exactly."""
+    """The rows of pairs (a, b, ...) whose shingle sets have at least the similarity, counted exactly."""
     side = lambda c: sets.select(F.col("row").alias(c), F.col("shingles").alias(f"set_{c}"))
     both = F.size(F.array_intersect("set_a", "set_b"))
-    rows = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", both.alias("both"), (F.size("set_a") + F.size("set_b")).alias("sizes"))
-    return rows.where(F.col("both") >= SIMILAR * (F.col("sizes") - F.col("both")) - 1e-9).select("a", "b")
+    rows = pairs.join(side("a"), "a").join(side("b"), "b").select(*pairs.columns, both.alias("both"), (F.size("set_a") + F.size("set_b")).alias("sizes"))
+    return rows.where(F.col("both") >= SIMILAR * (F.col("sizes") - F.col("both")) - 1e-9).select(*pairs.columns)
+
+
+def _buckets(texts: DataFrame, bands: int, size: int) -> DataFrame:
+    """(key, row, first, n): the documents of each bucket of several, the first of them, and their number."""
+    found = materialise(texts.select("row", "text").mapInArrow(_bands(bands, size), "row long, keys array<long>"), "bands")
+    keys = found.select("row", F.explode("keys").alias("key")).distinct()
+    several = keys.groupBy("key").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1")
+    return materialise(keys.join(small(materialise(several, "buckets")), "key"), "shared")
+
+
+def _in_several_groups(buckets: DataFrame, names: DataFrame, over: int) -> DataFrame:
+    """Rows of buckets of over `over` documents that are not all of one root, with their roots."""
+    rooted = materialise(buckets.join(names, "row"), "rooted")
+    still = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.max("n").alias("of")).where(F.expr("least <> most") & (F.col("of") > over)).select("key")
+    return rooted.join(small(materialise(still, "open")), "key")
+
+
+def _merge(buckets: DataFrame, names: DataFrame, sets: DataFrame, leaders: tuple[int, ...]) -> DataFrame:
+    """names (row, root) after growing numbers of a bucket's documents were held against those of other groups in it. In buckets of at
+    most leaders[-1] documents that is every pair of different groups."""
+    low = 0
+    for high in leaders:
+        rest = _in_several_groups(buckets, names, low).where("first is null or row <> first").withColumn("rank", F.pmod(F.xxhash64("key", "row"), F.col("n"))).where(F.col("rank") >= low)
+        rest = materialise(rest.select("key", "row", "root", "rank"), "rest")
+        if rest.isEmpty():
+            break
+        lead = rest.where(F.col("rank") < high).select("key", F.col("row").alias("lead"), F.col("root").alias("lead_root"))
+        before = F.col("row") < F.col("lead")
+        either = lambda x, y: F.when(before, F.col(x)).otherwise(F.col(y))
+        pairs = rest.join(lead, "key").where("root <> lead_root").select(either("row", "lead").alias("a"), either("lead", "row").alias("b"), either("root", "lead_root").alias("root_a"), either("lead_root", "root").alias("root_b")).distinct()
+        new = materialise(_similar(pairs, sets).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "near")
+        if not new.isEmpty():
+            merged = small(materialise(components(new).select(F.col("node").alias("root"), F.col("root").alias("into")), "merged"))
+            names = materialise(names.join(merged, "root", "left").select("row", F.coalesce("into", "root").alias("root")), "names")
+        low = high
+    return names
 
 
 def near_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two tables of doc_id and text_key: the rows that drop_near_copies removes, and of the others those names that several rows have."""
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text").withColumn("row", F.xxhash64("doc_id", "text_key"))
-    found = materialise(named.select("row", "text").mapInArrow(_bands, "row long, keys array<long>"), "bands")
-    keys = found.select("row", F.explode("keys").alias("key")).distinct()
-    buckets = keys.groupBy("key").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1")
-    shared = materialise(keys.join(small(materialise(buckets, "buckets")), "key"), "shared")
+    shared = _buckets(named, BANDS, BAND_ROWS)
     ids = small(materialise(shared.select("row").distinct(), "rows"))
     sets = materialise(named.join(ids, "row", "left_semi").select("row", "text").mapInArrow(_sets, "row long, shingles array<long>").dropDuplicates(["row"]), "sets")
     # every document against the first of each of its buckets: as many pairs as rows, whatever a bucket's size
     links = materialise(_similar(shared.where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b")).distinct(), sets), "near")
-    # buckets that this leaves in several groups: documents of different groups, one of them a leader
-    roots = small(materialise(components(links), "roots"))
-    grouped = shared.join(roots.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
-    open_ = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    rest = materialise(grouped.where("row <> first").join(small(materialise(open_, "open")), "key"), "rest")
-    lead = rest.where(F.pmod(F.xxhash64("key", "row"), F.col("n")) < LEADERS).select("key", F.col("row").alias("lead"), F.col("root").alias("lead_root"))
-    pairs = rest.join(lead, "key").where("root <> lead_root").select(F.least("row", "lead").alias("a"), F.greatest("row", "lead").alias("b")).distinct()
-    links = materialise(links.unionByName(_similar(pairs, sets)), "near")
-    members = materialise(components(links).withColumnRenamed("node", "row").join(named.select("row", "doc_id", "text_key"), "row"), "members")
+    roots = small(materialise(components(links).withColumnRenamed("node", "row"), "roots"))
+    names = materialise(ids.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row")), "names")
+    names = _merge(shared, names, sets, LEADERS)
+    left = materialise(_in_several_groups(shared, names, LEADERS[-1]).select("row").distinct(), "left")
+    if not left.isEmpty():
+        finer = _buckets(named.join(small(left), "row", "left_semi"), LONG_BANDS, LONG_ROWS).withColumn("first", F.lit(None).cast("long"))
+        names = _merge(finer, names, sets, LEADERS[:1])
+    members = materialise(names.join(named.select("row", "doc_id", "text_key"), "row"), "members")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     kept = members.groupBy("root").agg(F.min(rank).alias("kept")).repartition("root")
     again = named.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
@@ -279,7 +317,9 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     Near copies have sets of five-word shingles (texts as in simhash_groups) of Jaccard similarity 0.8 or more; groups
     are what such pairs link. 64 bits of SimHash differ by 10 on average at 0.8, so that no blocks of a useful length
     stay equal within a radius that holds most pairs. Candidates are therefore the documents that share a band of
-    minima of their shingles' hashes, and each pair that counts is checked against both full sets.
+    minima of their shingles' hashes, and each pair that counts is checked against both full sets. Each document is held against
+    the first of its buckets; where that leaves a bucket in several groups, growing numbers of its documents are held against
+    those of other groups. Larger buckets that are in several groups even then are dealt anew by longer bands.
     """
     gone, again = near_copies(docs)
     return one_of_each(remove_rows(docs, gone), again)
