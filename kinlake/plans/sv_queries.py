@@ -319,35 +319,56 @@ def g21_overlap_proportions(spark, d):
     return met.groupBy("name").agg(F.count("b_name").alias("n_regions"), F.round(F.coalesce(F.max(share), F.lit(0.0)), 8).alias("best"))
 
 
-def _family_input(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _family_input(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     n = F.regexp_extract("name", r"^SV(\d+)_", 1).cast("long")
-    calls = _sv(spark, d).withColumns({"genes": F.when(n % 4 == 0, F.array(F.lit("G1"), F.concat(F.lit("G"), (n % 20).cast("string")))).otherwise(F.array(F.concat(F.lit("G"), (n % 20).cast("string")))), "is_lof": n % 2 == 0, "in_gd": n % 15 == 0, "gnomad_af": F.col("gnomad_af") / 20})
-    genes = calls.select(F.explode("genes").alias("gene")).distinct().withColumns({"omim": F.col("gene").isin("G1", "G2", "G3"), "hpo": F.col("gene") == "G5", "in_list": F.col("gene").isin("G2", "G7")})
-    return calls, genes
-
-
-_FAM = """n AS (SELECT v.*, CAST(substr(name, 3, strpos(name, '_') - 3) AS BIGINT) AS k FROM v_sv v), rare AS (SELECT * FROM n WHERE coalesce(gnomad_af / 20, 0) <= 0.001),
-c AS (SELECT r.name, r.k, r.chrom, r.svtype, x.s, p.family_id, p.sex, phenotype = 2 AS aff, p.paternal_id, p.maternal_id FROM rare r JOIN v_sv_carriers x USING (name) JOIN v_ped p ON p.sample_id = x.s),
-f AS (SELECT name, family_id, count(*) AS sc_fam, count(*) FILTER (aff) AS sc_fam_aff, count(*) FILTER (NOT aff) AS sc_fam_unaff, string_agg(s, ',' ORDER BY s) FILTER (aff) AS affected_carriers FROM c GROUP BY name, family_id),
-a AS (SELECT name, count(*) FILTER (aff) AS sc_all_aff, count(*) FILTER (NOT aff) AS sc_all_unaff FROM c GROUP BY name),
-i AS (SELECT name, family_id, bool_or(dad OR mom) AS inherited, bool_or(dad AND mom) AS filt_ar, bool_or(sex = 1 AND chrom = 'chrX' AND mom AND NOT dad) AS filt_xlr FROM (SELECT c.*, EXISTS (SELECT 1 FROM v_sv_carriers y WHERE y.name = c.name AND y.s = c.paternal_id) AS dad, EXISTS (SELECT 1 FROM v_sv_carriers y WHERE y.name = c.name AND y.s = c.maternal_id) AS mom FROM c WHERE aff AND paternal_id IS NOT NULL) GROUP BY name, family_id)"""
-
-
-@query(f"""WITH {_FAM} SELECT f.*, sc_all_aff, sc_all_unaff, sc_fam_unaff = 0 AS filt_absent_unaff, coalesce(inherited, false) AS inherited, coalesce(filt_ar, false) AS filt_ar, coalesce(filt_xlr, false) AS filt_xlr,
-(r.k % 4 = 0 OR r.k % 20 IN (1, 2, 3)) AS omim_match, r.k % 20 IN (2, 7) AS in_list_match, r.k % 2 = 0 AS is_lof
-FROM f JOIN a USING (name) JOIN rare r USING (name) LEFT JOIN i ON i.name = f.name AND i.family_id = f.family_id WHERE sc_fam_aff > 0""", "v_sv", "v_sv_carriers", "v_ped")
+    gene = lambda x: F.concat(F.lit("G"), x.cast("string"))
+    gt = V.view(spark, d, "v_sv_gt")
+    counts = gt.groupBy("name").agg(F.sum(F.when(F.col("gt") == "1/1", 2).when(F.col("gt") == "./.", 0).otherwise(1)).alias("ac"), F.sum(F.when(F.col("gt") == "1/1", 1).otherwise(0)).alias("n_homalt"))
+    calls = _sv(spark, d).join(counts, "name").withColumns({
+        "genes": F.when(n % 4 == 0, F.array(F.lit("G1"), gene(n % 20))).otherwise(F.array(gene(n % 20))), "lof_genes": F.when(n % 2 == 0, F.array(gene(n % 20))).otherwise(F.array().cast("array<string>")),
+        "in_gd": n % 15 == 0, "gnomad_af": F.col("gnomad_af") / 20, "chr2": F.when((F.col("svtype") == "CTX") & (n % 9 == 2), F.lit("chrX")),
+    })
+    listed = {"omim": ("G1", "G2", "G3"), "in_list": ("G2", "G7"), "constrained": ("G4", "G9", "G11")}
+    genes = calls.select(F.explode("genes").alias("gene")).distinct().withColumns({k: F.col("gene").isin(*v) for k, v in listed.items()})
+    terms = _ped(spark, d).select(F.col("sample_id").alias("s"), gene(F.substring("sample_id", 2, 20).cast("long") % 20).alias("gene"))
+    return {"sv": calls, "gt": gt, "ped": _ped(spark, d), "genes": genes, "terms": terms}
+
+
+_FAM = """n AS (SELECT v.*, CAST(substr(name, 3, strpos(name, '_') - 3) AS BIGINT) AS k FROM v_sv v), t AS (SELECT name, sum(CASE gt WHEN '1/1' THEN 2 WHEN './.' THEN 0 ELSE 1 END) AS ac, count(*) FILTER (gt = '1/1') AS n_homalt FROM v_sv_gt GROUP BY name),
+rare AS (SELECT n.*, ac, n_homalt, k % 15 = 0 AS in_gd FROM n JOIN t USING (name) WHERE coalesce(gnomad_af / 20, 0) <= 0.001),
+dads AS (SELECT DISTINCT family_id, paternal_id AS s FROM v_ped WHERE paternal_id IS NOT NULL), moms AS (SELECT DISTINCT family_id, maternal_id AS s FROM v_ped WHERE maternal_id IS NOT NULL),
+p AS (SELECT v.family_id, v.sample_id AS s, phenotype = 2 AS aff, phenotype = 1 AS unaff, phenotype = 2 AND sex = 1 AND paternal_id IS NOT NULL AND maternal_id IS NOT NULL AS boy, d.s IS NOT NULL AS dad, m.s IS NOT NULL AS mom, paternal_id IS NOT NULL AND maternal_id IS NOT NULL AS kid
+  FROM v_ped v LEFT JOIN dads d ON d.family_id = v.family_id AND d.s = v.sample_id LEFT JOIN moms m ON m.family_id = v.family_id AND m.s = v.sample_id),
+fam AS (SELECT family_id, count(*) FILTER (aff) AS n_aff, count(*) FILTER (boy) AS n_boys, bool_or(kid) AND bool_or(dad) AND bool_or(mom) AS is_trio FROM p GROUP BY family_id),
+c AS (SELECT r.name, p.*, CASE gt WHEN '1/0' THEN '0/1' ELSE gt END AS gt FROM rare r JOIN v_sv_carriers x USING (name) JOIN p ON p.s = x.s LEFT JOIN v_sv_gt g ON g.name = r.name AND g.s = x.s),
+a AS (SELECT name, count(*) FILTER (aff) AS sc_all_aff, count(*) FILTER (unaff) AS sc_all_unaff FROM c GROUP BY name),
+f AS (SELECT name, family_id, count(*) AS sc_fam, count(*) FILTER (aff) AS sc_fam_aff, count(*) FILTER (unaff) AS sc_fam_unaff, string_agg(s, ',' ORDER BY s) FILTER (aff) AS affected_carriers, count(*) FILTER (aff AND gt = '0/1') AS aff_het,
+  count(*) FILTER (aff AND gt = '1/1') > 0 AS aff_hom, count(*) FILTER (unaff AND gt = '1/1') > 0 AS unaff_hom, count(*) FILTER (boy AND gt IN ('1/1', '1')) > 0 AS boy_hemi, count(*) FILTER (unaff AND gt IN ('1/1', '1')) > 0 AS unaff_hemi,
+  count(*) FILTER (dad AND gt = '0/1') > 0 AS dad_het, count(*) FILTER (mom AND gt = '0/1') > 0 AS mom_het FROM c GROUP BY name, family_id),
+x AS (SELECT f.*, r.k, r.chrom, r.svtype, r.in_gd, r.n_homalt, ac, sc_all_aff, sc_all_unaff, n_aff, n_boys, is_trio, sc_fam_unaff = 0 AND ac <= 10 AND sc_all_unaff <= 5 AS filt_absent_unaff, aff_het = n_aff AND dad_het AND NOT mom_het AS from_dad, aff_het = n_aff AND mom_het AND NOT dad_het AS from_mom
+  FROM f JOIN a USING (name) JOIN rare r USING (name) JOIN fam USING (family_id) WHERE sc_fam_aff > 0),
+xg AS (SELECT x.*, concat('G', k % 20) AS gene FROM x UNION ALL SELECT x.*, 'G1' FROM x WHERE k % 4 = 0 AND k % 20 <> 1)"""
+
+
+@query(f"""WITH {_FAM}, h AS (SELECT l.name, l.family_id, count(DISTINCT o.name) > 1 AND (NOT l.is_trio OR (bool_or(o.from_dad) AND bool_or(o.filt_absent_unaff)) OR (bool_or(o.from_mom) AND bool_or(o.filt_absent_unaff)) OR (bool_or(o.from_dad) AND bool_or(o.from_mom))) AS filt_mult_hit
+  FROM xg l JOIN xg o ON o.family_id = l.family_id AND o.gene = l.gene GROUP BY l.name, l.family_id, l.is_trio),
+y AS (SELECT x.*, filt_mult_hit, aff_hom AND NOT unaff_hom AND n_homalt <= 10 AS filt_ar, CASE WHEN n_boys > 0 THEN boy_hemi AND NOT unaff_hemi AND (chrom = 'chrX' OR (svtype = 'CTX' AND k % 9 = 2)) END AS filt_xlr,
+  k % 20 IN (2, 7) AS in_list_match, k % 20 IN (4, 9, 11) AS constrained_match, k % 4 = 0 OR k % 20 IN (1, 2, 3) AS omim_match, k % 2 = 0 AS is_lof, k % 20 = 2 AS is_lof_genelist FROM x JOIN h USING (name, family_id)),
+z AS (SELECT y.*, (in_list_match OR constrained_match) AND ac <= 10 AND sc_all_unaff <= 5 AND sc_fam_unaff > 0 AS filt_inherited FROM y),
+hpo AS (SELECT DISTINCT c.name, c.family_id FROM c JOIN xg USING (name, family_id) WHERE c.aff AND gene = concat('G', CAST(substr(c.s, 2) AS BIGINT) % 20))
+SELECT name, family_id, chrom, svtype, sc_fam, sc_fam_aff, sc_fam_unaff, sc_all_aff, sc_all_unaff, affected_carriers, in_gd, filt_absent_unaff, filt_mult_hit, filt_ar, filt_xlr, filt_inherited, omim_match, in_list_match, constrained_match, hpo.name IS NOT NULL AS hpo_match, is_lof, is_lof_genelist
+FROM z LEFT JOIN hpo USING (name, family_id) WHERE in_gd OR filt_absent_unaff OR filt_mult_hit OR filt_ar OR coalesce(filt_xlr, false) OR filt_inherited""", "v_sv", "v_sv_carriers", "v_sv_gt", "v_ped")
 def g19_family_filter(spark, d):
-    calls, genes = _family_input(spark, d)
-    out = family.family_filter(calls, _ped(spark, d), genes)
-    return out.select("name", "family_id", "sc_fam", "sc_fam_aff", "sc_fam_unaff", "affected_carriers", "sc_all_aff", "sc_all_unaff", "filt_absent_unaff", "inherited", "filt_ar", "filt_xlr", "omim_match", "in_list_match", "is_lof")
+    return family.family_filter(**_family_input(spark, d))
 
 
-@query("""WITH n AS (SELECT name, CAST(substr(name, 3, strpos(name, '_') - 3) AS BIGINT) AS k FROM v_sv), g AS (SELECT name, concat('G', k % 20) AS gene FROM n UNION SELECT name, 'G1' FROM n WHERE k % 4 = 0),
-c AS (SELECT x.name, x.s, p.family_id, EXISTS (SELECT 1 FROM v_sv_carriers y WHERE y.name = x.name AND y.s = p.paternal_id) AS dad, EXISTS (SELECT 1 FROM v_sv_carriers y WHERE y.name = x.name AND y.s = p.maternal_id) AS mom FROM v_sv_carriers x JOIN v_ped p ON p.sample_id = x.s AND p.paternal_id IS NOT NULL),
-h AS (SELECT family_id, s, gene, count(DISTINCT name) AS n, count(DISTINCT CASE WHEN dad AND NOT mom THEN 'f' WHEN mom AND NOT dad THEN 'm' WHEN NOT dad AND NOT mom THEN 'n' END) AS o FROM c JOIN g USING (name) GROUP BY family_id, s, gene)
-SELECT family_id, gene, max(n) > 1 AS multi_hit, max(o) > 1 AS trio_multi_hit FROM h GROUP BY family_id, gene""", "v_sv", "v_sv_carriers", "v_ped")
+@query(f"""WITH {_FAM} SELECT family_id, gene, count(*) AS n_calls, count(*) > 1 AND (NOT is_trio OR (count(*) FILTER (from_dad) > 0 AND count(*) FILTER (from_mom OR filt_absent_unaff) > 0) OR (count(*) FILTER (from_mom) > 0 AND count(*) FILTER (filt_absent_unaff) > 0)) AS multi_hit
+FROM xg GROUP BY family_id, gene, is_trio""", "v_sv", "v_sv_carriers", "v_sv_gt", "v_ped")
 def g20_multi_hit(spark, d):
-    return family.multi_hit(_family_input(spark, d)[0], _ped(spark, d))
+    x = _family_input(spark, d)
+    rows = family.family_rows(x["sv"], x["gt"], x["ped"])
+    hits = family.multi_hit(rows).join(rows.select("family_id", "is_trio").distinct(), "family_id")
+    return hits.select("family_id", "gene", "n_calls", family.is_hit(*[F.col(k) for k in ("is_trio", "n_calls", "from_father", "from_mother", "is_new")]).alias("multi_hit"))
 
 
 def _calls(spark: SparkSession, d: str) -> DataFrame:

@@ -77,6 +77,10 @@ SELECT concat('SV', l_partkey, '_', l_linenumber) AS name, {_contig('l_partkey')
 FROM {{lineitem}} GROUP BY l_partkey, l_linenumber""",
     "v_sv_carriers": """
 SELECT DISTINCT concat('SV', l_partkey, '_', l_linenumber) AS name, concat('S', o_custkey) AS s FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
+    "v_sv_gt": """
+SELECT concat('SV', l_partkey, '_', l_linenumber) AS name, concat('S', o_custkey) AS s,
+  CASE WHEN max(l_quantity) > 38 THEN '1/1' WHEN max(l_quantity) > 34 THEN '1/0' WHEN max(l_quantity) > 30 THEN '1' WHEN max(l_quantity) = 7 THEN './.' ELSE '0/1' END AS gt
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey GROUP BY l_partkey, l_linenumber, o_custkey""",
     "v_raw": f"""
 SELECT DISTINCT {_contig('l_partkey')} AS chrom, CAST(1000 * floor(l_partkey / 24) + 100 * l_linenumber + l_orderkey % 200 - 100 AS INT) AS start_pos,
   CAST(1000 * floor(l_partkey / 24) + 100 * l_linenumber + l_orderkey % 200 - 100 + 40 * l_quantity * (1 + l_partkey % 5) AS INT) AS end_pos,
