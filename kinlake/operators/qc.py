@@ -174,17 +174,32 @@ def sex_aware_sample_call_rate(entries: DataFrame, ped: DataFrame) -> DataFrame:
     return per.crossJoin(F.broadcast(sites)).select("s", rate.alias("call_rate"))
 
 
-def infer_sex(entries: DataFrame, least_called: int = 10) -> DataFrame:
-    """By sample: het to hom-var ratio on X (under 0.05 male, over 0.4 female; null with too few calls), ploidy of Y as twice its mean
-    depth over the autosomal one, and the inferred sex (1, 2, 0 unknown, -1 female with a Y, -2 male without one). Het calls count
-    with an allele balance of 0.3 to 0.7."""
-    x, y, auto = locus.in_x_nonpar(), locus.in_y_nonpar(), locus.in_autosome()
-    het = gt.is_het() & gt.allele_balance().between(0.3, 0.7)
-    per = entries.groupBy("s").agg(_count(x & gt.is_defined()).alias("x_called"), _count(x & het).alias("x_het"), _count(x & gt.is_hom_var()).alias("x_hom_var"), F.avg(F.when(y, F.col("DP"))).alias("y_dp"), F.avg(F.when(auto, F.col("DP"))).alias("auto_dp"))
-    ratio = F.when(F.col("x_called") > least_called, gt.ratio(F.col("x_het"), F.col("x_hom_var")))
-    out = per.withColumns({"x_ratio": ratio, "y_ploidy": gt.ratio(2 * F.coalesce("y_dp", F.lit(0.0)), F.col("auto_dp"))})
-    has_y = F.col("y_ploidy") > 0.5
-    return out.withColumn("sex", F.when(F.col("x_ratio") > 0.4, F.when(has_y, -1).otherwise(2)).when(F.col("x_ratio") < 0.05, F.when(has_y, 1).otherwise(-2)).otherwise(0))
+def sex_of(row: dict[str, Column], least_called: int = 10) -> Column:
+    """Inferred sex of infer_sex's columns: 1 or 2 by the het to hom-var ratio on X (under 0.05, over 0.4; more than least_called calls),
+    -1 where a male ratio goes with a lost Y, -2 where a female ratio goes with a Y, -9 where nothing can be said."""
+    ratio = gt.ratio(row["x_het"], F.when(row["x_hom_var"] > 0, row["x_hom_var"]))
+    enough = row["x_called"] > least_called
+    base = F.when(enough & (ratio < 0.05), 1).when(enough & (ratio > 0.4), 2).otherwise(-9)
+    on_y = row["y_called"] > 0
+    return F.when(on_y & (base == 1) & (row["y_ploidy"] < 0.4), -1).when(on_y & (base == 2) & (row["y_ploidy"] > 0.4), -2).otherwise(base)
+
+
+def infer_sex(entries: DataFrame, least_called: int = 10, least_dp: int = 7) -> DataFrame:
+    """By sample: het and hom-var calls and all calls on X, calls on Y, ploidies of X and Y, and the inferred sex (see sex_of).
+
+    A call with no depth, and a het call with an allele balance outside 0.3 to 0.7, is missing. On X entries need a depth of
+    least_dp; a ploidy is twice the mean depth there (on Y of every entry) over that of all called entries of at least least_dp.
+    """
+    x, y = locus.in_x_nonpar(), locus.in_y_nonpar()
+    called = gt.is_defined() & (F.col("DP") != 0) & ~F.coalesce(gt.is_het() & ~F.coalesce(gt.allele_balance().between(0.3, 0.7), F.lit(False)), F.lit(False))
+    deep = F.col("DP") >= least_dp
+    mean = lambda c: F.avg(F.when(c, F.col("DP")))
+    per = entries.withColumns({"__called": called, "__x": x & deep, "__y": y}).groupBy("s").agg(
+        _count(F.col("__x") & F.col("__called")).alias("x_called"), _count(F.col("__x") & F.col("__called") & gt.is_het()).alias("x_het"), _count(F.col("__x") & F.col("__called") & gt.is_hom_var()).alias("x_hom_var"),
+        _count(F.col("__y") & F.col("__called")).alias("y_called"), mean(F.col("__x")).alias("x_dp"), mean(F.col("__y")).alias("y_dp"), mean(F.col("__called") & deep).alias("all_dp"),
+    )
+    out = per.withColumns({"x_ploidy": gt.ratio(2 * F.col("x_dp"), F.col("all_dp")), "y_ploidy": gt.ratio(2 * F.col("y_dp"), F.col("all_dp"))}).drop("x_dp", "y_dp", "all_dp")
+    return out.withColumn("sex", sex_of({c: F.col(c) for c in out.columns}, least_called))
 
 
 def subset_samples(entries: DataFrame, samples: DataFrame) -> DataFrame:

@@ -54,19 +54,22 @@ def sort_variants(df: DataFrame) -> DataFrame:
 
 
 def downsample(df: DataFrame, total: int, sample: str = "SAMPLE", key: str = "VarKey", first: str | None = None) -> DataFrame:
-    """At most total / samples rows a sample, picked by hash of the key; rows where `first` holds are picked before others."""
-    n = df.agg(F.countDistinct(sample).alias("samples"))
-    order = [F.desc(F.coalesce(F.col(first), F.lit(False)))] if first else []
-    rank = F.row_number().over(Window.partitionBy(sample).orderBy(*order, F.xxhash64(key), key))
-    return df.withColumn("__r", rank).crossJoin(F.broadcast(n)).where(F.col("__r") <= F.floor(F.lit(total) / F.greatest("samples", F.lit(1)))).drop("__r", "samples")
-
-
-def chunk_ids(ids: DataFrame, size: int, key: str = "s") -> DataFrame:
-    """Ids (a pedigree's samples or families) in runs of `size` by name. Runs are numbered within hash groups of the ids, each group a
-    task; a group's last run may be shorter."""
-    groups = max(1, int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = ids.select(key).distinct().withColumn("g", F.pmod(F.xxhash64(key), F.lit(groups)))
-    return rows.withColumn("k", F.floor((F.row_number().over(Window.partitionBy("g").orderBy(key)) - 1) / size)).select(key, F.concat_ws("-", F.col("g").cast("string"), F.col("k").cast("string")).alias("chunk"))
+    """All rows where `first` holds, and of the others an equal number from every sample, the rest of total shared out (rounded down, so
+    none where the others' samples outnumber it). Which ones goes by the md5 of the key."""
+    of_first = F.coalesce(F.col(first), F.lit(False)) if first else F.lit(False)
+    rows = df.withColumn("__first", of_first)
+    sizes = rows.agg(F.sum(F.col("__first").cast("int")).alias("__n"), F.countDistinct(F.when(~F.col("__first"), F.col(sample))).alias("__samples"))
+    rank = F.row_number().over(Window.partitionBy(sample).orderBy(F.md5(key), key))
+    others = rows.where("not __first").withColumn("__r", rank).crossJoin(F.broadcast(sizes))
+    share = F.floor(F.greatest(F.lit(total) - F.col("__n"), F.lit(0)) / F.greatest("__samples", F.lit(1)))
+    return rows.where("__first").drop("__first").unionByName(others.where(F.col("__r") <= share).drop("__r", "__n", "__samples", "__first"))
+
+
+def chunk_ids(ids: DataFrame, size: int, key: str = "s", digits: int = 2) -> DataFrame:
+    """Ids (a pedigree's samples or families) in runs of `size` by name. Runs are numbered within groups by the first hex digits of the
+    ids' md5, each group a task; a group's last run may be shorter."""
+    rows = ids.select(key).distinct().withColumn("g", F.substring(F.md5(key), 1, digits))
+    return rows.withColumn("k", F.floor((F.row_number().over(Window.partitionBy("g").orderBy(key)) - 1) / size)).select(key, F.concat_ws("-", "g", F.col("k").cast("string")).alias("chunk"))
 
 
 def chunk_pairs(chunks: DataFrame) -> DataFrame:

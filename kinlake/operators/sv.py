@@ -119,21 +119,31 @@ def parent_median_coverage(calls: DataFrame, trios: DataFrame, coverage: DataFra
     return out.withColumn("low_coverage", F.coalesce(F.least("father_median", "mother_median") < cutoff, F.lit(False)))
 
 
+def disorder_calls(regions: DataFrame, calls: DataFrame, by: str, f: float = 0.3) -> DataFrame:
+    """Pairs of a region and a call of the same type that counts for it: either they overlap reciprocally by f, or the calls of one
+    sample or family (column `by`) together cover f of the region and no one call of it alone covers f of this region or of another
+    that overlaps it. Columns of both (calls with the prefix b_) and reciprocal."""
+    size, own = F.greatest(F.col("end") - F.col("start"), F.lit(1)), ["name", "chrom", "svtype", "start", "end", f"b_{by}"]
+    met = interval.pairs(regions, calls, ["chrom", "svtype"]).withColumn("alone", F.col("overlap") >= f * size)
+    met = met.withColumn("reciprocal", F.col("alone") & (F.col("overlap") >= f * F.greatest(F.col("b_end") - F.col("b_start"), F.lit(1))))
+    together = _covered(met, own).where(F.col("covered") >= f * size).drop("covered").withColumn("id", F.concat_ws("|", "name", "svtype", f"b_{by}"))
+    single = met.where("alone").select(*own).distinct().withColumnRenamed(f"b_{by}", by).drop("name")
+    kept = interval.overlap_anti(together.withColumnRenamed(f"b_{by}", by), single, ["chrom", "svtype", by], id_col="id").select("name", "svtype", F.col(by).alias(f"b_{by}"), F.lit(True).alias("kept"))
+    return met.join(kept, ["name", "svtype", f"b_{by}"], "left").where(F.col("reciprocal") | F.col("kept"))
+
+
 def genomic_disorders(raw_depth: DataFrame, gd: DataFrame, ped: DataFrame, f: float = 0.3) -> DataFrame:
-    """Depth calls of each child over disorder regions of the same type: reciprocally overlapping by f, or together covering f of the
-    region; de novo where no parent's depth call of that type covers f of the region. gd: name, chrom, start, end, svtype."""
+    """Depth calls of each child that count for a disorder region (see disorder_calls); de novo where no call of the same type that
+    counts in a parent covers f of the child's call. gd: name, chrom, start, end, svtype (several joined by ;)."""
     regions = gd.withColumn("svtype", F.explode(F.split("svtype", ";")))
     raw = reshape_raw(raw_depth, ped)
-    kids = raw.where("not is_parent")
-    pairs = interval.pairs(regions, kids, ["chrom", "svtype"])
-    size = F.col("end") - F.col("start")
-    by_kid = _covered(pairs, ["name", "chrom", "svtype", "start", "end", "b_s", "b_family_id"]).withColumn("hit", F.col("covered") >= f * size)
-    recip = pairs.where((F.col("overlap") >= f * size) & (F.col("overlap") >= f * (F.col("b_end") - F.col("b_start")))).select("name", "svtype", "b_s").distinct().withColumn("recip", F.lit(True))
-    found = by_kid.join(recip, ["name", "svtype", "b_s"], "left").where(F.col("hit") | F.col("recip"))
-    parents = interval.pairs(regions, raw.where("is_parent"), ["chrom", "svtype"])
-    held = _covered(parents, ["name", "svtype", "start", "end", "b_family_id", "b_s"]).where(F.col("covered") >= f * size).select("name", "svtype", "b_family_id").distinct().withColumn("in_parent", F.lit(True))
-    out = found.join(held, ["name", "svtype", "b_family_id"], "left")
-    return out.select("name", "svtype", F.col("b_s").alias("s"), F.col("b_family_id").alias("family_id"), F.coalesce("recip", F.lit(False)).alias("reciprocal"), F.col("in_parent").isNull().alias("is_de_novo"))
+    kids = disorder_calls(regions, raw.where("not is_parent"), "s", f)
+    kids = kids.select("name", "svtype", F.col("b_s").alias("s"), F.col("b_family_id").alias("family_id"), "chrom", F.col("b_start").alias("start"), F.col("b_end").alias("end"), "reciprocal").distinct()
+    parents = disorder_calls(regions, raw.where("is_parent"), "family_id", f)
+    parents = parents.select("svtype", F.col("b_family_id").alias("family_id"), "chrom", F.col("b_start").alias("start"), F.col("b_end").alias("end")).distinct()
+    call = ["s", "svtype", "chrom", "start", "end"]
+    seen = interval.overlap_join(kids.select(*call, "family_id").distinct(), parents, ["chrom", "svtype", "family_id"], f).select(*call).distinct().withColumn("in_parent", F.lit(True))
+    return kids.join(seen, call, "left").withColumn("is_de_novo", F.col("in_parent").isNull()).drop("in_parent")
 
 
 def _covered(pairs: DataFrame, keys: list[str]) -> DataFrame:

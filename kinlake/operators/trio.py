@@ -140,19 +140,26 @@ def tdt(trios: DataFrame, build: str = "GRCh38") -> DataFrame:
     return out.withColumn("chi2", gt.ratio((F.col("t") - F.col("u")) * (F.col("t") - F.col("u")), F.col("t") + F.col("u")))
 
 
-def parent_aware_tdt(trios: DataFrame) -> DataFrame:
-    """By site on autosomes: alternate alleles passed on and kept by the father, by the mother, and where both are heterozygous
-    with a heterozygous child (indeterminate: one of each)."""
+def parent_aware_tdt(trios: DataFrame, build: str = "GRCh38") -> DataFrame:
+    """By site: alternate alleles that a heterozygous father, and a heterozygous mother, passed on (t) and kept (u), and those of
+    trios where all three are heterozygous (indeterminate: one of each).
+
+    On autosomes, in the pseudo-autosomal part of X, and in daughters both parents count, but no father is taken to be
+    heterozygous on X. A son's allele on X comes from the mother, whatever the father's, who must have a plain call.
+    """
     k, d, m = calls("kid"), calls("dad"), calls("mom")
-    both = (d == 1) & (m == 1)
-    only = lambda one, other: (one == 1) & (other != 1)
-    passed = lambda other: k - (other / 2).cast("int")
+    x = locus.in_x_nonpar(build=build)
+    two = locus.in_autosome() | ((F.col("contig") == "chrX") & ~x) | F.col("is_female")
+    one = x & ~F.col("is_female")
+    plain = d.isin(0, 2)
     flag = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    rows = trios.where(copy_state() == "auto")
-    return rows.groupBy(*gt.KEY).agg(
-        flag((only(d, m) & (passed(m) == 1)) | (both & (k == 2))).alias("t_from_dad"), flag((only(d, m) & (passed(m) == 0)) | (both & (k == 0))).alias("u_from_dad"),
-        flag((only(m, d) & (passed(d) == 1)) | (both & (k == 2))).alias("t_from_mom"), flag((only(m, d) & (passed(d) == 0)) | (both & (k == 0))).alias("u_from_mom"),
-        flag(both & (k == 1)).alias("t_indeterminate"), flag(both & (k == 1)).alias("u_indeterminate"),
+    dad, mom = two & (d == 1) & ~x, two & (m == 1)
+    all_het = dad & (m == 1) & (k == 1)
+    return trios.groupBy(*gt.KEY).agg(
+        flag(dad & (((k == 1) & (m == 0)) | ((k == 2) & m.isin(1, 2)))).alias("t_from_dad"), flag(dad & (((k == 1) & (m == 2)) | ((k == 0) & m.isin(0, 1)))).alias("u_from_dad"),
+        flag((mom & (((k == 1) & (d == 0)) | ((k == 2) & (((d == 1) & ~x) | (d == 2))))) | (one & (m == 1) & (k == 2) & plain)).alias("t_from_mom"),
+        flag((mom & (((k == 1) & (d == 2)) | ((k == 0) & (((d == 1) & ~x) | (d == 0))))) | (one & (m == 1) & (k == 0) & plain)).alias("u_from_mom"),
+        flag(all_het).alias("t_indeterminate"), flag(all_het).alias("u_indeterminate"),
     )
 
 

@@ -598,15 +598,18 @@ def _places(rows: DataFrame) -> DataFrame:
     return own.join(F.broadcast(sizes), "part").select(*gt.KEY, (F.col("before") + F.col("id") - F.shiftleft("part", 33)).alias("place"))
 
 
-@query()
+@query("""WITH r AS (SELECT proband, concat(t.contig, ':', t.pos, ':', t.ref, ':', t.alt, ':', proband) AS k, gnomad_af IS NOT NULL AND gnomad_af > 0.008 AS known FROM v_trios t JOIN v_sites USING (contig, pos, ref, alt) WHERE kid_n = 1 AND dad_n = 0 AND mom_n = 0),
+z AS (SELECT count(*) FILTER (known) AS n, count(DISTINCT proband) FILTER (NOT known) AS m, 3 * count(*) // 4 AS total FROM r), o AS (SELECT r.*, row_number() OVER (PARTITION BY proband ORDER BY md5(k), k) AS rk FROM r WHERE NOT known)
+SELECT proband AS "SAMPLE", k AS "VarKey", known FROM r WHERE known UNION ALL SELECT proband, k, known FROM o, z WHERE rk <= greatest(total - n, 0) // greatest(m, 1)""", "v_trios", "v_sites")
 def t2_downsample(spark, d):
-    flat = denovo.flatten_trio(denovo.denovo_by_gt(_flat(spark, d)))
-    return sets.downsample(flat.withColumn("known", F.col("gnomad_af").isNotNull()), 200, first="known").select("SAMPLE", "VarKey", "known")
+    flat = denovo.flatten_trio(denovo.denovo_by_gt(_flat(spark, d))).withColumn("known", F.coalesce(F.col("gnomad_af") > 0.008, F.lit(False)))
+    return sets.downsample(flat, 3 * flat.count() // 4, first="known").select("SAMPLE", "VarKey", "known")
 
 
-@query()
+@query("""WITH c AS (SELECT DISTINCT concat(g, '-', (rk - 1) // 40) AS chunk FROM (SELECT sample_id, substr(md5(sample_id), 1, 1) AS g, row_number() OVER (PARTITION BY substr(md5(sample_id), 1, 1) ORDER BY sample_id) AS rk FROM v_ped))
+SELECT a.chunk AS a, b.chunk AS b FROM c a JOIN c b ON a.chunk <= b.chunk""", "v_ped")
 def t5_chunk_pairs(spark, d):
-    return sets.chunk_pairs(sets.chunk_ids(_ped(spark, d).select(F.col("sample_id").alias("s")), 40))
+    return sets.chunk_pairs(sets.chunk_ids(_ped(spark, d).select(F.col("sample_id").alias("s")), 40, digits=1))
 
 
 @query("WITH a AS (SELECT proband, count(*) AS n FROM v_trios WHERE kid_n = 1 GROUP BY proband), b AS (SELECT proband, count(*) AS n FROM v_trios WHERE kid_n = 1 AND dad_n = 0 AND mom_n = 0 GROUP BY proband) SELECT 'het' AS step, count(*) AS n_trios, sum(n) AS n_variants, avg(n) AS mean, stddev_samp(n) AS sd FROM a UNION ALL SELECT 'denovo', count(*), sum(n), avg(n), stddev_samp(n) FROM b", "v_trios")

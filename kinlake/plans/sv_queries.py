@@ -207,7 +207,21 @@ def g16_denovo_sv(spark, d):
     return sv.denovo_sv(calls, _ped(spark, d), gts, _raw(spark, d), gd, _regions(spark, d), _coverage(spark, d), sv.DeNovoSVConfig(cohort_af=0.5, gnomad_af=0.03, parents_af=0.5))
 
 
-@query()
+def _disorder(by: str, parents: bool) -> str:
+    """SQL of the pairs of a region and a call that counts for it, for children or parents."""
+    t = "q" if parents else "k"
+    who = "s IN (SELECT paternal_id FROM v_ped UNION SELECT maternal_id FROM v_ped)"
+    return f"""{t}m AS (SELECT r.name, r.chrom, r.start_pos AS rs, r.end_pos AS re, c.svtype, c.s, family_id, c.start_pos, c.end_pos, least(r.end_pos, c.end_pos) - greatest(r.start_pos, c.start_pos) AS o
+  FROM v_regions r JOIN v_raw c ON c.chrom = r.chrom AND r.start_pos < c.end_pos AND c.start_pos < r.end_pos JOIN v_ped ON sample_id = s WHERE is_depth AND c.svtype IN ('DEL', 'DUP') AND {'' if parents else 'NOT '}coalesce({who}, false)),
+{t}c AS (SELECT name, svtype, {by} AS b, sum(greatest(hi - greatest(lo, reach), 0)) AS covered FROM (SELECT *, coalesce(max(hi) OVER (PARTITION BY name, svtype, {by} ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), lo) AS reach FROM (SELECT *, greatest(rs, start_pos) AS lo, least(re, end_pos) AS hi FROM {t}m)) GROUP BY name, svtype, {by}),
+{t}s AS (SELECT DISTINCT chrom, svtype, {by} AS b, rs, re FROM {t}m WHERE o >= 0.3 * (re - rs)),
+{t} AS (SELECT m.*, o >= 0.3 * (re - rs) AND o >= 0.3 * (end_pos - start_pos) AS reciprocal FROM {t}m m JOIN {t}c c ON c.name = m.name AND c.svtype = m.svtype AND c.b = m.{by}
+  WHERE (o >= 0.3 * (re - rs) AND o >= 0.3 * (end_pos - start_pos)) OR (covered >= 0.3 * (re - rs) AND NOT EXISTS (SELECT 1 FROM {t}s x WHERE x.chrom = m.chrom AND x.svtype = m.svtype AND x.b = m.{by} AND x.rs < m.re AND m.rs < x.re)))"""
+
+
+@query(f"""WITH {_disorder('s', False)}, {_disorder('family_id', True)}
+SELECT DISTINCT name, svtype, s, family_id, chrom, start_pos AS "start", end_pos AS "end", reciprocal, NOT EXISTS (SELECT 1 FROM q WHERE q.chrom = k.chrom AND q.svtype = k.svtype AND q.family_id = k.family_id AND least(q.end_pos, k.end_pos) - greatest(q.start_pos, k.start_pos) >= 0.3 * (k.end_pos - k.start_pos)) AS is_de_novo
+FROM k""", "v_regions", "v_raw", "v_ped")
 def g18_genomic_disorders(spark, d):
     gd = _regions(spark, d).withColumn("svtype", F.lit("DEL;DUP"))
     return sv.genomic_disorders(_raw(spark, d).where("is_depth"), gd, _ped(spark, d))

@@ -298,10 +298,15 @@ def g6_tdt(spark, d):
     return trio.tdt(_trios(spark, d))
 
 
-@query(f"""WITH x AS (SELECT * FROM ({_MORE}) WHERE st = 'auto')
-SELECT {SITE}, count(*) FILTER ((dad_n = 1 AND mom_n <> 1 AND kid_n - mom_n // 2 = 1) OR (dad_n = 1 AND mom_n = 1 AND kid_n = 2)) AS t_from_dad, count(*) FILTER ((dad_n = 1 AND mom_n <> 1 AND kid_n - mom_n // 2 = 0) OR (dad_n = 1 AND mom_n = 1 AND kid_n = 0)) AS u_from_dad,
-  count(*) FILTER ((mom_n = 1 AND dad_n <> 1 AND kid_n - dad_n // 2 = 1) OR (dad_n = 1 AND mom_n = 1 AND kid_n = 2)) AS t_from_mom, count(*) FILTER ((mom_n = 1 AND dad_n <> 1 AND kid_n - dad_n // 2 = 0) OR (dad_n = 1 AND mom_n = 1 AND kid_n = 0)) AS u_from_mom,
-  count(*) FILTER (dad_n = 1 AND mom_n = 1 AND kid_n = 1) AS t_indeterminate, count(*) FILTER (dad_n = 1 AND mom_n = 1 AND kid_n = 1) AS u_indeterminate FROM x GROUP BY {SITE}""", "v_trios")
+_TWO = f"(contig NOT IN ('chrX', 'chrY', 'chrM') OR (contig = 'chrX' AND NOT {X_NON}) OR is_female)"
+
+
+@query(f"""WITH x AS (SELECT *, {_TWO} AS two, NOT {_TWO} AND {X_NON} AS one, {X_NON} AS xn FROM v_trios)
+SELECT {SITE}, count(*) FILTER (two AND dad_n = 1 AND NOT xn AND ((kid_n = 1 AND mom_n = 0) OR (kid_n = 2 AND mom_n IN (1, 2)))) AS t_from_dad,
+  count(*) FILTER (two AND dad_n = 1 AND NOT xn AND ((kid_n = 1 AND mom_n = 2) OR (kid_n = 0 AND mom_n IN (0, 1)))) AS u_from_dad,
+  count(*) FILTER ((two AND mom_n = 1 AND ((kid_n = 1 AND dad_n = 0) OR (kid_n = 2 AND ((dad_n = 1 AND NOT xn) OR dad_n = 2)))) OR (one AND mom_n = 1 AND kid_n = 2 AND dad_n IN (0, 2))) AS t_from_mom,
+  count(*) FILTER ((two AND mom_n = 1 AND ((kid_n = 1 AND dad_n = 2) OR (kid_n = 0 AND ((dad_n = 1 AND NOT xn) OR dad_n = 0)))) OR (one AND mom_n = 1 AND kid_n = 0 AND dad_n IN (0, 2))) AS u_from_mom,
+  count(*) FILTER (two AND NOT xn AND kid_n = 1 AND dad_n = 1 AND mom_n = 1) AS t_indeterminate, count(*) FILTER (two AND NOT xn AND kid_n = 1 AND dad_n = 1 AND mom_n = 1) AS u_indeterminate FROM x GROUP BY {SITE}""", "v_trios")
 def g7_parent_aware_tdt(spark, d):
     return trio.parent_aware_tdt(_trios(spark, d))
 
@@ -347,11 +352,18 @@ def f7_phred_to_probabilities(spark, d):
     return V.entries(spark, d).select(*gt.KEY, "s", F.round(F.get(gt.phred_to_probabilities("PL"), F.lit(1)), 8).alias("p_het"))
 
 
-@query(f"""WITH q AS (SELECT s, count(*) FILTER ({X_NON}) AS xc, count(*) FILTER ({X_NON} AND a1 <> a2 AND ad_alt / nullif(ad_ref + ad_alt, 0) BETWEEN 0.3 AND 0.7) AS xh, count(*) FILTER ({X_NON} AND a1 = 1) AS xv, avg(dp) FILTER ({Y_NON}) AS yd, avg(dp) FILTER (contig NOT IN ('chrX', 'chrY')) AS ad FROM v_entries GROUP BY s),
-r AS (SELECT s, CASE WHEN xc > 1 THEN xh / nullif(xv, 0) END AS x_ratio, 2 * coalesce(yd, 0) / ad AS y_ploidy FROM q)
-SELECT s, x_ratio, y_ploidy, CASE WHEN x_ratio > 0.4 THEN CASE WHEN y_ploidy > 0.5 THEN -1 ELSE 2 END WHEN x_ratio < 0.05 THEN CASE WHEN y_ploidy > 0.5 THEN 1 ELSE -2 END ELSE 0 END AS sex FROM r""", "v_entries")
+_SEX = """CASE WHEN y_called > 0 AND xs = 1 AND y_ploidy < 0.4 THEN -1 WHEN y_called > 0 AND xs = 2 AND y_ploidy > 0.4 THEN -2 ELSE xs END"""
+_X_SEX = "CASE WHEN x_hom_var > 0 AND x_called > {n} AND x_het / x_hom_var < 0.05 THEN 1 WHEN x_hom_var > 0 AND x_called > {n} AND x_het / x_hom_var > 0.4 THEN 2 ELSE -9 END AS xs"
+
+
+@query(f"""WITH e AS (SELECT *, a1 IS NOT NULL AND dp <> 0 AND NOT (a1 <> a2 AND coalesce(ad_alt / nullif(ad_ref + ad_alt, 0) NOT BETWEEN 0.3 AND 0.7, true)) AS called FROM v_entries),
+q AS (SELECT s, count(*) FILTER ({X_NON} AND dp >= 7 AND called) AS x_called, count(*) FILTER ({X_NON} AND dp >= 7 AND called AND a1 <> a2) AS x_het, count(*) FILTER ({X_NON} AND dp >= 7 AND called AND a1 = 1) AS x_hom_var, count(*) FILTER ({Y_NON} AND called) AS y_called,
+  2 * avg(dp) FILTER ({X_NON} AND dp >= 7) / avg(dp) FILTER (called AND dp >= 7) AS x_ploidy, 2 * avg(dp) FILTER ({Y_NON}) / avg(dp) FILTER (called AND dp >= 7) AS y_ploidy FROM e GROUP BY s)
+SELECT a.*, sex_few FROM (SELECT s, x_called, x_het, x_hom_var, y_called, x_ploidy, y_ploidy, {_SEX} AS sex FROM (SELECT *, {_X_SEX.format(n=10)} FROM q)) a JOIN (SELECT s, {_SEX} AS sex_few FROM (SELECT *, {_X_SEX.format(n=1)} FROM q)) b USING (s)""", "v_entries")
 def g25_infer_sex(spark, d):
-    return qc.infer_sex(V.entries(spark, d), least_called=1).select("s", "x_ratio", "y_ploidy", "sex")
+    """sex as the operator gives it; sex_few with fewer calls on X, as a sample has few here."""
+    out = qc.infer_sex(V.entries(spark, d))
+    return out.withColumn("sex_few", qc.sex_of({c: F.col(c) for c in out.columns}, 1))
 
 
 @query("""WITH n AS (SELECT CASE WHEN length(ref) = length(alt) THEN 'SNV' ELSE 'Indel' END AS type, proband AS sample, count(*) AS n FROM v_trios WHERE kid_n = 1 AND dad_n = 0 AND mom_n = 0 GROUP BY 1, 2),

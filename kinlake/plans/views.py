@@ -82,11 +82,11 @@ SELECT concat('SV', l_partkey, '_', l_linenumber) AS name, concat('S', o_custkey
   CASE WHEN max(l_quantity) > 38 THEN '1/1' WHEN max(l_quantity) > 34 THEN '1/0' WHEN max(l_quantity) > 30 THEN '1' WHEN max(l_quantity) = 7 THEN './.' ELSE '0/1' END AS gt
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey GROUP BY l_partkey, l_linenumber, o_custkey""",
     "v_raw": f"""
-SELECT DISTINCT {_contig('l_partkey')} AS chrom, CAST(1000 * floor(l_partkey / 24) + 100 * l_linenumber + l_orderkey % 200 - 100 AS INT) AS start_pos,
-  CAST(1000 * floor(l_partkey / 24) + 100 * l_linenumber + l_orderkey % 200 - 100 + 40 * l_quantity * (1 + l_partkey % 5) AS INT) AS end_pos,
+SELECT DISTINCT {_contig('l_partkey')} AS chrom, CAST(1000 * floor(l_partkey / 24) + 100 * l_linenumber + l_orderkey % 200 - 100 + CASE WHEN l_orderkey % 3 = 0 THEN 50000000 ELSE 0 END AS INT) AS start_pos,
+  CAST(1000 * floor(l_partkey / 24) + 100 * l_linenumber + l_orderkey % 200 - 100 + CASE WHEN l_orderkey % 3 = 0 THEN 50000000 ELSE 0 END + 40 * l_quantity * (1 + l_partkey % 5) AS INT) AS end_pos,
   CASE l_partkey % 6 WHEN 0 THEN 'DEL' WHEN 1 THEN 'DUP' WHEN 2 THEN 'INS' WHEN 3 THEN 'INV' WHEN 4 THEN 'CPX' ELSE 'CTX' END AS svtype,
   concat('S', o_custkey) AS s, CAST(round(l_tax * 100) AS INT) % 2 = 0 AS is_depth
-FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey WHERE l_orderkey % 3 <> 0""",
+FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey""",
     "v_regions": f"""
 SELECT concat('R', s_suppkey) AS name, {_contig('s_suppkey')} AS chrom, CAST(700 * (s_suppkey % 50) AS INT) AS start_pos, CAST(700 * (s_suppkey % 50) + 200 + 37 * (s_suppkey % 40) AS INT) AS end_pos
 FROM {{supplier}}""",
@@ -103,8 +103,7 @@ SELECT site_id, contig, pos, ref, alt, concat(
   '|MODERATE|', CASE WHEN site_id % 8 < 4 THEN symbol ELSE 'Brand#99' END, '|T', site_id % 37, '|protein_coding|', CASE WHEN site_id % 5 = 1 THEN 'YES' ELSE '' END, '|', CASE WHEN site_id % 3 = 0 THEN 'possibly_damaging(0.5)' ELSE '' END, '|') END AS csq2
 FROM {v_sites}""",
     "v_reviews": """
-SELECT concat('P', conv_id) AS path, concat('analyst_', role) AS analyst, CASE turn % 3 WHEN 0 THEN 'yes' WHEN 1 THEN 'no' ELSE 'unsure' END AS verdict FROM {conversations}
-WHERE turn < 2 OR turn % 2 = 1""",
+SELECT concat('P', conv_id) AS path, concat('analyst_', role) AS analyst, CASE turn % 3 WHEN 0 THEN 'yes' WHEN 1 THEN 'no' ELSE 'unsure' END AS verdict FROM {conversations}""",
     "v_features": """
 SELECT concat(l_orderkey, ':', l_partkey, ':', l_linenumber) AS varkey, CAST(max(l_extendedprice) / 1000 AS DOUBLE) AS vqslod, CAST(max(l_quantity) AS DOUBLE) AS qd, CAST(min(l_discount) * 100 AS DOUBLE) AS mq,
   CAST(max(l_tax) * 100 AS DOUBLE) AS fs, CASE WHEN max(l_returnflag) = 'R' THEN 1 ELSE 0 END AS label FROM {lineitem} GROUP BY l_orderkey, l_partkey, l_linenumber""",
