@@ -192,7 +192,9 @@ class DeNovoSVConfig:
     gnomad_af: float = 0.01
     cohort_af: float = 0.01
     parents_af: float = 0.05
+    parents_sc: int | None = None
     large: int = 5000
+    depth_from: int = 5000
     large_overlap: float = 0.5
     small_overlap: float = 0.1
     parents_overlap: float = 0.5
@@ -201,74 +203,88 @@ class DeNovoSVConfig:
     coverage: float = 10
     min_gq: int = 0
     nearest: int = 100
+    longest_parent_depth: int = 1_000_000
     compat: bool = False
 
 
+#: Flags of the cascade in its order (fixed values): the first that applies stays. The last two are set after all others.
+SV_FLAGS = (
+    "AF", "in_parent", "wham_only", "same_cn_as_parents", "not_in_raw_files_or_in_parents_raw_files", "in_blacklist_region", "large_cnv_with_parent_overlap", "small_cnv_SR_only",
+    "depth_only_small_variant", "del_with_rdcn2_pe_only", "bad_gq_in_parents", "ins_filter", "low_coverage_in_parents", "not_del_dup_ins", "duplicated_cpx",
+)
+
+
 def denovo_sv(sv: DataFrame, ped: DataFrame, gts: DataFrame, raw: DataFrame, gd: DataFrame, exclude: DataFrame, coverage: DataFrame, cfg: DeNovoSVConfig = DeNovoSVConfig()) -> DataFrame:  # noqa: B008
-    """One row for each call and child that carries it: is_de_novo, filter_flag (the first rule that applies), in_gd.
+    """One row for each call and child that carries it: is_de_novo, filter_flag (one of SV_FLAGS, or de_novo), in_gd.
 
-    sv: name, chrom, start, end, svtype, samples, algorithms, evidence, filter, gnomad_af. gts: name, s, GQ, RD_CN. raw: chrom, start,
-    end, svtype, s, is_depth. gd, exclude: name, chrom, start, end. All contigs and families run in one job; every test is a join
-    whose outcome is a flag on the row, and the order of the rules is the order of one expression.
+    sv: name, chrom, start, end, svtype, samples, algorithms, evidence, filter, gnomad_af, and af (without it, carriers of all samples).
+    gts: name, s, GQ, RD_CN. raw: chrom, start, end, svtype, s, is_depth. gd, exclude: name, chrom, start, end. All contigs and
+    families run in one job; every test is a join whose outcome is a flag on the row, and the order of the rules is the order of one
+    expression. Calls of other types than DEL, DUP and INS need to pass only the first two rules.
     """
     c = F.col
     kids = trio_list(ped)
     sv = sv.where(~c("svtype").isin("BND", "CNV")).withColumn("svlen", c("end") - c("start"))
     counts = carrier_counts(sv, ped)
-    total = ped.agg(F.countDistinct("sample_id").alias("n_all"))
+    total = ped.agg(F.countDistinct("sample_id").alias("n_all")).crossJoin(kids.select(F.explode(F.array("father", "mother")).alias("s")).agg(F.countDistinct("s").alias("n_all_parents")))
     rows = carriers(sv).join(kids.select("fam_id", c("proband").alias("s"), "father", "mother"), "s").join(sv.select("name", "samples"), "name")
-    rows = rows.join(counts.select("name", "n_parents", "parent_af"), "name", "left").crossJoin(F.broadcast(total))
-    rows = rows.withColumns({"row": F.concat_ws("|", "name", "s"), "af": F.size("samples") / c("n_all"), "own_parent": F.array_contains("samples", c("father")) | F.array_contains("samples", c("mother"))})
+    rows = rows.join(counts.select("name", "n_children", "n_parents", "parent_af"), "name", "left").crossJoin(F.broadcast(total))
+    af = c("af") if "af" in sv.columns else F.size("samples") / c("n_all")
+    rows = rows.withColumns({"row": F.concat_ws("|", "name", "s"), "af": af, "own_parent": F.array_contains(F.col("samples"), c("father")) | F.array_contains(F.col("samples"), c("mother"))})
     for who, prefix in (("s", "kid"), ("father", "dad"), ("mother", "mom")):
         rows = rows.join(gts.groupBy("name", c("s").alias(who)).agg(F.min("GQ").alias(f"{prefix}_gq"), F.min("RD_CN").alias(f"{prefix}_cn")), ["name", who], "left")
     flag = lambda df, name: df.select("row").distinct().withColumn(name, F.lit(True))
     base = rows.select("row", "name", "chrom", "start", "end", "svtype", "svlen", "s", "fam_id")
-    calls = reshape_raw(raw, ped)
+    calls = reshape_raw(raw, ped).withColumnRenamed("family_id", "fam_id")
     own, parents = calls.where("not is_parent"), calls.where("is_parent")
-    cnv = base.where("svtype in ('DEL', 'DUP')")
-    fam = parents.withColumnRenamed("family_id", "fam_id")
-    ins = base.where("svtype = 'INS'")
+    own_other, par_other = own.where("not is_depth"), parents.where("not is_depth")
+    par_depth = parents.where(c("is_depth") & (c("end") - c("start") < cfg.longest_parent_depth))
+    cnv, ins = base.where("svtype in ('DEL', 'DUP')"), base.where("svtype = 'INS'")
+    small, large = cnv.where(c("svlen") < cfg.large), cnv.where(c("svlen") >= cfg.large)
+    middle, long = large.where(c("svlen") < cfg.depth_from), large.where(c("svlen") >= cfg.depth_from)
+    by_child, by_family = ["chrom", "svtype", "s"], ["chrom", "svtype", "fam_id"]
+    near = lambda b, keys: interval.nearest(ins, b, keys, cfg.nearest, id_col="row", b_id="end")
+    recip = lambda a, b, keys, f: interval.overlap_join(a, b, keys, f, True, id_col="row")
+    cover = lambda a, b, keys: interval.coverage_fraction(a, b, keys, "row")
+    large_calls = carriers(sv.where(c("svtype").isin("DEL", "DUP") & (c("svlen") >= cfg.large))).join(kids.select("fam_id", F.explode(F.array("father", "mother")).alias("s")).distinct(), "s")
     seen = {
-        "gd": flag(interval.overlap_join(base, gd, ["chrom"], 0.5, id_col="row"), "in_gd"),
-        "ins_own": flag(interval.nearest(ins, own, ["chrom", "svtype", "s"], cfg.nearest, id_col="row", b_id="end"), "ins_own"),
-        "ins_par": flag(interval.nearest(ins, fam, ["chrom", "svtype", "fam_id"], cfg.nearest, id_col="row", b_id="end"), "ins_par"),
-        "small_own": flag(interval.overlap_join(cnv.where(c("svlen") < cfg.large), own, ["chrom", "svtype", "s"], cfg.small_overlap, True, id_col="row"), "small_own"),
-        "small_par": flag(interval.overlap_join(cnv.where(c("svlen") < cfg.large), fam, ["chrom", "svtype", "fam_id"], cfg.small_overlap, True, id_col="row"), "small_par"),
-        "large_own": flag(interval.coverage_fraction(cnv.where(c("svlen") >= cfg.large), own.where("is_depth"), ["chrom", "svtype", "s"], "row").where(c("covered") >= cfg.large_overlap), "large_own"),
-        "large_par": flag(interval.coverage_fraction(cnv.where(c("svlen") >= cfg.large), fam.where(c("is_depth") & (c("end") - c("start") < 1_000_000)), ["chrom", "svtype", "fam_id"], "row").where(c("covered") >= cfg.large_overlap), "large_par"),
-        "excluded": flag(interval.coverage_fraction(base, exclude, ["chrom"], "row").where(c("covered") > cfg.exclude_share), "excluded"),
-        "par_call": flag(interval.overlap_join(cnv.where(c("svlen") >= cfg.large), carriers(sv).join(ped.select(c("sample_id").alias("s"), c("family_id").alias("fam_id")), "s").join(kids.select(F.explode(F.array("father", "mother")).alias("s")).distinct(), "s", "left_semi"), ["chrom", "svtype", "fam_id"], cfg.parents_overlap, id_col="row"), "par_call"),
-        "low_cov": flag(parent_median_coverage(base, kids, coverage, cfg.coverage).where("low_coverage").select(F.concat_ws("|", "name", "child").alias("row")), "low_cov"),
+        "in_gd": interval.overlap_join(base, gd, ["chrom"], 0.5, id_col="row"),
+        "own": near(own_other, by_child).select("row").unionByName(recip(small, own_other, by_child, cfg.small_overlap).select("row")).unionByName(recip(middle, own_other, by_child, cfg.large_overlap).select("row")).unionByName(cover(long, own.where("is_depth"), by_child).where(c("covered") > cfg.large_overlap).select("row")),
+        "par": near(par_other, by_family).select("row").unionByName(recip(small, par_other, by_family, cfg.small_overlap).select("row")).unionByName(recip(middle, par_other, by_family, cfg.large_overlap).select("row")).unionByName(cover(long, par_depth, by_family).where(c("covered") > cfg.large_overlap).select("row")),
+        "excluded": cover(base, exclude, ["chrom"]).where(c("covered") > cfg.exclude_share),
+        "par_call": cover(large, large_calls, ["chrom", "fam_id"]).where(c("covered") >= cfg.parents_overlap),
+        "low_cov": parent_median_coverage(base, kids, coverage, cfg.coverage).where("low_coverage").select(F.concat_ws("|", "name", "child").alias("row")),
     }
-    for df in seen.values():
-        rows = rows.join(df, "row", "left")
+    for name, df in seen.items():
+        rows = rows.join(flag(df, name), "row", "left")
     on = lambda name: F.coalesce(c(name), F.lit(False))
-    is_cnv, kind = c("svtype").isin("DEL", "DUP"), c("svtype")
-    large, small = is_cnv & (c("svlen") >= cfg.large), is_cnv & (c("svlen") < cfg.large)
-    raw_ok = F.when(kind == "INS", on("ins_own") & ~on("ins_par")).when(small, on("small_own") & ~on("small_par")).when(large, on("large_own") & ~on("large_par")).otherwise(F.lit(True))
+    kind = c("svtype")
+    is_cnv = kind.isin("DEL", "DUP")
+    is_large, is_small = is_cnv & (c("svlen") >= cfg.large), is_cnv & (c("svlen") < cfg.large)
+    intent = F.lit(not cfg.compat)
+    rare = on("in_gd") | ((c("gnomad_af").isNull() | (c("gnomad_af") <= cfg.gnomad_af)) & (c("af") <= cfg.cohort_af))
+    most_parents = F.lit(cfg.parents_sc) if cfg.parents_sc is not None else c("n_all_parents")
+    alone = ~c("own_parent") & (c("n_children") >= 1) & (c("parent_af") <= cfg.parents_af) & (c("n_parents") <= most_parents)
+    tests = (
+        ~rare, ~F.coalesce(alone, F.lit(False)), intent & (c("algorithms") == "wham") & (c("kid_gq") == 1), intent & (c("svlen") > 5000) & (c("chrom") != "chrX") & ((c("kid_cn") == c("dad_cn")) | (c("kid_cn") == c("mom_cn"))),
+        ~(on("own") & ~on("par")), on("excluded"), is_large & on("par_call"), is_small & (c("evidence") == "SR") & ~c("filter").contains("BOTHSIDES_SUPPORT"),
+        (kind == "DUP") & (c("algorithms") == "depth") & (c("svlen") <= cfg.depth_only), (kind == "DEL") & c("kid_cn").isin(2, 3) & (c("evidence") == "PE"),
+        c("dad_gq").isNotNull() & c("mom_gq").isNotNull() & (F.least("dad_gq", "mom_gq") <= cfg.min_gq),  # a missing one clears both
+        (kind == "INS") & c("algorithms").isin("manta", "melt") & (c("evidence") == "SR") & ((c("kid_gq") == 0) | c("filter").contains("HIGH_SR_BACKGROUND")), on("low_cov"),
+    )
+    first = F.coalesce(*[F.when(t, name) for t, name in zip(tests, SV_FLAGS, strict=False)], F.lit("de_novo"))
+    rows = rows.withColumn("filter_flag", first)
+    rows = rows.withColumn("filter_flag", F.when(~kind.isin("DEL", "DUP", "INS") & ~c("filter_flag").isin("AF", "in_parent"), "not_del_dup_ins").otherwise(c("filter_flag")))
     dup = flag_duplicate_cpx(rows.select("row", "name", "svtype", "chrom", "start", "end", "s")).where("is_duplicate")
     rows = rows.join(flag(dup, "dup_cpx"), "row", "left")
-    intent = F.lit(not cfg.compat)
-    flags = F.coalesce(
-        F.when(((c("gnomad_af") > cfg.gnomad_af) | (c("af") > cfg.cohort_af)) & ~on("in_gd"), "AF"),
-        F.when(c("own_parent") | (c("parent_af") > cfg.parents_af), "in_parent"),
-        F.when(intent & (c("algorithms") == "wham") & (c("kid_gq") == 1), "wham_only"),
-        F.when(intent & (c("svlen") > 5000) & (c("chrom") != "chrX") & is_cnv & ((c("kid_cn") == c("dad_cn")) | (c("kid_cn") == c("mom_cn"))), "same_cn_as_parents"),
-        F.when(~raw_ok, "not_in_raw_files_or_in_parents_raw_files"),
-        F.when(on("excluded"), "in_blacklist_region"),
-        F.when(large & on("par_call"), "large_cnv_in_parents"),
-        F.when(small & (c("evidence") == "SR") & ~c("filter").contains("BOTHSIDES_SUPPORT"), "small_SR_only"),
-        F.when((kind == "DUP") & (c("algorithms") == "depth") & (c("svlen") < cfg.depth_only), "depth_only_small_dup"),
-        F.when((kind == "DEL") & c("kid_cn").isin(2, 3) & (c("evidence") == "PE"), "del_rd_cn"),
-        F.when(F.least("dad_gq", "mom_gq") <= cfg.min_gq, "parent_gq"),
-        F.when((kind == "INS") & c("algorithms").isin("manta", "melt") & (c("evidence") == "SR") & ((c("kid_gq") == 0) | c("filter").contains("HIGH_SR_BACKGROUND")), "ins_filter"),
-        F.when(on("low_cov"), "low_coverage_in_parents"),
-    )
-    rows = rows.withColumn("first_flag", flags)
-    spared = c("first_flag").isNotNull() & ~kind.isin("DEL", "DUP", "INS") & ~c("first_flag").isin("AF", "in_parent")
-    rows = rows.withColumn("filter_flag", F.when(spared, "not_del_dup_ins").otherwise(c("first_flag"))).withColumn("is_de_novo", c("first_flag").isNull() | spared)
-    rows = rows.withColumns({"filter_flag": F.when(c("is_de_novo") & on("dup_cpx"), "duplicate_cpx").otherwise(c("filter_flag")), "is_de_novo": c("is_de_novo") & ~on("dup_cpx"), "in_gd": on("in_gd")})
-    return rows.where(c("is_de_novo") | (c("filter_flag") == "ins_filter") | c("in_gd")).select("name", "s", "chrom", "start", "end", "svtype", "is_de_novo", "filter_flag", "in_gd")
+    new = c("filter_flag").isin("de_novo", "not_del_dup_ins")
+    rows = rows.withColumn("filter_flag", F.when(new & on("dup_cpx"), "duplicated_cpx").otherwise(c("filter_flag")))
+    return rows.select("name", "s", "chrom", "start", "end", "svtype", new.alias("is_de_novo"), "filter_flag", on("in_gd").alias("in_gd"))
+
+
+def denovo_sv_output(rows: DataFrame) -> DataFrame:
+    """What the cascade hands on: de novo calls, filtered insertions, and calls in disorder regions."""
+    return rows.where(F.col("is_de_novo") | (F.col("filter_flag") == "ins_filter") | F.col("in_gd"))
 
 
 def families_with_calls(sv: DataFrame, ped: DataFrame) -> DataFrame:

@@ -198,13 +198,49 @@ def ag20_parent_median_coverage(spark, d):
     return sv.parent_median_coverage(calls, pedigree.trio_list(_ped(spark, d)), _coverage(spark, d), 50)
 
 
-@query()
+def _share(name: str, rows: str, other: str, on: str, test: str) -> str:
+    """SQL of the calls (name, s) of which the union of others covers a share that passes the test."""
+    return f"""{name} AS (SELECT name, s FROM (SELECT *, greatest(hi - greatest(lo, coalesce(max(hi) OVER (PARTITION BY name, s ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), lo)), 0) AS part
+  FROM (SELECT a.name, a.s, a.len, greatest(a.start_pos, b.start_pos) AS lo, least(a.end_pos, b.end_pos) AS hi FROM r a JOIN {other} b ON {_MEET} AND {on} WHERE {rows})) GROUP BY name, s, len HAVING sum(part) {test} * len)"""
+
+
+_OWN, _FAMILY = "b.svtype = a.svtype AND NOT b.is_parent AND b.s = a.s", "b.svtype = a.svtype AND b.is_parent AND b.fam = a.fam"
+
+
+def _in_raw(name: str, on: str) -> str:
+    """SQL of the calls (name, s) that raw calls of the child, or of its parents, show."""
+    both = f"{_OVER} >= {{f}} * {_LEN_A} AND {_OVER} >= {{f}} * {_LEN_B}"
+    return f"""{_share(name + "_long", "a.svtype IN ('DEL', 'DUP') AND a.len >= 5000", "raw", on + " AND b.is_depth AND (NOT b.is_parent OR b.end_pos - b.start_pos < 1000000)", "> 0.5")},
+{name} AS (SELECT name, s FROM {name}_long UNION SELECT a.name, a.s FROM r a JOIN raw b ON b.chrom = a.chrom AND {on} AND NOT b.is_depth WHERE a.svtype = 'INS' AND abs(a.start_pos - b.start_pos) < 100
+  UNION SELECT a.name, a.s FROM r a JOIN raw b ON {_MEET} AND {on} AND NOT b.is_depth WHERE a.svtype IN ('DEL', 'DUP') AND ((a.len < 3000 AND {both.format(f=0.1)}) OR (a.len BETWEEN 3000 AND 4999 AND {both.format(f=0.5)})))"""
+
+
+@query(f"""WITH k AS (SELECT family_id AS fam, sample_id AS s, paternal_id AS dad, maternal_id AS mom FROM v_ped WHERE paternal_id IS NOT NULL AND maternal_id IS NOT NULL), pa AS (SELECT fam, dad AS s FROM k UNION SELECT fam, mom FROM k),
+n AS (SELECT name, count(*) FILTER (p.paternal_id IS NOT NULL) AS n_children, count(*) FILTER (x.s IN (SELECT s FROM pa)) AS n_parents, count(*) AS n_carriers FROM v_sv_carriers x JOIN v_ped p ON p.sample_id = x.s GROUP BY name),
+r AS (SELECT v.*, v.end_pos - v.start_pos AS len, k.*, n_children, n_parents, n_carriers / (SELECT count(*) FROM v_ped) AS af, n_parents / (SELECT count(DISTINCT s) FROM pa) AS parent_af, d.name IS NOT NULL OR m.name IS NOT NULL AS own_parent, fk.gq AS kid_gq, fk.rd_cn AS kid_cn, fd.gq AS dad_gq, fd.rd_cn AS dad_cn, fm.gq AS mom_gq, fm.rd_cn AS mom_cn
+  FROM v_sv v JOIN v_sv_carriers x USING (name) JOIN k ON k.s = x.s JOIN n ON n.name = v.name LEFT JOIN v_sv_carriers d ON d.name = v.name AND d.s = k.dad LEFT JOIN v_sv_carriers m ON m.name = v.name AND m.s = k.mom
+  LEFT JOIN v_sv_format fk ON fk.name = v.name AND fk.s = k.s LEFT JOIN v_sv_format fd ON fd.name = v.name AND fd.s = k.dad LEFT JOIN v_sv_format fm ON fm.name = v.name AND fm.s = k.mom),
+raw AS (SELECT w.*, p.family_id AS fam, w.s IN (SELECT s FROM pa) AS is_parent FROM v_raw w JOIN v_ped p ON p.sample_id = w.s),
+big AS (SELECT v.chrom, v.start_pos, v.end_pos, pa.fam FROM v_sv v JOIN v_sv_carriers x USING (name) JOIN pa ON pa.s = x.s WHERE svtype IN ('DEL', 'DUP') AND v.end_pos - v.start_pos >= 3000),
+{_in_raw("own", _OWN)}, {_in_raw("par", _FAMILY)}, {_share("ex", "true", "v_regions", "true", "> 0.5")}, {_share("pc", "a.svtype IN ('DEL', 'DUP') AND a.len >= 3000", "big", "b.fam = a.fam", ">= 0.5")},
+gd AS (SELECT DISTINCT a.name, a.s FROM r a JOIN v_regions b ON {_MEET} WHERE CAST(substr(b.name, 2) AS INT) % 10 = 0 AND {_OVER} >= 0.5 * {_LEN_A}),
+lc AS (SELECT a.name, a.s FROM (SELECT *, CASE WHEN svtype = 'INS' THEN start_pos - 100 ELSE start_pos END AS st, CASE WHEN svtype = 'INS' THEN end_pos + 100 ELSE end_pos END AS en FROM r) a JOIN v_coverage b ON b.chrom = a.chrom AND b.s IN (dad, mom) AND a.st < b.end_pos AND b.start_pos < greatest(a.en, a.st + 1)
+  GROUP BY a.name, a.s HAVING coalesce(least(quantile_cont(cov, 0.5) FILTER (b.s = dad), quantile_cont(cov, 0.5) FILTER (b.s = mom)) < 10, false)),
+t AS (SELECT r.*, gd.name IS NOT NULL AS in_gd, svtype IN ('DEL', 'DUP') AND len >= 3000 AS large, svtype IN ('DEL', 'DUP') AND len < 3000 AS small, own.name IS NOT NULL AND par.name IS NULL AS raw_ok, ex.name IS NOT NULL AS excluded, pc.name IS NOT NULL AS par_call, lc.name IS NOT NULL AS low_cov
+  FROM r LEFT JOIN gd ON gd.name = r.name AND gd.s = r.s LEFT JOIN own ON own.name = r.name AND own.s = r.s LEFT JOIN par ON par.name = r.name AND par.s = r.s LEFT JOIN ex ON ex.name = r.name AND ex.s = r.s LEFT JOIN pc ON pc.name = r.name AND pc.s = r.s LEFT JOIN lc ON lc.name = r.name AND lc.s = r.s),
+f AS (SELECT *, CASE WHEN NOT (in_gd OR ((gnomad_af IS NULL OR gnomad_af <= 0.01) AND af <= 0.01)) THEN 'AF' WHEN own_parent OR n_children < 1 OR parent_af > 0.05 THEN 'in_parent' WHEN svtype NOT IN ('DEL', 'DUP', 'INS') THEN 'not_del_dup_ins'
+  WHEN algorithms = 'wham' AND kid_gq = 1 THEN 'wham_only' WHEN len > 5000 AND chrom <> 'chrX' AND (kid_cn = dad_cn OR kid_cn = mom_cn) THEN 'same_cn_as_parents' WHEN NOT raw_ok THEN 'not_in_raw_files_or_in_parents_raw_files' WHEN excluded THEN 'in_blacklist_region'
+  WHEN large AND par_call THEN 'large_cnv_with_parent_overlap' WHEN small AND evidence = 'SR' AND filter NOT LIKE '%BOTHSIDES_SUPPORT%' THEN 'small_cnv_SR_only' WHEN svtype = 'DUP' AND algorithms = 'depth' AND len <= 10000 THEN 'depth_only_small_variant'
+  WHEN svtype = 'DEL' AND kid_cn IN (2, 3) AND evidence = 'PE' THEN 'del_with_rdcn2_pe_only' WHEN dad_gq IS NOT NULL AND mom_gq IS NOT NULL AND least(dad_gq, mom_gq) <= 0 THEN 'bad_gq_in_parents'
+  WHEN svtype = 'INS' AND algorithms IN ('manta', 'melt') AND evidence = 'SR' AND (kid_gq = 0 OR filter LIKE '%HIGH_SR_BACKGROUND%') THEN 'ins_filter' WHEN low_cov THEN 'low_coverage_in_parents' ELSE 'de_novo' END AS flag,
+  row_number() OVER (PARTITION BY svtype, chrom, start_pos, end_pos, s ORDER BY name) > 1 AND svtype = 'CPX' AS dup FROM t)
+SELECT name, s, chrom, start_pos AS "start", end_pos AS "end", svtype, flag IN ('de_novo', 'not_del_dup_ins') AND NOT dup AS is_de_novo, CASE WHEN dup AND flag IN ('de_novo', 'not_del_dup_ins') THEN 'duplicated_cpx' ELSE flag END AS filter_flag, in_gd FROM f""",
+       "v_sv", "v_sv_carriers", "v_sv_format", "v_ped", "v_raw", "v_regions", "v_coverage")
 def g16_denovo_sv(spark, d):
-    calls = _sv(spark, d)
-    key = F.xxhash64("name", "s")
-    gts = sv.carriers(calls).select("name", "s", F.pmod(key, F.lit(90)).cast("int").alias("GQ"), F.pmod(key, F.lit(4)).cast("int").alias("RD_CN"))
+    gts = V.view(spark, d, "v_sv_format").withColumnsRenamed({"gq": "GQ", "rd_cn": "RD_CN"})
     gd = _regions(spark, d).where(F.substring("name", 2, 9).cast("int") % 10 == 0)
-    return sv.denovo_sv(calls, _ped(spark, d), gts, _raw(spark, d), gd, _regions(spark, d), _coverage(spark, d), sv.DeNovoSVConfig(cohort_af=0.5, gnomad_af=0.03, parents_af=0.5))
+    rows = sv.denovo_sv(_sv(spark, d), _ped(spark, d), gts, _raw(spark, d), gd, _regions(spark, d), _coverage(spark, d), sv.DeNovoSVConfig(large=3000))
+    return rows.withColumn("is_de_novo", F.col("filter_flag").isin("de_novo", "not_del_dup_ins"))
 
 
 def _disorder(by: str, parents: bool) -> str:

@@ -80,6 +80,9 @@ SELECT DISTINCT concat('SV', l_partkey, '_', l_linenumber) AS name, concat('S',
     "v_sv_gt": """
 SELECT concat('SV', l_partkey, '_', l_linenumber) AS name, concat('S', o_custkey) AS s,
   CASE WHEN max(l_quantity) > 38 THEN '1/1' WHEN max(l_quantity) > 34 THEN '1/0' WHEN max(l_quantity) > 30 THEN '1' WHEN max(l_quantity) = 7 THEN './.' ELSE '0/1' END AS gt
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey GROUP BY l_partkey, l_linenumber, o_custkey""",
+    "v_sv_format": """
+SELECT concat('SV', l_partkey, '_', l_linenumber) AS name, concat('S', o_custkey) AS s, CAST(max(l_suppkey + l_orderkey) % 30 AS INT) AS gq, CAST(max(l_quantity) % 4 AS INT) AS rd_cn
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey GROUP BY l_partkey, l_linenumber, o_custkey""",
     "v_raw": f"""
 SELECT DISTINCT {_contig('l_partkey')} AS chrom, CAST(1000 * floor(l_partkey / 24) + 100 * l_linenumber + l_orderkey % 200 - 100 + CASE WHEN l_orderkey % 3 = 0 THEN 50000000 ELSE 0 END AS INT) AS start_pos,
