@@ -36,6 +36,18 @@ def binomial_two_sided(k: Column, n: Column) -> Column:
     return F.when(n == 0, 1.0).when(2 * k == n, 1.0).otherwise(F.least(F.lit(1.0), 2 * tail))
 
 
+def binomial_below(k: Column, n: Column, limit: float) -> Column:
+    """Whether binomial_two_sided is under a small limit. A lower bound of the tail settles nearly all cases in closed form, and the sum is
+    left for the extreme ones."""
+    low = F.least(k, n - k).cast("double")
+    share = low / n
+    entropy = lambda p: F.when(p > 0, p * F.log(2 * p)).otherwise(F.lit(0.0))
+    apart = n * (entropy(share) + entropy(1 - share))
+    # P(X <= k) >= exp(-n D) / sqrt(8 n a (1 - a)) for 0 < a = k / n <= 1/2, and 2 ** -n for k = 0
+    bound = F.when(low == 0, 2 * F.exp(-n * F.log(F.lit(2.0)))).otherwise(2 * F.exp(-apart) / F.sqrt(8 * n * share * (1 - share)))
+    return F.when((n <= 0) | (bound >= limit), False).otherwise(binomial_two_sided(k, n) < limit)
+
+
 def hypergeometric(k: Column, white: Column, black: Column, drawn: Column) -> Column:
     """Probability of k white among `drawn` from white + black."""
     return F.exp(log_choose(white, k) + log_choose(black, drawn - k) - log_choose(white + black, drawn))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import genotype as gt
@@ -26,9 +26,9 @@ def annotate_pab(entries: DataFrame) -> DataFrame:
 
 
 def drop_empty_sites(entries: DataFrame) -> DataFrame:
-    """Entries of sites that still carry an alternate allele."""
-    live = entries.groupBy(*gt.KEY).agg(F.sum(gt.n_alt()).alias("ac")).where("ac > 0").select(*gt.KEY)
-    return entries.join(live, gt.KEY, "left_semi")
+    """Entries of sites that still carry an alternate allele: one shuffle by site, and the input is worked out once."""
+    alleles = F.sum(gt.n_alt()).over(Window.partitionBy(*gt.KEY))
+    return entries.withColumn("__ac", alleles).where("__ac > 0").drop("__ac")
 
 
 def basic_gt_filter(entries: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def balance_filters(entries: DataFrame) -> DataFrame:
     with fewer alternate reads than 0.9 DP; then sites without an alternate allele (the rules judge single entries, so one
     check of the sites at the end is enough)."""
     alt = F.get("AD", F.lit(1))
-    het_bad = (alt < 0.25 * F.col("DP")) | (stats.binomial_two_sided(alt, gt.total()) < 1e-9) | (gt.total() < 0.9 * F.col("DP"))
+    het_bad = (alt < 0.25 * F.col("DP")) | (gt.total() < 0.9 * F.col("DP")) | stats.binomial_below(alt, gt.total(), 1e-9)
     bad = (gt.is_het() & het_bad) | (gt.is_hom_var() & (alt < 0.9 * F.col("DP")))
     return drop_empty_sites(entries.where(~F.coalesce(bad, F.lit(False))))
 

@@ -23,13 +23,14 @@ def trio_entries(entries: DataFrame, trios: DataFrame, complete: bool = True) ->
     """One row for each site and trio with structs kid, dad and mom. complete: only rows where all three have an entry
     (else those with the child's).
 
-    Entries meet the list of trio members once, and one shuffle by (site, trio) brings the three together.
+    Entries meet the list of trio members once, and one shuffle by site brings the three together; what is counted or joined
+    by site afterwards needs no other. Trios are told apart by their child; the other members' names are joined at the end.
     """
     members = trio_members(trios)
-    rows = entries.join(members, "s").withColumn("e", F.struct("s", *[c for c in ENTRY if c in entries.columns]))
-    keys = [*gt.KEY, "fam_id", "proband", "father", "mother", "is_female"]
+    rows = entries.join(members.select("s", "role", "proband"), "s").withColumn("e", F.struct("s", *[c for c in ENTRY if c in entries.columns]))
     # an entry repeated for one site and sample gives one of them; which one is no matter where they are equal
-    out = rows.groupBy(*keys).agg(*[F.max(F.when(F.col("role") == r, F.col("e"))).alias(r) for r in ("kid", "dad", "mom")])
+    out = rows.repartition(*gt.KEY).groupBy(*gt.KEY, "proband").agg(*[F.max(F.when(F.col("role") == r, F.col("e"))).alias(r) for r in ("kid", "dad", "mom")])
+    out = out.join(members.select("proband", "fam_id", "father", "mother", "is_female").distinct(), "proband").select(*gt.KEY, "fam_id", "proband", "father", "mother", "is_female", "kid", "dad", "mom")
     return out.where("kid is not null and dad is not null and mom is not null" if complete else "kid is not null")
 
 
