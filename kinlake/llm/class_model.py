@@ -17,6 +17,8 @@ HELD_WORDS = 300_000
 #: Words that sequential exchange clusters on the driver (the most frequent; at most ANCHORS squared numbers), and classes. Every other
 #: word then moves to the class that fits its own neighbours best.
 ANCHORS, CLASSES, PASSES = 1000, 48, 200
+#: A move must raise the log likelihood by so much for each bigram.
+TOLERANCE = 1e-8
 #: Strength of the unigram class distribution in the transitions.
 PRIOR = 20.0
 ALPHA = 0.1
@@ -29,10 +31,12 @@ _END = 0
 
 def exchange_clustering(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES) -> np.ndarray:
     """A class for each unit. Units are first dealt by frequency; then each in turn moves to the class that raises the
-    likelihood of the class bigram model most, until a pass moves none (or `passes` are over). bigrams: counts (unit, next unit)."""
+    likelihood of the class bigram model most, until a pass has no move that raises it by more than TOLERANCE a bigram (or `passes`
+    are over). bigrams: counts (unit, next unit)."""
     units = len(bigrams)
     f = lambda x: x * np.log(np.maximum(x, 1e-300))
     total = bigrams.sum(axis=1) + bigrams.sum(axis=0)
+    least = TOLERANCE * bigrams.sum()
     classes = min(classes, units)
     of = np.empty(units, np.int64)
     of[np.argsort(-total, kind="stable")] = np.arange(units) % classes
@@ -61,7 +65,7 @@ def exchange_clustering(bigrams: np.ndarray, classes: int = CLASSES, passes: int
             out, into = right.sum() + own, left.sum() + own
             gain -= f(rows + out) - f(rows) + f(cols + into) - f(cols)
             best = int(gain.argmax())
-            if gain[best] <= gain[c] + 1e-9:
+            if gain[best] <= gain[c] + least:
                 best = c
             moved |= best != c
             of[u] = best
@@ -201,12 +205,12 @@ _CELL = np.dtype([("cell", "<u2"), ("n", "<u4")])
 CONTEXTS = "number long, word string, salt int, times long, cells binary"
 
 
-def _contexts(classes: np.ndarray):
-    """Words that are no anchors, with the classes of anchors and ends beside them; classes: by number, ends first."""
+def _contexts(classes: np.ndarray, width: int):
+    """Words that are no anchors, with the classes of anchors and ends beside them; classes: by number, ends first; width: how many."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors, width = len(classes) - 1, int(classes.max()) + 1
+        anchors = len(classes) - 1
         part = TaskContext.get().partitionId() % SALTS + 1
         number, cells = [], []
 
@@ -305,37 +309,54 @@ def _choose(table: np.ndarray):
     return run
 
 
-def _classes(batch: pa.RecordBatch, held: np.ndarray, other: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(classes of the words, which are rare, the rare ones' counts, where each text's words begin) of rows (words, found)."""
-    numbers, first = _numbers(batch.column(0), "<i4")
-    found = batch.column(1)
-    lists = np.asarray(found.offsets).astype(np.int64)
-    each = found.flatten()
-    k, n, c = (each.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-    own = np.repeat(lists[:-1] - lists[0], np.diff(lists)) + k
-    times, kind = np.zeros(len(k), np.int64), np.full(len(k), other, np.int64)
-    times[own], kind[own] = n, np.where(c < 0, other, c)
-    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    rare = numbers < 0
-    at = lists[row[rare]] - lists[0] - 1 - numbers[rare]
-    out = held[np.maximum(numbers, 0)]
-    out[rare] = kind[at]
-    return out, rare, times[at], first
+RESOLVED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, classes binary"
+
+
+def _resolve(model, size: float):
+    """Rows (words, found, doc_id, held_out) to the classes of their words, one byte each, and their base scores. found: (k, n, c) of the
+    text's k-th other word, which the model has seen n times and put into class c."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, of, other = model.value
+        logp = np.log10((counts + ALPHA) / size)
+        for batch in batches:
+            numbers, first = _numbers(batch.column(0), "<i4")
+            lists = np.asarray(batch.column(1).offsets).astype(np.int64)
+            k, n, c = (batch.column(1).flatten().field(i).to_numpy(zero_copy_only=False) for i in range(3))
+            own = np.repeat(lists[:-1] - lists[0], np.diff(lists)) + k
+            times, kind = np.zeros(len(k), np.int64), np.full(len(k), other, np.int64)
+            times[own], kind[own] = n, np.where(c < 0, other, c)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(first))
+            rare = numbers < 0
+            at = lists[row[rare]] - lists[0] - 1 - numbers[rare]
+            classes, each, known = of[np.maximum(numbers, 0)], logp[np.maximum(numbers, 0)], np.ones(len(numbers), bool)
+            classes[rare], each[rare], known[rare] = kind[at], np.log10((times[at] + ALPHA) / size), times[at] > 0
+            base = np.bincount(row, weights=each, minlength=batch.num_rows) + logp[_END]
+            seen = np.bincount(row, weights=known, minlength=batch.num_rows).astype(np.int64) + (counts[_END] > 0)
+            cols = [batch.column(2), batch.column(3), pa.array(np.diff(first) + 1), pa.array(seen), pa.array(base), _binary(classes.astype("u1"), first)]
+            yield pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in RESOLVED.split(", ")])
+
+    return run
+
 
+def _class_runs(column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The classes of all texts with the end's before and after each, and where each text's words begin."""
+    classes, first = _numbers(column, "u1")
+    s, place = _with_ends(classes, first)
+    out = np.full(len(s), end, np.int64)
+    out[place] = classes
+    return out, first
 
-def _class_pairs(model):
+
+def _class_pairs(width: int, end: int):
     """Counts of neighbouring classes."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, of, other = model.value
-        width = other + 1
         total = np.zeros(width * width, np.int64)
         for batch in batches:
-            classes, _, _, first = _classes(batch, of, other)
-            s, place = _with_ends(np.zeros(len(classes), np.int64), first)
-            s[:] = of[_END]
-            s[place] = classes
+            s, _ = _class_runs(batch.column(0), end)
             total += np.bincount(s[:-1] * width + s[1:], minlength=len(total))
         pairs = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(total[pairs])], names=["pair", "n"])
@@ -346,26 +367,16 @@ def _class_pairs(model):
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _score(model, shift: np.ndarray, size: float, ends: int):
-    """Rows (words, found, doc_id, held_out) to their scores; shift: log10 of transition over share, by class before and class."""
+def _score(shift: np.ndarray, end: int):
+    """Resolved rows to their scores; shift: log10 of transition over share, by class before and class."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, of, other = model.value
-        logp = np.log10((counts + ALPHA) / size)
         for batch in batches:
-            numbers, first = _numbers(batch.column(0), "<i4")
-            classes, rare, times, _ = _classes(batch, of, other)
-            n, row = batch.num_rows, np.repeat(np.arange(batch.num_rows), np.diff(first))
-            each, known = logp[np.maximum(numbers, 0)], np.ones(len(numbers), bool)
-            each[rare], known[rare] = np.log10((times + ALPHA) / size), times > 0
-            base = np.bincount(row, weights=each, minlength=n) + np.log10((ends + ALPHA) / size)
-            s, place = _with_ends(np.zeros(len(classes), np.int64), first)
-            s[:] = of[_END]
-            s[place] = classes
-            moved = np.bincount(np.repeat(np.arange(n), np.diff(first) + 1), weights=shift[s[:-1], s[1:]], minlength=n)
-            seen = np.bincount(row, weights=known, minlength=n).astype(np.int64) + (ends > 0)
-            cols = [batch.column(2), batch.column(3), pa.array(np.diff(first) + 1), pa.array(seen), pa.array(base), pa.array(base + moved)]
+            s, first = _class_runs(batch.column(5), end)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(first) + 1)
+            moved = np.bincount(row, weights=shift[s[:-1], s[1:]], minlength=batch.num_rows)
+            cols = [*batch.columns[:5], pa.array(batch.column(4).to_numpy() + moved)]
             yield pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in SCORED.split(", ")])
 
     return run
@@ -395,7 +406,7 @@ def score_documents(docs: DataFrame, held_out) -> DataFrame:
     ends = (counts.where("word = ''").agg(F.sum("n")).first()[0]) or 0
     words, n = most_frequent(counts, HELD_WORDS)
     held = spark.sparkContext.broadcast(Held(words))
-    told = materialise(rows.mapInArrow(_sequences(held), SEQUENCES).withColumn("row", F.monotonically_increasing_id()), "sequences")
+    told = materialise(rows.mapInArrow(_sequences(held), SEQUENCES).withColumn("row", F.monotonically_increasing_id()), "sequences", "zstd")
     learned = told.where("not held_out")
 
     # the most frequent words: exchange among them and ends; what they stand beside else is one more unit
@@ -406,13 +417,13 @@ def score_documents(docs: DataFrame, held_out) -> DataFrame:
     grid[pairs.column("pair").to_numpy()] = pairs.column("n").to_numpy()
     grid = grid.reshape(units, units)
     of = exchange_clustering(grid)
-    one = np.eye(of.max() + 1)[of[:-1]]
     other = int(of.max()) + 1
+    one = np.eye(other)[of[:-1]]
 
     # all others, by their own neighbours
-    found = learned.select("words", "rare").mapInArrow(_contexts(of[:-1]), CONTEXTS)
+    found = learned.select("words", "rare").mapInArrow(_contexts(of[:-1], other), CONTEXTS)
     total = lambda x: x.groupBy("number", "word", "salt").agg(F.sum("times").alias("times"), F.collect_list("cells").alias("cells"))
-    found = materialise(total(found).mapInArrow(_merge(other), CONTEXTS), "contexts")
+    found = materialise(total(found).mapInArrow(_merge(other), CONTEXTS), "contexts", "zstd")
     choose = _choose(fit(one.T @ grid[:-1, :-1] @ one))
     kinds = "number long, word string, times long, class int"
     rare = materialise(found.where("salt = 0").withColumn("cells", F.array("cells")).mapInArrow(choose, kinds), "classes")
@@ -427,16 +438,17 @@ def score_documents(docs: DataFrame, held_out) -> DataFrame:
     asked = told.select("row", F.posexplode("rare").alias("k", "word"))
     asked = asked.join(rare.select("word", "times", "class"), "word", "left").groupBy("row").agg(F.collect_list(F.struct("k", F.coalesce("times", F.lit(0)).alias("n"), F.coalesce("class", F.lit(-1)).alias("c"))).alias("found"))
     joined = told.drop("rare").join(asked, "row", "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<k:int,n:bigint,c:int>>")))
-    joined = materialise(joined.select("words", "found", "doc_id", "held_out"), "joined")
-    pairs = joined.where("not held_out").select("words", "found").mapInArrow(_class_pairs(model), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # classes squared
+    resolved = materialise(joined.select("words", "found", "doc_id", "held_out").mapInArrow(_resolve(model, float(size)), RESOLVED), "resolved")
+    end = int(of[_END])
+    pairs = resolved.where("not held_out").select("classes").mapInArrow(_class_pairs(other + 1, end), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # classes squared
     seen = np.zeros((other + 1) ** 2)
     seen[pairs.column("pair").to_numpy()] = pairs.column("n").to_numpy()
-    shift = transitions(seen.reshape(other + 1, other + 1), class_shares(spark, rare, model.value, ends, size))
-    out = joined.mapInArrow(_score(model, shift, float(size), int(ends)), SCORED)
+    shift = transitions(seen.reshape(other + 1, other + 1), class_shares(rare, model.value, ends, size))
+    out = resolved.mapInArrow(_score(shift, end), SCORED)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def class_shares(spark, rare: DataFrame, model: tuple, ends: int, size: float) -> np.ndarray:
+def class_shares(rare: DataFrame, model: tuple, ends: int, size: float) -> np.ndarray:
     """The base probability of each class: of its words, and for the last one of the unknown word too."""
     counts, of, other = model
     mass, members = np.bincount(of, weights=counts, minlength=other + 1), np.bincount(of, minlength=other + 1).astype(float)

@@ -178,8 +178,89 @@ def test_class_model(docs, empty):
     assert class_model.score_documents(empty, language_id.held_out(10, 0)).count() == 0
 
 
-def test_model_is_a_distribution_and_beats_its_base(spark, monkeypatch):
-    """With few held words the rest goes through the join; sums over all next words, one unknown in each class, are 1."""
+def brute_scores(rows, held, held_words, anchors):
+    """The class model by plain dictionaries, from the same clustering of the anchors: scores by row, and all probabilities of the words
+    that may follow each word."""
+    texts = [([x.lower() for x in words(t)], held(d)) for d, t in rows]
+    train = [w for w, out in texts if not out]
+    c = Counter(x for w in train for x in w)
+    top = sorted(c, key=lambda x: (-c[x], x))[:held_words]
+    anchors = min(anchors, len(top))
+    unit = {b"": 0} | {x: i + 1 for i, x in enumerate(top[:anchors])}
+    grid = np.zeros((anchors + 2, anchors + 2))
+    run = lambda w: [b"", *w, b""]
+    for w in train:
+        for x, y in zip(run(w), run(w)[1:]):
+            grid[unit.get(x, anchors + 1), unit.get(y, anchors + 1)] += 1
+    of = class_model.exchange_clustering(grid)
+    other = int(of.max()) + 1
+    between = np.zeros((other, other))
+    for i in range(anchors + 1):
+        for j in range(anchors + 1):
+            between[of[i], of[j]] += grid[i, j]
+    fit = class_model.fit(between)
+    kind = {x: int(of[i]) for x, i in unit.items()}
+    told = defaultdict(lambda: np.zeros(other))
+    for w in train:
+        r = run(w)
+        for i in range(1, len(r) - 1):
+            if r[i] not in unit:
+                for near, side in ((r[i - 1], 0), (r[i + 1], other)):
+                    if near in unit:
+                        told[r[i]] += fit[side + of[unit[near]]]
+    kind |= {x: int(v.argmax()) for x, v in told.items()}
+    kind_of = lambda x: kind.get(x, other)
+    n = sum(c.values()) + len(train)
+    size = n + 0.1 * (len(c) + 1 + 1)
+    known = {x: (k + 0.1) / size for x, k in c.items()} | {b"": (len(train) + 0.1) / size}
+    base = lambda x: known.get(x, 0.1 / size)
+    share = np.zeros(other + 1)
+    for x, p in known.items():
+        share[kind_of(x)] += p
+    share[other] += 0.1 / size
+    seen = np.zeros((other + 1, other + 1))
+    for w in train:
+        for x, y in zip(run(w), run(w)[1:]):
+            seen[kind_of(x), kind_of(y)] += 1
+    moves = (seen + class_model.PRIOR * share) / (seen.sum(axis=1, keepdims=True) + class_model.PRIOR)
+    p = lambda x, y: moves[kind_of(x), kind_of(y)] * base(y) / share[kind_of(y)]
+    sums = [sum(p(x, y) for y in known) + p(x, b"never seen") for x in [*list(known)[:20], b"never seen"]]
+    return [sum(math.log10(p(x, y)) for x, y in zip(run(w), run(w)[1:])) for w, _ in texts], sums
+
+
+@pytest.mark.parametrize(("held_words", "anchors"), [(300_000, 1000), (40, 12), (1, 1)])
+def test_scores_and_distribution_by_brute_force(docs, monkeypatch, held_words, anchors):
+    """With few held words most go through the join; the probabilities of all next words, the unknown one included, sum to 1."""
+    monkeypatch.setattr(class_model, "HELD_WORDS", held_words)
+    monkeypatch.setattr(class_model, "ANCHORS", anchors)
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 10 == 0
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    counts = Counter(x.lower() for d, t in rows if not held(d) for x in words(t))
+    frame = docs.sparkSession.createDataFrame([(k.decode(), v) for k, v in counts.items()], "word string, n long")
+    found, _ = class_model.most_frequent(frame, held_words)
+    assert len(found) <= held_words
+    monkeypatch.setattr(class_model, "most_frequent", lambda *_: (ranked, np.array([counts[x.encode()] for x in ranked])))
+    ranked = [x.decode() for x in sorted(counts, key=lambda x: (-counts[x], x))[:held_words]]
+    want, sums = brute_scores(rows, held, held_words, anchors)
+    assert all(abs(s - 1) < 1e-9 for s in sums)
+    out = class_model.score_documents(docs, language_id.held_out(10, 0)).collect()
+    assert sorted((str(r.doc_id), round(r.score, 4)) for r in out) == sorted((str(d), round(s, 4)) for (d, _), s in zip(rows, want, strict=True))
+
+
+def test_most_frequent_words_are_bounded(spark, monkeypatch):
+    """Counts over the exact steps, many equal ones, and more frequent words than there is room for."""
+    monkeypatch.setattr(class_model, "EXACT", 50)
+    rows = [(f"a{i}", 1000 + i) for i in range(30)] + [(f"b{i}", 60) for i in range(5000)] + [(f"c{i}", 7) for i in range(100)] + [("", 10**6)]
+    frame = spark.createDataFrame(rows, "word string, n long")
+    for limit in (0, 3, 30, 31, 2000, 5030, 5100, 10_000):
+        found, n = class_model.most_frequent(frame, limit)
+        assert len(found) <= limit and len(found) >= min(limit, 5130) * 0.5 * (limit > 29) and list(n) == sorted(n, reverse=True) and "" not in found
+        if len(found) < 5130:
+            assert len(set(found)) == len(found)
+    assert len(class_model.most_frequent(frame, 10_000)[0]) == 5130
+
+
+def test_model_beats_its_base(spark, monkeypatch):
     monkeypatch.setattr(class_model, "HELD_WORDS", 3)
     rows = [(i, " ".join(("the cat sat" if i % 2 else "un chat noir",) * (1 + i % 5))) for i in range(60)]
     out = class_model.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), language_id.held_out(10, 0)).collect()
