@@ -360,24 +360,24 @@ def m6_pu_features(spark, d):
 @query()
 def m1_bagging_pu(spark, d):
     rows = V.view(spark, d, "v_features")
-    models = learn.bagging_pu(rows, _FEATURES, bags=2, trees=5)
+    models = learn.bagging_pu(rows, _FEATURES)
     return learn.pu_scores(models, rows, _FEATURES).select("varkey", "label", "probability")
 
 
 @query()
 def m2_out_of_fold(spark, d):
-    return learn.out_of_fold(V.view(spark, d, "v_features"), _FEATURES, folds=2, bags=1, trees=5).select("varkey", "label", "probability")
+    return learn.out_of_fold(V.view(spark, d, "v_features"), _FEATURES, bags=1, trees=50).select("varkey", "label", "probability")
 
 
 @query()
 def m7_feature_importance(spark, d):
     rows = V.view(spark, d, "v_features")
-    return learn.feature_importance(learn.bagging_pu(rows, _FEATURES, bags=1, trees=5), _FEATURES, spark)
+    return learn.feature_importance(learn.bagging_pu(rows, _FEATURES, bags=2), _FEATURES, spark)
 
 
 @query()
 def m9_hwe_pca(spark, d):
-    return learn.hwe_pca(V.entries(spark, d), k=2, rounds=2)[0].select("s", F.round(F.get("scores", F.lit(0)), 6).alias("pc1"))
+    return learn.hwe_pca(V.entries(spark, d), k=2, tolerance=1e-3)[0].select("s", F.get("scores", F.lit(0)).alias("pc1"), F.get("scores", F.lit(1)).alias("pc2"))
 
 
 @query(f"""WITH {_COUNTS}, l AS (SELECT {SITE}, ac / an AS p, (ac % 10 - 5) / 10.0 AS w FROM counts WHERE ac < an) SELECT s, round(sum((a1 + a2 - 2 * p) / sqrt(2 * p * (1 - p)) * w) / sqrt(count(*)), 6) AS pc1 FROM v_entries JOIN l USING ({SITE}) GROUP BY s""", "v_entries")
@@ -393,7 +393,7 @@ def _scores(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def m11_assign_ancestry(spark, d):
     ref = _scores(spark, d).join(_ped(spark, d).select(F.col("sample_id").alias("s"), F.concat(F.lit("pop"), "sex").alias("pop")), "s")
-    return learn.assign_ancestry(ref, _scores(spark, d), ["pc1", "pc2"], trees=5)
+    return learn.assign_ancestry(ref, _scores(spark, d), ["pc1", "pc2"])
 
 
 @query()

@@ -2,11 +2,12 @@
 
 from itertools import product
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from kinlake.functions import csq, genotype, locus, stats, text
-from kinlake.operators import burden, denovo, depth, pedigree, qc, trio
+from kinlake.operators import burden, denovo, depth, family, learn, pedigree, qc, trio
 
 CODES = {
     (1, 2, 2): 1, (1, 0, 0): 2, (2, 0, 1): 3, (2, 0, 2): 3, (2, 1, 0): 4, (2, 2, 0): 4, (2, 0, 0): 5, (0, 2, 0): 6, (0, 2, 1): 6, (0, 0, 2): 7, (0, 1, 2): 7, (0, 2, 2): 8,
@@ -157,3 +158,54 @@ def test_two_group_test_by_power(spark):
     # Cohen's table: 26 a group give power 0.80 at effect 0.7, level 0.05 one-sided
     power = spark.range(1).select(stats.t_test_power(F.lit(26), F.lit(26), F.lit(0.7))).first()[0]
     assert power == pytest.approx(0.80, abs=0.01)
+
+
+def test_principal_components_are_those_of_the_singular_value_decomposition(spark):
+    rng = np.random.default_rng(8)
+    n, m = 30, 60
+    freq = np.where(np.arange(n)[:, None] < 15, rng.uniform(0.1, 0.5, m), rng.uniform(0.3, 0.9, m))
+    g = rng.binomial(2, freq)
+    g = g[:, (g.sum(0) > 0) & (g.sum(0) < 2 * n)]
+    rows = [("chr1", j, "A", "C", f"s{i}", int(g[i, j] == 2), int(g[i, j] > 0)) for i in range(n) for j in range(g.shape[1])]
+    scores, _ = learn.hwe_pca(spark.createDataFrame(rows, "contig string, pos int, ref string, alt string, s string, a1 int, a2 int"), k=2, rounds=60, extra=4)
+    p = g.mean(0) / 2
+    u = np.linalg.svd((g - 2 * p) / np.sqrt(2 * p * (1 - p)), full_matrices=False)[0]
+    got = {r.s: r.scores for r in scores.collect()}
+    v = np.array([got[f"s{i}"] for i in range(n)])
+    for k in range(2):
+        assert abs(abs(v[:, k] @ u[:, k]) - 1) < 1e-3
+
+
+def family_case(gts, sex=1, chrom="chr1", chr2=None, genes=("G",), extra=(), **row):
+    """A trio F (dad, mom, kid affected) and the genotypes of one call or several."""
+    ped = [("F", "kid", "dad", "mom", sex, 2), ("F", "dad", None, None, 1, 1), ("F", "mom", None, None, 2, 1), *extra]
+    calls = [("v", gts, chrom, chr2, list(genes))] if isinstance(gts, dict) else gts
+    sv = [(n, c, c2, "DEL", [s for s, x in who.items() if x != "0/0"], g, row.get("ac", 3), row.get("hom", 1), row.get("af"), row.get("gd", False), list(row.get("lof", []))) for n, who, c, c2, g in calls]
+    gt_rows = [(n, s, x) for n, who, *_ in calls for s, x in who.items()]
+    return {
+        "sv": (sv, "name string, chrom string, chr2 string, svtype string, samples array<string>, genes array<string>, ac int, n_homalt int, gnomad_af double, in_gd boolean, lof_genes array<string>"),
+        "gt": (gt_rows, "name string, s string, gt string"), "ped": (ped, "family_id string, sample_id string, paternal_id string, maternal_id string, sex int, phenotype int"),
+        "genes": ([("G", True, True, False)], "gene string, omim boolean, in_list boolean, constrained boolean"), "terms": ([("kid", "G")], "s string, gene string"),
+    }
+
+
+@pytest.mark.parametrize(
+    ("case", "want"),
+    [
+        (family_case({"kid": "0/1"}), {"filt_absent_unaff"}),
+        (family_case({"kid": "0/1"}, ac=11), set()),
+        (family_case({"kid": "1/1", "dad": "1/0", "mom": "0/1"}), {"filt_ar", "filt_inherited"}),
+        (family_case({"kid": "1/1", "dad": "1/1"}, hom=2), {"filt_inherited"}),
+        (family_case({"kid": "1/1", "mom": "0/1"}, hom=11), {"filt_inherited"}),
+        (family_case({"kid": "1", "mom": "0/1"}, chrom="chrX"), {"filt_xlr", "filt_inherited"}),
+        (family_case({"kid": "1", "mom": "0/1"}, chr2="chrX"), {"filt_xlr", "filt_inherited"}),
+        (family_case({"kid": "1", "dad": "1", "mom": "0/1"}, chrom="chrX"), {"filt_inherited"}),
+        (family_case({"kid": "0/1", "mom": "0/1"}, genes=("H",)), set()),
+        (family_case([("v", {"kid": "0/1", "dad": "0/1"}, "chr1", None, ["H"]), ("w", {"kid": "0/1", "mom": "0/1"}, "chr1", None, ["H", "K"])]), {"filt_mult_hit"}),
+        (family_case([("v", {"kid": "0/1", "dad": "0/1"}, "chr1", None, ["H"]), ("w", {"kid": "0/1", "dad": "0/1"}, "chr1", None, ["H"])]), set()),
+    ],
+)
+def test_family_rules(spark, case, want):
+    out = family.family_filter(**{k: spark.createDataFrame(*v) for k, v in case.items()}).where("name = 'v'").collect()
+    flags = {f for r in out for f in ("filt_absent_unaff", "filt_mult_hit", "filt_ar", "filt_xlr", "filt_inherited") if r[f]}
+    assert flags == want and all(r.hpo_match == ("G" in case["sv"][0][0][5]) for r in out)
