@@ -83,21 +83,14 @@ def merge_samples(tables: list[DataFrame]) -> DataFrame:
 
 
 def densify(variants: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Every variant site for every sample with reference blocks: its own call, else the block (pos to end) that reaches the site as
-    a hom-ref call with the block's GQ and DP, else missing.
-
-    The last block that starts at or before a site is carried forward over the sample's sorted positions; blocks of a sample do not
-    overlap. Sites meet samples, since that grid is what is asked for.
-    """
-    sites = variants.select(*gt.KEY).distinct()
-    samples = variants.select("s").union(blocks.select("s")).distinct()
-    grid = sites.join(samples)
-    block = F.struct("end", "GQ", "DP")
-    marks = blocks.select("contig", "pos", "s", block.alias("b"), F.lit(0).alias("kind"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("string").alias("alt"))
-    rows = marks.unionByName(grid.select("contig", "pos", "s", F.lit(1).alias("kind"), "ref", "alt"), allowMissingColumns=True)
-    carried = rows.withColumn("b", F.last("b", ignorenulls=True).over(Window.partitionBy("contig", "s").orderBy("pos", "kind"))).where("kind = 1")
-    own = variants.select(*gt.KEY, "s", "a1", "a2", F.col("GQ").alias("own_gq"), F.col("DP").alias("own_dp"), F.lit(True).alias("own"))
-    out = carried.join(own, [*gt.KEY, "s"], "left")
-    covered = F.col("b").isNotNull() & (F.col("b.end") >= F.col("pos"))
-    pick = lambda mine, block: F.when(F.col("own"), mine).when(covered, block)
-    return out.select(*gt.KEY, "s", pick(F.col("a1"), F.lit(0)).alias("a1"), pick(F.col("a2"), F.lit(0)).alias("a2"), pick(F.col("own_gq"), F.col("b.GQ")).alias("GQ"), pick(F.col("own_dp"), F.col("b.DP")).alias("DP"))
+    """Calls at variant sites in long form: a sample's own call, else a hom-ref call with the GQ and DP of its reference block (pos to
+    end) that reaches the site, of several the last to start. What has neither is missing, and a missing call has no row, so the
+    result grows with calls and covered sites and not with sites times samples."""
+    from .interval import pairs
+
+    sites = variants.select(*gt.KEY).distinct().withColumns({"start": F.col("pos") - 1, "end": F.col("pos")})
+    spans = blocks.select("contig", (F.col("pos") - 1).alias("start"), F.col("end"), "s", F.col("GQ").alias("gq"), F.col("DP").alias("dp"))
+    held = pairs(sites, spans, ["contig"]).groupBy(*gt.KEY, F.col("b_s").alias("s")).agg(F.max(F.struct("b_start", "b_gq", "b_dp")).alias("b"))
+    own = variants.select(*gt.KEY, "s", "a1", "a2", "GQ", "DP")
+    from_block = held.join(own.select(*gt.KEY, "s"), [*gt.KEY, "s"], "left_anti").select(*gt.KEY, "s", F.lit(0).alias("a1"), F.lit(0).alias("a2"), F.col("b.b_gq").alias("GQ"), F.col("b.b_dp").alias("DP"))
+    return own.unionByName(from_block)

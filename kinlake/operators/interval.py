@@ -75,12 +75,28 @@ def annotate_points(points: DataFrame, bed: DataFrame, column: str, key: str = "
     return met
 
 
+def islands(df: DataFrame, keys: Sequence[str], distance: int = 0, start: str = "start", end: str = "end", width: int = BIN) -> DataFrame:
+    """Rows with __island: one number (within the keys) for intervals that are chained by gaps of at most `distance`.
+
+    Rows are ordered within bins of their start, so the work spreads over bins and not over the few values of the keys. How far the
+    bins before reach, and how many islands begin in them, is carried over from a table of one row a bin. Keys are not null.
+    """
+    whole = [*keys, "__at"]
+    rows = df.withColumn("__at", F.floor(F.col(start) / width))
+    before = Window.partitionBy(*keys).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    own = Window.partitionBy(*whole).orderBy(start, end)
+    carry = rows.groupBy(*whole).agg(F.max(end).alias("__top")).select(*whole, F.max("__top").over(before).alias("__carry"))
+    reach = F.greatest(F.max(end).over(own.rowsBetween(Window.unboundedPreceding, -1)), "__carry")
+    rows = rows.join(carry, whole).withColumn("__new", F.when(reach.isNull() | (F.col(start) > reach + distance), 1).otherwise(0)).drop("__carry")
+    begun = rows.groupBy(*whole).agg(F.sum("__new").alias("__n")).select(*whole, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__begun"))
+    number = F.col("__begun") + F.sum("__new").over(own.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.join(begun, whole).withColumn("__island", number).drop("__at", "__new", "__begun")
+
+
 def merge_intervals(df: DataFrame, keys: Sequence[str], distance: int = 0, start: str = "start", end: str = "end", name: str = "name") -> DataFrame:
     """Intervals no further apart than `distance` joined into one, with their names (sorted, comma-joined) and number."""
-    order = Window.partitionBy(*keys).orderBy(start, end)
-    reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    islands = df.withColumn("__new", F.when(reach.isNull() | (F.col(start) > reach + distance), 1).otherwise(0)).withColumn("__island", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return islands.groupBy(*keys, "__island").agg(F.min(start).alias(start), F.max(end).alias(end), F.array_join(F.array_sort(F.collect_list(name)), ",").alias("names"), F.count("*").alias("n")).drop("__island")
+    found = islands(df, keys, distance, start, end)
+    return found.groupBy(*keys, "__island").agg(F.min(start).alias(start), F.max(end).alias(end), F.array_join(F.array_sort(F.collect_list(name)), ",").alias("names"), F.count("*").alias("n")).drop("__island")
 
 
 def coverage_fraction(a: DataFrame, b: DataFrame, keys: Sequence[str], id_col: str = "name", width: int = BIN, start: str = "start", end: str = "end") -> DataFrame:

@@ -92,19 +92,14 @@ def flag_duplicate_cpx(rows: DataFrame) -> DataFrame:
 
 def cluster_calls(calls: DataFrame, keys: list[str], distance: int = 0) -> DataFrame:
     """Calls merged by keys and distance: span, joined names, carriers and number."""
-    order = Window.partitionBy(*keys).orderBy("start", "end", "name")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    rows = calls.withColumn("__new", F.when(reach.isNull() | (F.col("start") > reach + distance), 1).otherwise(0)).withColumn("__id", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.groupBy(*keys, "__id").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.array_join(F.array_sort(F.collect_set("name")), ",").alias("names"), F.count("*").alias("n_calls"), F.sum(F.col("end") - F.col("start")).alias("bases")).drop("__id")
+    rows = interval.islands(calls, keys, distance)
+    return rows.groupBy(*keys, "__island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.array_join(F.array_sort(F.collect_set("name")), ",").alias("names"), F.count("*").alias("n_calls"), F.sum(F.col("end") - F.col("start")).alias("bases")).drop("__island")
 
 
 def fragmented(calls: DataFrame, keys: list[str], distance: int) -> DataFrame:
     """Calls with the first name of their cluster (name_fix) and whether the cluster holds several (is_fragmented)."""
-    order = Window.partitionBy(*keys).orderBy("start", "end", "name")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    rows = calls.withColumn("__new", F.when(reach.isNull() | (F.col("start") > reach + distance), 1).otherwise(0)).withColumn("__id", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    whole = Window.partitionBy(*keys, "__id")
-    return rows.withColumns({"name_fix": F.min("name").over(whole), "is_fragmented": F.count("*").over(whole) > 1}).drop("__new", "__id")
+    whole = Window.partitionBy(*keys, "__island")
+    return interval.islands(calls, keys, distance).withColumns({"name_fix": F.min("name").over(whole), "is_fragmented": F.count("*").over(whole) > 1}).drop("__island")
 
 
 def parent_median_coverage(calls: DataFrame, trios: DataFrame, coverage: DataFrame, cutoff: float, pad: int = 100) -> DataFrame:

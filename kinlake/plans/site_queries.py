@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import csq as C
@@ -10,6 +10,7 @@ from ..functions import genotype as gt
 from ..functions import text, variant
 from ..operators import annotate, burden, clinical, denovo, learn, pedigree, qc, related, review, sets, trio
 from ..sources import files
+from . import scratch
 from . import views as V
 from .registry import query
 from .trio_queries import _COUNTS, SITE, X_NON
@@ -201,18 +202,13 @@ def j15_merge_samples(spark, d):
     return annotate.merge_samples([e.where(odd), e.where(~odd)]).groupBy("contig").agg(F.count("*").alias("n"), F.countDistinct("s").alias("samples"))
 
 
-_DENSE = "c AS (SELECT * FROM v_entries WHERE s IN ('S0', 'S2', 'S5', 'S8') AND a1 + a2 > 0), b AS (SELECT contig, pos, pos + 150 AS last, s, gq, dp FROM v_entries WHERE s IN ('S0', 'S2', 'S5', 'S8') AND a1 + a2 = 0)"
-
-
-def _dense(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    e = V.entries(spark, d).where("s in ('S0', 'S2', 'S5', 'S8')")
-    return e.where("a1 + a2 > 0"), e.where("a1 + a2 = 0").select("contig", "pos", (F.col("pos") + 150).alias("end"), "s", "GQ", "DP")
-
-
-@query(f"""WITH {_DENSE}, g AS (SELECT DISTINCT c.contig, c.pos, c.ref, c.alt, x.s FROM c, (SELECT s FROM c UNION SELECT s FROM b) x), l AS (SELECT g.*, arg_max(b.gq, b.pos) AS bgq, arg_max(b.last, b.pos) AS blast FROM g LEFT JOIN b ON b.contig = g.contig AND b.s = g.s AND b.pos <= g.pos GROUP BY g.contig, g.pos, g.ref, g.alt, g.s)
-SELECT l.contig, l.pos, l.s, CASE WHEN c.s IS NOT NULL THEN c.a1 + c.a2 WHEN blast >= l.pos THEN 0 END AS n, CASE WHEN c.s IS NOT NULL THEN c.gq WHEN blast >= l.pos THEN bgq END AS gq FROM l LEFT JOIN c ON c.contig = l.contig AND c.pos = l.pos AND c.ref = l.ref AND c.alt = l.alt AND c.s = l.s""", "v_entries")
+@query(f"""WITH c AS (SELECT * FROM v_entries WHERE a1 + a2 > 0), b AS (SELECT contig, pos AS first, pos + 150 AS last, s, gq FROM v_entries WHERE a1 + a2 = 0),
+g AS (SELECT x.{SITE.replace(', ', ', x.')}, b.s, arg_max(b.gq, CAST(b.first AS BIGINT) * 1000 + b.gq) AS gq FROM (SELECT DISTINCT {SITE} FROM c) x JOIN b ON b.contig = x.contig AND x.pos BETWEEN b.first AND b.last GROUP BY x.{SITE.replace(', ', ', x.')}, b.s)
+SELECT contig, pos, s, a1 + a2 AS n, gq FROM c UNION ALL SELECT g.contig, g.pos, g.s, 0, g.gq FROM g WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.contig = g.contig AND c.pos = g.pos AND c.ref = g.ref AND c.alt = g.alt AND c.s = g.s)""", "v_entries")
 def j16_densify(spark, d):
-    return annotate.densify(*_dense(spark, d)).select("contig", "pos", "s", (F.col("a1") + F.col("a2")).alias("n"), F.col("GQ").alias("gq"))
+    e = V.entries(spark, d)
+    blocks = e.where("a1 + a2 = 0").select("contig", "pos", (F.col("pos") + 150).alias("end"), "s", "GQ", "DP")
+    return annotate.densify(e.where("a1 + a2 > 0"), blocks).select("contig", "pos", "s", (F.col("a1") + F.col("a2")).alias("n"), F.col("GQ").alias("gq"))
 
 
 @query("SELECT contig, pos, least(site_id * 3000000, 2147483647) AS big FROM v_sites", "v_sites")
@@ -315,14 +311,14 @@ def m16_gene_set_enrichment(spark, d):
     return burden.gene_set_enrichment(genes, _terms(spark, d)).select("ontology", "term", "size", "hits", F.round("p", 5).alias("p"))
 
 
-@query("""WITH tm AS (SELECT DISTINCT concat('GO', site_id % 12) AS term, transcript AS gene FROM v_sites), c AS (SELECT DISTINCT e.s, s.transcript AS gene, CASE WHEN p.phenotype = 2 THEN 1 ELSE 0 END AS k FROM v_entries e JOIN v_sites s ON s.contig = e.contig AND s.pos = e.pos JOIN v_ped p ON p.sample_id = e.s WHERE a1 = 1 AND a2 = 1 AND ad_alt > 45),
+@query("""WITH tm AS (SELECT DISTINCT concat('GO', site_id % 12) AS term, transcript AS gene FROM v_sites), c AS (SELECT DISTINCT e.s, s.transcript AS gene, CASE WHEN p.phenotype = 2 THEN 1 ELSE 0 END AS k FROM v_entries e JOIN v_sites s ON s.contig = e.contig AND s.pos = e.pos JOIN v_ped p ON p.sample_id = e.s WHERE a1 = 1 AND a2 = 1),
 h AS (SELECT DISTINCT term, s, k FROM c JOIN tm USING (gene)), n AS (SELECT count(*) FILTER (phenotype = 2) AS cases, count(*) FILTER (phenotype <> 2) AS controls FROM v_ped),
 q AS (SELECT term, CAST(sum(k) AS BIGINT) AS a, CAST(cases - sum(k) AS BIGINT) AS b, CAST(count(*) - sum(k) AS BIGINT) AS c, CAST(controls - (count(*) - sum(k)) AS BIGINT) AS d FROM h, n GROUP BY term, cases, controls),
 i AS (SELECT *, unnest(range(greatest(0, a - d), least(a + b, a + c) + 1)) AS x FROM q), r AS (SELECT *, exp(lgamma(a + b + 1.0) - lgamma(x + 1.0) - lgamma(a + b - x + 1.0) + lgamma(c + d + 1.0) - lgamma(a + c - x + 1.0) - lgamma(d - a + x + 1.0) - lgamma(a + b + c + d + 1.0) + lgamma(a + c + 1.0) + lgamma(b + d + 1.0)) AS px FROM i),
 s AS (SELECT term, max(px) FILTER (x = a) AS seen FROM r GROUP BY term)
 SELECT q.term, q.a, q.c, round(p, 5) AS p, q.a * q.d / nullif(q.b * q.c, 0) AS odds_ratio FROM q JOIN (SELECT term, least(1.0, sum(CASE WHEN px <= seen * (1 + 1e-7) THEN px ELSE 0 END)) AS p FROM r JOIN s USING (term) GROUP BY term) USING (term)""", "v_sites", "v_entries", "v_ped")
 def m17_carrier_comparison(spark, d):
-    e = V.entries(spark, d).where(gt.is_hom_var() & (F.get("AD", F.lit(1)) > 45)).join(_sites(spark, d).select(*gt.KEY, "transcript"), gt.KEY).join(_ped(spark, d), F.col("s") == F.col("sample_id"))
+    e = V.entries(spark, d).where(gt.is_hom_var()).join(_sites(spark, d).select(*gt.KEY, "transcript"), gt.KEY).join(_ped(spark, d), F.col("s") == F.col("sample_id"))
     carriers = e.select("s", F.col("transcript").alias("gene"), F.when(F.col("phenotype") == 2, "case").otherwise("control").alias("group"))
     totals = _ped(spark, d).agg(F.sum((F.col("phenotype") == 2).cast("long")).alias("cases"), F.sum((F.col("phenotype") != 2).cast("long")).alias("controls"))
     out = burden.carrier_comparison(carriers, totals, _terms(spark, d))
@@ -677,3 +673,72 @@ def src13_extract_fields(spark, d):
 def src8_sites_vcf(spark, d):
     return files.sites_vcf_lines(_sites(spark, d).drop("qual"))
 
+
+
+# Files: a view is written as text and read back.
+
+
+def _text(*columns: str) -> Column:
+    return F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("0")) for c in columns])
+
+
+@query("SELECT contig, pos, ref, alt, CASE WHEN qual IS NULL THEN 0 ELSE 1 END AS has_qual FROM v_sites", "v_sites")
+def src1_vcf_sites(spark, d):
+    path = scratch.folder(spark, "vcf")
+    files.write_sites_vcf(_sites(spark, d).select(*gt.KEY, "qual"), path)
+    return files.read_vcf_sites(spark, [f"{path}/header", f"{path}/body"]).select(*gt.KEY, F.col("qual").isNotNull().cast("int").alias("has_qual"))
+
+
+@query('SELECT name, chrom AS contig, start_pos AS "start", end_pos AS "end" FROM v_regions', "v_regions")
+def src4_bed(spark, d):
+    path = scratch.folder(spark, "bed")
+    rows = V.view(spark, d, "v_regions").select(_text("chrom", "start_pos", "end_pos", "name").alias("value"))
+    rows.unionByName(spark.createDataFrame([("chrom\tstart\tend\tname",)], "value string")).write.text(path)
+    return files.read_bed(spark, path).select("name", "contig", "start", "end")
+
+
+@query("SELECT family_id, sample_id, paternal_id, maternal_id, sex, phenotype FROM v_ped", "v_ped")
+def src5_ped(spark, d):
+    path = scratch.folder(spark, "ped")
+    _ped(spark, d).select(_text("family_id", "sample_id", "paternal_id", "maternal_id", "sex", "phenotype").alias("value")).write.text(path)
+    return files.read_ped(spark, path)
+
+
+@query("SELECT contig, CAST(pos AS VARCHAR) AS pos, ref, NULL AS alt FROM v_sites WHERE length(alt) = 1 UNION ALL SELECT contig, CAST(pos AS VARCHAR), ref, alt FROM v_sites WHERE length(alt) > 1", "v_sites")
+def src6_tsvs(spark, d):
+    one, two = scratch.folder(spark, "tsv"), scratch.folder(spark, "tsv")
+    files.write_sharded(_sites(spark, d).where("length(alt) = 1").select("contig", "pos", "ref"), one, shards=3)
+    files.write_sharded(_sites(spark, d).where("length(alt) > 1").select("alt", "contig", "pos", "ref"), two, per_shard=100)
+    return files.read_tsvs(spark, [one, two])
+
+
+@query("SELECT contig, count(*) AS n, sum(pos) AS pos FROM v_sites WHERE contig IN ('chr1', 'chrX') GROUP BY contig", "v_sites")
+def src7_store(spark, d):
+    path = scratch.folder(spark, "store")
+    files.save_table(_sites(spark, d), path)
+    return files.load_table(spark, path).where("contig in ('chr1', 'chrX')").groupBy("contig").agg(F.count("*").alias("n"), F.sum("pos").alias("pos"))
+
+
+@query("SELECT contig, CAST(pos AS VARCHAR) AS pos, ref, alt, 5 AS files FROM v_sites", "v_sites")
+def src12_sharded(spark, d):
+    path = scratch.folder(spark, "shards")
+    files.write_sharded(_sites(spark, d).select(*gt.KEY), path, shards=5)
+    rows = files.read_tsvs(spark, [path])
+    return rows.crossJoin(F.broadcast(rows.select(F.input_file_name().alias("f")).agg(F.countDistinct("f").cast("int").alias("files"))))
+
+
+@query()
+def m5_cascade(spark, d):
+    return learn.cascade(V.view(spark, d, "v_features"), ["qd", "mq"], ["vqslod", "fs"], bags=1, trees=20).select("varkey", "label", "sample_probability", "probability")
+
+
+@query()
+def m8_grid_search(spark, d):
+    return learn.grid_search(V.view(spark, d, "v_features"), _FEATURES, (3, 5), (10, 20))
+
+
+@query()
+def m24_known_variant_run(spark, d):
+    rows = V.view(spark, d, "v_features").withColumns({"LEN": (F.col("qd") % 60).cast("int"), "POLYX": (F.col("mq") % 12).cast("int")})
+    known = rows.where("label = 0 and qd > 40").select("varkey")
+    return learn.known_variant_run(rows.where("label = 1").drop("label"), rows.where("label = 0").drop("label"), known, _FEATURES, bags=1, trees=20).drop("LEN", "POLYX", *_FEATURES)
