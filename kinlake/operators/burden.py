@@ -74,10 +74,18 @@ def burden_classes(calls: DataFrame, phenotypes: dict[str, tuple[list[int], list
 
 
 def balance_groups(df: DataFrame, group: str, key: str, seed: int = 1) -> DataFrame:
-    """Every group cut to the size of the least one, by rank of a seeded hash of the key."""
-    sizes = df.groupBy(group).count().agg(F.min("count").alias("least"))
-    order = Window.partitionBy(group).orderBy(F.xxhash64(F.lit(seed), key), key)
-    return df.withColumn("__r", F.row_number().over(order)).crossJoin(F.broadcast(sizes)).where(F.col("__r") <= F.col("least")).drop("__r", "least")
+    """Every group cut to the size of the least one, by rank of a seeded md5 of the key.
+
+    Ranks are made within the 4096 first digits of the hash, and the sizes of those parts carried over, so no task ranks a group. Rows
+    of a null group or key go."""
+    rows = df.where(F.col(group).isNotNull() & F.col(key).isNotNull()).withColumn("__h", F.md5(F.concat(F.lit(str(seed)), F.col(key)))).withColumn("__part", F.substring("__h", 1, 3))
+    sizes = rows.groupBy(group, "__part").agg(F.count("*").alias("__n"))
+    before = Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    least = sizes.groupBy(group).agg(F.sum("__n").alias("__all")).agg(F.min("__all").alias("__least"))
+    carry = sizes.select(group, "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    own = F.row_number().over(Window.partitionBy(group, "__part").orderBy("__h", key))
+    ranked = rows.withColumn("__own", own).join(carry, [group, "__part"]).crossJoin(F.broadcast(least))
+    return ranked.where(F.col("__before") + F.col("__own") <= F.col("__least")).select(*df.columns)
 
 
 def phenotype_gene_counts(calls: DataFrame, classes: list[str]) -> DataFrame:

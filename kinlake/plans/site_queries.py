@@ -13,7 +13,7 @@ from ..sources import files
 from . import scratch
 from . import views as V
 from .registry import query
-from .trio_queries import _COUNTS, SITE, X_NON
+from .trio_queries import _COUNTS, _G1, SITE, SNP, X_NON
 
 COLUMNS = ["Allele", "Consequence", "IMPACT", "SYMBOL", "Feature", "BIOTYPE", "CANONICAL", "PolyPhen", "LoF"]
 
@@ -290,7 +290,7 @@ def m15_burden_classes(spark, d):
     return burden.burden_classes(rows, {"2_vs_1": ([2], [1])})
 
 
-@query()
+@query("SELECT family_id, sample_id, paternal_id, maternal_id, sex, phenotype FROM (SELECT *, row_number() OVER (PARTITION BY phenotype ORDER BY md5(concat('1', sample_id)), sample_id) AS r FROM v_ped) WHERE r <= (SELECT min(n) FROM (SELECT count(*) AS n FROM v_ped GROUP BY phenotype))", "v_ped")
 def t3_balance_groups(spark, d):
     return burden.balance_groups(_ped(spark, d), "phenotype", "sample_id")
 
@@ -464,7 +464,8 @@ def p24_denovo_metric_filter(spark, d):
     return denovo.denovo_metric_filter(flat, denovo.MetricConfig(af=0.4)).select(F.col("VarKey").alias("varkey"))
 
 
-@query()
+@query(_G1 + f"""SELECT {SITE}, proband, confidence FROM l JOIN (SELECT {SITE}, vqslod, gnomad_af FROM v_sites) USING ({SITE}) WHERE confidence <> 'LOW' AND (vqslod IS NULL OR vqslod > CASE WHEN {SNP} THEN -2.5 ELSE -1.5 END)
+AND ac / an <= 0.4 AND (gnomad_af IS NULL OR gnomad_af <= 0.01) AND kid_alt >= 6""", "v_trios", "v_sites")
 def p23_final_denovo_filter(spark, d):
     counts = qc.variant_qc(V.entries(spark, d)).select(*gt.KEY, "AN")
     calls = denovo.denovo_posterior(_flat(spark, d).join(counts, gt.KEY))

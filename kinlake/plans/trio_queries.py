@@ -261,10 +261,10 @@ b AS (SELECT *, CASE st WHEN 'auto' THEN m0 * d0 * k1 * power(1 - f, 4) * (1e-8
 g AS (SELECT *, new / (new + old) AS p FROM b WHERE kid_gq >= 20 AND dpr >= 0.1 AND cab >= 0.2 AND new / (new + old) >= 0.05 AND (st = 'hemi_y' OR (mom_ref + mom_alt > 0 AND mom_alt / (mom_ref + mom_alt) <= 0.05)) AND (st = 'hemi_x' OR (dad_ref + dad_alt > 0 AND dad_alt / (dad_ref + dad_alt) <= 0.05))),
 l AS (SELECT *, CASE WHEN {SNP} THEN CASE WHEN (p > 0.99 AND cab > 0.3 AND dpr > 0.2) OR (p > 0.99 AND cab > 0.3 AND ac = 1) OR (p > 0.5 AND cab > 0.3 AND ac < 10 AND kid_dp > 10) THEN 'HIGH' WHEN p > 0.5 AND (cab > 0.3 OR ac = 1) THEN 'MEDIUM' WHEN cab > 0.2 THEN 'LOW' END
   ELSE CASE WHEN p > 0.99 AND cab > 0.3 AND ac = 1 THEN 'HIGH' WHEN p > 0.5 AND cab > 0.3 AND ac <= 5 THEN 'MEDIUM' WHEN cab > 0.2 THEN 'LOW' END END AS confidence FROM g)
-SELECT {SITE}, proband, round(p, 6) AS p_de_novo, round(dpr, 6) AS dp_ratio, confidence FROM l WHERE confidence IS NOT NULL"""
+"""
 
 
-@query(_G1, "v_trios", "v_sites")
+@query(_G1 + f"SELECT {SITE}, proband, round(p, 6) AS p_de_novo, round(dpr, 6) AS dp_ratio, confidence FROM l WHERE confidence IS NOT NULL", "v_trios", "v_sites")
 def g1_denovo_posterior(spark, d):
     out = denovo.denovo_posterior(_with_counts(spark, d))
     return out.select(*gt.KEY, "proband", F.round("p_de_novo", 6).alias("p_de_novo"), F.round("dp_ratio", 6).alias("dp_ratio"), "confidence")
