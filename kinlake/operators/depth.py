@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import genotype as gt
@@ -75,17 +76,48 @@ def two_group_test(depth: DataFrame, carriers: DataFrame, kinds: DataFrame | Non
     return out.select("name", "mean", "var", "n", "k", "own_mean", "z", "power", test.alias("test"), p.alias("p"))
 
 
-def copy_states(median: DataFrame, cutoffs: DataFrame) -> DataFrame:
-    """By call and sample: the copy state whose cutoff its median depth is under, GQ from the distance to the nearest other state.
-    cutoffs: copy_state, mean, sd, cutoff (a fixed handful of rows)."""
-    states = cutoffs.agg(F.array_sort(F.collect_list(F.struct("cutoff", "copy_state", "mean", "sd"))).alias("states"))
-    rows = median.crossJoin(F.broadcast(states))
-    over = F.filter("states", lambda c: c["cutoff"] < F.col("m"))
-    own = F.get("states", F.least(F.size(over), F.size("states") - 1))
-    rows = rows.withColumn("__own", own)
-    others = F.transform(F.filter("states", lambda c: c["copy_state"] != F.col("__own.copy_state")), lambda c: F.abs(F.col("m") - c["mean"]) / c["sd"])
-    gap = F.array_min(others) - F.abs(F.col("m") - F.col("__own.mean")) / F.col("__own.sd")
-    return rows.select("name", "s", "m", F.col("__own.copy_state").alias("copy_state"), F.greatest(F.lit(0), F.least(F.lit(999), F.floor(10 * gap))).cast("int").alias("gq"))
+#: Width and offset of copy states above the last cutoff, and the largest quality (fixed values).
+STATE_STEP, STATE_EDGE, TOP_GQ = 0.5, 0.25, 999
+
+
+def copy_states(median: DataFrame, cutoffs: DataFrame, adjust: bool = True) -> DataFrame:
+    """By call and sample: m (corrected), copy_state, gq, and the call's correction and gq_var.
+
+    A median's state is the first whose cutoff it does not pass; above the last cutoff states go on in steps of one half. With
+    adjust, a call's medians are moved so that its most common state (the least of equals) has its median at that state's mean; a
+    negative one is 0, and homozygous deletions are not moved up. gq is the difference of phred-scaled z tests against the nearer
+    neighbour state and the own one, by the spread of state 2; gq_var that of the median distance from 1 of samples not in state 2
+    (0 where fewer than two are). cutoffs: copy_state 0, 1, ..., mean, sd, cutoff (a fixed handful of rows). Medians are not null.
+    """
+    c = F.col
+    states = cutoffs.agg(F.array_sort(F.collect_list(F.struct("copy_state", "cutoff", "mean"))).alias("states"), F.max(F.when(c("copy_state") == 2, c("sd"))).alias("sd"))
+    states = states.select("sd", c("states.cutoff").alias("cuts"), c("states.mean").alias("means"))
+
+    def state(m: Column) -> Column:
+        over, n = F.size(F.filter("cuts", lambda x: x < m)), F.size("cuts")
+        return F.when(over < n, over).otherwise(F.greatest(n, F.ceil((m - STATE_EDGE) / STATE_STEP).cast("int")))
+
+    mean = lambda k: F.coalesce(F.get("means", k), k * F.lit(STATE_STEP))
+    rows = median.crossJoin(F.broadcast(states)).withColumn("first", state(c("m")))
+    per = rows.groupBy("name", "first").agg(F.count("*").alias("n"), F.percentile("m", F.lit(0.5)).alias("mid"), F.first("means").alias("means"))
+    top = per.groupBy("name").agg(F.max_by(F.struct(c("first"), c("mid"), c("means")), F.struct("n", (-c("first")).alias("least"))).alias("top"))
+    shift = top.select("name", (F.coalesce(F.get("top.means", c("top.first")), c("top.first") * F.lit(STATE_STEP)) - c("top.mid")).alias("correction"))
+    rows = rows.join(shift, "name")
+    if adjust:
+        moved = F.greatest(c("m") + c("correction"), F.lit(0.0))
+        kept = (c("correction") > 0) & (moved - c("correction") < F.get("cuts", F.lit(0)))
+        rows = rows.withColumn("m", F.when(kept, moved - c("correction")).otherwise(moved))
+    rows = rows.withColumn("copy_state", state(c("m")))
+    phred = lambda x: -10 * F.log10(stats.normal_upper(F.abs(x) / c("sd")))
+    test = lambda k: F.when(stats.normal_upper(F.abs(c("m") - mean(k)) / c("sd")) > 1e-300, phred(c("m") - mean(k))).otherwise(1e6)
+    low = F.when(c("copy_state") == 0, 1).otherwise(c("copy_state") - 1)
+    gq = F.round(F.least(test(low), test(c("copy_state") + 1)) - test(c("copy_state")))
+    rows = rows.withColumn("gq", F.when(gq > TOP_GQ, TOP_GQ).when(gq < 0, 1).otherwise(gq).cast("int"))
+    off = F.when(c("copy_state") != 2, F.abs(c("m") - 1))
+    per_call = rows.groupBy("name").agg(F.count(off).alias("n_off"), F.percentile(off, F.lit(0.5)).alias("off"), F.max("sd").alias("sd"))
+    tail = stats.normal_upper(c("off") / c("sd"))
+    of_call = F.when(c("n_off") < 2, 0).when(tail <= 1e-300, TOP_GQ).otherwise(F.least(F.lit(TOP_GQ), F.round(-10 * F.log10(tail)).cast("int")))
+    return rows.join(per_call.select("name", of_call.cast("int").alias("gq_var")), "name").select("name", "s", "m", "copy_state", "gq", "correction", "gq_var")
 
 
 def family_depth(tests: DataFrame, ped: DataFrame) -> DataFrame:
@@ -96,30 +128,47 @@ def family_depth(tests: DataFrame, ped: DataFrame) -> DataFrame:
     return rows.groupBy("name", "fam_id", "proband").agg(*[F.max(F.when(F.col("role") == r, F.col("z"))).alias(f"z_{r}") for r in ("kid", "dad", "mom")])
 
 
-def depth_clusters(median: DataFrame, most: int = 6) -> DataFrame:
-    """By call: the number of copy states by one-dimensional k-means with the best silhouette. A call's samples are one group in a
-    task; its size is the number of samples, which a cohort bounds."""
-    import numpy as np
+def silhouette(x: np.ndarray, of: np.ndarray) -> float:
+    """Mean silhouette width of one-dimensional values in clusters; a value alone in its cluster counts 0."""
+    kinds = np.unique(of)
+    if len(kinds) < 2:
+        return 0.0
+    far = np.stack([np.abs(x[:, None] - x[of == k]).sum(axis=1) for k in kinds], axis=1)
+    size = np.array([(of == k).sum() for k in kinds])
+    own = np.searchsorted(kinds, of)
+    here = far[np.arange(len(x)), own] / np.maximum(size[own] - 1, 1)
+    away = far / size
+    away[np.arange(len(x)), own] = np.inf
+    there = away.min(axis=1)
+    width = (there - here) / np.maximum(np.maximum(here, there), 1e-300)
+    return float(np.where(size[own] > 1, width, 0.0).mean())
+
+
+def depth_clusters(median: DataFrame, first: float = 0.1, last: float = 0.5, step: float = 0.1, most: int = 100) -> DataFrame:
+    """By call: the number of copy states, by k-means from centres spaced 0, i, 2 i, ... for each interval i; of the intervals the one with
+    the best mean silhouette (the last of equals) counts. A call's samples are one group in a task; its size is the number of samples,
+    which a cohort bounds. Medians are not null."""
     import pandas as pd
 
+    intervals = np.round(np.arange(first, last + step / 2, step), 10)
+
+    def means(x: np.ndarray, i: float) -> np.ndarray:
+        centre = np.arange(min(most, max(len(x) - 1, 0)) + 1) * i
+        for _ in range(100):
+            of = np.abs(x[:, None] - centre).argmin(axis=1)
+            new = np.array([x[of == c].mean() if (of == c).any() else centre[c] for c in range(len(centre))])
+            if np.array_equal(new, centre):
+                break
+            centre = new
+        return of
+
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         x = np.sort(group["m"].to_numpy(float))
-        best, score = 1, 0.0
-        for k in range(2, min(most, len(np.unique(x)) - 1) + 1):
-            centre = np.quantile(x, (np.arange(k) + 0.5) / k)
-            for _ in range(50):
-                of = np.abs(x[:, None] - centre).argmin(axis=1)
-                new = np.array([x[of == c].mean() if (of == c).any() else centre[c] for c in range(k)])
-                if np.allclose(new, centre):
-                    break
-                centre = new
-            gaps = np.sort(np.abs(x[:, None] - centre), axis=1)
-            s = float(((gaps[:, 1] - gaps[:, 0]) / np.maximum(gaps[:, 1], 1e-12)).mean())
-            if s > score + 0.02:
-                best, score = k, s
-        return pd.DataFrame({"name": [group["name"].iloc[0]], "n_states": [best], "silhouette": [score]})
-
-    return median.groupBy("name").applyInPandas(fit, "name string, n_states int, silhouette double")
+        found = [(silhouette(x, of), k, len(np.unique(of))) for k, of in enumerate(means(x, i) for i in intervals)]
+        width, k, n = max(found, key=lambda r: (r[0], r[1]))
+        return pd.DataFrame({"name": [group["name"].iloc[0]], "n_states": [n], "interval": [float(intervals[k])], "silhouette": [width]})
+
+    return median.groupBy("name").applyInPandas(fit, "name string, n_states int, interval double, silhouette double")
 
 
 def trio_baf(trios: DataFrame, windows: DataFrame) -> DataFrame:

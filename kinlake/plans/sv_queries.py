@@ -464,10 +464,17 @@ def _median(spark: SparkSession, d: str) -> DataFrame:
     return _depth(spark, d)[0].groupBy("name", "s").agg(F.percentile("depth", F.lit(0.5)).alias("m"))
 
 
-@query(f"""WITH {_DEPTH} , q AS (SELECT name, s, quantile_cont(depth, 0.5) AS m FROM dp GROUP BY name, s) SELECT name, s, CASE WHEN m <= 0.25 THEN 0 WHEN m <= 0.75 THEN 1 WHEN m <= 1.25 THEN 2 ELSE 3 END AS copy_state FROM q WHERE m IS NOT NULL""", "v_regions", "v_coverage")
+_STATE = "CASE WHEN m <= 0.25 THEN 0 WHEN m <= 0.75 THEN 1 WHEN m <= 1.25 THEN 2 WHEN m <= 1.75 THEN 3 ELSE greatest(4, CAST(ceil((m - 0.25) / 0.5) AS INT)) END"
+
+
+@query(f"""WITH {_DEPTH} , q AS (SELECT name, s, quantile_cont(depth, 0.5) AS m FROM dp GROUP BY name, s), a AS (SELECT *, {_STATE} AS st FROM q WHERE m IS NOT NULL),
+n AS (SELECT name, st, count(*) AS n, quantile_cont(m, 0.5) AS mid FROM a GROUP BY name, st), t AS (SELECT name, st * 0.5 - mid AS corr FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY n DESC, st) AS r FROM n) WHERE r = 1),
+b AS (SELECT name, s, corr, CASE WHEN corr > 0 AND greatest(m + corr, 0) - corr < 0.25 THEN greatest(m + corr, 0) - corr ELSE greatest(m + corr, 0) END AS m FROM a JOIN t USING (name)), c AS (SELECT *, {_STATE} AS copy_state FROM b)
+SELECT name, s, round(m, 6) AS m, copy_state, round(corr, 6) AS correction, count(*) FILTER (copy_state <> 2) OVER (PARTITION BY name) < 2 AS no_call FROM c""", "v_regions", "v_coverage")
 def m20_copy_states(spark, d):
     cut = spark.createDataFrame([(0, 0.0, 0.1, 0.25), (1, 0.5, 0.1, 0.75), (2, 1.0, 0.1, 1.25), (3, 1.5, 0.1, 1.75)], "copy_state int, mean double, sd double, cutoff double")
-    return depth.copy_states(_median(spark, d).where("m is not null"), cut).select("name", "s", "copy_state")
+    out = depth.copy_states(_median(spark, d).where("m is not null"), cut)
+    return out.select("name", "s", F.round("m", 6).alias("m"), "copy_state", F.round("correction", 6).alias("correction"), (F.col("gq_var") == 0).alias("no_call"))
 
 
 @query()

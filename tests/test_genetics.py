@@ -1,5 +1,6 @@
 """Enumerated truth tables and hand-worked cases."""
 
+import math
 from itertools import product
 
 import numpy as np
@@ -209,3 +210,32 @@ def test_family_rules(spark, case, want):
     out = family.family_filter(**{k: spark.createDataFrame(*v) for k, v in case.items()}).where("name = 'v'").collect()
     flags = {f for r in out for f in ("filt_absent_unaff", "filt_mult_hit", "filt_ar", "filt_xlr", "filt_inherited") if r[f]}
     assert flags == want and all(r.hpo_match == ("G" in case["sv"][0][0][5]) for r in out)
+
+
+def test_copy_states_and_their_quality(spark):
+    cut = spark.createDataFrame([(0, 0.0, 0.1, 0.25), (1, 0.5, 0.1, 0.75), (2, 1.0, 0.1, 1.25), (3, 1.5, 0.1, 1.75)], "copy_state int, mean double, sd double, cutoff double")
+    values = {"a": 1.1, "b": 1.1, "c": 1.15, "d": 0.6, "e": 0.1, "f": 2.6}
+    rows = spark.createDataFrame([("v", s, m) for s, m in values.items()], "name string, s string, m double")
+    got = {r.s: r for r in depth.copy_states(rows, cut).collect()}
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    for s, m in values.items():
+        m = max(m - 0.1, 0)
+        state = next((k for k, c in enumerate((0.25, 0.75, 1.25, 1.75)) if m <= c), max(4, math.ceil((m - 0.25) / 0.5)))
+        q = lambda k: -10 * math.log10(tail(abs(m - k * 0.5) / 0.1)) if tail(abs(m - k * 0.5) / 0.1) > 1e-300 else 1e6  # noqa: E731, B023
+        gq = round(min(q(state - 1 if state else 1), q(state + 1)) - q(state))
+        assert got[s].copy_state == state and abs(got[s].m - m) < 1e-9 and abs(got[s].gq - min(max(gq, 1), 999)) <= 1
+    assert abs(got["a"].correction + 0.1) < 1e-9 and got["a"].gq_var > 0
+
+
+def test_silhouette_and_clusters_of_depth(spark):
+    x = np.array([0.0, 0.1, 0.05, 1.0, 1.1, 2.0])
+    of = np.array([0, 0, 0, 1, 1, 2])
+    want = []
+    for i in range(6):
+        d = lambda k: [abs(x[i] - x[j]) for j in range(6) if of[j] == k and j != i]  # noqa: E731, B023
+        a, b = (np.mean(d(of[i])) if d(of[i]) else None), min(np.mean(d(k)) for k in range(3) if k != of[i])
+        want.append(0.0 if a is None else (b - a) / max(a, b))
+    assert abs(depth.silhouette(x, of) - np.mean(want)) < 1e-12
+    rows = [("v", float(m)) for m in (0.48, 0.5, 0.52, 0.99, 1.0, 1.01, 1.5, 1.52)] + [("w", 1.0), ("w", 1.0), ("u", 1.0)]
+    got = {r.name: r.n_states for r in depth.depth_clusters(spark.createDataFrame(rows, "name string, m double")).collect()}
+    assert got == {"v": 3, "w": 1, "u": 1}
