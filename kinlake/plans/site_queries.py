@@ -254,11 +254,23 @@ def w7_dedup_relatedness(spark, d):
     return related.dedup_relatedness(V.view(spark, d, "v_kinship")).select("s", "other", "kin")
 
 
-@query()
+_CLASS = """CASE WHEN kin < 0.1 THEN 'unrelated' WHEN kin < 0.19 THEN 'second degree relatives' WHEN kin BETWEEN 0.19 AND 0.4 AND ibd0 <= 0.2 AND ibd1 >= 0.75 AND ibd2 <= 0.125 THEN 'parent-child' WHEN kin BETWEEN 0.19 AND 0.4 AND ibd0 BETWEEN 0.2 AND 0.425 AND ibd1 BETWEEN 0.275 AND 0.75 AND ibd2 BETWEEN 0.1 AND 0.5 THEN 'siblings'
+  WHEN ibd0 <= 0.2 AND ibd1 BETWEEN -0.15 AND 0.1 AND ibd2 BETWEEN 0.75 AND 1.25 THEN 'duplicate/twins' ELSE 'ambiguous' END"""
+
+
+@query(f"SELECT * FROM (SELECT i, j, kin, ibd0, ibd1, ibd2, {_CLASS} AS class FROM v_kinship) WHERE class <> 'unrelated' OR substr(md5(concat(i, '|', j)), 1, 4) < '0ccc'", "v_kinship")
 def t4_sample_pairs(spark, d):
     return related.sample_pairs(V.view(spark, d, "v_kinship"))
 
 
+@query(f"""WITH RECURSIVE c AS (SELECT i, j FROM v_kinship WHERE {_CLASS} = 'duplicate/twins'), e AS (SELECT i, j FROM c UNION SELECT j, i FROM c), r AS (SELECT i AS s, i AS t FROM e UNION SELECT r.s, e.j FROM r JOIN e ON e.i = r.t),
+g AS (SELECT s, min(t) AS root FROM r GROUP BY s), k AS (SELECT g.s, root, 4 - (CASE WHEN sex IN (1, 2) THEN 1 ELSE 0 END + CASE WHEN paternal_id IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN maternal_id IS NOT NULL THEN 1 ELSE 0 END) AS rank FROM g JOIN v_ped ON sample_id = g.s),
+b AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY rank, s) AS n FROM k)
+SELECT max(s) FILTER (n = 1) AS kept, string_agg(s, ',' ORDER BY s) FILTER (n > 1) AS filtered FROM b GROUP BY root""", "v_kinship", "v_ped")
+def g27_duplicate_groups(spark, d):
+    return related.duplicate_groups(V.view(spark, d, "v_kinship"), _ped(spark, d))
+
+
 def _alleles(spark: SparkSession, d: str) -> DataFrame:
     """One row a carried allele of children: gene, case or not."""
     e = V.entries(spark, d).where("a1 + a2 > 0").join(_sites(spark, d).select(*gt.KEY, "symbol", "transcript"), gt.KEY).join(_ped(spark, d), F.col("s") == F.col("sample_id"))

@@ -141,6 +141,8 @@ def with_views(sql: str, *names: str) -> str:
         order += [x for x in [*_needs(n), n] if x not in order]
     ctes = [f"{n} AS MATERIALIZED ({re.sub(r'[{](\w+)[}]', r'\1', VIEWS[n])})" for n in order]
     body = sql.strip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {', '.join(ctes)}, {body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {', '.join(ctes)}, {body[5:]}"
     return f"WITH {', '.join(ctes)} {body}"
