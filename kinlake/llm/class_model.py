@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, materialise, text_chunks, tidy
+from .common import Words, gathered, materialise, text_chunks, tidy
 
 #: Words whose hashes every task holds (at most, the most frequent); all others are looked up by a join.
 HELD_WORDS = 300_000
@@ -79,7 +79,7 @@ def exchange_clustering(bigrams: np.ndarray, classes: int = CLASSES, passes: int
 
 @tidy
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in gathered(batches, 6_000_000):
         for lo, hi, texts in text_chunks(batch.column(0), 6_000_000):
             w = Words(texts, lower=True)
             _, first, n = np.unique(w.hashes(), return_index=True, return_counts=True)

@@ -103,6 +103,19 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
         yield lo, hi, data.slice(lo, hi - lo).to_pylist()
 
 
+def gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they have about `limit` bytes, where larger stretches share more work."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= limit:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def kept(owner: str) -> dict:
     """What an operator's tasks keep in a worker process from one to the next; that of other operators is dropped."""
     others = [k for k in _kept if k != owner]

@@ -39,21 +39,21 @@ def shard_documents(docs: DataFrame, shards: int = 24, seed: int = 7, bucket_byt
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = work.groupBy("shard", "bucket").agg(F.count("*").alias("n")).select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
 
-    def fisher_yates(key: tuple, rows: pa.Table) -> pa.Table:
+    def fisher_yates(key: tuple, rows: pa.Table, offset: pa.Table) -> pa.Table:
         shard, bucket = (k.as_py() for k in key)
         rows = rows.take(np.lexsort((rows["order"].to_numpy(), rows["doc_id"].fill_null(-1).to_numpy())))
         place = np.arange(rows.num_rows)
         np.random.default_rng([seed, shard, bucket]).shuffle(place)  # numpy's shuffle is Fisher-Yates
-        return rows.drop_columns(["order"]).take(place).append_column("place", pa.array(np.arange(rows.num_rows), pa.int64()))
+        return rows.drop_columns(["order"]).take(place).append_column("slot", pa.array(np.arange(rows.num_rows) + offset["offset"][0].as_py(), pa.int64()))
 
     fields = [f for f in work.schema if f.name in ("doc_id", "text", "shard", "bucket")]
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [T.StructField("place", T.LongType())])
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [T.StructField("slot", T.LongType())])
     # as many tasks as the bytes ask for, whatever the session's number of partitions
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(shards * buckets, -(-total // TASK_BYTES)))
-    shuffled = work.withColumn("order", F.xxhash64("text")).repartition(tasks, "shard", "bucket").groupBy("shard", "bucket").applyInArrow(fisher_yates, schema)
-    # the table of offsets has one row a bucket; it is left to Spark whether that is small enough to broadcast
-    out = shuffled.join(offsets, ["shard", "bucket"])
-    return out.select("doc_id", "text", "shard", shard_of(F.col("doc_id"), shards + 1, seed).alias("grown_shard"), "bucket", (F.col("offset") + F.col("place")).cast("long").alias("slot"))
+    shuffled = work.withColumn("order", F.xxhash64("text")).repartition(tasks, "shard", "bucket").groupBy("shard", "bucket")
+    # a bucket's offset, one row, goes to the bucket's task, so the texts are shuffled once and nothing is broadcast
+    out = shuffled.cogroup(offsets.groupBy("shard", "bucket")).applyInArrow(fisher_yates, schema)
+    return out.select("doc_id", "text", "shard", shard_of(F.col("doc_id"), shards + 1, seed).alias("grown_shard"), "bucket", "slot")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

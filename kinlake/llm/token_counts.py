@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, kept, text_chunks, tidy
+from .common import Words, gathered, kept, text_chunks, tidy
 
 VOCABULARY = "piece_bpe_32k.model"
 #: What stands before every pre-token.
@@ -83,7 +83,7 @@ def _count(file: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = kept(__name__)
         pieces = held[file].pieces if file in held else load_pieces(file)
-        for batch in batches:
+        for batch in gathered(batches, 6_000_000):
             docs = batch.column(0)
             words, tokens = np.zeros(len(docs), np.int64), np.zeros(len(docs), np.int64)
             for lo, hi, texts in text_chunks(batch.column(1), 6_000_000):
