@@ -132,9 +132,13 @@ class WordTokenizer:
             self.flat = _gather(self.flat, self.start, self.size)
             self.start = np.cumsum(self.size, dtype=np.int64) - self.size
 
+    def _units(self, texts: list[bytes | None]) -> Words:
+        """What the tokenizer never joins."""
+        return Words(texts)
+
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, and where each text's begin (one more: the end)."""
-        w = Words(texts)
+        w = self._units(texts)
         if not len(w.starts):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         hashes, first, inverse = np.unique(w.hashes(), return_index=True, return_inverse=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import class_model, decontamination, exact_dedup, language_id, packing, sharding, simhash, substring_dedup, token_counts, url_filter
+from . import centroids, class_model, decontamination, exact_dedup, language_id, lexical, packing, sharding, simhash, substring_dedup, token_counts, token_files, url_filter
 from .common import small_batches
 
 
@@ -64,7 +64,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_sharding, op3_substring_dedup, op4_class_model, op5_token_counts, op6_language_id, op7_decontamination, op8_simhash, op9_exact_dedup, op10_packing)}
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.encode_documents(_table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_url_filter, op2_sharding, op3_substring_dedup, op4_class_model, op5_token_counts, op6_language_id, op7_decontamination)
+    + (op8_simhash, op9_exact_dedup, op10_packing, op11_centroids, op12_lexical_search, op13_token_files)
+}
 
 _OP1 = r"""
 WITH r AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) END AS rest FROM pages),
@@ -99,4 +117,39 @@ SELECT w.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_
 FROM w LEFT JOIN p USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_url_filter": _OP1, "op7_decontamination": _OP7, "op9_exact_dedup": _OP9}
+
+
+def _op11(rounds: int = 10) -> str:
+    """Rounds of assignment (a) and floored means (c), one common table each; components stand in rows."""
+    nearest = """a{r} AS MATERIALIZED (SELECT vec_id, arg_min(k, (dist, k)) AS k, min(dist) AS dist FROM
+  (SELECT vec_id, k, sum((x - y) * (x - y))::BIGINT AS dist FROM e JOIN c{r} USING (i) GROUP BY vec_id, k) GROUP BY vec_id)"""
+    moved = """c{n} AS MATERIALIZED (SELECT k, i, coalesce(z, y) AS y FROM c{r} LEFT JOIN
+  (SELECT k, i, ((s - ((s % n) + n) % n) // n)::BIGINT AS z FROM (SELECT k, i, sum(x)::BIGINT AS s, count(*) AS n FROM e JOIN a{r} USING (vec_id) GROUP BY k, i)) USING (k, i))"""
+    steps = [x.format(r=r, n=r + 1) for r in range(rounds) for x in (nearest, moved)]
+    return f"""
+WITH v AS MATERIALIZED (SELECT vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64),
+e AS MATERIALIZED (SELECT vec_id, unnest(range(64)) AS i, floor(1024 * unnest(embedding)::DOUBLE)::BIGINT AS x FROM v),
+s AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k FROM v QUALIFY k < 8),
+c0 AS MATERIALIZED (SELECT k, i, x AS y FROM e JOIN s USING (vec_id)),
+{", ".join(steps)}, {nearest.format(r=rounds)},
+h AS (SELECT k, sha256(string_agg(y::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY k)
+SELECT vec_id, k AS cluster, dist AS distance, sum(dist) OVER (PARTITION BY k)::BIGINT AS cluster_inertia, sum(dist) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN h USING (k)
+"""
+
+
+_OP12 = r"""
+WITH t AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text,
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents) GROUP BY doc_id, term),
+q AS MATERIALIZED (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(translate(text,
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term),
+d AS MATERIALIZED (SELECT doc_id, sum(tf)::BIGINT AS n FROM t GROUP BY doc_id),
+a AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM d),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM t GROUP BY term), a),
+s AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN t USING (term) JOIN w USING (term) JOIN d USING (doc_id), a GROUP BY item_id, doc_id)
+SELECT item_id, rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10
+"""
+
+ORACLE_SQL = {"op1_url_filter": _OP1, "op7_decontamination": _OP7, "op9_exact_dedup": _OP9, "op11_centroids": _op11(), "op12_lexical_search": _OP12}
