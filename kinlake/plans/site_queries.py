@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import csq as C
 from ..functions import genotype as gt
 from ..functions import text, variant
-from ..operators import annotate, burden, clinical, denovo, learn, pedigree, qc, related, review, sets, trio
+from ..operators import annotate, burden, clinical, denovo, learn, pairs, pedigree, qc, related, review, sets, trio
 from ..sources import files
 from . import scratch
 from . import views as V
@@ -239,14 +239,60 @@ def g26_j21_relationship(spark, d):
     return rel.select("i", "j", "kin", related.relationship(F.col("kin"), F.col("ibd0"), F.col("ibd1"), F.col("ibd2")).alias("class"))
 
 
-@query()
+_CLASS = """CASE WHEN kin < 0.1 THEN 'unrelated' WHEN kin < 0.19 THEN 'second degree relatives' WHEN kin BETWEEN 0.19 AND 0.4 AND ibd0 <= 0.2 AND ibd1 >= 0.75 AND ibd2 <= 0.125 THEN 'parent-child' WHEN kin BETWEEN 0.19 AND 0.4 AND ibd0 BETWEEN 0.2 AND 0.425 AND ibd1 BETWEEN 0.275 AND 0.75 AND ibd2 BETWEEN 0.1 AND 0.5 THEN 'siblings'
+  WHEN ibd0 <= 0.2 AND ibd1 BETWEEN -0.15 AND 0.1 AND ibd2 BETWEEN 0.75 AND 1.25 THEN 'duplicate/twins' ELSE 'ambiguous' END"""
+
+
+_EXPECTED = """x AS (SELECT a.sample_id AS i, b.sample_id AS j, CASE
+  WHEN a.paternal_id = b.sample_id OR a.maternal_id = b.sample_id OR b.paternal_id = a.sample_id OR b.maternal_id = a.sample_id THEN 'parent-child'
+  WHEN a.paternal_id = b.paternal_id AND a.maternal_id = b.maternal_id THEN 'siblings' ELSE 'related_other' END AS expected
+  FROM v_ped a JOIN v_ped b ON a.family_id = b.family_id AND a.sample_id < b.sample_id
+  WHERE NOT EXISTS (SELECT 1 FROM v_ped k WHERE least(k.paternal_id, k.maternal_id) = a.sample_id AND greatest(k.paternal_id, k.maternal_id) = b.sample_id)),
+r AS (SELECT i, j, coalesce(expected, 'unrelated') AS expected, coalesce(inferred, 'unrelated') AS inferred, kin FROM x FULL JOIN c USING (i, j))"""
+
+
+@query(f"""WITH c AS (SELECT least(i, j) AS i, greatest(i, j) AS j, kin, {_CLASS} AS inferred FROM v_kinship), {_EXPECTED}
+SELECT i, j, expected, kin, inferred, expected = inferred AS agrees FROM r WHERE expected <> 'unrelated' OR inferred <> 'unrelated'""", "v_kinship", "v_ped")
 def g27_relationship_report(spark, d):
     return related.relationship_report(V.view(spark, d, "v_kinship"), _ped(spark, d))
 
 
+#: Kinship and shares identical by descent with one component, pair by pair.
+_PC_RELATE = f"""e AS MATERIALIZED (SELECT {SITE}, s, (a1 + a2)::DOUBLE AS g FROM v_entries WHERE a1 IS NOT NULL),
+sc AS (SELECT s, coalesce(count(*) FILTER (g = 1) / nullif(count(*) FILTER (g = 2), 0), 0) - 2 AS v FROM e GROUP BY s),
+m AS (SELECT {SITE}, count(*) AS n, sum(g) AS sg, sum(v) AS sv, sum(v * v) AS vv, sum(v * g) AS vg FROM e JOIN sc USING (s) GROUP BY ALL),
+b AS (SELECT {SITE}, n, sg, sv, CASE WHEN vv > 0 AND (vv - sv * sv / n) / vv > 1e-9 THEN (vg - sv * sg / n) / (vv - sv * sv / n) ELSE 0 END AS slope FROM m),
+mu AS (SELECT {SITE}, s, g, ((sg - slope * sv) / n + slope * v) / 2 AS mu FROM e JOIN sc USING (s) JOIN b USING ({SITE})),
+q AS MATERIALIZED (SELECT {SITE}, s, g, mu, mu * (1 - mu) AS v, g - 2 * mu AS r, CASE g WHEN 0 THEN mu WHEN 2 THEN 1 - mu ELSE 0 END AS d FROM mu WHERE mu BETWEEN 0.01 AND 0.99),
+f AS (SELECT s, 2 * sum(r * r) / (4 * sum(v)) AS f FROM q GROUP BY s),
+z AS (SELECT a.s AS i, b.s AS j, count(*) AS n_sites, sum(a.r * b.r) / (4 * sum(sqrt(a.v * b.v))) AS kin,
+  sum((a.d - a.v * fa.f) * (b.d - b.v * fb.f)) / sum(a.v * b.v) AS ibd2,
+  count(*) FILTER (abs(a.g - b.g) = 2) / sum(pow(a.mu * (1 - b.mu), 2) + pow((1 - a.mu) * b.mu, 2)) AS ibs0
+  FROM q a JOIN q b USING ({SITE}) JOIN f fa ON fa.s = a.s JOIN f fb ON fb.s = b.s WHERE a.s < b.s GROUP BY a.s, b.s),
+y AS (SELECT i, j, n_sites, kin, ibd2, CASE WHEN kin > pow(2, -2.5) THEN 1 - 4 * kin + ibd2 ELSE ibs0 END AS ibd0 FROM z),
+pr AS (SELECT i, j, n_sites, kin, ibd0, 1 - ibd0 - ibd2 AS ibd1, ibd2 FROM y)"""
+
+
+def _pc_relate(spark: SparkSession, d: str) -> DataFrame:
+    scores = _scores(spark, d).select("s", F.array(F.col("pc1") - 2).alias("scores"))
+    return pairs.pc_relate(V.entries(spark, d), scores, 1)
+
+
+@query(f"WITH {_PC_RELATE} SELECT i, j, n_sites, round(kin + 1e-9, 6) AS kin, round(ibd0 + 1e-9, 6) AS ibd0, round(ibd1 + 1e-9, 6) AS ibd1, round(ibd2 + 1e-9, 6) AS ibd2 FROM pr", "v_entries")
+def m12_pc_relate(spark, d):
+    # ties of the sixth place are moved off, so that both engines round alike
+    return _pc_relate(spark, d).select("i", "j", "n_sites", *[F.round(F.col(c) + 1e-9, 6).alias(c) for c in ("kin", "ibd0", "ibd1", "ibd2")])
+
+
+@query(f"WITH {_PC_RELATE}, c AS (SELECT i, j, round(kin + 1e-9, 6) AS kin, {_CLASS} AS inferred FROM pr), {_EXPECTED} SELECT i, j, expected, kin, inferred, expected = inferred AS agrees FROM r WHERE expected <> 'unrelated' OR inferred <> 'unrelated'", "v_entries", "v_ped")
+def g27_pc_relate_report(spark, d):
+    out = related.relationship_report(_pc_relate(spark, d), _ped(spark, d))
+    return out.select("i", "j", "expected", F.round(F.col("kin") + 1e-9, 6).alias("kin"), "inferred", "agrees")
+
+
 @query("WITH x AS (SELECT contig, pos, s, a1 + a2 AS n FROM v_entries), m AS (SELECT a.s AS i, b.s AS j, a.n AS ni, b.n AS nj FROM x a JOIN x b USING (contig, pos) WHERE a.s < b.s AND (a.n > 0 OR b.n > 0)) SELECT i, j, count(*) FILTER (ni = 1 AND nj = 1) AS het_het, count(*) FILTER ((ni = 0 AND nj = 2) OR (ni = 2 AND nj = 0)) AS ibs0, (count(*) FILTER (ni = 1 AND nj = 1) - 2 * count(*) FILTER ((ni = 0 AND nj = 2) OR (ni = 2 AND nj = 0))) / nullif(count(*) FILTER (ni = 1) + count(*) FILTER (nj = 1), 0) AS kinship FROM m GROUP BY i, j", "v_entries")
 def g28_king(spark, d):
-    return related.king_pairs(V.entries(spark, d)).select("i", "j", "het_het", "ibs0", "kinship")
+    return pairs.king_pairs(V.entries(spark, d)).select("i", "j", "het_het", "ibs0", "kinship")
 
 
 @query("WITH c AS (SELECT i, j, kin, CASE WHEN kin < 0.1 THEN 5 WHEN kin < 0.19 THEN 3 WHEN kin BETWEEN 0.19 AND 0.4 AND ibd0 <= 0.2 AND ibd1 >= 0.75 AND ibd2 <= 0.125 THEN 1 WHEN kin BETWEEN 0.19 AND 0.4 AND ibd0 BETWEEN 0.2 AND 0.425 AND ibd1 BETWEEN 0.275 AND 0.75 AND ibd2 BETWEEN 0.1 AND 0.5 THEN 2 WHEN ibd0 <= 0.2 AND ibd1 BETWEEN -0.15 AND 0.1 AND ibd2 BETWEEN 0.75 AND 1.25 THEN 0 ELSE 4 END AS r FROM v_kinship), b AS (SELECT i AS s, j AS other, kin, r FROM c UNION ALL SELECT j, i, kin, r FROM c) SELECT s, other, kin FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY r, kin DESC, other) AS k FROM b) WHERE k = 1", "v_kinship")
@@ -254,10 +300,6 @@ def w7_dedup_relatedness(spark, d):
     return related.dedup_relatedness(V.view(spark, d, "v_kinship")).select("s", "other", "kin")
 
 
-_CLASS = """CASE WHEN kin < 0.1 THEN 'unrelated' WHEN kin < 0.19 THEN 'second degree relatives' WHEN kin BETWEEN 0.19 AND 0.4 AND ibd0 <= 0.2 AND ibd1 >= 0.75 AND ibd2 <= 0.125 THEN 'parent-child' WHEN kin BETWEEN 0.19 AND 0.4 AND ibd0 BETWEEN 0.2 AND 0.425 AND ibd1 BETWEEN 0.275 AND 0.75 AND ibd2 BETWEEN 0.1 AND 0.5 THEN 'siblings'
-  WHEN ibd0 <= 0.2 AND ibd1 BETWEEN -0.15 AND 0.1 AND ibd2 BETWEEN 0.75 AND 1.25 THEN 'duplicate/twins' ELSE 'ambiguous' END"""
-
-
 @query(f"SELECT * FROM (SELECT i, j, kin, ibd0, ibd1, ibd2, {_CLASS} AS class FROM v_kinship) WHERE class <> 'unrelated' OR substr(md5(concat(i, '|', j)), 1, 4) < '0ccc'", "v_kinship")
 def t4_sample_pairs(spark, d):
     return related.sample_pairs(V.view(spark, d, "v_kinship"))
@@ -404,12 +446,6 @@ def m11_assign_ancestry(spark, d):
     return learn.assign_ancestry(ref, _scores(spark, d), ["pc1", "pc2"])
 
 
-@query()
-def m12_pc_relate(spark, d):
-    scores = _scores(spark, d).select("s", F.array(F.col("pc1") - 2).alias("scores"))
-    return related.pc_relate(V.entries(spark, d), scores, 1)
-
-
 @query()
 def m13_infer_platform(spark, d):
     regions = V.view(spark, d, "v_regions").withColumnsRenamed({"chrom": "contig", "start_pos": "start", "end_pos": "end"})
