@@ -120,12 +120,92 @@ def copy_states(median: DataFrame, cutoffs: DataFrame, adjust: bool = True) -> D
     return rows.join(per_call.select("name", of_call.cast("int").alias("gq_var")), "name").select("name", "s", "m", "copy_state", "gq", "correction", "gq_var")
 
 
-def family_depth(tests: DataFrame, ped: DataFrame) -> DataFrame:
-    """By call and trio: the z of child, father and mother, null where a member was not tested."""
-    from .pedigree import trio_list, trio_members
+def inner_bins(depth: DataFrame) -> DataFrame:
+    """depth without the first and last bin of calls that have four bins or more: they are noisy."""
+    ends = depth.groupBy("name").agg(F.min("bin").alias("__lo"), F.max("bin").alias("__hi"), F.countDistinct("bin").alias("__n"))
+    return depth.join(ends, "name").where("__n < 4 OR (bin > __lo AND bin < __hi)").drop("__lo", "__hi", "__n")
 
-    rows = tests.join(trio_members(trio_list(ped)), "s")
-    return rows.groupBy("name", "fam_id", "proband").agg(*[F.max(F.when(F.col("role") == r, F.col("z"))).alias(f"z_{r}") for r in ("kid", "dad", "mom")])
+
+def family_roles(ped: DataFrame) -> DataFrame:
+    """proband, s and role (p1, s1, fa, mo) for every child: a sample with a named parent, or alone in its family. Siblings share both
+    named parents."""
+    alone = Window.partitionBy("family_id")
+    kids = ped.withColumn("__n", F.count("*").over(alone)).where("paternal_id IS NOT NULL OR maternal_id IS NOT NULL OR __n = 1")
+    own = lambda c, role: F.struct(F.col(c).alias("s"), F.lit(role).alias("role"))
+    near = kids.select(F.col("sample_id").alias("proband"), F.inline(F.array(own("sample_id", "p1"), own("paternal_id", "fa"), own("maternal_id", "mo")))).where("s IS NOT NULL")
+    both = kids.where("paternal_id IS NOT NULL AND maternal_id IS NOT NULL").select("sample_id", "paternal_id", "maternal_id")
+    sibs = both.join(both.withColumnRenamed("sample_id", "s"), ["paternal_id", "maternal_id"]).where("sample_id <> s")
+    return near.unionByName(sibs.select(F.col("sample_id").alias("proband"), "s", F.lit("s1").alias("role")))
+
+
+def _moments(rows: DataFrame, families: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """mean and sd of the controls of each (keys, proband): samples of these keys that neither carry the call nor belong to the family.
+
+    A key's sums over its non-carriers are made once; a family's own non-carriers are taken off them. Values are summed as differences
+    from the key's mean, so that nothing is lost. rows: keys, s, own, value; families: proband, s.
+    """
+    free = rows.where("NOT own")
+    centre = free.groupBy(*keys).agg(F.avg(value).alias("__c"))
+    free = free.join(centre, keys).withColumn("__d", F.col(value) - F.col("__c"))
+    sums = [F.count("__d"), F.sum("__d"), F.sum(F.col("__d") * F.col("__d"))]
+    whole = free.groupBy(*keys, "__c").agg(*[x.alias(f"__w{i}") for i, x in enumerate(sums)])
+    family = free.join(families, "s").groupBy(*keys, "proband").agg(*[x.alias(f"__f{i}") for i, x in enumerate(sums)])
+    met = rows.join(families, "s").select(*keys, "proband").distinct()
+    left = met.join(whole, keys).join(family, [*keys, "proband"], "left")
+    n, one, two = (F.col(f"__w{i}") - F.coalesce(f"__f{i}", F.lit(0)) for i in range(3))
+    spread = F.greatest(two - one * one / n, F.lit(0.0)) / (n - 1)
+    return left.select(*keys, "proband", n.alias("n_controls"), F.when(n > 0, F.col("__c") + one / n).alias("mean"), F.when(n > 1, F.sqrt(spread)).alias("sd"))
+
+
+def _left_out_medians(rows: DataFrame, families: DataFrame) -> DataFrame:
+    """The median of the same controls, from the ranks of all non-carriers: the middle place is moved up past each relative before it."""
+    keys = ["name", "grp"]
+    free = rows.where("NOT own").withColumn("__at", F.row_number().over(Window.partitionBy(*keys).orderBy("m", "s")))
+    size = free.groupBy(*keys).agg(F.count("*").alias("__n"))
+    gone = free.join(families, "s").groupBy(*keys, "proband").agg(F.sort_array(F.collect_set("__at")).alias("__gone"))
+    met = rows.join(families, "s").select(*keys, "proband").distinct().join(size, keys).join(gone, [*keys, "proband"], "left")
+    met = met.withColumn("__gone", F.coalesce("__gone", F.array().cast("array<int>"))).withColumn("__left", F.col("__n") - F.size("__gone"))
+    # of n left, places floor((n + 1) / 2) and floor((n + 2) / 2)
+    moved = lambda start: F.aggregate("__gone", start.cast("int"), lambda at, g: F.when(g <= at, at + 1).otherwise(at))
+    places = F.array(*[moved(F.floor((F.col("__left") + d) / 2)) for d in (1, 2)])
+    places = met.where("__left > 0").select(*keys, "proband", F.explode(places).alias("__at"))
+    return places.join(free.select(*keys, "__at", "m"), [*keys, "__at"]).groupBy(*keys, "proband").agg(F.avg("m").alias("median"))
+
+
+def family_depth(depth: DataFrame, carriers: DataFrame, ped: DataFrame, kinds: DataFrame) -> DataFrame:
+    """By call and family member (proband, s, role: p1, s1, fa, mo): median depth m, n_controls, z against the member's own controls and
+    its one-sided p, the second-worst p over bins, rank and separation.
+
+    Controls are the samples that neither carry the call nor belong to the family; on X and Y only those of the member's sex. depth: name,
+    s, bin, depth; carriers: name, s; kinds: name, chrom, svtype (DEL looks for less depth, others for more). A member is ranked among all
+    samples (of its sex on X and Y), ties by their mean rank; separation is the distance from the controls' median. Members without
+    depth have no row, those of unknown sex none on X and Y.
+    """
+    c = F.col
+    kind = kinds.select("name", F.regexp_replace("chrom", "^chr", "").isin("X", "Y").alias("__sexed"), (F.upper("svtype") == "DEL").alias("is_del"))
+    people = ped.select(c("sample_id").alias("s"), "sex")
+    marked = carriers.select("name", "s").distinct().withColumn("own", F.lit(True))
+    rows = inner_bins(depth).join(kind, "name").join(people, "s", "left").withColumn("grp", F.when(~c("__sexed"), 0).otherwise(c("sex"))).where("grp IS NOT NULL AND (NOT __sexed OR sex IN (1, 2))")
+    rows = rows.join(marked, ["name", "s"], "left").withColumn("own", F.coalesce("own", F.lit(False)))
+    median = rows.groupBy("name", "s", "grp", "own", "is_del").agg(F.percentile("depth", F.lit(0.5)).alias("m")).where("m IS NOT NULL")
+    roles = family_roles(ped)
+    families = roles.select("proband", "s").distinct()
+    place = Window.partitionBy("name", "grp").orderBy("m")
+    ties = Window.partitionBy("name", "grp", "m")
+    mean_rank = F.rank().over(place) + (F.count("*").over(ties) - 1) / 2
+    up = mean_rank.alias("__rank")
+    ranked = median.select("*", up, F.count("*").over(Window.partitionBy("name", "grp")).alias("__n"))
+    out = ranked.join(roles, "s").join(_moments(median, families, "m", ["name", "grp"]), ["name", "grp", "proband"]).join(_left_out_medians(median, families).withColumnRenamed("median", "__mid"), ["name", "grp", "proband"], "left")
+    toward = lambda x: F.when(c("is_del"), -x).otherwise(x)
+    z = gt.ratio(c("m") - c("mean"), c("sd"))
+    bins = rows.where("depth IS NOT NULL")
+    each = bins.join(families, "s").join(_moments(bins, families, "depth", ["name", "grp", "bin"]), ["name", "grp", "bin", "proband"])
+    each = each.withColumn("bp", stats.normal_upper(toward(gt.ratio(c("depth") - c("mean"), c("sd")))))
+    worst = F.sort_array(F.collect_list("bp"), asc=False)
+    second = each.groupBy("name", "proband", "s").agg(worst.alias("__bp")).select("name", "proband", "s", F.when(F.size("__bp") > 1, F.get("__bp", F.lit(1))).otherwise(F.get("__bp", F.lit(0))).alias("second_worst_p"))
+    out = out.withColumn("z", z).join(second, ["name", "proband", "s"], "left")
+    rank = F.when(c("is_del"), c("__rank")).otherwise(c("__n") - c("__rank") + 1)
+    return out.select("name", "proband", "s", "role", "m", "n_controls", "mean", "sd", "z", stats.normal_upper(toward(c("z"))).alias("p"), "second_worst_p", rank.alias("rank"), toward(c("m") - c("__mid")).alias("separation"))
 
 
 def silhouette(x: np.ndarray, of: np.ndarray) -> float:

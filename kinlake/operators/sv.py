@@ -169,17 +169,6 @@ def flag_gene_list(sv: DataFrame, genes: list[str], fields: list[str], size: int
     return sv.withColumns({"list_genes": hit, "list_source": source, "passes_size": (F.col("end") - F.col("start")) >= size})
 
 
-def curated_events(calls: DataFrame, add: DataFrame, remove: DataFrame, kind: str) -> DataFrame:
-    """Calls with curated ones added (unless a call of the same sample and type overlaps them) and removed ones taken out; is_<kind>
-    marks curated rows, is_<kind>_manual those that were added."""
-    kept = calls.join(remove.select("name").distinct(), "name", "left_anti")
-    fresh = interval.overlap_anti(add, kept, ["chrom", "svtype", "s"])
-    known = add.join(fresh.select("name"), "name", "left_anti").select(F.col("name")).distinct()
-    hits = interval.overlap_join(kept, add.join(known, "name", "left_semi"), ["chrom", "svtype", "s"]).select("name").distinct().withColumn("__k", F.lit(True))
-    old = kept.join(hits, "name", "left").withColumns({f"is_{kind}": F.coalesce("__k", F.lit(False)), f"is_{kind}_manual": F.lit(False)}).drop("__k")
-    return old.unionByName(fresh.withColumns({f"is_{kind}": F.lit(True), f"is_{kind}_manual": F.lit(True)}), allowMissingColumns=True)
-
-
 @dataclass(frozen=True)
 class DeNovoSVConfig:
     """Limits of the cascade; compat leaves out the two rules that the original set never applied."""

@@ -427,7 +427,7 @@ def m7_feature_importance(spark, d):
 
 @query()
 def m9_hwe_pca(spark, d):
-    return learn.hwe_pca(V.entries(spark, d), k=2, tolerance=1e-3)[0].select("s", F.get("scores", F.lit(0)).alias("pc1"), F.get("scores", F.lit(1)).alias("pc2"))
+    return learn.hwe_pca(V.entries(spark, d), k=2)[0].select("s", F.get("scores", F.lit(0)).alias("pc1"), F.get("scores", F.lit(1)).alias("pc2"))
 
 
 @query(f"""WITH {_COUNTS}, l AS (SELECT {SITE}, ac / an AS p, (ac % 10 - 5) / 10.0 AS w FROM counts WHERE ac < an) SELECT s, round(sum((a1 + a2 - 2 * p) / sqrt(2 * p * (1 - p)) * w) / sqrt(count(*)), 6) AS pc1 FROM v_entries JOIN l USING ({SITE}) GROUP BY s""", "v_entries")
@@ -449,7 +449,7 @@ def m11_assign_ancestry(spark, d):
 @query()
 def m13_infer_platform(spark, d):
     regions = V.view(spark, d, "v_regions").withColumnsRenamed({"chrom": "contig", "start_pos": "start", "end_pos": "end"})
-    return learn.infer_platform(qc.interval_callrate(V.entries(spark, d), regions), 8, 2)
+    return learn.infer_platform(qc.interval_callrate(V.entries(spark, d), regions), 3).select("s", "platform")
 
 
 def _pbt(spark: SparkSession, d: str) -> DataFrame:

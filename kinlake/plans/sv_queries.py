@@ -351,16 +351,6 @@ def g31_manual_columns(spark, d):
     return _sv(spark, d).select("name", sv.when_manual(F.lit("manual"), F.col("algorithms"), flag).alias("algorithms"))
 
 
-@query(f"""WITH a AS (SELECT name, s, chrom, svtype, start_pos, end_pos FROM v_sv JOIN v_sv_carriers USING (name) WHERE svtype = 'DEL'), k AS (SELECT * FROM a WHERE name NOT LIKE '%_7'), x AS (SELECT chrom, start_pos, end_pos, svtype, s FROM v_raw WHERE svtype = 'DEL' AND is_depth),
-f AS (SELECT a.* FROM x a WHERE NOT EXISTS (SELECT 1 FROM k b WHERE b.s = a.s AND {_MEET}))
-SELECT chrom, start_pos AS "start", end_pos AS "end", s, EXISTS (SELECT 1 FROM x b WHERE b.s = a.s AND {_MEET}) AS is_gd, false AS is_gd_manual FROM k a UNION ALL SELECT chrom, start_pos, end_pos, s, true, true FROM f""", "v_sv", "v_sv_carriers", "v_raw")
-def s8_curated_events(spark, d):
-    calls = sv.carriers(_sv(spark, d)).where("svtype = 'DEL'").select(F.concat_ws("|", "name", "s").alias("name"), F.col("name").alias("own"), "chrom", "start", "end", "svtype", "s")
-    add = _raw(spark, d).where("svtype = 'DEL' and is_depth").select(F.concat_ws(":", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), "s").alias("name"), "chrom", "start", "end", "svtype", "s")
-    out = sv.curated_events(calls, add, calls.where("own like '%_7'").select("name"), "gd")
-    return out.select("chrom", "start", "end", "s", "is_gd", "is_gd_manual")
-
-
 @query("""WITH a AS (SELECT name, chrom, start_pos, end_pos, svtype FROM v_sv), r AS (SELECT a.name, CASE WHEN b.name IS NOT NULL THEN least((least(a.end_pos, b.end_pos) - greatest(a.start_pos, b.start_pos)) / greatest(a.end_pos - a.start_pos, 1), 1) END AS share, b.name AS region FROM a LEFT JOIN v_regions b ON a.chrom = b.chrom AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos)
 SELECT name, count(region) AS n_regions, round(coalesce(max(share), 0), 8) AS best FROM r GROUP BY name""", "v_sv", "v_regions")
 def g21_overlap_proportions(spark, d):
@@ -432,10 +422,12 @@ def _medians(spark: SparkSession, d: str) -> DataFrame:
 _DEPTH = """md AS (SELECT s, quantile_cont(cov, 0.5) AS median FROM v_coverage GROUP BY s),
 m AS (SELECT a.name, b.s, b.start_pos, b.cov, CAST(least(floor((greatest(b.start_pos, a.start_pos) - a.start_pos) / greatest((a.end_pos - a.start_pos) / 4, 1.0)), 3) AS INT) AS bin FROM v_regions a JOIN v_coverage b ON a.chrom = b.chrom AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos),
 h AS (SELECT name, bin, count(DISTINCT start_pos) AS n_bins FROM m GROUP BY name, bin), p AS (SELECT name, s, bin, sum(cov) AS cov FROM m GROUP BY name, s, bin),
-dp AS (SELECT h.name, x.s, h.bin, coalesce(p.cov, 0) / nullif(md.median * n_bins, 0) AS depth FROM h JOIN (SELECT DISTINCT name, s FROM m) x ON x.name = h.name LEFT JOIN p ON p.name = h.name AND p.s = x.s AND p.bin = h.bin JOIN md ON md.s = x.s)"""
+da AS (SELECT h.name, x.s, h.bin, coalesce(p.cov, 0) / nullif(md.median * n_bins, 0) AS depth FROM h JOIN (SELECT DISTINCT name, s FROM m) x ON x.name = h.name LEFT JOIN p ON p.name = h.name AND p.s = x.s AND p.bin = h.bin JOIN md ON md.s = x.s),
+db AS (SELECT name, min(bin) AS lo, max(bin) AS hi, count(DISTINCT bin) AS n FROM da GROUP BY name),
+dp AS (SELECT da.* FROM da JOIN db USING (name) WHERE n < 4 OR (bin > lo AND bin < hi))"""
 
 
-@query(f"WITH {_DEPTH} SELECT name, s, bin, round(depth, 8) AS depth FROM dp", "v_regions", "v_coverage")
+@query(f"WITH {_DEPTH} SELECT name, s, bin, round(depth, 8) AS depth FROM da", "v_regions", "v_coverage")
 def w18_rebin_coverage(spark, d):
     return depth.rebin_coverage(_coverage(spark, d), _medians(spark, d), _calls(spark, d), 4).withColumn("depth", F.round("depth", 8))
 
@@ -443,7 +435,7 @@ def w18_rebin_coverage(spark, d):
 def _depth(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     rows = depth.rebin_coverage(_coverage(spark, d), _medians(spark, d), _calls(spark, d), 4)
     own = rows.select("name", "s").distinct().where(F.substring("s", 2, 9).cast("int") % 5 == 0)
-    return rows, own
+    return depth.inner_bins(rows), own
 
 
 @query(f"""WITH {_DEPTH}, q AS (SELECT name, s, quantile_cont(depth, 0.5) AS m, CAST(substr(s, 2) AS INT) % 5 = 0 AS own FROM dp GROUP BY name, s), c AS (SELECT name, avg(m) AS mean, stddev_samp(m) AS sd FROM q WHERE NOT own GROUP BY name),
@@ -482,14 +474,6 @@ def m21_depth_clusters(spark, d):
     return depth.depth_clusters(_median(spark, d).where("m is not null"))
 
 
-@query(f"""WITH {_DEPTH}, q AS (SELECT name, s, quantile_cont(depth, 0.5) AS m, CAST(substr(s, 2) AS INT) % 5 = 0 AS own FROM dp GROUP BY name, s), c AS (SELECT name, avg(m) AS mean, stddev_samp(m) AS sd FROM q WHERE NOT own GROUP BY name),
-z AS (SELECT name, s, round((m - mean) / nullif(sd, 0), 5) AS z FROM q JOIN c USING (name) WHERE own), k AS (SELECT * FROM v_ped WHERE paternal_id IS NOT NULL)
-SELECT name, family_id AS fam_id, sample_id AS proband, max(z) FILTER (s = sample_id) AS z_kid, max(z) FILTER (s = paternal_id) AS z_dad, max(z) FILTER (s = maternal_id) AS z_mom FROM z JOIN k ON s IN (sample_id, paternal_id, maternal_id) GROUP BY name, family_id, sample_id""", "v_regions", "v_coverage", "v_ped")
-def m22_family_depth(spark, d):
-    out = depth.family_depth(depth.depth_test(*_depth(spark, d)), _ped(spark, d))
-    return out.select("name", "fam_id", "proband", *[F.round(f"z_{r}", 5).alias(f"z_{r}") for r in ("kid", "dad", "mom")])
-
-
 _BAF = """baf AS (SELECT r.name, t.*, kid_alt / nullif(kid_ref + kid_alt, 0) AS abk, dad_alt / nullif(dad_ref + dad_alt, 0) AS abd FROM v_trios t JOIN v_regions r ON t.contig = r.chrom AND t.pos > r.start_pos AND t.pos <= r.end_pos WHERE length(ref) = 1 AND length(alt) = 1)"""
 
 

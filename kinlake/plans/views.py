@@ -90,6 +90,30 @@ SELECT DISTINCT {_contig('l_partkey')} AS chrom, CAST(1000 * floor(l_partkey / 2
   CASE l_partkey % 6 WHEN 0 THEN 'DEL' WHEN 1 THEN 'DUP' WHEN 2 THEN 'INS' WHEN 3 THEN 'INV' WHEN 4 THEN 'CPX' ELSE 'CTX' END AS svtype,
   concat('S', o_custkey) AS s, CAST(round(l_tax * 100) AS INT) % 2 = 0 AS is_depth
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey""",
+    "v_sv_ends": f"""
+SELECT DISTINCT concat('SV', l_partkey, '_', l_linenumber) AS name, {_contig('(l_partkey + l_linenumber)')} AS chrom2,
+  CAST(1000 * floor((l_partkey + l_linenumber) / 24) + 100 * l_linenumber AS INT) AS pos2
+FROM {{lineitem}} WHERE l_partkey % 6 = 5""",
+    "v_evidence": f"""
+SELECT CASE WHEN l_linenumber % 3 = 0 THEN 'SR' ELSE 'PE' END AS kind, {_contig('l_partkey')} AS chrom,
+  CAST(1000 * floor(l_partkey / 24) + 100 * l_linenumber + l_orderkey * 7 % 9000 - 4500 AS INT) AS pos,
+  {_contig('(l_partkey + CASE WHEN l_suppkey % 9 = 0 THEN 1 ELSE 0 END)')} AS chrom2,
+  CAST(1000 * floor(l_partkey / 24) + l_orderkey * 11 % 20000 AS INT) AS pos2,
+  CASE WHEN l_suppkey % 2 = 0 THEN '+' ELSE '-' END AS strand, CASE WHEN l_suppkey % 4 < 2 THEN 'left' ELSE 'right' END AS side, concat('S', o_custkey) AS s
+FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey""",
+    "v_quads": """
+SELECT concat('Q', CAST(floor(c_custkey / 4) AS BIGINT)) AS family_id, concat('S', c_custkey) AS sample_id,
+  CASE WHEN c_custkey % 4 > 1 THEN concat('S', c_custkey - c_custkey % 4) END AS paternal_id,
+  CASE WHEN c_custkey % 4 > 1 THEN concat('S', c_custkey - c_custkey % 4 + 1) END AS maternal_id,
+  CASE c_custkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 1 + c_nationkey % 2 END AS sex, CASE WHEN c_custkey % 4 = 2 THEN 2 ELSE 1 END AS phenotype
+FROM {customer}""",
+    "v_curated": f"""
+SELECT DISTINCT CASE l_orderkey % 40 WHEN 0 THEN 'mosaic' WHEN 1 THEN 'disorder' ELSE 'tloc' END AS kind, concat('E', l_orderkey, '_', l_linenumber, '_', l_partkey, '_', l_suppkey, '_', CAST(l_quantity AS INT)) AS event, concat('S', o_custkey) AS s,
+  {_contig('l_partkey')} AS chrom, CAST(1000 * floor(l_partkey / 24) + 100 * l_linenumber + l_suppkey % 4 * 900 - 900 AS INT) AS start_pos,
+  CAST(1000 * floor(l_partkey / 24) + 100 * l_linenumber + l_suppkey % 4 * 900 - 900 + 50 * l_quantity AS INT) AS end_pos,
+  {_contig('(l_partkey + l_linenumber)')} AS chrom2, CAST(1000 * floor((l_partkey + l_linenumber) / 24) + 100 * l_linenumber + l_suppkey % 5 * 500 - 1000 AS INT) AS pos2,
+  CASE WHEN l_orderkey % 40 > 1 THEN 'CTX' WHEN l_partkey % 2 = 0 THEN 'DEL' ELSE 'DUP' END AS svtype, l_suppkey % 2 = 0 AS turned
+FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey WHERE l_orderkey % 40 < 2 OR (l_orderkey % 8 = 3 AND l_partkey % 6 = 5)""",
     "v_regions": f"""
 SELECT concat('R', s_suppkey) AS name, {_contig('s_suppkey')} AS chrom, CAST(700 * (s_suppkey % 50) AS INT) AS start_pos, CAST(700 * (s_suppkey % 50) + 200 + 37 * (s_suppkey % 40) AS INT) AS end_pos
 FROM {{supplier}}""",

@@ -7,7 +7,7 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-from kinlake.plans import registry, site_queries, sv_queries, trio_queries  # noqa: F401
+from kinlake.plans import evidence_queries, registry, site_queries, sv_queries, trio_queries  # noqa: F401
 
 DIR = "/root/testdata/sf0.001"
 SAMPLE = ["g1_denovo_posterior", "g2_mendel_codes", "g4_g5_phase_and_transmission", "g6_tdt", "ag1_variant_qc", "ag3_sex_aware_site_stats", "j5_overlap_reciprocal", "j8_coverage_fraction", "w3_merge_intervals", "g10_prioritize_csq", "g19_family_filter", "m14_c_alpha", "w18_rebin_coverage", "ag16_review_consensus"]
