@@ -174,17 +174,18 @@ def sex_aware_sample_call_rate(entries: DataFrame, ped: DataFrame) -> DataFrame:
     return per.crossJoin(F.broadcast(sites)).select("s", rate.alias("call_rate"))
 
 
-def sex_of(row: dict[str, Column], least_called: int = 10) -> Column:
+def sex_of(row: dict[str, Column], least_called: int = 10, given: Column | None = None) -> Column:
     """Inferred sex of infer_sex's columns: 1 or 2 by the het to hom-var ratio on X (under 0.05, over 0.4; more than least_called calls),
-    -1 where a male ratio goes with a lost Y, -2 where a female ratio goes with a Y, -9 where nothing can be said."""
+    -9 where nothing can be said. With calls on Y, a sample that the pedigree gives as male is -1 where its Y is lost, one given as female
+    -2 where it has a Y, whatever X says. given: the pedigree's sex; without it the inferred one stands in."""
     ratio = gt.ratio(row["x_het"], F.when(row["x_hom_var"] > 0, row["x_hom_var"]))
     enough = row["x_called"] > least_called
     base = F.when(enough & (ratio < 0.05), 1).when(enough & (ratio > 0.4), 2).otherwise(-9)
-    on_y = row["y_called"] > 0
-    return F.when(on_y & (base == 1) & (row["y_ploidy"] < 0.4), -1).when(on_y & (base == 2) & (row["y_ploidy"] > 0.4), -2).otherwise(base)
+    on_y, known = row["y_called"] > 0, base if given is None else given
+    return F.when(on_y & (known == 1) & (row["y_ploidy"] < 0.4), -1).when(on_y & (known == 2) & (row["y_ploidy"] > 0.4), -2).otherwise(base)
 
 
-def infer_sex(entries: DataFrame, least_called: int = 10, least_dp: int = 7) -> DataFrame:
+def infer_sex(entries: DataFrame, least_called: int = 10, least_dp: int = 7, ped: DataFrame | None = None) -> DataFrame:
     """By sample: het and hom-var calls and all calls on X, calls on Y, ploidies of X and Y, and the inferred sex (see sex_of).
 
     A call with no depth, and a het call with an allele balance outside 0.3 to 0.7, is missing. On X entries need a depth of
@@ -199,7 +200,11 @@ def infer_sex(entries: DataFrame, least_called: int = 10, least_dp: int = 7) ->
         _count(F.col("__y") & F.col("__called")).alias("y_called"), mean(F.col("__x")).alias("x_dp"), mean(F.col("__y")).alias("y_dp"), mean(F.col("__called") & deep).alias("all_dp"),
     )
     out = per.withColumns({"x_ploidy": gt.ratio(2 * F.col("x_dp"), F.col("all_dp")), "y_ploidy": gt.ratio(2 * F.col("y_dp"), F.col("all_dp"))}).drop("x_dp", "y_dp", "all_dp")
-    return out.withColumn("sex", sex_of({c: F.col(c) for c in out.columns}, least_called))
+    columns = {c: F.col(c) for c in out.columns}
+    if ped is None:
+        return out.withColumn("sex", sex_of(columns, least_called))
+    out = out.join(ped.select(F.col("sample_id").alias("s"), F.col("sex").alias("ped_sex")), "s", "left")
+    return out.withColumn("sex", sex_of(columns, least_called, F.col("ped_sex")))
 
 
 def subset_samples(entries: DataFrame, samples: DataFrame) -> DataFrame:

@@ -442,7 +442,9 @@ def _scores(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def m11_assign_ancestry(spark, d):
-    ref = _scores(spark, d).join(_ped(spark, d).select(F.col("sample_id").alias("s"), F.concat(F.lit("pop"), "sex").alias("pop")), "s")
+    # two groups that lie apart on the first score, and what is between them
+    pop = F.when(F.col("pc1") < 2, "popA").when(F.col("pc1") > 4, "popB")
+    ref = _scores(spark, d).where(F.substring("s", 2, 9).cast("int") % 2 == 0).withColumn("pop", pop).where("pop is not null")
     return learn.assign_ancestry(ref, _scores(spark, d), ["pc1", "pc2"])
 
 
@@ -611,9 +613,10 @@ def s4_split_multiallelic(spark, d):
     return sets.split_multiallelic(sets.join_multiallelic(_multi(spark, d))).select(*gt.KEY, "allele")
 
 
-@query("SELECT s FROM v_entries EXCEPT SELECT s FROM v_sv_carriers", "v_entries", "v_sv_carriers")
+@query("SELECT s FROM v_entries EXCEPT SELECT s FROM v_sv_carriers JOIN v_sv USING (name) WHERE svtype = 'CTX' AND filter <> 'PASS'", "v_entries", "v_sv", "v_sv_carriers")
 def s5_names_only_in(spark, d):
-    return sets.names_only_in(V.entries(spark, d), V.view(spark, d, "v_sv_carriers"), "s")
+    low = V.view(spark, d, "v_sv").where("svtype = 'CTX' AND filter <> 'PASS'").select("name")
+    return sets.names_only_in(V.entries(spark, d), V.view(spark, d, "v_sv_carriers").join(low, "name"), "s")
 
 
 @query("SELECT s FROM v_entries INTERSECT SELECT s FROM v_sv_carriers", "v_entries", "v_sv_carriers")

@@ -496,7 +496,7 @@ def ag18_baf_medians(spark, d):
     return depth.baf_medians(_baf(spark, d)).select("name", "kid_above", "kid_below")
 
 
-@query(f"WITH e AS (SELECT r.name AS interval, e.s FROM v_entries e JOIN v_regions r ON e.contig = r.chrom AND e.pos > r.start_pos AND e.pos <= r.end_pos) SELECT interval, s, 1.0 AS call_rate FROM e GROUP BY interval, s", "v_entries", "v_regions")
+@query(f"WITH e AS (SELECT r.name AS interval, e.s, a1 FROM v_entries e JOIN v_regions r ON e.contig = r.chrom AND e.pos > r.start_pos AND e.pos <= r.end_pos) SELECT interval, s, count(a1) / count(*) AS call_rate FROM e GROUP BY interval, s", "v_entries", "v_regions", variants=("missing",))
 def ag21_interval_callrate(spark, d):
     from ..operators import qc
 

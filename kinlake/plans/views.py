@@ -7,6 +7,8 @@ written as CAST(floor(a / b) AS BIGINT).
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +42,7 @@ SELECT p_partkey AS site_id, {_contig('p_partkey')} AS contig,
   substr('ACGT', p_size % 4 + 1, 1) AS ref,
   CASE WHEN p_size % 7 = 0 THEN concat(substr('ACGT', p_size % 4 + 1, 1), 'TT') ELSE substr('ACGT', CAST((p_size + 1 + p_partkey % 3) % 4 + 1 AS INT), 1) END AS alt,
   CASE WHEN p_size % 5 <> 0 THEN p_size / 5000 END AS gnomad_af, CASE WHEN p_size % 11 <> 0 THEN p_size / 10 END AS mpc,
-  CASE WHEN p_size % 9 <> 0 THEN p_retailprice - 890 END AS qual, p_size / 20 AS sor, p_partkey % 9 - 4.5E0 AS read_pos_rank_sum,
+  CASE WHEN p_size % 9 <> 0 THEN (p_retailprice - 890) * 4 END AS qual, p_size / 20 AS sor, p_partkey % 9 - 4.5E0 AS read_pos_rank_sum,
   p_size / 7 AS qd, 30 + p_partkey % 31 AS mq, p_size % 6 - 3 AS vqslod, CASE WHEN p_partkey % 10 = 0 THEN 'LowQual' ELSE 'PASS' END AS filter,
   p_brand AS symbol, concat('T', p_partkey % 50) AS transcript
 FROM {{part}}""",
@@ -140,6 +142,43 @@ SELECT concat('S', a.c_custkey) AS i, concat('S', b.c_custkey) AS j, (a.c_custke
 }
 
 
+#: Other texts of views. missing: a call in eleven is missing, with its quality and likelihoods, and an entry in thirteen is absent.
+VARIANTS = {
+    "missing": {
+        "v_entries": "SELECT contig, pos, ref, alt, s, "
+        + ", ".join(f"CASE WHEN (pos * 7 + CAST(substr(s, 2) AS INT) * 3) % 11 <> 0 THEN {c} END AS {c}" for c in ("a1", "a2"))
+        + ", ad_ref, ad_alt, dp, "
+        + ", ".join(f"CASE WHEN (pos * 7 + CAST(substr(s, 2) AS INT) * 3) % 11 <> 0 THEN {c} END AS {c}" for c in ("gq", "pl0", "pl1", "pl2"))
+        + " FROM {v_all_entries} WHERE (pos * 5 + CAST(substr(s, 2) AS INT)) % 13 <> 4"
+    }
+}
+VIEWS["v_all_entries"] = VIEWS["v_entries"]
+#: rare: few carriers a site; het fathers pass some of their alleles on.
+VARIANTS["rare"] = {
+    "v_carriers": f"""
+SELECT site_id, cust, max(n_alt) AS n_alt, max(ad_alt) AS ad_alt, max(ad_ref) AS ad_ref, max(gq) AS gq FROM (
+  SELECT site_id, cust, n_alt, ad_alt, ad_ref, gq FROM ({VIEWS['v_carriers'].replace(' GROUP BY', ' WHERE l_orderkey % 24 = 0 GROUP BY')}) a
+  UNION ALL SELECT site_id, cust + 2, 1, 20, 20, gq FROM ({VIEWS['v_carriers'].replace(' GROUP BY', ' WHERE l_orderkey % 24 = 0 GROUP BY')}) b WHERE cust % 3 = 0 AND n_alt = 1 AND gq % 2 = 0) c GROUP BY site_id, cust"""
+}
+#: sexed: half of the sites on X and Y; a third of the samples hom on X, depth on Y by sample.
+VARIANTS["sexed"] = {
+    "v_sites": VIEWS["v_sites"].replace(_contig("p_partkey"), "CASE p_partkey % 4 WHEN 0 THEN 'chrX' WHEN 1 THEN 'chrY' ELSE 'chr1' END"),
+    "v_carriers": VIEWS["v_carriers"].replace("CASE WHEN max(l_linenumber) % 4 = 0 THEN 2 ELSE 1 END AS n_alt", "CASE WHEN o_custkey % 3 = 0 OR max(l_linenumber) % 4 = 0 THEN 2 ELSE 1 END AS n_alt"),
+    "v_entries": "SELECT contig, pos, ref, alt, s, a1, a2, ad_ref, ad_alt, CAST(CASE WHEN contig = 'chrY' THEN floor(dp * (CAST(substr(s, 2) AS INT) % 4) / 6) ELSE dp END AS INT) AS dp, gq, pl0, pl1, pl2 FROM {v_all_entries}",
+}
+
+
+@contextmanager
+def variant(name: str) -> Iterator[None]:
+    """Within it, views have the texts of a variant."""
+    own = {k: VIEWS[k] for k in VARIANTS[name]}
+    VIEWS.update(VARIANTS[name])
+    try:
+        yield
+    finally:
+        VIEWS.update(own)
+
+
 def _needs(name: str) -> list[str]:
     """Views behind a view, inputs first."""
     out: list[str] = []
