@@ -11,7 +11,7 @@ from ..functions import csq as C
 from ..functions import genotype as gt
 from ..functions import locus
 from ..functions.columns import computed
-from .trio import calls
+from .trio import calls, copy_state, mendel_code, phase_by_transmission, transmission
 
 
 def prioritize_csq(df: DataFrame, column: str = "csq", loftee: bool = False) -> DataFrame:
@@ -111,6 +111,23 @@ def nest_csq(df: DataFrame, keys: list[str], columns: list[str], t: str = "csq",
     return nested.withColumn("CSQ", C.encode(F.col(t), columns))
 
 
+def omim_output(kept: DataFrame, trios: DataFrame, category: str) -> DataFrame:
+    """Trio rows of the kept transcripts' variants that a member carries, with the child's phased call (pbt_gt), Mendel code,
+    transmission and variant_category: one row for each transcript and trio. A variant that no child among these rows is called at goes.
+
+    kept: site and transcript columns, as omim_recessive and omim_dominant give them. trios: rows of trio_entries, partial ones too; an
+    absent or missing parent carries nothing, and leaves the phase open where it is needed.
+    """
+    names = ["fam_id", "proband", "father", "mother", "is_female"]
+    flat = trios.select(*gt.KEY, *names, *[calls(m).alias(f"{m}_n") for m in ("kid", "dad", "mom")], copy_state().alias("state"))
+    kid, dad, mom, state = (F.col(x) for x in ("kid_n", "dad_n", "mom_n", "state"))
+    rows = flat.where(F.greatest(*[F.coalesce(x, F.lit(0)) for x in (kid, dad, mom)]) > 0).join(kept.select(*gt.KEY).distinct(), gt.KEY, "left_semi")
+    called = rows.groupBy(*gt.KEY).agg(F.count("kid_n").alias("__n")).where("__n > 0").select(*gt.KEY)
+    rows = computed(rows.join(called, gt.KEY, "left_semi"), pbt_gt=phase_by_transmission(kid, dad, mom, state))
+    rows = rows.withColumns({"mendel_code": mendel_code(kid, dad, mom, state), "transmission": transmission(F.col("pbt_gt"))}).drop("state")
+    return rows.join(kept, gt.KEY).withColumn("variant_category", F.lit(category))
+
+
 def comp_het_trio(trios: DataFrame) -> DataFrame:
     """Rows (with gene and pbt_gt) of trio probands that carry two differently phased calls in a gene, on autosomes and PAR."""
     rows = trios.where(locus.in_autosome_or_par() & (calls("kid") > 0) & F.col("pbt_gt").isNotNull())

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.scratch import written
 from .sv import carriers
 
 HOM, HEMI = "1/1", "1"
@@ -25,10 +26,15 @@ class FamilyConfig:
 def _people(ped: DataFrame) -> DataFrame:
     """Members with their part in the family: affected (2), unaffected (1), somebody's father or mother, male child of two known parents."""
     c = F.col
-    fathers, mothers = (ped.where(c(p).isNotNull()).select("family_id", c(p).alias("s"), F.lit(True).alias(role)).distinct() for p, role in (("paternal_id", "is_father"), ("maternal_id", "is_mother")))
+    own, parent = F.lit(None).cast("boolean"), lambda p, role: F.struct(c(p).alias("s"), F.lit(role == "father").alias("is_father"), F.lit(role == "mother").alias("is_mother"))
     both = c("paternal_id").isNotNull() & c("maternal_id").isNotNull()
-    own = ped.select("family_id", c("sample_id").alias("s"), (c("phenotype") == 2).alias("aff"), (c("phenotype") == 1).alias("unaff"), (both & (c("phenotype") == 2) & (c("sex") == 1)).alias("male_proband"), both.alias("has_parents"))
-    return own.join(fathers, ["family_id", "s"], "left").join(mothers, ["family_id", "s"], "left").fillna(False, ["is_father", "is_mother"])
+    facts = {"aff": c("phenotype") == 2, "unaff": c("phenotype") == 1, "male_proband": both & (c("phenotype") == 2) & (c("sex") == 1), "has_parents": both}
+    self_ = F.struct(c("sample_id").alias("s"), F.lit(False).alias("is_father"), F.lit(False).alias("is_mother"), *[v.alias(k) for k, v in facts.items()])
+    named = [F.struct(parent(p, r)["s"].alias("s"), parent(p, r)["is_father"].alias("is_father"), parent(p, r)["is_mother"].alias("is_mother"), *[own.alias(k) for k in facts]) for p, r in (("paternal_id", "father"), ("maternal_id", "mother"))]
+    rows = ped.select("family_id", F.inline(F.array(self_, *named))).where("s IS NOT NULL")
+    # a name that is only somebody's parent has no facts of its own and is no member
+    rows = rows.groupBy("family_id", "s").agg(*[F.max(x).alias(x) for x in ("is_father", "is_mother", *facts)])
+    return rows.where("has_parents IS NOT NULL").select("family_id", "s", "aff", "unaff", "male_proband", "has_parents", "is_father", "is_mother")
 
 
 def _families(people: DataFrame) -> DataFrame:
@@ -45,18 +51,20 @@ def family_counts(sv: DataFrame, gt: DataFrame, ped: DataFrame) -> DataFrame:
     """
     c = F.col
     calls = gt.select("name", "s", F.when(c("gt") == "1/0", "0/1").otherwise(c("gt")).alias("gt"))
-    people = _people(ped)
+    people = written(_people(ped), "people")
     rows = carriers(sv).select("name", "s").join(people, "s").join(calls, ["name", "s"], "left")
     n = lambda x: F.sum(F.when(x, 1).otherwise(0))
     some = lambda x: F.coalesce(F.max(x), F.lit(False))
     het, hom, hemi = c("gt") == "0/1", c("gt") == HOM, c("gt").isin(HOM, HEMI)
     own = rows.groupBy("name", "family_id").agg(
-        F.count("*").alias("sc_fam"), n(c("aff")).alias("sc_fam_aff"), n(c("unaff")).alias("sc_fam_unaff"), F.array_join(F.array_sort(F.collect_set(F.when(c("aff"), c("s")))), ",").alias("affected_carriers"),
+        F.count("*").alias("sc_fam"), n(c("aff")).alias("sc_fam_aff"), n(c("unaff")).alias("sc_fam_unaff"), F.array_sort(F.collect_set(F.when(c("aff"), c("s")))).alias("affected"),
         n(c("aff") & het).alias("aff_het"), some(c("aff") & hom).alias("aff_hom"), some(c("unaff") & hom).alias("unaff_hom"), some(c("male_proband") & hemi).alias("proband_hemi"), some(c("unaff") & hemi).alias("unaff_hemi"),
         some(c("is_father") & het).alias("father_het"), some(c("is_mother") & het).alias("mother_het"),
     )
-    whole = rows.groupBy("name").agg(n(c("aff")).alias("sc_all_aff"), n(c("unaff")).alias("sc_all_unaff"))
-    return own.join(whole, "name").join(_families(people), "family_id")
+    # everybody is in one family, so a call's families add up to the cohort
+    whole = Window.partitionBy("name")
+    own = own.withColumns({"sc_all_aff": F.sum("sc_fam_aff").over(whole), "sc_all_unaff": F.sum("sc_fam_unaff").over(whole), "affected_carriers": F.array_join("affected", ",")})
+    return own.join(_families(people), "family_id")
 
 
 def multi_hit(rows: DataFrame) -> DataFrame:
@@ -73,17 +81,18 @@ def is_hit(trio: Column, n: Column, father: Column, mother: Column, new: Column)
 
 
 def family_rows(sv: DataFrame, gt: DataFrame, ped: DataFrame, cfg: FamilyConfig = FamilyConfig()) -> DataFrame:  # noqa: B008
-    """Rare calls by family with an affected carrier, their counts, and the marks that multi_hit needs."""
+    """Rare calls by family with an affected carrier, their counts, and the marks that multi_hit needs. Written once, as all rules read it."""
     c = F.col
     af = F.coalesce(c("gnomad_af"), F.lit(0.0))
-    rare = sv.where((af <= cfg.af) | c("in_gd")).where(af <= cfg.last_af)
+    rare = written(sv.where((af <= cfg.af) | c("in_gd")).where(af <= cfg.last_af), "rare-calls")
     rows = rare.drop("samples").join(family_counts(rare, gt, ped).where("sc_fam_aff > 0"), "name")
     all_het = c("aff_het") == c("n_aff")
     few = (c("ac") <= cfg.most_ac) & (c("sc_all_unaff") <= cfg.most_unaffected)
-    return rows.withColumns({
+    marks = {
         "filt_absent_unaff": (c("sc_fam_unaff") == 0) & few, "few": few,
         "from_father": all_het & c("father_het") & ~c("mother_het"), "from_mother": all_het & c("mother_het") & ~c("father_het"),
-    })
+    }
+    return written(rows.withColumns(marks), "family-rows")
 
 
 def family_filter(sv: DataFrame, gt: DataFrame, ped: DataFrame, genes: DataFrame, terms: DataFrame, cfg: FamilyConfig = FamilyConfig()) -> DataFrame:  # noqa: B008
@@ -107,8 +116,8 @@ def family_filter(sv: DataFrame, gt: DataFrame, ped: DataFrame, genes: DataFrame
     found = by_gene.join(listed, "gene", "left").join(multi_hit(rows), ["family_id", "gene"], "left")
     found = found.groupBy("name", "family_id").agg(*[(F.coalesce(F.max(x), F.lit(0)) == 1).alias(f"{x}_match") for x in ("omim", "in_list", "constrained")], F.max("n_calls").alias("n_calls"), *[F.max(x).alias(f"any_{x}") for x in ("from_father", "from_mother", "is_new")])
     lof = rows.select("name", F.explode("lof_genes").alias("gene")).distinct().join(listed.where("in_list = 1"), "gene").select("name").distinct().withColumn("is_lof_genelist", F.lit(True))
-    hpo = by_gene.join(terms.join(ped.where("phenotype = 2").select(c("sample_id").alias("s"), "family_id"), "s"), ["family_id", "gene"]).select("name", "family_id", "s")
-    hpo = hpo.join(carriers(sv).select("name", "s"), ["name", "s"], "left_semi").select("name", "family_id").distinct().withColumn("hpo_match", F.lit(True))
+    held = rows.select("name", "family_id", F.explode("affected").alias("s"), F.array_distinct("genes").alias("genes")).select("name", "family_id", "s", F.explode("genes").alias("gene"))
+    hpo = held.join(terms.select("s", "gene").distinct(), ["s", "gene"], "left_semi").select("name", "family_id").distinct().withColumn("hpo_match", F.lit(True))
     out = rows.join(found, ["name", "family_id"], "left").join(lof, "name", "left").join(hpo, ["name", "family_id"], "left")
     no = lambda x: F.coalesce(x, F.lit(False))
     on_x = (c("chrom") == "chrX") | no(c("chr2") == "chrX")

@@ -13,7 +13,7 @@ from ..sources import files
 from . import scratch
 from . import views as V
 from .registry import query
-from .trio_queries import _COUNTS, _G1, SITE, SNP, X_NON
+from .trio_queries import _COUNTS, _G1, _MORE, _PBT, MENDEL, SITE, SNP, X_NON
 
 COLUMNS = ["Allele", "Consequence", "IMPACT", "SYMBOL", "Feature", "BIOTYPE", "CANONICAL", "PolyPhen", "LoF"]
 
@@ -502,6 +502,29 @@ def g15_clinvar_output(spark, d):
     return _pbt(spark, d).where(trio.calls("kid") > 0).join(kept, gt.KEY, "left_semi").select(*gt.KEY, "proband")
 
 
+_OUT = f"""ph AS (SELECT *, {_PBT} AS pbt_gt, {MENDEL} AS mendel_code FROM ({_MORE}) WHERE coalesce(kid_n, 0) > 0 OR coalesce(dad_n, 0) > 0 OR coalesce(mom_n, 0) > 0),
+oo AS (SELECT {SITE}, place, proband, pbt_gt, mendel_code, CASE pbt_gt WHEN '0|0' THEN 'uninherited' WHEN '0|1' THEN 'inherited_from_mother' WHEN '1|0' THEN 'inherited_from_father' WHEN '1|1' THEN 'inherited_from_both' END AS transmission
+  FROM kept JOIN ph USING ({SITE}) JOIN (SELECT {SITE} FROM ph GROUP BY {SITE} HAVING count(kid_n) > 0) USING ({SITE}))"""
+
+
+def _omim(spark: SparkSession, d: str, keep, category: str) -> DataFrame:
+    rows = _transcripts(spark, d).withColumn("csq", F.transform("csq", lambda t, i: t.withField("place", i)))
+    kept = keep(clinical.csq_filter(rows)).select(*gt.KEY, F.col("csq.place").alias("place"))
+    return clinical.omim_output(kept, _trios(spark, d), category).select(*gt.KEY, "place", "proband", "pbt_gt", "mendel_code", "transmission", "variant_category")
+
+
+@query(f"""{_GENE}, kept AS (SELECT {SITE}, place FROM k WHERE code = '2' OR (code = '4' AND contig = 'chrX') OR (code = '' AND (gnomad_af <= 0.01 OR gnomad_af IS NULL) AND {_DMG})), {_OUT}
+SELECT *, 'OMIM_recessive' AS variant_category FROM oo""", "v_csq", "v_trios", variants=("missing",))
+def g15_recessive_output(spark, d):
+    return _omim(spark, d, clinical.omim_recessive, "OMIM_recessive")
+
+
+@query(f"""{_GENE}, kept AS (SELECT {SITE}, place FROM k WHERE (gnomad_af <= 0.001 OR gnomad_af IS NULL) AND (code = '1' OR (code = '' AND {_DMG} AND l2 <= 0.35))), {_OUT}
+SELECT *, 'OMIM_dominant' AS variant_category FROM oo""", "v_csq", "v_trios", variants=("missing",))
+def g15_dominant_output(spark, d):
+    return _omim(spark, d, clinical.omim_dominant, "OMIM_dominant")
+
+
 def _flat(spark: SparkSession, d: str) -> DataFrame:
     counts = qc.variant_qc(V.entries(spark, d)).select(*gt.KEY, "AC", "AF")
     return _trios(spark, d).join(counts, gt.KEY).join(_sites(spark, d).select(*gt.KEY, "site_id", "gnomad_af", "vqslod"), gt.KEY)
