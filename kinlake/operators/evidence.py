@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,40 +16,41 @@ READ_PAD = 5
 COLOURS = {"+": "255,0,0", "-": "0,255,0", "left": "0,0,255", "right": "255,0,0"}
 
 
-def window_segments(windows: DataFrame, width: int = BIN) -> tuple[DataFrame, DataFrame]:
-    """(segments: chrom, bin, segment_start, segment_end; members: the same and the columns of the windows that hold the segment).
+def window_segments(windows: DataFrame, width: int = BIN, keys: Sequence[str] = ("chrom",)) -> tuple[DataFrame, DataFrame]:
+    """(segments: keys, bin, segment_start, segment_end; members: the same and the columns of the windows that hold the segment).
 
-    Windows (chrom, start, end, ...) are cut at bins and, within a bin, wherever one of them starts or ends, so that a segment lies wholly
+    Windows (keys, start, end, ...) are cut at bins and, within a bin and key, wherever one of them starts or ends, so that a segment lies wholly
     inside or outside each window: what is found in a segment is shared by all windows over it.
     """
-    rest = [c for c in windows.columns if c != "chrom"]
+    whole, rest = [*keys, "bin"], [c for c in windows.columns if c not in keys]
     bins = F.explode(F.sequence(F.floor(F.col("start") / width).cast("long"), F.floor((F.col("end") - 1) / width).cast("long"))).alias("bin")
-    cut = windows.where("start < end").select("chrom", *rest, bins)
+    cut = windows.where("start < end").select(*keys, *rest, bins)
     cut = cut.withColumns({"__lo": F.greatest("start", F.col("bin") * width), "__hi": F.least("end", (F.col("bin") + 1) * width)})
-    ends = cut.select("chrom", "bin", F.explode(F.array("__lo", "__hi")).alias("segment_start")).distinct()
-    after = F.lead("segment_start").over(Window.partitionBy("chrom", "bin").orderBy("segment_start"))
+    ends = cut.select(*whole, F.explode(F.array("__lo", "__hi")).alias("segment_start")).distinct()
+    after = F.lead("segment_start").over(Window.partitionBy(*whole).orderBy("segment_start"))
     pieces = ends.withColumn("segment_end", after).where("segment_end IS NOT NULL")
-    members = cut.join(pieces, ["chrom", "bin"]).where("segment_start >= __lo AND segment_end <= __hi").drop("__lo", "__hi")
-    return members.select("chrom", "bin", "segment_start", "segment_end").distinct(), members
+    members = cut.join(pieces, whole).where("segment_start >= __lo AND segment_end <= __hi").drop("__lo", "__hi")
+    return members.select(*whole, "segment_start", "segment_end").distinct(), members
 
 
-def segment_evidence(evidence: DataFrame, segments: DataFrame, width: int = BIN, rows: int = ROWS) -> DataFrame:
-    """Evidence (chrom, pos from 1, ...) with the segment (segment_start, segment_end) that holds it; what none holds goes.
+def segment_evidence(evidence: DataFrame, segments: DataFrame, width: int = BIN, rows: int = ROWS, keys: Sequence[str] = ("chrom",)) -> DataFrame:
+    """Evidence (keys, pos from 1, ...) with the segment (segment_start, segment_end) that holds it; what none holds goes.
 
     Evidence of bins without a segment is left out by a join on the bin, which prunes files of evidence that is stored by bin. The rest is
     swept once, in order of position, each row taking the last segment that began before it. A bin of over `rows` rows is dealt to
     as many sweeps as it needs, each with the bin's segments.
     """
-    used = segments.select("chrom", "bin").distinct()
-    placed = evidence.withColumn("bin", F.floor((F.col("pos") - 1) / width)).join(used, ["chrom", "bin"], "left_semi")
-    deals = placed.groupBy("chrom", "bin").agg(F.ceil(F.count("*") / F.lit(rows)).cast("int").alias("__deals"))
-    fields = [c for c in placed.columns if c not in ("chrom", "bin")]
-    row = placed.join(deals, ["chrom", "bin"]).select("chrom", "bin", F.pmod(F.xxhash64(*fields), "__deals").cast("int").alias("__deal"), (F.col("pos") - 1).alias("__at"), F.lit(1).alias("__kind"), F.struct(*fields).alias("__row"))
-    seg = segments.join(deals, ["chrom", "bin"]).select("chrom", "bin", F.explode(F.sequence(F.lit(0), F.col("__deals") - 1)).alias("__deal"), F.col("segment_start").alias("__at"), F.lit(0).alias("__kind"), F.struct("segment_start", "segment_end").alias("__seg"))
+    whole = [*keys, "bin"]
+    used = segments.select(*whole).distinct()
+    placed = evidence.withColumn("bin", F.floor((F.col("pos") - 1) / width)).join(used, whole, "left_semi")
+    deals = placed.groupBy(*whole).agg(F.ceil(F.count("*") / F.lit(rows)).cast("int").alias("__deals"))
+    fields = [c for c in placed.columns if c not in whole]
+    row = placed.join(deals, whole).select(*whole, F.pmod(F.xxhash64(*fields), "__deals").cast("int").alias("__deal"), (F.col("pos") - 1).alias("__at"), F.lit(1).alias("__kind"), F.struct(*fields).alias("__row"))
+    seg = segments.join(deals, whole).select(*whole, F.explode(F.sequence(F.lit(0), F.col("__deals") - 1)).alias("__deal"), F.col("segment_start").alias("__at"), F.lit(0).alias("__kind"), F.struct("segment_start", "segment_end").alias("__seg"))
     swept = row.unionByName(seg, allowMissingColumns=True)
-    order = Window.partitionBy("chrom", "bin", "__deal").orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy(*whole, "__deal").orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, 0)
     met = swept.withColumn("__seg", F.last("__seg", ignorenulls=True).over(order)).where(F.col("__row").isNotNull() & (F.col("__at") < F.col("__seg.segment_end")))
-    return met.select("chrom", "bin", "__seg.*", "__row.*")
+    return met.select(*whole, "__seg.*", "__row.*")
 
 
 def as_track(evidence: DataFrame) -> DataFrame:
@@ -68,7 +71,8 @@ def evidence_in_roi(windows: DataFrame, evidence: DataFrame, width: int = BIN, r
     windows: name, part, chrom, start, end (from 0, half-open), s. Each row of evidence is read and placed once; windows that overlap
     share it, and a long call, which has a window at either end, gets the rows of both. Repeated rows of evidence stay. Null positions lie nowhere.
     """
-    segments, members = window_segments(windows.select("name", "part", "chrom", "start", "end", "s"), width)
-    placed = segment_evidence(as_track(evidence).where("pos IS NOT NULL"), segments, width, rows)
-    of = members.select("chrom", "bin", "segment_start", "s", "name", "part")
-    return placed.join(of, ["chrom", "bin", "segment_start", "s"]).select("name", "part", "s", "kind", "chrom", "pos", "from", "to", "colour")
+    keys = ("chrom", "s")  # other samples' windows cut nothing
+    segments, members = window_segments(windows.select("name", "part", "chrom", "start", "end", "s"), width, keys)
+    placed = segment_evidence(as_track(evidence).where("pos IS NOT NULL"), segments, width, rows, keys)
+    of = members.select(*keys, "bin", "segment_start", "name", "part")
+    return placed.join(of, [*keys, "bin", "segment_start"]).select("name", "part", "s", "kind", "chrom", "pos", "from", "to", "colour")
