@@ -37,6 +37,19 @@ def pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], width: int = BIN, sta
     return met.withColumn("overlap", (F.least(a_end, b_end) - low).cast("long")).drop("__bin", "__bin_b")
 
 
+def sweep(probes: DataFrame, evidence: DataFrame, width: int = BIN) -> DataFrame:
+    """Many kinds of interval tests in one join: each probe (key, lo, hi, own columns) with all evidence (key, b_start, b_end, own columns)
+    of its key that it overlaps, each pair once. A probe that meets nothing in a bin stays there with nulls, so every probe stays at least
+    once; one without coordinates or key stays and meets nothing. Zero-length intervals count as one base pair. key says what is tested
+    and whose it is, so that different tests share one shuffle; the evidence's key is not returned."""
+    bins = lambda a, b: F.sequence(F.floor(a / width).cast("long"), F.floor((F.greatest(b, a + 1) - 1) / width).cast("long"))
+    c = F.col
+    left = probes.withColumn("__bin", F.explode_outer(bins(c("lo"), c("hi"))))
+    right = evidence.withColumnRenamed("key", "__key").withColumn("__at", F.explode(bins(c("b_start"), c("b_end"))))
+    meet = (c("lo") < F.greatest("b_end", c("b_start") + 1)) & (c("b_start") < F.greatest("hi", c("lo") + 1)) & (F.floor(F.greatest("lo", "b_start") / width) == c("__bin"))
+    return left.join(right, (c("key") == c("__key")) & (c("__bin") == c("__at")) & meet, "left").drop("__key", "__bin", "__at")
+
+
 def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str], f: float = 0.0, reciprocal: bool = False, how: str = "inner", id_col: str = "name", width: int = BIN, start: str = "start", end: str = "end") -> DataFrame:
     """Pairs whose overlap is at least the fraction f of a (and of b, if reciprocal). how="left": every row of a, with
     overlap 0 where it meets none; id_col then names the rows of a."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import genotype as gt
 from ..functions.text import human_size
 from . import interval
-from .pedigree import trio_list
+from .pedigree import trio_list, trio_members
 
 
 def carriers(sv: DataFrame) -> DataFrame:
@@ -198,72 +198,126 @@ SV_FLAGS = (
 )
 
 
+def _people(ped: DataFrame, kids: DataFrame) -> DataFrame:
+    """One row a person: s, family_id, is_child (a father is named), is_parent (of a complete trio) and the families of those trios."""
+    of = kids.select("fam_id", F.explode(F.array("father", "mother")).alias("s")).groupBy("s").agg(F.collect_set("fam_id").alias("parent_of"))
+    people = ped.select(F.col("sample_id").alias("s"), "family_id", F.col("paternal_id").isNotNull().alias("is_child"))
+    return people.join(of, "s", "left").withColumn("is_parent", F.col("parent_of").isNotNull())
+
+
+def _child_calls(calls: DataFrame, people: DataFrame, kids: DataFrame, gts: DataFrame) -> DataFrame:
+    """One row a call and child that carries it: the call's columns with its carriers among children and parents, the trio, whether a
+    parent carries it (own_parent), and GQ and RD_CN of the three. A trio's records meet in one aggregate, without lists of carriers."""
+    own = [c for c in calls.columns if c != "samples"]
+    carried = calls.select(*own, F.explode("samples").alias("s"))
+    count = lambda c: F.sum(F.col(c).cast("int"))
+    counted = carried.join(people, "s").groupBy(*own).agg(count("is_child").alias("n_children"), count("is_parent").alias("n_parents"))
+    records = carried.select("name", "s", F.lit(True).alias("carried")).unionByName(gts.select("name", "s", "GQ", "RD_CN"), allowMissingColumns=True)
+    role = lambda r, c: F.when(F.col("role") == r, F.col(c))
+    formats = [F.min(role(r, c)).alias(f"{r}_{n}") for r in ("kid", "dad", "mom") for c, n in (("GQ", "gq"), ("RD_CN", "cn"))]
+    trio = [F.col("fam_id"), F.col("proband"), F.col("father"), F.col("mother")]
+    by_trio = records.join(trio_members(kids), "s").groupBy("name", *trio).agg(
+        F.max(role("kid", "carried")).alias("carried"), F.coalesce(F.max(F.when(F.col("role") != "kid", F.col("carried"))), F.lit(False)).alias("own_parent"), *formats
+    )
+    return counted.join(by_trio.where("carried").drop("carried").withColumnRenamed("proband", "s"), "name")
+
+
+def _evidence(calls: DataFrame, people: DataFrame, raw: DataFrame, gd: DataFrame, exclude: DataFrame, coverage: DataFrame, cfg: DeNovoSVConfig) -> DataFrame:
+    """All that calls are held against as one table: key (what, contig and whose), b_start, b_end, b_cov. Null parts never meet."""
+    c = F.col
+    key = lambda what, *parts: F.concat(F.lit(what), *[F.concat(F.lit("|"), c(p)) for p in parts])
+    place = [c("start").alias("b_start"), c("end").alias("b_end")]
+    known = raw.join(people, "s").withColumn("kind", F.when(c("is_depth"), "depth").otherwise("other"))
+    known = known.where(~(c("is_parent") & c("is_depth") & (c("end") - c("start") >= cfg.longest_parent_depth)))
+    whose = F.when(c("is_parent"), key("par", "kind", "svtype", "chrom", "family_id")).otherwise(key("own", "kind", "svtype", "chrom", "s"))
+    large = calls.where(c("svtype").isin("DEL", "DUP") & (c("svlen") >= cfg.large)).select("chrom", "start", "end", F.explode("samples").alias("s"))
+    large = large.join(people.where("is_parent"), "s").withColumn("fam_id", F.explode("parent_of"))
+    depth = coverage.join(people.where("is_parent").select("s"), "s", "left_semi")
+    out = known.select(whose.alias("key"), *place).unionByName(large.select(key("call", "chrom", "fam_id").alias("key"), *place))
+    out = out.unionByName(gd.select(key("gd", "chrom").alias("key"), *place)).unionByName(exclude.select(key("ex", "chrom").alias("key"), *place))
+    return out.withColumn("b_cov", F.lit(None).cast("double")).unionByName(depth.select(key("cov", "chrom", "s").alias("key"), *place, c("cov").cast("double").alias("b_cov")))
+
+
 def denovo_sv(sv: DataFrame, ped: DataFrame, gts: DataFrame, raw: DataFrame, gd: DataFrame, exclude: DataFrame, coverage: DataFrame, cfg: DeNovoSVConfig = DeNovoSVConfig()) -> DataFrame:  # noqa: B008
     """One row for each call and child that carries it: is_de_novo, filter_flag (one of SV_FLAGS, or de_novo), in_gd.
 
-    sv: name, chrom, start, end, svtype, samples, algorithms, evidence, filter, gnomad_af, and af (without it, carriers of all samples).
-    gts: name, s, GQ, RD_CN. raw: chrom, start, end, svtype, s, is_depth. gd, exclude: name, chrom, start, end. All contigs and
-    families run in one job; every test is a join whose outcome is a flag on the row, and the order of the rules is the order of one
-    expression. Calls of other types than DEL, DUP and INS need to pass only the first two rules.
+    sv: name (unique), chrom, start, end, svtype, samples, algorithms, evidence, filter, gnomad_af, and af (without it, carriers of all
+    samples). gts: name, s, GQ, RD_CN. raw: chrom, start, end, svtype, s, is_depth. gd, exclude: name, chrom, start, end. All contigs and
+    families run in one job. A call's tests against intervals are probes of one binned sweep over all evidence (own and parents' raw
+    calls, parents' large calls, regions, parents' coverage); one aggregate by call and child then gives every outcome, and the order
+    of the rules is the order of one expression. Calls that an earlier rule settles send no probes but the one for disorder regions.
+    Calls of other types than DEL, DUP and INS need to pass only the first two rules. A call without coordinates meets nothing and stays.
     """
     c = F.col
     kids = trio_list(ped)
-    sv = sv.where(~c("svtype").isin("BND", "CNV")).withColumn("svlen", c("end") - c("start"))
-    counts = carrier_counts(sv, ped)
-    total = ped.agg(F.countDistinct("sample_id").alias("n_all")).crossJoin(kids.select(F.explode(F.array("father", "mother")).alias("s")).agg(F.countDistinct("s").alias("n_all_parents")))
-    rows = carriers(sv).join(kids.select("fam_id", c("proband").alias("s"), "father", "mother"), "s").join(sv.select("name", "samples"), "name")
-    rows = rows.join(counts.select("name", "n_children", "n_parents", "parent_af"), "name", "left").crossJoin(F.broadcast(total))
-    af = c("af") if "af" in sv.columns else F.size("samples") / c("n_all")
-    rows = rows.withColumns({"row": F.concat_ws("|", "name", "s"), "af": af, "own_parent": F.array_contains(F.col("samples"), c("father")) | F.array_contains(F.col("samples"), c("mother"))})
-    for who, prefix in (("s", "kid"), ("father", "dad"), ("mother", "mom")):
-        rows = rows.join(gts.groupBy("name", c("s").alias(who)).agg(F.min("GQ").alias(f"{prefix}_gq"), F.min("RD_CN").alias(f"{prefix}_cn")), ["name", who], "left")
-    flag = lambda df, name: df.select("row").distinct().withColumn(name, F.lit(True))
-    base = rows.select("row", "name", "chrom", "start", "end", "svtype", "svlen", "s", "fam_id")
-    calls = reshape_raw(raw, ped).withColumnRenamed("family_id", "fam_id")
-    own, parents = calls.where("not is_parent"), calls.where("is_parent")
-    own_other, par_other = own.where("not is_depth"), parents.where("not is_depth")
-    par_depth = parents.where(c("is_depth") & (c("end") - c("start") < cfg.longest_parent_depth))
-    cnv, ins = base.where("svtype in ('DEL', 'DUP')"), base.where("svtype = 'INS'")
-    small, large = cnv.where(c("svlen") < cfg.large), cnv.where(c("svlen") >= cfg.large)
-    middle, long = large.where(c("svlen") < cfg.depth_from), large.where(c("svlen") >= cfg.depth_from)
-    by_child, by_family = ["chrom", "svtype", "s"], ["chrom", "svtype", "fam_id"]
-    near = lambda b, keys: interval.nearest(ins, b, keys, cfg.nearest, id_col="row", b_id="end")
-    recip = lambda a, b, keys, f: interval.overlap_join(a, b, keys, f, True, id_col="row")
-    cover = lambda a, b, keys: interval.coverage_fraction(a, b, keys, "row")
-    large_calls = carriers(sv.where(c("svtype").isin("DEL", "DUP") & (c("svlen") >= cfg.large))).join(kids.select("fam_id", F.explode(F.array("father", "mother")).alias("s")).distinct(), "s")
-    seen = {
-        "in_gd": interval.overlap_join(base, gd, ["chrom"], 0.5, id_col="row"),
-        "own": near(own_other, by_child).select("row").unionByName(recip(small, own_other, by_child, cfg.small_overlap).select("row")).unionByName(recip(middle, own_other, by_child, cfg.large_overlap).select("row")).unionByName(cover(long, own.where("is_depth"), by_child).where(c("covered") > cfg.large_overlap).select("row")),
-        "par": near(par_other, by_family).select("row").unionByName(recip(small, par_other, by_family, cfg.small_overlap).select("row")).unionByName(recip(middle, par_other, by_family, cfg.large_overlap).select("row")).unionByName(cover(long, par_depth, by_family).where(c("covered") > cfg.large_overlap).select("row")),
-        "excluded": cover(base, exclude, ["chrom"]).where(c("covered") > cfg.exclude_share),
-        "par_call": cover(large, large_calls, ["chrom", "fam_id"]).where(c("covered") >= cfg.parents_overlap),
-        "low_cov": parent_median_coverage(base, kids, coverage, cfg.coverage).where("low_coverage").select(F.concat_ws("|", "name", "child").alias("row")),
-    }
-    for name, df in seen.items():
-        rows = rows.join(flag(df, name), "row", "left")
-    on = lambda name: F.coalesce(c(name), F.lit(False))
-    kind = c("svtype")
-    is_cnv = kind.isin("DEL", "DUP")
-    is_large, is_small = is_cnv & (c("svlen") >= cfg.large), is_cnv & (c("svlen") < cfg.large)
+    people = _people(ped, kids)
+    calls = sv.where(~c("svtype").isin("BND", "CNV")).withColumns({"svlen": c("end") - c("start"), "n_carriers": F.size("samples")})
+    calls = calls.select("name", "chrom", "start", "end", "svtype", "algorithms", "evidence", "filter", "gnomad_af", "svlen", "n_carriers", "samples", *[x for x in sv.columns if x == "af"])
+    total = people.agg(F.countDistinct("s").alias("n_all"), F.countDistinct(F.when(c("is_parent"), c("s"))).alias("n_all_parents"))
+    rows = _child_calls(calls, people, kids, gts).crossJoin(F.broadcast(total))
+    af = c("af") if "af" in sv.columns else c("n_carriers") / c("n_all")
+    size = F.greatest(c("end") - c("start"), F.lit(1))
+    kind, length = c("svtype"), c("end") - c("start")
+    is_ins, is_cnv = kind == "INS", kind.isin("DEL", "DUP")
+    is_large, is_small = is_cnv & (length >= cfg.large), is_cnv & (length < cfg.large)
+    by_depth = is_large & (length >= cfg.depth_from)
     intent = F.lit(not cfg.compat)
-    rare = on("in_gd") | ((c("gnomad_af").isNull() | (c("gnomad_af") <= cfg.gnomad_af)) & (c("af") <= cfg.cohort_af))
     most_parents = F.lit(cfg.parents_sc) if cfg.parents_sc is not None else c("n_all_parents")
-    alone = ~c("own_parent") & (c("n_children") >= 1) & (c("parent_af") <= cfg.parents_af) & (c("n_parents") <= most_parents)
-    tests = (
-        ~rare, ~F.coalesce(alone, F.lit(False)), intent & (c("algorithms") == "wham") & (c("kid_gq") == 1), intent & (c("svlen") > 5000) & (c("chrom") != "chrX") & ((c("kid_cn") == c("dad_cn")) | (c("kid_cn") == c("mom_cn"))),
-        ~(on("own") & ~on("par")), on("excluded"), is_large & on("par_call"), is_small & (c("evidence") == "SR") & ~c("filter").contains("BOTHSIDES_SUPPORT"),
-        (kind == "DUP") & (c("algorithms") == "depth") & (c("svlen") <= cfg.depth_only), (kind == "DEL") & c("kid_cn").isin(2, 3) & (c("evidence") == "PE"),
-        c("dad_gq").isNotNull() & c("mom_gq").isNotNull() & (F.least("dad_gq", "mom_gq") <= cfg.min_gq),  # a missing one clears both
-        (kind == "INS") & c("algorithms").isin("manta", "melt") & (c("evidence") == "SR") & ((c("kid_gq") == 0) | c("filter").contains("HIGH_SR_BACKGROUND")), on("low_cov"),
+    alone = ~c("own_parent") & (c("n_children") >= 1) & (gt.ratio(c("n_parents"), c("n_all_parents")) <= cfg.parents_af) & (c("n_parents") <= most_parents)
+    early = {
+        "wham_only": intent & (c("algorithms") == "wham") & (c("kid_gq") == 1),
+        "same_cn_as_parents": intent & (length > 5000) & (c("chrom") != "chrX") & ((c("kid_cn") == c("dad_cn")) | (c("kid_cn") == c("mom_cn"))),
+    }
+    late = {
+        "small_cnv_SR_only": is_small & (c("evidence") == "SR") & ~c("filter").contains("BOTHSIDES_SUPPORT"),
+        "depth_only_small_variant": (kind == "DUP") & (c("algorithms") == "depth") & (length <= cfg.depth_only),
+        "del_with_rdcn2_pe_only": (kind == "DEL") & c("kid_cn").isin(2, 3) & (c("evidence") == "PE"),
+        "bad_gq_in_parents": c("dad_gq").isNotNull() & c("mom_gq").isNotNull() & (F.least("dad_gq", "mom_gq") <= cfg.min_gq),  # a missing one clears both
+        "ins_filter": is_ins & c("algorithms").isin("manta", "melt") & (c("evidence") == "SR") & ((c("kid_gq") == 0) | c("filter").contains("HIGH_SR_BACKGROUND")),
+    }
+    first = lambda tests: F.coalesce(*[F.when(t, name) for name, t in tests.items()])
+    rows = rows.withColumns({
+        "rare": (c("gnomad_af").isNull() | (c("gnomad_af") <= cfg.gnomad_af)) & (af <= cfg.cohort_af), "alone": F.coalesce(alone, F.lit(False)), "early": first(early), "late": first(late),
+    })
+    held = ["name", "s", "chrom", "start", "end", "svtype", "rare", "alone", "early", "late"]
+    key = lambda what, *parts: F.concat(F.lit(what), *[F.concat(F.lit("|"), p if isinstance(p, Column) else c(p)) for p in parts])
+    probe = lambda test, k, lo=c("start"), hi=c("end"): F.struct(F.lit(test).alias("test"), k.alias("key"), lo.cast("long").alias("lo"), hi.cast("long").alias("hi"))  # noqa: B008, E731
+    mode = F.when(by_depth, "depth").otherwise("other")
+    near = [F.when(is_ins, c("start") - cfg.nearest + 1).otherwise(c("start")), F.when(is_ins, c("start") + cfg.nearest).otherwise(c("end"))]
+    padded = [F.when(is_ins, c("start") - 100).otherwise(c("start")), F.when(is_ins, c("end") + 100).otherwise(c("end"))]
+    open_ = c("alone") & (is_cnv | is_ins) & c("early").isNull()
+    asked = F.array(
+        probe("gd", key("gd", "chrom")), F.when(open_, probe("own", key("own", mode, "svtype", "chrom", "s"), *near)), F.when(open_, probe("par", key("par", mode, "svtype", "chrom", "fam_id"), *near)),
+        F.when(open_, probe("ex", key("ex", "chrom"))), F.when(open_ & is_large, probe("call", key("call", "chrom", "fam_id"))),
+        F.when(open_, probe("dad", key("cov", "chrom", "father"), *padded)), F.when(open_, probe("mom", key("cov", "chrom", "mother"), *padded)),
+    )
+    probes = rows.select(*held, F.inline(F.filter(asked, lambda x: x.isNotNull())))
+    met = interval.sweep(probes, _evidence(calls, people, raw, gd, exclude, coverage, cfg)).repartition("name", "s")
+    there = lambda x: F.when(c("b_start").isNotNull(), x)  # greatest and least pass over nulls
+    met = met.withColumns({"left": there(F.greatest("start", "b_start")), "right": there(F.least("end", "b_end")), "b_size": there(F.greatest(c("b_end") - c("b_start"), F.lit(1)))})
+    met = met.withColumn("over", there(F.least(F.greatest("end", c("start") + 1), F.greatest("b_end", c("b_start") + 1)) - c("left")))
+    reach = F.max("right").over(Window.partitionBy("name", "s", "test").orderBy("left", "right").rowsBetween(Window.unboundedPreceding, -1))
+    met = met.withColumn("fresh", F.greatest(c("right") - F.greatest("left", F.coalesce(reach, c("left"))), F.lit(0)))
+    least = F.when(is_small, cfg.small_overlap).otherwise(cfg.large_overlap)
+    shown = F.when(is_ins, F.abs(c("start") - c("b_start")) < cfg.nearest).otherwise((c("over") >= least * size) & (c("over") >= least * c("b_size")))
+    of = lambda test: (c("test") == test) & c("b_start").isNotNull()
+    any_ = lambda test, hit: F.coalesce(F.max(F.when(of(test), hit)), F.lit(False))
+    share = lambda test: F.coalesce(F.sum(F.when(of(test), c("fresh"))), F.lit(0)) / size
+    median = lambda who: F.percentile(F.when(c("test") == who, c("b_cov")), F.lit(0.5)).alias(who)
+    rows = met.groupBy(*held).agg(
+        any_("gd", c("over") >= 0.5 * size).alias("in_gd"), any_("own", ~by_depth & shown).alias("own"), any_("par", ~by_depth & shown).alias("par"),
+        share("own").alias("own_share"), share("par").alias("par_share"), share("ex").alias("ex_share"), share("call").alias("call_share"), median("dad"), median("mom"),
+    )
+    in_raw = lambda who: F.when(by_depth, c(f"{who}_share") > cfg.large_overlap).otherwise(c(who))
+    flag = F.coalesce(
+        F.when(~(c("in_gd") | c("rare")), "AF"), F.when(~c("alone"), "in_parent"), F.when(~(is_cnv | is_ins), "not_del_dup_ins"), c("early"),
+        F.when(~(in_raw("own") & ~in_raw("par")), "not_in_raw_files_or_in_parents_raw_files"), F.when(c("ex_share") > cfg.exclude_share, "in_blacklist_region"),
+        F.when(is_large & (c("call_share") >= cfg.parents_overlap), "large_cnv_with_parent_overlap"), c("late"), F.when(F.least("dad", "mom") < cfg.coverage, "low_coverage_in_parents"), F.lit("de_novo"),
     )
-    first = F.coalesce(*[F.when(t, name) for t, name in zip(tests, SV_FLAGS, strict=False)], F.lit("de_novo"))
-    rows = rows.withColumn("filter_flag", first)
-    rows = rows.withColumn("filter_flag", F.when(~kind.isin("DEL", "DUP", "INS") & ~c("filter_flag").isin("AF", "in_parent"), "not_del_dup_ins").otherwise(c("filter_flag")))
-    dup = flag_duplicate_cpx(rows.select("row", "name", "svtype", "chrom", "start", "end", "s")).where("is_duplicate")
-    rows = rows.join(flag(dup, "dup_cpx"), "row", "left")
     new = c("filter_flag").isin("de_novo", "not_del_dup_ins")
-    rows = rows.withColumn("filter_flag", F.when(new & on("dup_cpx"), "duplicated_cpx").otherwise(c("filter_flag")))
-    return rows.select("name", "s", "chrom", "start", "end", "svtype", new.alias("is_de_novo"), "filter_flag", on("in_gd").alias("in_gd"))
+    rows = flag_duplicate_cpx(rows.withColumn("filter_flag", flag))
+    rows = rows.withColumn("filter_flag", F.when(new & c("is_duplicate"), "duplicated_cpx").otherwise(c("filter_flag")))
+    return rows.select("name", "s", "chrom", "start", "end", "svtype", new.alias("is_de_novo"), "filter_flag", "in_gd")
 
 
 def denovo_sv_output(rows: DataFrame) -> DataFrame:

@@ -215,7 +215,7 @@ def _in_raw(name: str, on: str) -> str:
   UNION SELECT a.name, a.s FROM r a JOIN raw b ON {_MEET} AND {on} AND NOT b.is_depth WHERE a.svtype IN ('DEL', 'DUP') AND ((a.len < 3000 AND {both.format(f=0.1)}) OR (a.len BETWEEN 3000 AND 4999 AND {both.format(f=0.5)})))"""
 
 
-@query(f"""WITH k AS (SELECT family_id AS fam, sample_id AS s, paternal_id AS dad, maternal_id AS mom FROM v_ped WHERE paternal_id IS NOT NULL AND maternal_id IS NOT NULL), pa AS (SELECT fam, dad AS s FROM k UNION SELECT fam, mom FROM k),
+_CASCADE = f"""WITH k AS (SELECT family_id AS fam, sample_id AS s, paternal_id AS dad, maternal_id AS mom FROM v_ped WHERE paternal_id IS NOT NULL AND maternal_id IS NOT NULL), pa AS (SELECT fam, dad AS s FROM k UNION SELECT fam, mom FROM k),
 n AS (SELECT name, count(*) FILTER (p.paternal_id IS NOT NULL) AS n_children, count(*) FILTER (x.s IN (SELECT s FROM pa)) AS n_parents, count(*) AS n_carriers FROM v_sv_carriers x JOIN v_ped p ON p.sample_id = x.s GROUP BY name),
 r AS (SELECT v.*, v.end_pos - v.start_pos AS len, k.*, n_children, n_parents, n_carriers / (SELECT count(*) FROM v_ped) AS af, n_parents / (SELECT count(DISTINCT s) FROM pa) AS parent_af, d.name IS NOT NULL OR m.name IS NOT NULL AS own_parent, fk.gq AS kid_gq, fk.rd_cn AS kid_cn, fd.gq AS dad_gq, fd.rd_cn AS dad_cn, fm.gq AS mom_gq, fm.rd_cn AS mom_cn
   FROM v_sv v JOIN v_sv_carriers x USING (name) JOIN k ON k.s = x.s JOIN n ON n.name = v.name LEFT JOIN v_sv_carriers d ON d.name = v.name AND d.s = k.dad LEFT JOIN v_sv_carriers m ON m.name = v.name AND m.s = k.mom
@@ -234,13 +234,20 @@ f AS (SELECT *, CASE WHEN NOT (in_gd OR ((gnomad_af IS NULL OR gnomad_af <= 0.01
   WHEN svtype = 'DEL' AND kid_cn IN (2, 3) AND evidence = 'PE' THEN 'del_with_rdcn2_pe_only' WHEN dad_gq IS NOT NULL AND mom_gq IS NOT NULL AND least(dad_gq, mom_gq) <= 0 THEN 'bad_gq_in_parents'
   WHEN svtype = 'INS' AND algorithms IN ('manta', 'melt') AND evidence = 'SR' AND (kid_gq = 0 OR filter LIKE '%HIGH_SR_BACKGROUND%') THEN 'ins_filter' WHEN low_cov THEN 'low_coverage_in_parents' ELSE 'de_novo' END AS flag,
   row_number() OVER (PARTITION BY svtype, chrom, start_pos, end_pos, s ORDER BY name) > 1 AND svtype = 'CPX' AS dup FROM t)
-SELECT name, s, chrom, start_pos AS "start", end_pos AS "end", svtype, flag IN ('de_novo', 'not_del_dup_ins') AND NOT dup AS is_de_novo, CASE WHEN dup AND flag IN ('de_novo', 'not_del_dup_ins') THEN 'duplicated_cpx' ELSE flag END AS filter_flag, in_gd FROM f""",
-       "v_sv", "v_sv_carriers", "v_sv_format", "v_ped", "v_raw", "v_regions", "v_coverage")
+SELECT name, s, chrom, start_pos AS "start", end_pos AS "end", svtype, flag IN ('de_novo', 'not_del_dup_ins') AND NOT dup AS is_de_novo, CASE WHEN dup AND flag IN ('de_novo', 'not_del_dup_ins') THEN 'duplicated_cpx' ELSE flag END AS filter_flag, in_gd FROM f"""
+_CASCADE_VIEWS = ("v_sv", "v_sv_carriers", "v_sv_format", "v_ped", "v_raw", "v_regions", "v_coverage")
+
+
+@query(_CASCADE, *_CASCADE_VIEWS, variants=("cascade",))
 def g16_denovo_sv(spark, d):
     gts = V.view(spark, d, "v_sv_format").withColumnsRenamed({"gq": "GQ", "rd_cn": "RD_CN"})
     gd = _regions(spark, d).where(F.substring("name", 2, 9).cast("int") % 10 == 0)
-    rows = sv.denovo_sv(_sv(spark, d), _ped(spark, d), gts, _raw(spark, d), gd, _regions(spark, d), _coverage(spark, d), sv.DeNovoSVConfig(large=3000))
-    return rows.withColumn("is_de_novo", F.col("filter_flag").isin("de_novo", "not_del_dup_ins"))
+    return sv.denovo_sv(_sv(spark, d), _ped(spark, d), gts, _raw(spark, d), gd, _regions(spark, d), _coverage(spark, d), sv.DeNovoSVConfig(large=3000))
+
+
+@query(f"SELECT * FROM ({_CASCADE}) WHERE is_de_novo OR filter_flag = 'ins_filter' OR in_gd", *_CASCADE_VIEWS, within="cascade")
+def g16_denovo_sv_output(spark, d):
+    return sv.denovo_sv_output(g16_denovo_sv(spark, d))
 
 
 def _disorder(by: str, parents: bool) -> str:

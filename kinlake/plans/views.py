@@ -160,6 +160,22 @@ SELECT site_id, cust, max(n_alt) AS n_alt, max(ad_alt) AS ad_alt, max(ad_ref) AS
   SELECT site_id, cust, n_alt, ad_alt, ad_ref, gq FROM ({VIEWS['v_carriers'].replace(' GROUP BY', ' WHERE l_orderkey % 24 = 0 GROUP BY')}) a
   UNION ALL SELECT site_id, cust + 2, 1, 20, 20, gq FROM ({VIEWS['v_carriers'].replace(' GROUP BY', ' WHERE l_orderkey % 24 = 0 GROUP BY')}) b WHERE cust % 3 = 0 AND n_alt = 1 AND gq % 2 = 0) c GROUP BY site_id, cust"""
 }
+#: cascade: parents who do not carry a call have records too, insertions come from one caller, complex calls stand twice, and every sample has depth.
+_CARRIED = VIEWS["v_sv_format"]
+VARIANTS["cascade"] = {
+    "v_sv_format": f"""
+SELECT name, s, min(gq) AS gq, min(rd_cn) AS rd_cn FROM (SELECT name, s, gq, rd_cn FROM ({_CARRIED}) a
+  UNION ALL SELECT name, paternal_id, CAST((gq * 7 + rd_cn) % 30 AS INT), CAST((gq + rd_cn) % 4 AS INT) FROM ({_CARRIED}) b JOIN {{v_ped}} p ON p.sample_id = b.s WHERE paternal_id IS NOT NULL
+  UNION ALL SELECT name, maternal_id, CAST((gq * 11 + rd_cn) % 30 AS INT), CAST((gq + 2) % 4 AS INT) FROM ({_CARRIED}) d JOIN {{v_ped}} q ON q.sample_id = d.s WHERE maternal_id IS NOT NULL AND gq % 5 <> 0) e GROUP BY name, s""",
+    "v_sv": VIEWS["v_sv"].replace("'manta,melt'", "'manta'"),
+    "v_sv_carriers": VIEWS["v_sv_carriers"] + """
+UNION SELECT concat('SV', l_partkey, '_', 1 + l_linenumber % 7), concat('S', o_custkey) FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey WHERE l_partkey % 6 = 4""",
+    "v_coverage": VIEWS["v_coverage"].replace("user_id % 30", "user_id % 1500").replace("event_id % 400", "event_id % 90"),
+}
+_ONE_PLACE = "CAST(1000 * floor(l_partkey / 24) + 100 * CASE l_partkey % 6 WHEN 4 THEN 1 ELSE l_linenumber END"
+VARIANTS["cascade"]["v_sv"] = VARIANTS["cascade"]["v_sv"].replace("CAST(1000 * floor(l_partkey / 24) + 100 * l_linenumber", _ONE_PLACE).replace(
+    "min(40 * l_quantity * (1 + l_partkey % 5))", "min(40 * CASE l_partkey % 6 WHEN 4 THEN 10 ELSE l_quantity END * (1 + l_partkey % 5))"
+)
 #: sexed: half of the sites on X and Y; a third of the samples hom on X, depth on Y by sample.
 VARIANTS["sexed"] = {
     "v_sites": VIEWS["v_sites"].replace(_contig("p_partkey"), "CASE p_partkey % 4 WHEN 0 THEN 'chrX' WHEN 1 THEN 'chrY' ELSE 'chr1' END"),
