@@ -83,6 +83,26 @@ def correct_ped(ped: DataFrame, inferred: DataFrame) -> DataFrame:
     return ped.join(compare_peds(ped, inferred).select("sample_id").distinct(), "sample_id", "left_anti")
 
 
+def corrected_ped(ped: DataFrame, inferred: DataFrame) -> DataFrame:
+    """Inferred rows of ped's samples, corrected where they differ from ped in any field (family included): if one inferred parent is missing
+    and the other is a sample of the inferred pedigree, then that parent goes too where the sample is its own parent's parent, else the
+    sample goes. Other rows stay as inferred. Rules look at the inferred pedigree as given, so the order of rows doesn't matter."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-9"))
+    given = ped.select("sample_id", *[text(c).alias(f"__{c}") for c in COLUMNS if c != "sample_id"])
+    own = inferred.select(*COLUMNS)
+    rows = own.join(given, "sample_id")
+    differs = F.lit(False)
+    for c in COLUMNS:
+        differs = differs | (F.lit(False) if c == "sample_id" else text(c) != F.col(f"__{c}"))
+    one = F.col("paternal_id").isNull() != F.col("maternal_id").isNull()
+    rows = rows.select(*COLUMNS, F.when(differs & one, F.coalesce("paternal_id", "maternal_id")).alias("__other"))
+    known = own.select(F.col("sample_id").alias("__other"), F.array("paternal_id", "maternal_id").alias("__grand"))
+    rows = rows.join(known, "__other", "left")
+    circular = F.coalesce(F.array_contains(F.array_compact("__grand"), F.col("sample_id")), F.lit(False))
+    parent = lambda c: F.when(~circular, F.col(c)).alias(c)
+    return rows.where(F.col("__grand").isNull() | circular).select("family_id", "sample_id", parent("paternal_id"), parent("maternal_id"), "sex", "phenotype")
+
+
 def merge_peds(peds: dict[str, DataFrame]) -> DataFrame:
     """Pedigrees under one another, families and samples prefixed by cohort."""
     out = None

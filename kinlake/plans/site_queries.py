@@ -300,6 +300,24 @@ def w7_dedup_relatedness(spark, d):
     return related.dedup_relatedness(V.view(spark, d, "v_kinship")).select("s", "other", "kin")
 
 
+def _rank_sql(c: str, ranks: dict[str, int]) -> str:
+    return f"CASE {c} {' '.join(f"WHEN '{k}' THEN {v}" for k, v in ranks.items())} ELSE -1 END"
+
+
+_PAIR_ORDER = f"""CASE WHEN ped_relationship = 'unrelated' THEN md5(concat(i, '|', j, '|', relationship)) END, {_rank_sql('ped_relationship', related.EXPECTED_RANK)} DESC, {_rank_sql('relationship', related.INFERRED_RANK)} DESC, kin DESC, i, j"""
+
+
+@query(f"""SELECT i, j, kin, ped_relationship, relationship FROM (SELECT *, row_number() OVER (PARTITION BY least(i, j), greatest(i, j), ped_relationship = 'unrelated' ORDER BY {_PAIR_ORDER}) AS r FROM v_pair_rows) WHERE r = 1""", "v_pair_rows")
+def w7_unique_pairs(spark, d):
+    return related.unique_pairs(V.view(spark, d, "v_pair_rows"))
+
+
+@query(f"""SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY CASE WHEN role IN ('Proband', 'Mother', 'Father') THEN 1 ELSE 0 END DESC,
+  {_rank_sql('mother_status', related.INFERRED_RANK)} + {_rank_sql('father_status', related.INFERRED_RANK)} DESC, coalesce(mother_kin, 0) + coalesce(father_kin, 0) DESC, family_id) AS r FROM v_sample_rows) WHERE r = 1""", "v_sample_rows")
+def w7_unique_samples(spark, d):
+    return related.unique_samples(V.view(spark, d, "v_sample_rows"))
+
+
 @query(f"SELECT * FROM (SELECT i, j, kin, ibd0, ibd1, ibd2, {_CLASS} AS class FROM v_kinship) WHERE class <> 'unrelated' OR substr(md5(concat(i, '|', j)), 1, 4) < '0ccc'", "v_kinship")
 def t4_sample_pairs(spark, d):
     return related.sample_pairs(V.view(spark, d, "v_kinship"))
@@ -764,6 +782,36 @@ def src1_vcf_sites(spark, d):
     return files.read_vcf_sites(spark, [f"{path}/header", f"{path}/body"]).select(*gt.KEY, F.col("qual").isNotNull().cast("int").alias("has_qual"))
 
 
+_MEMBERS = ("kid", "dad", "mom")
+
+
+@query(" UNION ALL ".join(f"SELECT contig, pos, ref, alt, '{m}' AS s, CASE WHEN {m}_n = 2 THEN 1 ELSE 0 END AS a1, CASE WHEN {m}_n > 0 THEN 1 ELSE 0 END AS a2, {m}_n % 2 = 1 AS phased, {m}_ref AS ad_ref, {m}_alt AS ad_alt, {m}_dp AS dp, {m}_gq AS gq, {m}_pl0 AS pl0, {m}_pl1 AS pl1, {m}_pl2 AS pl2 FROM v_trios" for m in _MEMBERS), "v_trios")
+def src1_vcf_entries(spark, d):
+    """Genotypes of all trios through VCF text: a line a trio and site with three samples, hets phased."""
+    path = scratch.folder(spark, "entries")
+    n = lambda m, x: F.coalesce(F.col(f"{m}_{x}").cast("string"), F.lit("."))
+    call = lambda m: F.when(F.col(f"{m}_n") == 2, "1/1").when(F.col(f"{m}_n") == 1, "0|1").otherwise("0/0")
+    field = lambda m: F.concat_ws(":", call(m), F.concat_ws(",", n(m, "ref"), n(m, "alt")), n(m, "dp"), n(m, "gq"), F.concat_ws(",", *[n(m, f"pl{k}") for k in range(3)]))
+    rows = V.view(spark, d, "v_trios")
+    lines = rows.select(F.concat_ws("\t", "contig", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.lit("PASS"), F.lit("."), F.lit("GT:AD:DP:GQ:PL"), *[field(m) for m in _MEMBERS]).alias("value"))
+    head = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *_MEMBERS])
+    spark.createDataFrame([("##fileformat=VCFv4.2",), (head,)], "value string").coalesce(1).write.text(f"{path}/header")
+    lines.write.text(f"{path}/body")
+    out = files.read_vcf_entries(spark, [f"{path}/header", f"{path}/body"])
+    parts = {"ad_ref": ("AD", 0), "ad_alt": ("AD", 1), "pl0": ("PL", 0), "pl1": ("PL", 1), "pl2": ("PL", 2)}
+    return out.select("contig", "pos", "ref", F.col("alts")[0].alias("alt"), "s", "a1", "a2", "phased", F.col("DP").alias("dp"), F.col("GQ").alias("gq"), *[F.col(c)[i].alias(k) for k, (c, i) in parts.items()])
+
+
+@query(f"SELECT {', '.join(gt.KEY)}, qual FROM v_sites", "v_sites")
+def src7_merge_stores(spark, d):
+    """Two stores, one of which lacks a column, read as one table."""
+    paths = [scratch.folder(spark, "store") for _ in range(2)]
+    rows = _sites(spark, d).select(*gt.KEY, "qual")
+    files.save_table(rows.where("qual is not null"), paths[0])
+    files.save_table(rows.where("qual is null").drop("qual"), paths[1])
+    return files.merge_stores(spark, paths).select(*gt.KEY, "qual")
+
+
 @query('SELECT name, chrom AS contig, start_pos AS "start", end_pos AS "end" FROM v_regions', "v_regions")
 def src4_bed(spark, d):
     path = scratch.folder(spark, "bed")

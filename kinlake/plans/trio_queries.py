@@ -438,6 +438,23 @@ def w12_compare_peds(spark, d):
     return pedigree.compare_peds(_ped(spark, d), other)
 
 
+_OTHER_TEXT = [f"coalesce(CAST({{}}.{c} AS VARCHAR), '-9')" for c in ("family_id", "paternal_id", "maternal_id", "sex", "phenotype")]
+_DIFFERS = "(" + " OR ".join(f"{x.format('o')} <> {x.format('p')}" for x in _OTHER_TEXT) + ")"
+_SAME = " AND ".join(f"{x.format('o')} = {x.format('p')}" for x in _OTHER_TEXT[1:])
+
+
+@query(f"SELECT p.* FROM v_ped p LEFT JOIN v_other_ped o USING (sample_id) WHERE o.sample_id IS NULL OR ({_SAME})", "v_ped", "v_other_ped")
+def w12_clean_ped(spark, d):
+    return pedigree.correct_ped(_ped(spark, d), V.view(spark, d, "v_other_ped"))
+
+
+@query(f"""WITH r AS (SELECT o.*, CASE WHEN {_DIFFERS} AND (o.paternal_id IS NULL) <> (o.maternal_id IS NULL) THEN coalesce(o.paternal_id, o.maternal_id) END AS other FROM v_other_ped o JOIN v_ped p ON p.sample_id = o.sample_id),
+g AS (SELECT r.*, k.sample_id IS NOT NULL AS there, coalesce(k.paternal_id = r.sample_id, false) OR coalesce(k.maternal_id = r.sample_id, false) AS circular FROM r LEFT JOIN v_other_ped k ON k.sample_id = other)
+SELECT family_id, sample_id, CASE WHEN NOT circular THEN paternal_id END AS paternal_id, CASE WHEN NOT circular THEN maternal_id END AS maternal_id, sex, phenotype FROM g WHERE NOT there OR circular""", "v_ped", "v_other_ped")
+def w12_corrected_ped(spark, d):
+    return pedigree.corrected_ped(_ped(spark, d), V.view(spark, d, "v_other_ped"))
+
+
 @query("""SELECT concat(c, ':', family_id) AS family_id, concat(c, ':', sample_id) AS sample_id, CASE WHEN paternal_id IS NOT NULL THEN concat(c, ':', paternal_id) END AS paternal_id, CASE WHEN maternal_id IS NOT NULL THEN concat(c, ':', maternal_id) END AS maternal_id, sex, phenotype, c AS cohort
 FROM v_ped, (SELECT unnest(['a', 'b']) AS c)""", "v_ped")
 def w13_merge_peds(spark, d):

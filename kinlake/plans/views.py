@@ -28,6 +28,9 @@ _MEMBERS = ",\n  ".join(
     for r in ("kid", "dad", "mom")
 )
 
+_CLASS = "CASE {k} % 6 WHEN 0 THEN 'unrelated' WHEN 1 THEN 'duplicate/twins' WHEN 2 THEN 'second degree relatives' WHEN 3 THEN 'siblings' WHEN 4 THEN 'ambiguous' ELSE 'parent-child' END"
+_NUMBERED = "SELECT i, j, kin, CAST(substr(i, 2) AS BIGINT) AS a, CAST(substr(j, 2) AS BIGINT) AS b FROM {v_kinship}"
+
 VIEWS = {
     "v_ped": """
 SELECT concat('F', CAST(floor(c_custkey / 3) AS BIGINT)) AS family_id, concat('S', c_custkey) AS sample_id,
@@ -136,6 +139,17 @@ SELECT concat('P', conv_id) AS path, concat('analyst_', role) AS analyst, CASE t
     "v_features": """
 SELECT concat(l_orderkey, ':', l_partkey, ':', l_linenumber) AS varkey, CAST(max(l_extendedprice) / 1000 AS DOUBLE) AS vqslod, CAST(max(l_quantity) AS DOUBLE) AS qd, CAST(min(l_discount) * 100 AS DOUBLE) AS mq,
   CAST(max(l_tax) * 100 AS DOUBLE) AS fs, CASE WHEN max(l_returnflag) = 'R' THEN 1 ELSE 0 END AS label FROM {lineitem} GROUP BY l_orderkey, l_partkey, l_linenumber""",
+    "v_pair_rows": f"""
+SELECT i, j, kin, CASE e % 4 WHEN 0 THEN 'parent-child' WHEN 1 THEN 'siblings' WHEN 2 THEN 'related_other' ELSE 'unrelated' END AS ped_relationship, {_CLASS.replace('{k}', 'f')} AS relationship FROM (
+  SELECT i, j, kin, a + b AS e, 3 * a + b AS f FROM ({_NUMBERED}) x UNION ALL SELECT j, i, 1 - kin, a + b + a % 2, 5 * a + b FROM ({_NUMBERED}) y UNION ALL SELECT j, i, kin, a + b, 3 * a + b + b % 2 FROM ({_NUMBERED}) z) w""",
+    "v_sample_rows": f"""
+SELECT sample_id, family_id, CASE k % 5 WHEN 0 THEN 'Singleton' WHEN 1 THEN 'Unknown' WHEN 2 THEN 'Proband' WHEN 3 THEN 'Mother' ELSE 'Father' END AS role,
+  CASE WHEN k % 7 <> 0 THEN {_CLASS.replace('{k}', 'k')} END AS mother_status, CASE WHEN k % 8 <> 0 THEN {_CLASS.replace('{k}', '(k + n)')} END AS father_status,
+  CASE WHEN k % 3 <> 0 THEN k % 9 / 16 END AS mother_kin, CASE WHEN k % 4 <> 0 THEN k % 11 / 16 END AS father_kin
+FROM (SELECT sample_id, concat(family_id, '_', n) AS family_id, n, CAST(substr(sample_id, 2) AS BIGINT) * n AS k FROM {{v_ped}} CROSS JOIN (SELECT 1 AS n UNION ALL SELECT 2 UNION ALL SELECT 5 UNION ALL SELECT 7) t) u""",
+    "v_other_ped": """
+SELECT family_id, sample_id, CASE WHEN n % 7 = 3 AND n >= 6 THEN concat('S', n - 6) WHEN n % 5 <> 1 THEN paternal_id END AS paternal_id, CASE WHEN n % 7 <> 2 THEN maternal_id END AS maternal_id,
+  CASE WHEN n % 11 = 0 THEN 3 - sex ELSE sex END AS sex, phenotype FROM (SELECT *, CAST(substr(sample_id, 2) AS BIGINT) AS n FROM {v_ped}) p WHERE n % 13 <> 5""",
     "v_kinship": """
 SELECT concat('S', a.c_custkey) AS i, concat('S', b.c_custkey) AS j, (a.c_custkey + b.c_custkey) % 7 / 14 AS kin, (a.c_custkey * 3 + b.c_custkey) % 5 / 4 AS ibd0, (a.c_custkey + 2 * b.c_custkey) % 5 / 4 AS ibd1,
   (a.c_custkey + b.c_custkey) % 3 / 2 AS ibd2 FROM {customer} a JOIN {customer} b ON b.c_custkey > a.c_custkey AND b.c_custkey <= a.c_custkey + 3""",

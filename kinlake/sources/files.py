@@ -84,6 +84,11 @@ def load_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else path))
 
 
+def merge_stores(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Stores under one another, by column name; what a store lacks is null. Partition folders stay prunable in each."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [load_table(spark, p) for p in paths])
+
+
 def sites_vcf_lines(df: DataFrame) -> DataFrame:
     """Lines of a sites-only VCF body in coordinate order within partitions."""
     field = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(".")) if c in df.columns else F.lit(".")
