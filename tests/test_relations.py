@@ -9,7 +9,7 @@ def test_corrected_pedigree(spark):
     given = [("F", "kid", "dad", "mom", 1, 2), ("F", "dad", None, None, 1, 1), ("F", "mom", None, None, 2, 1), ("G", "g", "h", None, 1, 1), ("H", "alone", None, None, 1, 1), ("I", "odd", None, None, 1, 1), ("J", "kept", "x", "y", 1, 1)]
     found = [
         ("F", "kid", "dad", None, 1, 2),  # differs, the father is a sample and not its child: goes
-        ("F", "dad", "kid", "mom", 1, 1),  # differs, but both parents are there: stays
+        ("F", "dad", "far", "mom", 1, 1),  # differs, but both parents are there: stays
         ("F", "mom", None, "odd", 2, 1),  # its mother is a sample, and mom is the mother of odd: both links go
         ("G", "g", "h", None, 1, 1),  # agrees: stays with one parent
         ("I", "odd", None, "mom", 1, 1),
@@ -18,7 +18,7 @@ def test_corrected_pedigree(spark):
     ]
     table = lambda rows: spark.createDataFrame(rows, PED)
     got = {r.sample_id: (r.paternal_id, r.maternal_id) for r in pedigree.corrected_ped(table(given), table(found)).collect()}
-    assert got == {"dad": ("kid", "mom"), "mom": (None, None), "g": ("h", None), "odd": (None, None), "kept": ("nobody", None)}
+    assert got == {"dad": ("far", "mom"), "mom": (None, None), "g": ("h", None), "odd": (None, None), "kept": ("nobody", None)}
     assert pedigree.corrected_ped(table(given), table([])).count() == 0
 
 
