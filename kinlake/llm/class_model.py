@@ -389,7 +389,7 @@ def score_documents(docs: DataFrame, held_out) -> DataFrame:
     into words [^\\x20\\x09-\\x0D]+; an end follows every text and counts as a token. A null text is empty and has the end
     alone. base_score is the sum over tokens of log10((c + 0.1) / (N + 0.1 (V + 1))); n_known counts tokens with
     c > 0. Where nothing was learned all counts are 0. Rows that repeat a doc_id are scored each by itself; an empty table
-    gives an empty result; other columns are not looked at.
+    gives an empty result; other columns are not looked at. Texts of any length are scored whole.
 
     score adds classes: P(w | before) = P(class of w | class of the word before) P(w | class of w). Exchange clustering
     deals the ANCHORS most frequent words and the end over CLASSES classes until no move helps; every other learned word,

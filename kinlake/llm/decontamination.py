@@ -102,7 +102,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     document word inside any occurrence of a window is hit; items are those with an occurring window. A null text
     has no words, and an item without words, or whose text is null, never occurs. Rows that repeat a doc_id are documents of their own,
     unless they repeat the text too, whose results are equal. Of an item_id that repeats, all texts count. Empty tables give
-    no hits, or an empty result. Other columns are not looked at.
+    no hits, or an empty result. Other columns are not looked at. Texts of any length are searched whole.
 
     Winnowing: of the 6-gram hashes in each window of 10 words the least is kept, on both sides by value and once for
     consecutive windows, so a shared span of 10 words shares a kept gram. Documents meet the benchmark on kept grams; a

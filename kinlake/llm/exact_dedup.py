@@ -178,7 +178,7 @@ def exact_dedup(docs: DataFrame, retired: DataFrame | None = None) -> DataFrame:
     Of equal texts the row with the smallest doc_id stays (a null doc_id comes last; of rows that repeat a doc_id and
     text, exactly one stays). retired: a table with a text column; those texts are deleted from the live index, and
     all their documents come back with keep_id null and kept false. An empty table gives an empty result. Columns
-    other than doc_id and text are not looked at.
+    other than doc_id and text are not looked at. Texts of any length are hashed whole.
 
     What the filter's slots stand for are full SHA-256 digests of the content, against which every hit is compared. Copies are
     combined before the shuffle, so a group of any size reaches its bucket as one row a batch; the way back to the

@@ -30,7 +30,8 @@ def shard_documents(docs: DataFrame, shards: int = 24, seed: int = 7, bucket_byt
     table's bytes. Second pass: each bucket is put in a fixed order and gets a seeded Fisher-Yates shuffle; slot is
     the row's place in its shard, gapless from 0. grown_shard: the shard with one shard more. A null text counts as
     empty, a null doc_id as a key of its own. Rows that repeat a doc_id share its shard; only rows that also repeat
-    the text share a bucket. An empty table gives an empty result; other columns are not looked at.
+    the text share a bucket. A text longer than a bucket's bytes stays whole, in one bucket. An empty table gives an empty
+    result; other columns are not looked at.
     """
     work = docs.select("doc_id", "text")
     total = work.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -158,7 +158,7 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
     with seed 42; a bit is 1 if set in over half of the h. Fingerprints within 2 bits are linked; component_id is
     the smallest doc_id reachable, a document's own included (null doc_ids count only where a group has no other).
     Rows that repeat a doc_id are documents of their own. An empty table gives an empty result; other columns are
-    not looked at.
+    not looked at. Texts of any length are read whole.
 
     Equal fingerprints are made one before anything is compared. Two fingerprints within 2 bits agree on two of four
     16-bit blocks, so for each of the six choices of two blocks the fingerprints are dealt by those 32 bits, and each

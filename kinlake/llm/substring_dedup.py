@@ -277,6 +277,7 @@ def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, hot_bytes:
     words of one document; every word covered by a window whose words also start anywhere else, the same document
     included, is removed. Windows are judged on the input. Documents of fewer than 35 words keep all. Rows that
     repeat a doc_id are documents of their own. An empty table gives an empty result; other columns are not looked at.
+    Texts of any length are judged whole.
 
     Consecutive windows that share a minimiser (the least hash of 4 consecutive words) travel as one packed string
     to the bucket of that minimiser, compressed with what else the task has for the bucket. The number of buckets, and

@@ -89,7 +89,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, defau
     end. A null url, or one without '://', has an empty host and path, so no rule fits it. A rule fits its host and
     all subdomains where the path starts with the rule's path. The longest fitting rule wins (of equally long ones
     the first given); where none fits, rule is null and the verdict is `default`. Repeated rows are judged each by
-    itself, an empty table gives an empty result, other columns are not looked at.
+    itself, an empty table gives an empty result, other columns are not looked at. Urls of any length are read whole.
     """
     ranked = sorted(range(len(rules)), key=lambda i: (-len(rules[i][1]), i))
     globs = []

@@ -103,6 +103,36 @@ def test_shards(docs, empty):
     assert sharding.shard_documents(empty, 5).count() == 0
 
 
+def test_shards_by_brute_force(docs):
+    """Shard, bucket and place of every row from the seed alone, one row at a time."""
+    shards, seed, bucket_bytes = 5, 7, 4000
+
+    def hashed(*parts):
+        h = 42
+        for x in parts:
+            if x is not None:
+                h = xxhash.xxh64_intdigest(x.encode() if isinstance(x, str) else x[1].to_bytes(x[0], "little", signed=True), h)
+        return h - (1 << 64) if h >> 63 else h
+
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    key = lambda i: None if i is None else (8, i)
+    shard = lambda i, n: max(range(n), key=lambda s: (hashed((4, seed), (4, s), key(i)), s))
+    total = sum(len((t or "").encode()) for _, t in rows)
+    buckets = max(sharding.LEAST_BUCKETS, -(-total // (shards * bucket_bytes)))
+    placed = defaultdict(list)
+    for i, t in rows:
+        placed[shard(i, shards), hashed((4, seed + 1), key(i), t or "") % buckets].append((i, t))
+    want, begun = [], Counter()
+    for (s, b), held in sorted(placed.items()):
+        held.sort(key=lambda r: (-1 if r[0] is None else r[0], hashed(r[1])))
+        place = np.arange(len(held))
+        np.random.default_rng([seed, s, b]).shuffle(place)
+        want += [(*held[k], s, shard(held[k][0], shards + 1), b, begun[s] + n) for n, k in enumerate(place)]
+        begun[s] += len(held)
+    got = sharding.shard_documents(docs, shards, seed, bucket_bytes).select("doc_id", "text", "shard", "grown_shard", "bucket", "slot").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
 def test_shards_are_written_in_order(docs, tmp_path):
     sharding.write_shards(sharding.shard_documents(docs, 3), str(tmp_path / "s"))
     back = docs.sparkSession.read.parquet(str(tmp_path / "s"))
