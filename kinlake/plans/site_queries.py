@@ -362,6 +362,21 @@ def m15_burden_classes(spark, d):
     return burden.burden_classes(rows, {"2_vs_1": ([2], [1])})
 
 
+_PTV, _MIS2 = "(terms LIKE '%frameshift_variant%' OR terms LIKE '%stop_gained%')", "(terms LIKE '%missense_variant%' AND s.mpc >= 2)"
+
+
+@query(f"""WITH {_DN}, a AS (SELECT s.transcript AS gene, CASE WHEN phenotype = 2 THEN 1 ELSE 0 END AS pheno,
+  unnest([CASE WHEN terms LIKE '%synonymous_variant%' THEN 'SYN' END, CASE WHEN {_PTV} THEN 'PTV' END, CASE WHEN {_MIS2} THEN 'MIS2' END, CASE WHEN {_PTV} OR {_MIS2} THEN 'DMG' END]) AS class
+  FROM dn JOIN (SELECT site_id, transcript, mpc FROM v_sites) s ON s.site_id = dn.site_id JOIN v_ped ON sample_id = proband),
+g AS (SELECT class, gene, sum(pheno) AS y, count(*) AS n FROM a WHERE class IS NOT NULL GROUP BY class, gene), p AS (SELECT class, sum(y) / sum(n) AS p0 FROM g GROUP BY class), u AS (SELECT class, n, p0, unnest(range(0, n + 1)) AS u FROM g JOIN p USING (class)),
+v AS (SELECT class, sum(power(power(u - n * p0, 2) - n * p0 * (1 - p0), 2) * exp(lgamma(n + 1.0) - lgamma(u + 1.0) - lgamma(n - u + 1.0) + u * ln(p0) + (n - u) * ln(1 - p0))) AS v FROM u WHERE p0 > 0 AND p0 < 1 GROUP BY class)
+SELECT '2_vs_1' AS comparison, class, round(sum(power(y - n * p0, 2) - n * p0 * (1 - p0)), 4) AS t, round(coalesce(max(v), 0), 3) AS v, sum(y) AS case_alleles, sum(n) AS alleles, count(*) AS n_genes
+FROM g JOIN p USING (class) LEFT JOIN v USING (class) GROUP BY class""", "v_csq", "v_trios", "v_sites", "v_ped")
+def m15_burden_statistics(spark, d):
+    """m15_burden_classes without its p, which SQL has no function for."""
+    return m15_burden_classes(spark, d).select("comparison", "class", F.round("t", 4).alias("t"), F.round("v", 3).alias("v"), "case_alleles", "alleles", "n_genes")
+
+
 @query("SELECT family_id, sample_id, paternal_id, maternal_id, sex, phenotype FROM (SELECT *, row_number() OVER (PARTITION BY phenotype ORDER BY md5(concat('1', sample_id)), sample_id) AS r FROM v_ped) WHERE r <= (SELECT min(n) FROM (SELECT count(*) AS n FROM v_ped GROUP BY phenotype))", "v_ped")
 def t3_balance_groups(spark, d):
     return burden.balance_groups(_ped(spark, d), "phenotype", "sample_id")
