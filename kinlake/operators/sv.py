@@ -245,7 +245,8 @@ def denovo_sv(sv: DataFrame, ped: DataFrame, gts: DataFrame, raw: DataFrame, gd:
     samples). gts: name, s, GQ, RD_CN. raw: chrom, start, end, svtype, s, is_depth. gd, exclude: name, chrom, start, end. All contigs and
     families run in one job. A call's tests against intervals are probes of one binned sweep over all evidence (own and parents' raw
     calls, parents' large calls, regions, parents' coverage); one aggregate by call and child then gives every outcome, and the order
-    of the rules is the order of one expression. Calls that an earlier rule settles send no probes but the one for disorder regions.
+    of the rules is the order of one expression. Calls that a parent, their type or their records settle send one probe, for disorder
+    regions; calls that are too frequent send all, since a disorder region lets them pass that rule.
     Calls of other types than DEL, DUP and INS need to pass only the first two rules. A call without coordinates meets nothing and stays.
     """
     c = F.col
