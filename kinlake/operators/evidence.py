@@ -68,11 +68,26 @@ def as_track(evidence: DataFrame) -> DataFrame:
 def evidence_in_roi(windows: DataFrame, evidence: DataFrame, width: int = BIN, rows: int = ROWS) -> DataFrame:
     """Rows of the track of each window's own sample: name, part, s, kind, chrom, pos, from, to, colour.
 
-    windows: name, part, chrom, start, end (from 0, half-open), s. Each row of evidence is read and placed once; windows that overlap
-    share it, and a long call, which has a window at either end, gets the rows of both. Repeated rows of evidence stay. Null positions lie nowhere.
+    windows: name, part, chrom, start, end (from 0, half-open), s. A long call, which has a window at either end, gets the rows of both.
+    Repeated rows of evidence stay. Null positions lie nowhere.
+
+    A sample has few windows in a bin, so evidence meets them by one equi join on (chrom, s, bin), and only bins of a sample with over `rows`
+    rows of evidence are swept (segment_evidence), where overlapping windows share what is found. Each row of evidence goes one way.
     """
-    keys = ("chrom", "s")  # other samples' windows cut nothing
-    segments, members = window_segments(windows.select("name", "part", "chrom", "start", "end", "s"), width, keys)
-    placed = segment_evidence(as_track(evidence).where("pos IS NOT NULL"), segments, width, rows, keys)
-    of = members.select(*keys, "bin", "segment_start", "name", "part")
-    return placed.join(of, [*keys, "bin", "segment_start"]).select("name", "part", "s", "kind", "chrom", "pos", "from", "to", "colour")
+    from ..plans.scratch import written
+
+    keys = ["chrom", "s"]  # other samples' windows cut nothing
+    whole = [*keys, "bin"]
+    windows = windows.select("name", "part", "chrom", "start", "end", "s").where("start < end")
+    bins = F.explode(F.sequence(F.floor(F.col("start") / width).cast("long"), F.floor((F.col("end") - 1) / width).cast("long"))).alias("bin")
+    track = as_track(evidence).where("pos IS NOT NULL").withColumn("bin", F.floor((F.col("pos") - 1) / width))
+    out = ["name", "part", "s", "kind", "chrom", "pos", "from", "to", "colour"]
+    full = track.groupBy(*whole).agg(F.count("*").alias("__n")).where(F.col("__n") > rows).select(*whole)
+    full = F.broadcast(written(full, "full-bins"))  # as many as the evidence over `rows` at most
+    few = windows.select("*", bins).join(full, whole, "left_anti").join(track, whole).where("pos > start AND pos <= end").select(*out)
+    hot = windows.select("*", bins).join(full, whole, "left_semi")
+    hot = hot.groupBy(*hot.columns).agg(F.count("*").alias("__times")).drop("bin").distinct()  # a window once, however many of its bins are swept
+    segments, members = window_segments(hot, width, keys)
+    placed = segment_evidence(track.join(full, whole, "left_semi").drop("bin"), segments, width, rows, keys)
+    of = members.select(*whole, "segment_start", "name", "part", F.explode(F.sequence(F.lit(1).cast("long"), "__times")).alias("__time"))
+    return few.unionByName(placed.join(of, [*whole, "segment_start"]).select(*out))

@@ -34,6 +34,19 @@ def test_evidence_in_windows(spark, rows):
     assert {k[1] for k in got} == {"left", "right", "whole"}
 
 
+def test_few_windows_of_a_sample_need_no_sweep(spark):
+    """Evidence that no fuller bin holds meets its windows without a sorted sweep; repeated windows stay, swept or not."""
+    windows = spark.createDataFrame([("a", "whole", "1", 10, 50, "s0")] * 2 + [("b", "whole", "1", 40, 40000, "s0")], "name string, part string, chrom string, start int, end int, s string")
+    ev = spark.createDataFrame([("SR", "1", p, "1", p, "+", "left", "s0") for p in (10, 11, 45, 50, 51, 20000, 40000, 40001)], "kind string, chrom string, pos int, chrom2 string, pos2 int, strand string, side string, s string")
+    want = Counter({("a", 11): 2, ("a", 45): 2, ("a", 50): 2, ("b", 45): 1, ("b", 50): 1, ("b", 51): 1, ("b", 20000): 1, ("b", 40000): 1})
+    for rows in (1, 4, 100):
+        assert Counter((r.name, r.pos) for r in evidence.evidence_in_roi(windows, ev, rows=rows).collect()) == want
+    out = evidence.evidence_in_roi(windows, ev)
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Window" not in final
+
+
 def test_segments_lie_inside_or_outside(spark):
     windows = spark.createDataFrame([("a", "1", 10, 50), ("b", "1", 30, 90), ("c", "1", 30, 50), ("d", "1", 60, 60)], "name string, chrom string, start int, end int")
     segments, members = evidence.window_segments(windows, 64)
