@@ -239,3 +239,22 @@ def test_silhouette_and_clusters_of_depth(spark):
     rows = [("v", float(m)) for m in (0.48, 0.5, 0.52, 0.99, 1.0, 1.01, 1.5, 1.52)] + [("w", 1.0), ("w", 1.0), ("u", 1.0)]
     got = {r.name: r.n_states for r in depth.depth_clusters(spark.createDataFrame(rows, "name string, m double")).collect()}
     assert got == {"v": 3, "w": 1, "u": 1}
+
+
+def test_hardy_weinberg_against_enumeration(spark):
+    """Every outcome weighed in whole numbers; also where an outcome is so rare that the weights of others overflow."""
+    from fractions import Fraction
+    from math import factorial
+
+    cases = [(3, 5, 2), (0, 7, 0), (0, 1, 0), (40, 0, 3), (10, 21, 11), (1, 0, 1), (60, 30, 0), (0, 6, 9), (2000, 0, 2000)]
+    got = {(r.a, r.b, r.c): r.p for r in spark.createDataFrame([*cases, (None, 1, 1)], "a long, b long, c long").withColumn("p", stats.hardy_weinberg(F.col("a"), F.col("b"), F.col("c"))).collect()}
+    for a, b, c in cases[:-1]:
+        n, rare = a + b + c, min(2 * a + b, 2 * c + b)
+        w = {h: Fraction(2**h, factorial((rare - h) // 2) * factorial(h) * factorial(n - (rare + h) // 2)) for h in range(rare % 2, rare + 1, 2)}
+        want = (sum(x for x in w.values() if x < w[b]) + sum(x for x in w.values() if x == w[b]) / 2) / sum(w.values())
+        assert got[a, b, c] == pytest.approx(float(want), rel=1e-9)
+    assert got[2000, 0, 2000] == 0 and got[None, 1, 1] is None
+
+
+def test_hardy_weinberg_takes_no_logarithm_per_outcome():
+    assert "ln(" not in str(stats.hardy_weinberg(F.col("a"), F.col("b"), F.col("c"))).lower()
