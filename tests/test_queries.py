@@ -41,3 +41,8 @@ def test_same_rows_as_the_sql(spark, oracle, name):
 
 def test_every_query_has_a_name_of_its_own():
     assert len(registry.QUERIES) > 150 and set(registry.ORACLE_SQL) <= set(registry.QUERIES) and registry.FLAGSHIP in registry.QUERIES
+
+
+def test_binomial_p_is_worked_out_once_a_pair_of_counts(spark):
+    plan = registry.QUERIES["p6_binomial_pab"](spark, DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Project") and plan.index("sequence(") < plan.index("Aggregate [")
