@@ -258,3 +258,19 @@ def test_hardy_weinberg_against_enumeration(spark):
 
 def test_hardy_weinberg_takes_no_logarithm_per_outcome():
     assert "ln(" not in str(stats.hardy_weinberg(F.col("a"), F.col("b"), F.col("c"))).lower()
+
+
+def test_entries_that_show_no_new_allele_do_not_travel(spark):
+    """Every combination of calls (missing too) on an autosome, X, Y and the mitochondrion: the same calls from fewer rows."""
+    trios = spark.createDataFrame([("f1", "k1", "d1", "m1", False), ("f2", "k2", "d2", "m2", True)], "fam_id string, proband string, father string, mother string, is_female boolean")
+    alleles, pl = {0: (0, 0), 1: (0, 1), 2: (1, 1), None: (None, None)}, {0: [0, 40, 80], 1: [50, 0, 50], 2: [80, 40, 0], None: None}
+    found = []
+    for at, (contig, fam, calls) in enumerate(product(("chr1", "chrX", "chrY", "chrM"), (1, 2), product(alleles, repeat=3))):
+        found += [(contig, 5_000_000 + at, "A", "C", f"{m}{fam}", *alleles[n], [20, 10 if m == "k" else 0], 30, 50, pl[n]) for m, n in zip("kdm", calls, strict=True)]
+    entries = spark.createDataFrame(found, "contig string, pos int, ref string, alt string, s string, a1 int, a2 int, AD array<int>, DP int, GQ int, PL array<int>")
+    every, some = (trio.trio_entries(entries, trios, only=x).withColumns({"AC": F.lit(1), "AN": F.lit(90), "gnomad_af": F.lit(0.001)}) for x in (None, trio.may_be_new()))
+    show = lambda df: sorted((r.contig, r.pos, r.proband) for r in df.select("contig", "pos", "proband").collect())
+    for keep in (denovo.denovo_posterior, denovo.denovo_by_gt, lambda t: trio.mendel_errors(t).where("mendel_code = 2")):
+        want = show(keep(every))
+        assert want and show(keep(some)) == want
+    assert some.count() < every.count() / 2
