@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Words, materialise, mix, one_of_each, remove_rows, small, text_chunks, text_key, tidy
@@ -182,13 +183,18 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
 
 #: The pipeline's stage: words in a shingle, and the least Jaccard similarity of shingle sets that makes two texts near copies.
 STAGE_SHINGLE, SIMILAR = 5, 0.8
-#: Bands of minima: a pair at the least similarity shares one with probability 1 - (1 - 0.8 ** 6) ** 24 = 0.9993.
-BANDS, BAND_ROWS = 24, 6
-#: Documents of a bucket that are held against all of other groups there, where the first comparison leaves it in several groups, by round.
-LEADERS = (4, 12)
-#: Bands of more minima for the documents of larger buckets that are in several groups even then: 1 - (1 - 0.8 ** 12) ** 100 = 0.9992.
-LONG_BANDS, LONG_ROWS = 100, 12
-_ODD = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, LONG_BANDS * LONG_ROWS + STAGE_SHINGLE, dtype=np.uint64) | np.uint64(1)
+#: Words' multipliers within a shingle.
+_ODD = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, STAGE_SHINGLE, dtype=np.uint64) | np.uint64(1)
+#: One document in so many is looked at to find shingles that many documents have: of those, the most frequent, at most so many, come last in
+#: the order of shingles. Any order gives the same groups; a good one makes fewer pairs.
+LOOKED_AT, OFTEN, LAST = 8, 8, 200_000
+#: Documents of a larger bucket that are held against all of other groups there, by round: a few first, since what they join needs no further
+#: comparison, then every one.
+LEADERS = (4, None)
+#: Documents of a bucket whose pairs are made in one piece; of larger ones a task holds so many documents against the others at once.
+FEW, SHARE = 64, 1024
+#: Longs of a parity map, bits of one that is made for documents of candidate pairs only, and pairs whose texts are looked at in one step.
+LONGS, WIDE, TEXTS = 8, 4096, 100
 
 
 def _shingles(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -211,52 +217,153 @@ def _shingles(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return out, starts
 
 
-def _bands(bands: int, size: int):
-    """(row, text) to (row, one key a band): texts of equal minima in a band share its key."""
+def _prefix(size: int) -> int:
+    """How many of a set's first shingles, in the order of all, two sets of the similarity must have one in common of."""
+    return size - math.ceil(SIMILAR * size - 1e-9) + 1
+
+
+@tidy
+def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, text) to the distinct shingles of each text."""
+    for batch in batches:
+        for _, _, texts in text_chunks(batch.column(1)):
+            hashes, starts = _shingles(texts)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.unique(x) for x in np.split(hashes, starts[1:])]).view(np.int64))], names=["shingle"])
+
+
+def _firsts(often: np.ndarray):
+    """(row, text) to (row, size of its set, parity map, its first shingles). often: shingles that come last, the most frequent at the end;
+    others come in the order of their hashes. Bit b of the map is the parity of the shingles that fall on b, so that maps
+    differ in at most as many bits as their sets differ in shingles."""
+    by_hash = np.argsort(often)
+    known, places = often[by_hash], by_hash + 1
+
+    def firsts(x: np.ndarray) -> np.ndarray:
+        n = _prefix(len(x))
+        if len(known):
+            at = np.minimum(np.searchsorted(known, x), len(known) - 1)
+            last = np.where(known[at] == x, places[at], 0)
+            x = x[np.argsort(last, kind="stable")]
+        return x[:n]
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, texts in text_chunks(batch.column(1)):
                 hashes, starts = _shingles(texts)
-                keys = np.empty((hi - lo, bands), np.uint64)
-                for b in range(bands):
-                    key = np.full(hi - lo, b, np.uint64)
-                    for odd in _ODD[STAGE_SHINGLE + b * size :][:size]:
-                        key = mix(key ^ np.minimum.reduceat(hashes * odd, starts))
-                    keys[:, b] = key
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1, dtype=np.int32) * bands), pa.array(keys.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], names=["row", "keys"])
+                sets = [np.unique(x) for x in np.split(hashes, starts[1:])]
+                found = [firsts(x) for x in sets]
+                maps = np.stack([np.packbits(np.bincount((x >> np.uint64(32)) % np.uint64(64 * LONGS), minlength=64 * LONGS) % 2 == 1, bitorder="little").view("<i8") for x in sets])
+                lists = lambda flat, ends: pa.ListArray.from_arrays(pa.array(np.asarray(ends, np.int32)), pa.array(flat))
+                keys = lists(np.concatenate(found).view(np.int64), np.cumsum([0, *map(len, found)]))
+                cols = [batch.column(0).slice(lo, hi - lo), pa.array([len(x) for x in sets], pa.int32()), lists(maps.reshape(-1), np.arange(hi - lo + 1) * LONGS), keys]
+                yield pa.RecordBatch.from_arrays(cols, names=["row", "size", "bits", "keys"])
 
     return run
 
 
 @tidy
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, text) to (row, its distinct shingles)."""
+def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of pairs with both texts to those whose shingle sets have at least the similarity, without the texts."""
+    for batch in batches:
+        kept = np.zeros(batch.num_rows, bool)
+        names = batch.schema.names[:-2]
+        for lo in range(0, batch.num_rows, TEXTS):
+            ones, others = (batch.column(len(names) + k).slice(lo, TEXTS).cast(pa.binary()).to_pylist() for k in (0, 1))
+            hashes, starts = _shingles(ones + others)
+            sets = [np.unique(x) for x in np.split(hashes, starts[1:])]
+            for k, (x, y) in enumerate(zip(sets[: len(ones)], sets[len(ones) :], strict=True)):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                kept[lo + k] = both >= SIMILAR * (len(x) + len(y) - both) - 1e-9
+        yield batch.select(names).filter(pa.array(kept))
+
+
+@tidy
+def _wide_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, text) to (row, size of its set, a parity map of WIDE bits)."""
     for batch in batches:
         for lo, hi, texts in text_chunks(batch.column(1)):
             hashes, starts = _shingles(texts)
             sets = [np.unique(x) for x in np.split(hashes, starts[1:])]
-            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], names=["row", "shingles"])
+            maps = [np.packbits(np.bincount((x >> np.uint64(32)) % np.uint64(WIDE), minlength=WIDE) % 2 == 1).tobytes() for x in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([len(x) for x in sets], pa.int32()), pa.array(maps)], names=["row", "size", "map"])
 
 
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The rows of pairs (a, b, ...) whose shingle sets have at least the similarity, counted exactly."""
-    side = lambda c: sets.select(F.col("row").alias(c), F.col("shingles").alias(f"set_{c}"))
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    rows = pairs.join(side("a"), "a").join(side("b"), "b").select(*pairs.columns, both.alias("both"), (F.size("set_a") + F.size("set_b")).alias("sizes"))
-    return rows.where(F.col("both") >= SIMILAR * (F.col("sizes") - F.col("both")) - 1e-9).select(*pairs.columns)
+@tidy
+def _near_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of pairs with both sizes and maps to those that may be similar, without these columns."""
+    for batch in batches:
+        if batch.num_rows:
+            n, m, x, y = (batch.column(batch.num_columns - 4 + k) for k in range(4))
+            bits = lambda c: np.frombuffer(b"".join(c.to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+            differ = np.bitwise_count(bits(x) ^ bits(y)).sum(axis=1, dtype=np.int64)
+            near = differ <= (n.to_numpy().astype(np.int64) + m.to_numpy()) * ((1 - SIMILAR) / (1 + SIMILAR)) + 1e-9
+            yield batch.select(batch.schema.names[:-4]).filter(pa.array(near))
+
+
+def _similar(pairs: DataFrame, named: DataFrame) -> DataFrame:
+    """The rows of pairs (a, b, ...: longs) whose shingle sets have at least the similarity, counted exactly. Texts travel rather than their
+    sets, which are longer and can't be compressed, and only those of pairs that wider parity maps leave."""
+    schema = ", ".join(f"{c} long" for c in pairs.columns)
+    pairs = materialise(pairs, "pairs")
+    ids = lambda: small(materialise(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "rows"))
+    maps = named.join(ids(), "row", "left_semi").select("row", "text").mapInArrow(_wide_maps, "row long, size int, map binary").dropDuplicates(["row"])
+    maps = materialise(maps, "maps")
+    of = lambda c: maps.select(F.col("row").alias(c), F.col("size").alias(f"size_{c}"), F.col("map").alias(f"map_{c}"))
+    near = pairs.join(of("a"), "a").join(of("b"), "b").select(*pairs.columns, "size_a", "size_b", "map_a", "map_b")
+    pairs = materialise(near.mapInArrow(_near_maps, schema), "pairs")
+    texts = named.join(ids(), "row", "left_semi").select("row", "text").dropDuplicates(["row"])
+    side = lambda c: texts.select(F.col("row").alias(c), F.col("text").alias(f"text_{c}"))
+    rows = pairs.join(side("a"), "a").join(side("b"), "b").select(*pairs.columns, "text_a", "text_b")
+    return rows.mapInArrow(_checked, schema)
+
+
+def _united(names: DataFrame, pairs: DataFrame, named: DataFrame) -> DataFrame:
+    """names (row, root) after the roots of pairs (a, b, root_a, root_b) of the similarity were made one."""
+    new = materialise(_similar(pairs, named).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "near")
+    if new.isEmpty():
+        return names
+    merged = small(materialise(components(new).select(F.col("node").alias("root"), F.col("root").alias("into")), "merged"))
+    return materialise(names.join(merged, "root", "left").select("row", F.coalesce("into", "root").alias("root")), "names")
+
+
+def _often(texts: DataFrame) -> np.ndarray:
+    """Shingles that many documents have, the most frequent at the end."""
+    looked = texts.where(F.pmod("row", F.lit(LOOKED_AT)) == 0).select("row", "text").mapInArrow(_each_shingle, "shingle long")
+    found = looked.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "shingle").limit(LAST).collect()
+    return np.array([r.shingle for r in reversed(found)], np.int64).view(np.uint64)
+
+
+def _buckets(texts: DataFrame, repeated: bool) -> tuple[DataFrame, DataFrame]:
+    """(key, row, n): the documents of each bucket of several, and their number; and (row, size, bits). Sets of the similarity have one
+    of their first shingles in common, so that each such pair shares a bucket."""
+    found = texts.select("row", "text").mapInArrow(_firsts(_often(texts)), "row long, size int, bits array<long>, keys array<long>")
+    found = materialise(found.dropDuplicates(["row"]) if repeated else found, "firsts")
+    keys = found.select("row", F.explode("keys").alias("key"))
+    shared = keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1")  # one shuffle, whatever the size
+    return materialise(shared, "shared"), found.select("row", "size", "bits")
 
 
-def _buckets(texts: DataFrame, bands: int, size: int) -> DataFrame:
-    """(key, row, first, n): the documents of each bucket of several, the first of them, and their number."""
-    found = materialise(texts.select("row", "text").mapInArrow(_bands(bands, size), "row long, keys array<long>"), "bands")
-    keys = found.select("row", F.explode("keys").alias("key")).distinct()
-    several = keys.groupBy("key").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1")
-    return materialise(keys.join(small(materialise(several, "buckets")), "key"), "shared")
+@tidy
+def _pairs_within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rows, sizes, bits) of buckets to (a, b): their pairs that may be similar (as in _may_be_similar)."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        row, size = (batch.column(c).flatten().to_numpy() for c in (0, 1))
+        bits = batch.column(2).flatten().flatten().to_numpy().view(np.uint64).reshape(-1, LONGS)
+        n = np.diff(batch.column(0).offsets.to_numpy())
+        bucket = np.repeat(np.arange(len(n)), n)
+        found = [np.empty((0, 2), np.int64)]
+        for d in range(1, int(n.max())):
+            at = np.flatnonzero(bucket[d:] == bucket[:-d])
+            x, y = size[at].astype(np.float64), size[at + d].astype(np.float64)
+            at = at[np.minimum(x, y) >= SIMILAR * np.maximum(x, y) - 1e-9]
+            differ = np.bitwise_count(bits[at] ^ bits[at + d]).sum(axis=1, dtype=np.int64)
+            at = at[differ <= (size[at].astype(np.int64) + size[at + d]) * ((1 - SIMILAR) / (1 + SIMILAR)) + 1e-9]
+            found.append(np.sort(np.column_stack([row[at], row[at + d]]), axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
 def _in_several_groups(buckets: DataFrame, names: DataFrame, over: int) -> DataFrame:
@@ -266,23 +373,32 @@ def _in_several_groups(buckets: DataFrame, names: DataFrame, over: int) -> DataF
     return rooted.join(small(materialise(still, "open")), "key")
 
 
-def _merge(buckets: DataFrame, names: DataFrame, sets: DataFrame, leaders: tuple[int, ...]) -> DataFrame:
-    """names (row, root) after growing numbers of a bucket's documents were held against those of other groups in it. In buckets of at
-    most leaders[-1] documents that is every pair of different groups."""
+def _may_be_similar(x: str, y: str) -> Column:
+    """False only for pairs whose sets can't have the similarity: by their sizes, and by the bits in which their parity maps differ."""
+    n, m = F.col(f"{x}.size"), F.col(f"{y}.size")
+    differ = F.lit(0)
+    for k in range(LONGS):
+        differ = differ + F.bit_count(F.get(f"{x}.bits", F.lit(k)).bitwiseXOR(F.get(f"{y}.bits", F.lit(k))))
+    return (F.least(n, m) >= SIMILAR * F.greatest(n, m) - 1e-9) & (differ <= (n + m) * (1 - SIMILAR) / (1 + SIMILAR) + 1e-9)
+
+
+def _merge(buckets: DataFrame, names: DataFrame, sizes: DataFrame, named: DataFrame) -> DataFrame:
+    """names (row, root) after growing numbers of a bucket's documents, in the end all, were held against those of other groups in it. What
+    is held against each other is dealt by parts of a bucket, so that a large one is the work of many tasks."""
     low = 0
-    for high in leaders:
-        rest = _in_several_groups(buckets, names, low).where("first is null or row <> first").withColumn("rank", F.pmod(F.xxhash64("key", "row"), F.col("n"))).where(F.col("rank") >= low)
-        rest = materialise(rest.select("key", "row", "root", "rank"), "rest")
+    for high in LEADERS:
+        rest = _in_several_groups(buckets, names, low).where("row <> first").withColumn("rank", F.pmod(F.xxhash64("key", "row"), F.col("n"))).where(F.col("rank") >= low)
+        rest = materialise(rest.join(sizes, "row").select("key", "rank", F.struct("row", "root", "size", "bits").alias("x"), F.ceil(F.col("n") / SHARE).cast("int").alias("parts")), "rest")
         if rest.isEmpty():
             break
-        lead = rest.where(F.col("rank") < high).select("key", F.col("row").alias("lead"), F.col("root").alias("lead_root"))
-        before = F.col("row") < F.col("lead")
-        either = lambda x, y: F.when(before, F.col(x)).otherwise(F.col(y))
-        pairs = rest.join(lead, "key").where("root <> lead_root").select(either("row", "lead").alias("a"), either("lead", "row").alias("b"), either("root", "lead_root").alias("root_a"), either("lead_root", "root").alias("root_b")).distinct()
-        new = materialise(_similar(pairs, sets).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "near")
-        if not new.isEmpty():
-            merged = small(materialise(components(new).select(F.col("node").alias("root"), F.col("root").alias("into")), "merged"))
-            names = materialise(names.join(merged, "root", "left").select("row", F.coalesce("into", "root").alias("root")), "names")
+        lead = (rest if high is None else rest.where(F.col("rank") < high)).select("key", F.col("x").alias("y"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        dealt = rest.withColumn("part", F.pmod(F.xxhash64(F.col("x.row")), "parts").cast("int"))
+        pairs = dealt.join(lead, ["key", "part"]).where(F.col("x.root") != F.col("y.root"))
+        pairs = (pairs.where(F.col("x.row") < F.col("y.row")) if high is None else pairs).where(_may_be_similar("x", "y"))
+        before = F.col("x.row") < F.col("y.row")
+        either = lambda c, swap: F.when(before != swap, F.col(f"x.{c}")).otherwise(F.col(f"y.{c}"))
+        pairs = pairs.select(either("row", False).alias("a"), either("row", True).alias("b"), either("root", False).alias("root_a"), either("root", True).alias("root_b")).distinct()
+        names = _united(names, pairs, named)
         low = high
     return names
 
@@ -290,23 +406,28 @@ def _merge(buckets: DataFrame, names: DataFrame, sets: DataFrame, leaders: tuple
 def near_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two tables of doc_id and text_key: the rows that drop_near_copies removes, and of the others those names that several rows have."""
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text").withColumn("row", F.xxhash64("doc_id", "text_key"))
-    shared = _buckets(named, BANDS, BAND_ROWS)
-    ids = small(materialise(shared.select("row").distinct(), "rows"))
-    sets = materialise(named.join(ids, "row", "left_semi").select("row", "text").mapInArrow(_sets, "row long, shingles array<long>").dropDuplicates(["row"]), "sets")
-    # every document against the first of each of its buckets: as many pairs as rows, whatever a bucket's size
-    links = materialise(_similar(shared.where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b")).distinct(), sets), "near")
+    again = materialise(named.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1"), "again")
+    shared, sizes = _buckets(named, not again.isEmpty())
+    few = shared.where(F.col("n") <= FEW).select("key", "row").join(sizes, "row").groupBy("key").agg(F.collect_list(F.struct("row", "size", "bits")).alias("x"))
+    pairs = few.select("x.row", "x.size", "x.bits").mapInArrow(_pairs_within, "a long, b long")
+    # in larger buckets every document is held against the first at first: as many pairs as rows
+    many = shared.where(F.col("n") > FEW)
+    many = materialise(many.join(small(many.groupBy("key").agg(F.min("row").alias("first"))), "key"), "many")
+    of = lambda c: sizes.select(F.col("row").alias(c), F.struct("size", "bits").alias(f"of_{c}"))
+    firsts = many.where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b")).distinct()
+    firsts = firsts.join(of("a"), "a").join(of("b"), "b").where(_may_be_similar("of_a", "of_b")).select("a", "b")
+    pairs = materialise(pairs.unionByName(firsts).distinct(), "candidates")
+    links = materialise(_similar(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), named), "near")
     roots = small(materialise(components(links).withColumnRenamed("node", "row"), "roots"))
+    ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("row")).unionByName(many.select("row")).distinct(), "rows")
     names = materialise(ids.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row")), "names")
-    names = _merge(shared, names, sets, LEADERS)
-    left = materialise(_in_several_groups(shared, names, LEADERS[-1]).select("row").distinct(), "left")
-    if not left.isEmpty():
-        finer = _buckets(named.join(small(left), "row", "left_semi"), LONG_BANDS, LONG_ROWS).withColumn("first", F.lit(None).cast("long"))
-        names = _merge(finer, names, sets, LEADERS[:1])
+    named_as = lambda c: small(names.select(F.col("row").alias(c), F.col("root").alias(f"root_{c}")))
+    names = _united(names, pairs.join(named_as("a"), "a").join(named_as("b"), "b").where("root_a <> root_b").select("a", "b", "root_a", "root_b"), named)
+    names = _merge(many, names, sizes, named)
     members = materialise(names.join(named.select("row", "doc_id", "text_key"), "row"), "members")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     kept = members.groupBy("root").agg(F.min(rank).alias("kept")).repartition("root")
-    again = named.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
-    return members.join(kept, "root").where(rank != F.col("kept")).select("doc_id", "text_key"), materialise(again, "again")
+    return members.join(kept, "root").where(rank != F.col("kept")).select("doc_id", "text_key"), again
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
@@ -314,12 +435,13 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     comes last). Of rows that repeat a doc_id and text one stays; a null text equals an empty one, and such texts are near copies of
     each other. An empty table gives an empty result; texts of any length are compared whole.
 
-    Near copies have sets of five-word shingles (texts as in simhash_groups) of Jaccard similarity 0.8 or more; groups
-    are what such pairs link. 64 bits of SimHash differ by 10 on average at 0.8, so that no blocks of a useful length
-    stay equal within a radius that holds most pairs. Candidates are therefore the documents that share a band of
-    minima of their shingles' hashes, and each pair that counts is checked against both full sets. Each document is held against
-    the first of its buckets; where that leaves a bucket in several groups, growing numbers of its documents are held against
-    those of other groups. Larger buckets that are in several groups even then are dealt anew by longer bands.
+    Near copies have sets of five-word shingles (texts as in simhash_groups) of Jaccard similarity 0.8 or more; groups are what such
+    pairs link, all of them: no pair is missed. 64 bits of SimHash differ by 10 on average at 0.8, so that no blocks of a useful length
+    stay equal within a radius that holds every pair. Candidates are therefore the documents that share one of the first fifth of their
+    shingles in one order of all, with frequent ones last (prefix filter), which every pair of the similarity does. In a bucket of up to 64
+    every two are held against each other, one pair a document first, then those that it leaves in different groups. In a larger one every document is held against the first; where that leaves it in several groups,
+    a few and then all of its documents are held against those of other groups. Sizes and parity maps rule out most pairs that can't be similar, and each pair that counts is checked against
+    both full sets. What is left over is quadratic in a bucket of many documents that are nearly, but not quite, similar.
     """
     gone, again = near_copies(docs)
     return one_of_each(remove_rows(docs, gone), again)
