@@ -72,10 +72,19 @@ def chunk_ids(ids: DataFrame, size: int, key: str = "s", digits: int = 2) -> Dat
     return rows.withColumn("k", F.floor((F.row_number().over(Window.partitionBy("g").orderBy(key)) - 1) / size)).select(key, F.concat_ws("-", "g", F.col("k").cast("string")).alias("chunk"))
 
 
+#: Chunks that may be broadcast.
+LISTED = 1_000_000
+
+
 def chunk_pairs(chunks: DataFrame) -> DataFrame:
-    """Every pair of chunks, each with itself included."""
-    a, b = chunks.select(F.col("chunk").alias("a")).distinct(), chunks.select(F.col("chunk").alias("b")).distinct()
-    return a.join(b, F.col("a") <= F.col("b"))
+    """Every pair of chunks, each with itself included. The list of chunks is worked out once; one side is dealt over as many tasks as
+    shuffles have, however short the list is, since there are as many pairs as its square."""
+    from ..plans.scratch import written
+
+    names = written(chunks.select("chunk").distinct(), "chunks")
+    a = names.select(F.col("chunk").alias("a")).repartition(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a")
+    b = names.select(F.col("chunk").alias("b"))
+    return a.join(F.broadcast(b) if names.count() <= LISTED else b, F.col("a") <= F.col("b"))
 
 
 def step_stats(steps: dict[str, DataFrame], sample: str = "SAMPLE") -> DataFrame:
